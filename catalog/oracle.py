@@ -226,3 +226,57 @@ ORACLE_SQL: dict[str, str] = {
     "cohort_retention_triangle": _with(chain(), TRIANGLE),
     "engagement_depth": _with(chain()[:6], ENGAGEMENT),
 }
+
+
+CHURNED = """
+  SELECT p.period_grain, p.period_start, p.country, p.platform, p.utm_source, prev.user_id
+  FROM (SELECT DISTINCT period_grain, period_start, country, platform, utm_source, prior_period_start
+        FROM act) p
+  JOIN act prev ON prev.period_grain = p.period_grain AND prev.period_start = p.prior_period_start
+    AND prev.country = p.country AND prev.platform = p.platform AND prev.utm_source = p.utm_source
+  WHERE NOT EXISTS (
+    SELECT 1 FROM act cur WHERE cur.period_grain = p.period_grain
+      AND cur.period_start = p.period_start AND cur.country = p.country
+      AND cur.platform = p.platform AND cur.utm_source = p.utm_source AND cur.user_id = prev.user_id)"""
+
+COHORT_SIZES = """
+  SELECT period_grain AS cohort_grain, first_active_period AS cohort_start, country, platform,
+    utm_source, count(*) AS cohort_users
+  FROM first_active GROUP BY ALL"""
+
+POWER_USERS = """
+  SELECT period_grain, period_start, country, platform, utm_source, user_id, event_count
+  FROM ups WHERE event_count >= 3"""
+
+SURROGATE = """
+  SELECT event_id,
+    md5(concat_ws('|', coalesce(strftime(event_time_utc, '%Y-%m-%d %H:%M:%S.%f'), ''),
+        coalesce(user_id, ''), coalesce(event_type, ''), coalesce(CAST(miles_amount AS VARCHAR), ''),
+        coalesce(platform, ''))) AS recomputed_event_id,
+    md5(user_id) AS user_sk
+  FROM stg"""
+
+_METRICS = ["active_users", "new_users", "retained_users", "resurrected_users", "churned_users"]
+
+LONG_FORM = " UNION ALL ".join(
+    f"SELECT period_grain, period_start, '{m}' AS metric, {m} AS value FROM growth_top" for m in _METRICS)
+
+SCORECARDS = ("SELECT period_grain, count(*) AS periods, min(period_start) AS first_period, "
+              "max(period_start) AS last_period, "
+              + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in _METRICS)
+              + " FROM growth_top GROUP BY period_grain")
+
+MATRIX = ("SELECT cohort_grain, cohort_start, country, platform, utm_source, cohort_users, "
+          + ", ".join(f"max(CASE WHEN period_index = {i} THEN retention_rate END) AS p{i}" for i in range(9))
+          + " FROM tri WHERE cohort_grain = 'weekly' AND country = 'all' AND platform = 'all'"
+            " AND utm_source = 'all' GROUP BY ALL")
+
+ORACLE_SQL.update({
+    "churned_users": _with(chain(), CHURNED),
+    "cohort_sizes": _with(chain(), COHORT_SIZES),
+    "power_users": _with(chain()[:6], POWER_USERS),
+    "surrogate_key": _with(chain()[:3], SURROGATE),
+    "growth_long_form": _with(chain() + [("growth_top", _topline(GROWTH))], LONG_FORM),
+    "growth_scorecards": _with(chain() + [("growth_top", _topline(GROWTH))], SCORECARDS),
+    "cohort_matrix": _with(chain() + [("tri", TRIANGLE)], MATRIX),
+})

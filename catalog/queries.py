@@ -94,3 +94,62 @@ def cohort_retention_triangle(spark, sf_dir):
 def engagement_depth(spark, sf_dir):
     """Engagement depth per grain, period, segment."""
     return marts(spark, sf_dir).engagement_depth
+
+
+@query("churned_users")
+def churned_users(spark, sf_dir):
+    """The churned users themselves: (grain, period, segment, user) active in
+    the prior period and absent in this one (only periods that have actives)."""
+    from tidemark.operators.growth import churn_events
+    m = marts(spark, sf_dir)
+    churn = churn_events(m.activity)
+    keys = ["period_grain", "period_start", *SEGMENTS]
+    periods = m.activity.select(*keys).distinct()
+    return churn.join(periods, keys, "left_semi")
+
+
+@query("cohort_sizes")
+def cohort_sizes(spark, sf_dir):
+    """Users per cohort (grain, first active period, segment)."""
+    from tidemark.operators.retention import cohort_sizes as sizes
+    return sizes(marts(spark, sf_dir).activity)
+
+
+@query("power_users")
+def power_users(spark, sf_dir):
+    """User-period-segment rows with at least 3 events."""
+    from tidemark.operators.engagement import power_users as pu
+    return pu(marts(spark, sf_dir).user_period_segments)
+
+
+@query("surrogate_key")
+def surrogate_key(spark, sf_dir):
+    """Event and user keys, recomputed from the typed columns of every event."""
+    from tidemark.functions import event_key, surrogate_key as sk
+    stg = marts(spark, sf_dir).stg_events
+    return stg.select(
+        "event_id",
+        event_key(F.col("event_time_utc"), F.col("user_id"), F.col("event_type"),
+                  F.col("miles_amount"), F.col("platform")).alias("recomputed_event_id"),
+        sk(F.col("user_id")).alias("user_sk"))
+
+
+@query("growth_long_form")
+def growth_long_form(spark, sf_dir):
+    """Dashboard long form of the top-line growth metrics (all grains)."""
+    from tidemark.operators.reporting import growth_long_form as lf
+    return lf(marts(spark, sf_dir).growth_accounting)
+
+
+@query("growth_scorecards")
+def growth_scorecards(spark, sf_dir):
+    """Top-line scorecards per grain over the whole date range."""
+    from tidemark.operators.reporting import growth_scorecards as sc
+    return sc(marts(spark, sf_dir).growth_accounting)
+
+
+@query("cohort_matrix")
+def cohort_matrix(spark, sf_dir):
+    """Weekly top-line retention heat map, period index 0..8."""
+    from tidemark.operators.retention import cohort_matrix as cm
+    return cm(marts(spark, sf_dir).cohort_retention_triangle, "weekly", 8)
