@@ -280,3 +280,87 @@ ORACLE_SQL.update({
     "growth_scorecards": _with(chain() + [("growth_top", _topline(GROWTH))], SCORECARDS),
     "cohort_matrix": _with(chain() + [("tri", TRIANGLE)], MATRIX),
 })
+
+
+# ----------------------------------------------------------------- data quality
+def _counts(pairs: list[tuple[str, str]]) -> str:
+    """UNION ALL of (check, failures) rows; each pair is (name, 'FROM ... WHERE ...')."""
+    return "\nUNION ALL\n".join(f"SELECT '{n}' AS \"check\", count(*) AS failures {body}" for n, body in pairs)
+
+
+def _dup(table: str, col: str) -> str:
+    return (f"FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1)")
+
+
+_REF_TYPES = "('miles_earned', 'miles_redeemed', 'like', 'share', 'reward_search')"
+_ADAPTER_TYPES = "('click', 'error', 'purchase', 'signup', 'view')"
+_GROWTH_CHAIN = chain() + [("growth", GROWTH)]
+_TOP = "country = 'all' AND platform = 'all' AND utm_source = 'all'"
+
+
+def _prior_identity(where: str) -> str:
+    return (f"FROM growth c JOIN growth p ON p.period_grain = c.period_grain AND p.country = c.country "
+            f"AND p.platform = c.platform AND p.utm_source = c.utm_source "
+            f"AND p.period_start = {_prior('c.period_start').replace('period_grain', 'c.period_grain')} "
+            f"WHERE {where} p.active_users <> c.retained_users + c.churned_users")
+
+
+_NEG = " OR ".join(f"{m} < 0" for m in _METRICS)
+
+ORACLE_SQL.update({
+    "dq_not_null": _with(chain()[:5], _counts(
+        [(f"stg_events_not_null_{c}", f"FROM stg WHERE {c} IS NULL")
+         for c in ("event_id", "event_time_utc", "user_id", "event_type", "country")]
+        + [(f"dim_users_not_null_{c}", f"FROM dim WHERE {c} IS NULL")
+           for c in ("user_sk", "user_id", "first_event_time_utc")]
+        + [(f"fct_events_not_null_{c}", f"FROM fct WHERE {c} IS NULL")
+           for c in ("event_id", "user_sk", "user_id", "event_time_utc")])),
+    "dq_unique": _with(chain()[:5], _counts([
+        ("stg_events_unique_event_id", _dup("stg", "event_id")),
+        ("dim_users_unique_user_sk", _dup("dim", "user_sk")),
+        ("dim_users_unique_user_id", _dup("dim", "user_id")),
+        ("fct_events_unique_event_id", _dup("fct", "event_id"))])),
+    "dq_accepted_values": _with(chain() + [("growth", GROWTH), ("eng", ENGAGEMENT)], _counts([
+        ("stg_events_event_type_reference_set", f"FROM stg WHERE event_type NOT IN {_REF_TYPES}"),
+        ("stg_events_event_type_adapter_set", f"FROM stg WHERE event_type NOT IN {_ADAPTER_TYPES}"),
+        ("stg_events_platform", "FROM stg WHERE platform NOT IN ('ios', 'android', 'web')"),
+        ("growth_accounting_period_grain", "FROM growth WHERE period_grain NOT IN ('daily', 'weekly', 'monthly')"),
+        ("engagement_depth_period_grain", "FROM eng WHERE period_grain NOT IN ('daily', 'weekly', 'monthly')")])),
+    "dq_relationships": _with(chain()[:5], _counts([
+        ("fct_events_user_sk", "FROM fct WHERE user_sk IS NOT NULL AND user_sk NOT IN (SELECT user_sk FROM dim WHERE user_sk IS NOT NULL)"),
+        ("fct_events_user_id", "FROM fct WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM dim WHERE user_id IS NOT NULL)")])),
+    "dq_source_availability": _with(chain()[:1], _counts([
+        (f"source_availability_{d}",
+         f"FROM (SELECT 1) WHERE (SELECT count(*) FROM raw WHERE CAST(event_time AS DATE) = DATE '{d}') = 0")
+        for d in ("2024-01-15", "2024-02-15")])),
+    "dq_source_duplicates": _with(chain()[:2], _counts([
+        ("source_duplicates",
+         "FROM (SELECT event_time_utc, user_id, event_type, miles_amount, platform FROM typed "
+         "GROUP BY ALL HAVING count(*) > 1)")])),
+    "dq_dim_first_event": _with(chain()[:5], _counts([
+        ("dim_first_event", "FROM dim d JOIN (SELECT user_id, min(event_time_utc) AS m FROM fct GROUP BY user_id) e "
+                            "USING (user_id) WHERE d.first_event_time_utc <> e.m")])),
+    "dq_growth_identity": _with(_GROWTH_CHAIN, _counts([
+        ("growth_identity", f"FROM growth WHERE {_TOP} AND active_users <> new_users + retained_users + resurrected_users"),
+        ("growth_segmented_identity", "FROM growth WHERE active_users <> new_users + retained_users + resurrected_users")])),
+    "dq_growth_prior_identity": _with(_GROWTH_CHAIN, _counts([
+        ("growth_prior_identity", _prior_identity(f"c.{_TOP.replace(' AND ', ' AND c.')} AND")),
+        ("growth_segmented_prior_identity", _prior_identity(""))])),
+    "dq_growth_non_negative": _with(_GROWTH_CHAIN, _counts([
+        ("growth_non_negative", f"FROM growth WHERE {_TOP} AND ({_NEG})"),
+        ("growth_segmented_non_negative", f"FROM growth WHERE {_NEG}")])),
+    "dq_classification_exclusive": _with(chain(), _counts([
+        ("classification_exclusive",
+         "FROM act WHERE CAST(is_new AS INT) + CAST(is_retained AS INT) + CAST(is_resurrected AS INT) > 1")])),
+    "dq_triangle_bounds": _with(chain() + [("tri", TRIANGLE)], _counts([
+        ("triangle_bounds", "FROM tri WHERE period_index < 0 OR cohort_users <= 0 OR retained_users < 0 "
+                            "OR retained_users > cohort_users OR retention_rate < 0 OR retention_rate > 1")])),
+    "dq_triangle_unique": _with(chain() + [("tri", TRIANGLE)], _counts([
+        ("triangle_unique", "FROM (SELECT cohort_grain, cohort_start, activity_period_start, period_index, "
+                            "country, platform, utm_source FROM tri GROUP BY ALL HAVING count(*) > 1)")])),
+    "dq_engagement_bounds": _with(chain()[:6] + [("eng", ENGAGEMENT)], _counts([
+        ("engagement_bounds", "FROM eng WHERE total_events < 0 OR active_users < 0 OR power_users < 0 "
+                              "OR power_users > active_users OR events_per_active_user < 0 "
+                              "OR avg_miles_per_active_user < 0 OR power_user_share < 0 OR power_user_share > 1")])),
+})

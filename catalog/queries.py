@@ -153,3 +153,127 @@ def cohort_matrix(spark, sf_dir):
     """Weekly top-line retention heat map, period index 0..8."""
     from tidemark.operators.retention import cohort_matrix as cm
     return cm(marts(spark, sf_dir).cohort_retention_triangle, "weekly", 8)
+
+
+# ----------------------------------------------------------------- data quality
+# Each dq_* query returns one (check, failures) row per check, so a passing
+# check still yields a row (failures = 0).
+ADAPTER_EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+AVAILABILITY_DATES = ("2024-01-15", "2024-02-15")
+
+
+def _summary(checks) -> DataFrame:
+    from tidemark.operators.quality import summarize
+    return summarize(checks).select("check", "failures")
+
+
+@query("dq_not_null")
+def dq_not_null(spark, sf_dir):
+    from tidemark.operators.quality import NotNullGroup
+    m = marts(spark, sf_dir)
+    return _summary([
+        NotNullGroup("stg_events", m.stg_events, ("event_id", "event_time_utc", "user_id", "event_type", "country")),
+        NotNullGroup("dim_users", m.dim_users, ("user_sk", "user_id", "first_event_time_utc")),
+        NotNullGroup("fct_events", m.fct_events, ("event_id", "user_sk", "user_id", "event_time_utc")),
+    ])
+
+
+@query("dq_unique")
+def dq_unique(spark, sf_dir):
+    from tidemark.operators.quality import Check, unique
+    m = marts(spark, sf_dir)
+    return _summary([Check("stg_events_unique_event_id", unique(m.stg_events, "event_id")),
+                     Check("dim_users_unique_user_sk", unique(m.dim_users, "user_sk")),
+                     Check("dim_users_unique_user_id", unique(m.dim_users, "user_id")),
+                     Check("fct_events_unique_event_id", unique(m.fct_events, "event_id"))])
+
+
+@query("dq_accepted_values")
+def dq_accepted_values(spark, sf_dir):
+    from tidemark.operators.quality import (GRAIN_VALUES, PLATFORMS, REFERENCE_EVENT_TYPES, Check,
+                                            accepted_values)
+    m = marts(spark, sf_dir)
+    return _summary([
+        Check("stg_events_event_type_reference_set", accepted_values(m.stg_events, "event_type", REFERENCE_EVENT_TYPES)),
+        Check("stg_events_event_type_adapter_set", accepted_values(m.stg_events, "event_type", ADAPTER_EVENT_TYPES)),
+        Check("stg_events_platform", accepted_values(m.stg_events, "platform", PLATFORMS)),
+        Check("growth_accounting_period_grain", accepted_values(m.growth_accounting, "period_grain", GRAIN_VALUES)),
+        Check("engagement_depth_period_grain", accepted_values(m.engagement_depth, "period_grain", GRAIN_VALUES)),
+    ])
+
+
+@query("dq_relationships")
+def dq_relationships(spark, sf_dir):
+    from tidemark.operators.quality import Check, relationships
+    m = marts(spark, sf_dir)
+    return _summary([Check("fct_events_user_sk", relationships(m.fct_events, "user_sk", m.dim_users, "user_sk")),
+                     Check("fct_events_user_id", relationships(m.fct_events, "user_id", m.dim_users, "user_id"))])
+
+
+@query("dq_source_availability")
+def dq_source_availability(spark, sf_dir):
+    from tidemark.operators.quality import Check, source_availability
+    raw = RAW_ADAPTERS["events"](spark, sf_dir)
+    return _summary([Check(f"source_availability_{d}", source_availability(raw, d)) for d in AVAILABILITY_DATES])
+
+
+@query("dq_source_duplicates")
+def dq_source_duplicates(spark, sf_dir):
+    from tidemark.operators.quality import Check, source_duplicates
+    return _summary([Check("source_duplicates", source_duplicates(RAW_ADAPTERS["events"](spark, sf_dir)))])
+
+
+@query("dq_dim_first_event")
+def dq_dim_first_event(spark, sf_dir):
+    from tidemark.operators.quality import Check, dim_first_event
+    m = marts(spark, sf_dir)
+    return _summary([Check("dim_first_event", dim_first_event(m.dim_users, m.fct_events))])
+
+
+@query("dq_growth_identity")
+def dq_growth_identity(spark, sf_dir):
+    from tidemark.operators.quality import Check, growth_identity
+    g = marts(spark, sf_dir).growth_accounting
+    return _summary([Check("growth_identity", growth_identity(g, True)),
+                     Check("growth_segmented_identity", growth_identity(g))])
+
+
+@query("dq_growth_prior_identity")
+def dq_growth_prior_identity(spark, sf_dir):
+    from tidemark.operators.quality import Check, growth_prior_identity
+    g = marts(spark, sf_dir).growth_accounting
+    return _summary([Check("growth_prior_identity", growth_prior_identity(g, True)),
+                     Check("growth_segmented_prior_identity", growth_prior_identity(g))])
+
+
+@query("dq_growth_non_negative")
+def dq_growth_non_negative(spark, sf_dir):
+    from tidemark.operators.quality import Check, growth_non_negative
+    g = marts(spark, sf_dir).growth_accounting
+    return _summary([Check("growth_non_negative", growth_non_negative(g, True)),
+                     Check("growth_segmented_non_negative", growth_non_negative(g))])
+
+
+@query("dq_classification_exclusive")
+def dq_classification_exclusive(spark, sf_dir):
+    from tidemark.operators.quality import Check, classification_exclusive
+    return _summary([Check("classification_exclusive",
+                           classification_exclusive(marts(spark, sf_dir).user_period_activity))])
+
+
+@query("dq_triangle_bounds")
+def dq_triangle_bounds(spark, sf_dir):
+    from tidemark.operators.quality import Check, triangle_bounds
+    return _summary([Check("triangle_bounds", triangle_bounds(marts(spark, sf_dir).cohort_retention_triangle))])
+
+
+@query("dq_triangle_unique")
+def dq_triangle_unique(spark, sf_dir):
+    from tidemark.operators.quality import Check, triangle_unique
+    return _summary([Check("triangle_unique", triangle_unique(marts(spark, sf_dir).cohort_retention_triangle))])
+
+
+@query("dq_engagement_bounds")
+def dq_engagement_bounds(spark, sf_dir):
+    from tidemark.operators.quality import Check, engagement_bounds
+    return _summary([Check("engagement_bounds", engagement_bounds(marts(spark, sf_dir).engagement_depth))])
