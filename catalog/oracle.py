@@ -364,3 +364,60 @@ ORACLE_SQL.update({
                               "OR power_users > active_users OR events_per_active_user < 0 "
                               "OR avg_miles_per_active_user < 0 OR power_user_share < 0 OR power_user_share > 1")])),
 })
+
+
+# ----------------------------------------------------------------- incremental / cutoff / ingest
+import re  # noqa: E402
+
+_CTE_NAMES = ("raw", "typed", "stg", "dim", "fct", "ups", "first_active", "act", "growth")
+
+
+def prefixed(ctes: list[tuple[str, str]], prefix: str) -> list[tuple[str, str]]:
+    """Rename a CTE chain (names and references) with ``prefix``."""
+    pat = re.compile(r"\b(" + "|".join(_CTE_NAMES) + r")\b(?=\s|$|\))")
+
+    def fix(sql: str) -> str:
+        return pat.sub(lambda m: prefix + m.group(1), sql)
+    return [(prefix + n, fix(s)) for n, s in ctes]
+
+
+def chain_over(raw_sql: str, prefix: str = "", upto: str | None = None) -> list[tuple[str, str]]:
+    ctes = [("raw", raw_sql)] + chain()[1:]
+    if upto:
+        ctes.append(("growth", f"SELECT * FROM ({GROWTH}) WHERE period_start <= DATE '{upto[:10]}'"))
+    else:
+        ctes.append(("growth", GROWTH))
+    return prefixed(ctes, prefix) if prefix else ctes
+
+
+# Two-batch protocol: batch 1 holds events up to 2024-01-20 00:00 except the
+# late ones (error events before that instant); batch 2 is everything.
+_LATE = ("lower(trim(event_type)) = 'error' AND event_time < TIMESTAMP '2024-01-20 00:00:00'")
+_B1 = f"SELECT * FROM raw_all WHERE event_time <= TIMESTAMP '2024-01-20 00:00:00' AND NOT ({_LATE})"
+_WM = f"(SELECT max(event_time) FROM ({_B1}))"
+_KEPT = f"SELECT * FROM raw_all WHERE NOT ({_LATE} AND event_time <= {_WM} - INTERVAL 1 DAY)"
+_IGNORED = f"SELECT * FROM raw_all WHERE {_LATE} AND event_time <= {_WM} - INTERVAL 1 DAY"
+_AFTER3 = f"(CAST({_WM} AS DATE) - INTERVAL 3 DAY)"
+
+ORACLE_SQL.update({
+    "user_day_segments": _with(chain()[:5], """
+      SELECT event_date_utc AS activity_date, user_id, coalesce(country, 'UNKNOWN') AS country,
+        coalesce(platform, 'unknown') AS platform, coalesce(utm_source, 'unknown') AS utm_source,
+        count(*) AS event_count, coalesce(sum(miles_amount), CAST(0 AS DECIMAL(38,9))) AS miles_sum
+      FROM fct GROUP BY ALL"""),
+    "csv_ingest": _with(chain()[:3], "SELECT * FROM stg"),
+    "stg_events_incremental": _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:3], "SELECT * FROM stg"),
+    "fct_events_incremental": _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:5], "SELECT * FROM fct"),
+    "dim_users_incremental": _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:4], "SELECT * FROM dim"),
+    "late_events_ignored": _with([("raw_all", RAW_EVENTS)] + chain_over(_IGNORED)[:3], "SELECT * FROM stg"),
+    "growth_incremental": _with(
+        [("raw_all", RAW_EVENTS)] + chain_over(_KEPT, "k_") + chain_over(_B1, "b_"),
+        f"SELECT * FROM k_growth WHERE period_start > {_AFTER3} "
+        f"UNION ALL SELECT * FROM b_growth WHERE period_start <= {_AFTER3}"),
+    "growth_cutoff": _with(
+        chain_over(RAW_EVENTS.replace("LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey",
+                                      "LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey "
+                                      "WHERE e.ts <= TIMESTAMP '2024-01-15 12:00:00'"),
+                   upto="2024-01-15 12:00:00"),
+        "SELECT * FROM growth"),
+})

@@ -277,3 +277,117 @@ def dq_triangle_unique(spark, sf_dir):
 def dq_engagement_bounds(spark, sf_dir):
     from tidemark.operators.quality import Check, engagement_bounds
     return _summary([Check("engagement_bounds", engagement_bounds(marts(spark, sf_dir).engagement_depth))])
+
+
+# ----------------------------------------------------------------- storage-backed runs
+import datetime as _dt  # noqa: E402
+
+BATCH1_END = _dt.datetime(2024, 1, 20)
+CUTOFF = "2024-01-15 12:00:00"
+
+
+def _late(raw: DataFrame):
+    from tidemark.functions import clean_text
+    return ((clean_text(F.col("event_type"), "lower") == "error")
+            & (F.col("event_time") < F.lit(BATCH1_END)))
+
+
+def _batches(spark, sf_dir):
+    from tidemark.sources.adapters import raw_events
+    raw_all = raw_events(spark, sf_dir)
+    b1 = raw_all.filter((F.col("event_time") <= F.lit(BATCH1_END)) & ~_late(raw_all))
+    return b1, raw_all
+
+
+def _two_batch_events(spark, sf_dir) -> str:
+    """Warehouse after: batch 1 (late events withheld), then everything."""
+    from tidemark.plans.refresh import refresh_events
+    from tidemark.session import scratch_path
+    b1, raw_all = _batches(spark, sf_dir)
+    wh = scratch_path(spark, "two-batch-events")
+    refresh_events(spark, b1, wh)
+    refresh_events(spark, raw_all, wh)
+    return wh
+
+
+@query("user_day_segments")
+def user_day_segments(spark, sf_dir):
+    """Daily user-segment base: event count and miles per user-day-segment."""
+    return marts(spark, sf_dir).user_day_segments.select(
+        "activity_date", "user_id", *SEGMENTS, F.col("event_count").cast("long").alias("event_count"),
+        "miles_sum")
+
+
+@query("csv_ingest")
+def csv_ingest(spark, sf_dir):
+    """Round trip: events -> CSV -> validated ingest -> raw Parquet -> staging."""
+    from tidemark.operators.staging import stg_events as stg
+    from tidemark.session import scratch_path
+    from tidemark.sources.adapters import raw_events
+    from tidemark.sources.csv_ingest import ingest_events_csv, write_events_csv
+    csv_dir, raw_dir = scratch_path(spark, "events-csv"), scratch_path(spark, "raw-events")
+    raw = raw_events(spark, sf_dir)
+    write_events_csv(raw.drop("loaded_at"), csv_dir)
+    ingest_events_csv(spark, csv_dir, raw_dir, loaded_at=_dt.datetime(2024, 6, 1))
+    loaded = spark.read.parquet(raw_dir)
+    # the adapter stamps loaded_at = event time; restore it for comparison
+    return stg(loaded.withColumn("loaded_at", F.col("event_time")))
+
+
+@query("stg_events_incremental")
+def stg_events_incremental(spark, sf_dir):
+    """Staging after two runs (merge on event_id with a 1-day lookback)."""
+    from tidemark.plans.refresh import read_table
+    return read_table(spark, _two_batch_events(spark, sf_dir), "stg_events")
+
+
+@query("fct_events_incremental")
+def fct_events_incremental(spark, sf_dir):
+    """Event fact after two incremental runs."""
+    from tidemark.plans.refresh import read_table
+    from tidemark.operators.core import FCT_COLUMNS
+    return read_table(spark, _two_batch_events(spark, sf_dir), "fct_events").select(*FCT_COLUMNS)
+
+
+@query("dim_users_incremental")
+def dim_users_incremental(spark, sf_dir):
+    """User dimension after two incremental runs (merged attributes)."""
+    from tidemark.plans.refresh import read_table
+    from tidemark.operators.core import DIM_COLUMNS
+    return read_table(spark, _two_batch_events(spark, sf_dir), "dim_users").select(*DIM_COLUMNS)
+
+
+@query("late_events_ignored")
+def late_events_ignored(spark, sf_dir):
+    """Late events older than the lookback: present in the source, absent
+    from the fact after the incremental run."""
+    from tidemark.operators.staging import STG_COLUMNS
+    from tidemark.plans.refresh import read_table
+    wh = _two_batch_events(spark, sf_dir)
+    fct = read_table(spark, wh, "fct_events").select("event_id")
+    src = marts(spark, sf_dir).stg_events
+    return src.join(fct, "event_id", "left_anti").select(*STG_COLUMNS)
+
+
+@query("growth_incremental")
+def growth_incremental(spark, sf_dir):
+    """Growth mart after two runs with a 3-day period lookback: recent
+    partitions rewritten from full history, older ones kept."""
+    from tidemark.operators.growth import GROWTH_COLUMNS
+    from tidemark.params import RunParams
+    from tidemark.plans.refresh import read_table, refresh_all
+    from tidemark.session import scratch_path
+    b1, raw_all = _batches(spark, sf_dir)
+    wh = scratch_path(spark, "two-batch-growth")
+    p = RunParams(period_lookback_days=3)
+    refresh_all(spark, b1, wh, p, run_quality=False)
+    refresh_all(spark, raw_all, wh, p, run_quality=False)
+    return read_table(spark, wh, "fct_growth_accounting").select(*GROWTH_COLUMNS)
+
+
+@query("growth_cutoff")
+def growth_cutoff(spark, sf_dir):
+    """Full build with an inclusive cutoff (events <= cutoff instant,
+    periods starting on or before the cutoff date)."""
+    from tidemark.params import RunParams
+    return marts(spark, sf_dir, params=RunParams(execution_date=CUTOFF)).growth_accounting
