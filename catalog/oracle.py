@@ -421,3 +421,5 @@ ORACLE_SQL.update({
                    upto="2024-01-15 12:00:00"),
         "SELECT * FROM growth"),
 })
+
+ORACLE_SQL["streaming_ingest"] = ORACLE_SQL["fct_events_incremental"]

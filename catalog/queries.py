@@ -292,11 +292,14 @@ def _late(raw: DataFrame):
             & (F.col("event_time") < F.lit(BATCH1_END)))
 
 
+def _batch1(raw: DataFrame):
+    return (F.col("event_time") <= F.lit(BATCH1_END)) & ~_late(raw)
+
+
 def _batches(spark, sf_dir):
     from tidemark.sources.adapters import raw_events
     raw_all = raw_events(spark, sf_dir)
-    b1 = raw_all.filter((F.col("event_time") <= F.lit(BATCH1_END)) & ~_late(raw_all))
-    return b1, raw_all
+    return raw_all.filter(_batch1(raw_all)), raw_all
 
 
 def _two_batch_events(spark, sf_dir) -> str:
@@ -391,3 +394,24 @@ def growth_cutoff(spark, sf_dir):
     periods starting on or before the cutoff date)."""
     from tidemark.params import RunParams
     return marts(spark, sf_dir, params=RunParams(execution_date=CUTOFF)).growth_accounting
+
+
+@query("streaming_ingest")
+def streaming_ingest(spark, sf_dir):
+    """Event fact after a file stream delivered batch 1, then the late and
+    newer events, each processed by an availableNow run of the stream."""
+    from tidemark.operators.core import FCT_COLUMNS
+    from tidemark.plans.refresh import read_table
+    from tidemark.session import scratch_path
+    from tidemark.streaming import stage_files, start_event_ingest
+    b1, raw_all = _batches(spark, sf_dir)
+    rest = raw_all.filter(~_batch1(raw_all))
+    src, wh = scratch_path(spark, "event-stream-src"), scratch_path(spark, "event-stream-wh")
+    ckpt = scratch_path(spark, "event-stream-ckpt")
+    for i, part in enumerate((b1, rest)):
+        stage_files(spark, part.drop("loaded_at"), src, f"batch{i}")
+        q = start_event_ingest(spark, src, wh, checkpoint=ckpt, loaded_at=_dt.datetime(2024, 6, 1))
+        q.awaitTermination()
+    fct = read_table(spark, wh, "fct_events").select(*FCT_COLUMNS)
+    # the stream stamps its own load time; compare with the source's
+    return fct.withColumn("loaded_at", F.col("event_time_utc"))
