@@ -30,16 +30,15 @@ def _country_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value", "props"])
-    k = F.get_json_object("props", "$.k").cast("int")
-    ev = ev.withColumn("k", k)
-    k4, k3 = F.col("k") % 4, F.col("k") % 3
+    ev = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")  # evaluated once per row (subexpression elimination)
+    k4, k3 = k % 4, k % 3
     et = F.col("event_type")
     shaped = ev.select(
         F.col("ts").alias("event_time"),
         F.col("user_id"),
         F.when(k4 == 0, "F").when(k4 == 1, " M ").when(k4 == 2, "").alias("gender"),
-        F.when(F.col("k") % 7 == 0, F.concat(F.lit(" "), F.upper(et), F.lit(" ")))
+        F.when(k % 7 == 0, F.concat(F.lit(" "), F.upper(et), F.lit(" ")))
          .otherwise(et).alias("event_type"),
         F.when(et == "purchase",
                F.when(k3 == 0, "Travel").when(k3 == 1, "dining ").otherwise(""))
