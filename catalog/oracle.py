@@ -423,3 +423,4 @@ ORACLE_SQL.update({
 })
 
 ORACLE_SQL["streaming_ingest"] = ORACLE_SQL["fct_events_incremental"]
+ORACLE_SQL["growth_dashboard"] = _with(chain(), GROWTH + "\n  ORDER BY period_grain, period_start")

@@ -415,3 +415,10 @@ def streaming_ingest(spark, sf_dir):
     fct = read_table(spark, wh, "fct_events").select(*FCT_COLUMNS)
     # the stream stamps its own load time; compare with the source's
     return fct.withColumn("loaded_at", F.col("event_time_utc"))
+
+
+@query("growth_dashboard")
+def growth_dashboard(spark, sf_dir):
+    """The growth mart as the dashboard reads it, ordered by grain and period."""
+    from tidemark.operators.reporting import mart_for_bi
+    return mart_for_bi(marts(spark, sf_dir).growth_accounting)

@@ -56,3 +56,10 @@ def growth_trend(growth: DataFrame, grain: str, start: dt.date | None = None,
     """Trend chart dataset: one row per period, sorted ascending."""
     return (select_view(growth, grain, start, end, segment)
             .select("period_start", *GROWTH_METRICS).orderBy("period_start"))
+
+
+def mart_for_bi(df: DataFrame, grain_col: str = "period_grain",
+                period_col: str = "period_start") -> DataFrame:
+    """Whole mart ordered by grain then period, as a dashboard reads it
+    (a distributed range-partitioned sort; nothing is pulled to the driver)."""
+    return df.orderBy(grain_col, period_col)

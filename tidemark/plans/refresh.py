@@ -37,6 +37,16 @@ from . import sinks
 TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_growth_accounting",
           "fct_cohort_retention_triangle", "fct_engagement_depth")
 DIM_BUCKETS = 64
+# Physical layout: (partition column, cluster columns) per table.
+LAYOUT = {
+    "stg_events": ("event_date_utc", ("user_id", "event_type")),
+    "dim_users": ("user_bucket", ("user_id",)),
+    "fct_events": ("event_date_utc", ("user_id", "event_type")),
+    "user_period_activity": ("period_start", ("country", "platform", "utm_source", "user_id")),
+    "fct_growth_accounting": ("period_start", ("country", "platform", "utm_source", "period_grain")),
+    "fct_cohort_retention_triangle": ("cohort_start", ("country", "platform", "utm_source", "cohort_grain")),
+    "fct_engagement_depth": ("period_start", ("country", "platform", "utm_source", "period_grain")),
+}
 
 
 @dataclass
@@ -77,34 +87,37 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     after = _event_after(spark, p_stg, "event_time_utc", "event_date_utc", params)
     windows["stg_events"] = after
     stg_new = stg_events(raw, params, after)
+    part, clus = LAYOUT["stg_events"]
     if after is None:
-        sinks.replace(stg_new, p_stg, "event_date_utc")
+        sinks.replace(stg_new, p_stg, part, clus)
     else:
-        sinks.upsert(spark, p_stg, stg_new, "event_id", "event_date_utc", on_duplicate)
+        sinks.upsert(spark, p_stg, stg_new, "event_id", part, on_duplicate, clus)
     stg = read_table(spark, warehouse, "stg_events")
 
     p_dim = table_path(warehouse, "dim_users")
     bucket = F.pmod(F.xxhash64("user_id"), F.lit(DIM_BUCKETS)).cast("int").alias("user_bucket")
     if params.full_refresh or not sinks.exists(spark, p_dim):
         windows["dim_users"] = None
-        sinks.replace(dim_users(stg, params).select("*", bucket), p_dim, "user_bucket")
+        sinks.replace(dim_users(stg, params).select("*", bucket), p_dim, *LAYOUT["dim_users"])
     else:
         existing = read_table(spark, warehouse, "dim_users")
         wm = existing.agg(F.max("latest_event_time_utc")).first()[0]
         d_after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
         windows["dim_users"] = d_after
         changes = dim_users(stg, params, existing=existing, after=d_after).select("*", bucket)
-        sinks.upsert(spark, p_dim, changes, "user_id", "user_bucket", on_duplicate)
+        sinks.upsert(spark, p_dim, changes, "user_id", "user_bucket", on_duplicate,
+                     LAYOUT["dim_users"][1])
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
 
     p_fct = table_path(warehouse, "fct_events")
     f_after = _event_after(spark, p_fct, "event_time_utc", "event_date_utc", params)
     windows["fct_events"] = f_after
     fct_new = fct_events(stg, dim, params, f_after)
+    part, clus = LAYOUT["fct_events"]
     if f_after is None:
-        sinks.replace(fct_new, p_fct, "event_date_utc")
+        sinks.replace(fct_new, p_fct, part, clus)
     else:
-        sinks.upsert(spark, p_fct, fct_new, "event_id", "event_date_utc", on_duplicate)
+        sinks.upsert(spark, p_fct, fct_new, "event_id", part, on_duplicate, clus)
     return windows
 
 
@@ -127,13 +140,14 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
 
     def put(name, part, build):
         path = table_path(warehouse, name)
+        part, clus = LAYOUT[name]
         after = _period_after(spark, path, part, params)
         windows[name] = after
         out = build(after)
         if after is None:
-            sinks.replace(out, path, part)
+            sinks.replace(out, path, part, clus)
         else:
-            sinks.overwrite_partitions(out, path, part)
+            sinks.overwrite_partitions(out, path, part, cluster_by=clus)
 
     put("user_period_activity", "period_start",
         lambda after: act.user_period_activity(activity, after, upto))
@@ -155,6 +169,24 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     return windows
 
 
+def pre_checks(raw: DataFrame, params: RunParams = RunParams()) -> list:
+    """Gate before any transform: source availability on the cutoff date and
+    duplicate event signatures."""
+    return [dq.Check("source_availability", dq.source_availability(raw, params.execution_date), stage="pre"),
+            dq.Check("source_duplicates", dq.source_duplicates(raw), severity="warn", stage="pre")]
+
+
+def post_checks(spark: SparkSession, raw: DataFrame, warehouse: str, params: RunParams = RunParams(),
+                event_types: tuple[str, ...] = dq.REFERENCE_EVENT_TYPES) -> list:
+    """Declared and singular checks over the stored tables (Parquet scans)."""
+    t = {n: read_table(spark, warehouse, n) for n in TABLES}
+    suite = dq.standard_suite(raw, t["stg_events"], t["dim_users"], t["fct_events"],
+                              t["user_period_activity"], t["fct_growth_accounting"],
+                              t["fct_cohort_retention_triangle"], t["fct_engagement_depth"],
+                              params.execution_date, event_types=event_types)
+    return [c for c in suite if getattr(c, "stage", "post") == "post"]
+
+
 def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
                 params: RunParams = RunParams(), run_quality: bool = True,
                 on_duplicate: str = "fail",
@@ -162,16 +194,9 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
     """Pre-checks -> event models -> period marts -> post-checks."""
     checks_out = []
     if run_quality:
-        pre = [dq.Check("source_availability", dq.source_availability(raw, params.execution_date), stage="pre"),
-               dq.Check("source_duplicates", dq.source_duplicates(raw), severity="warn", stage="pre")]
-        checks_out += dq.run_checks(pre)
+        checks_out += dq.run_checks(pre_checks(raw, params))
     windows = refresh_events(spark, raw, warehouse, params, on_duplicate)
     windows.update(refresh_periods(spark, warehouse, params))
     if run_quality:
-        t = {n: read_table(spark, warehouse, n) for n in TABLES}
-        suite = dq.standard_suite(raw, t["stg_events"], t["dim_users"], t["fct_events"],
-                                  t["user_period_activity"], t["fct_growth_accounting"],
-                                  t["fct_cohort_retention_triangle"], t["fct_engagement_depth"],
-                                  params.execution_date, event_types=event_types)
-        checks_out += dq.run_checks([c for c in suite if getattr(c, "stage", "post") == "post"])
+        checks_out += dq.run_checks(post_checks(spark, raw, warehouse, params, event_types))
     return RefreshReport(windows, checks_out)

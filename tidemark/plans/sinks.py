@@ -71,7 +71,13 @@ def max_event_time(spark: SparkSession, path: str, ts_col: str,
     return df.agg(F.max(ts_col)).first()[0]
 
 
-def replace(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def replace(df: DataFrame, path: str, partition_by: str | None = None,
+            cluster_by: tuple[str, ...] = ()) -> None:
+    """Full rewrite. Rows are sorted within each task by partition then
+    cluster columns (no shuffle), so files carry tight min/max statistics on
+    the cluster columns for later predicate pushdown."""
+    if partition_by or cluster_by:
+        df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *cluster_by)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -79,7 +85,7 @@ def replace(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str,
-                         spread_by: str | None = None) -> None:
+                         spread_by: str | None = None, cluster_by: tuple[str, ...] = ()) -> None:
     """Dynamic partition overwrite.
 
     Rows are hash-clustered on the partition column (plus ``spread_by`` for
@@ -88,7 +94,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: str,
     keeps the file count per partition low.
     """
     keys = [partition_by] + ([spread_by] if spread_by else [])
-    (df.repartition(*keys).sortWithinPartitions(partition_by)
+    (df.repartition(*keys).sortWithinPartitions(partition_by, *cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 
@@ -120,7 +126,7 @@ def dedupe_incoming(incoming: DataFrame, key: str, on_duplicate: str,
 
 
 def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
-           partition_by: str, on_duplicate: str = "fail") -> None:
+           partition_by: str, on_duplicate: str = "fail", cluster_by: tuple[str, ...] = ()) -> None:
     """MERGE ``incoming`` into the Parquet table at ``path`` on ``key``.
 
     The key must never move between partitions (true for the event key,
@@ -130,7 +136,7 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     """
     incoming = dedupe_incoming(incoming, key, on_duplicate)
     if not exists(spark, path):
-        replace(incoming, path, partition_by)
+        replace(incoming, path, partition_by, cluster_by)
         return
     touched = [r[0] for r in incoming.select(partition_by).distinct().collect()]
     if not touched:
@@ -142,4 +148,5 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     # the very partitions the merge reads, so a retried task must never go
     # back to them.
     checkpoint_root(spark)
-    overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, spread_by=key)
+    overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, spread_by=key,
+                         cluster_by=cluster_by)
