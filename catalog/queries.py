@@ -206,8 +206,10 @@ def dq_accepted_values(spark, sf_dir):
 def dq_relationships(spark, sf_dir):
     from tidemark.operators.quality import Check, relationships
     m = marts(spark, sf_dir)
-    return _summary([Check("fct_events_user_sk", relationships(m.fct_events, "user_sk", m.dim_users, "user_sk")),
-                     Check("fct_events_user_id", relationships(m.fct_events, "user_id", m.dim_users, "user_id"))])
+    return _summary([Check("fct_events_user_sk", relationships(m.fct_events, "user_sk", m.dim_users, "user_sk"),
+                           weighted=True),
+                     Check("fct_events_user_id", relationships(m.fct_events, "user_id", m.dim_users, "user_id"),
+                           weighted=True)])
 
 
 @query("dq_source_availability")

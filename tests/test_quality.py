@@ -59,7 +59,9 @@ def test_g15_each_check_sees_its_fault(spark, clean):
     assert count(dq.engagement_bounds(e.withColumn("power_users", F.col("active_users") + 1))) == e.count()
     bad_dim = m.dim_users.withColumn("first_event_time_utc", F.col("first_event_time_utc") + F.expr("INTERVAL 1 SECOND"))
     assert count(dq.dim_first_event(bad_dim, m.fct_events)) == 3
-    assert count(dq.relationships(m.fct_events, "user_id", m.dim_users.filter("user_id <> 'a'"), "user_id")) > 0
+    rel = dq.relationships(m.fct_events, "user_id", m.dim_users.filter("user_id <> 'a'"), "user_id")
+    assert [r.n_records for r in rel.collect()] == [m.fct_events.filter("user_id = 'a'").count()]
+    assert dq.summarize([dq.Check("rel", rel, weighted=True)]).first().failures == rel.first().n_records
     assert count(dq.accepted_values(m.stg_events, "event_type", ("share",))) == m.stg_events.count()
     assert count(dq.source_availability(clean, "2024-03-01")) == 1
     assert count(dq.source_availability(clean, "2024-01-02")) == 0

@@ -38,10 +38,26 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return counts.unpivot([], cols, "column_name", "failures")
 
 
+def repeated_values(df: DataFrame, value: Column, name: str, count_name: str) -> DataFrame:
+    """Values of ``value`` occurring more than once, with their counts.
+
+    Two exact phases keep the big shuffle narrow: first only a 64-bit hash of
+    each value is shuffled (8 bytes per row instead of a 32-character key),
+    which finds every candidate (duplicates plus the rare hash collisions);
+    then the exact values are grouped for the candidate rows only, selected
+    with a semi join against the (small) candidate hash set.
+    """
+    keyed = df.select(value.alias(name)).filter(F.col(name).isNotNull())
+    hashed = keyed.select(F.col(name), F.xxhash64(F.col(name)).alias("_h"))
+    candidates = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+                  .filter(F.col("_n") > 1).select("_h"))
+    return (hashed.join(candidates, "_h", "left_semi").groupBy(name)
+            .agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1))
+
+
 def unique(df: DataFrame, col: str) -> DataFrame:
     """Key values that occur more than once (nulls ignored)."""
-    return (df.filter(F.col(col).isNotNull()).groupBy(col)
-            .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
+    return repeated_values(df, F.col(col), col, "n_records")
 
 
 def accepted_values(df: DataFrame, col: str, values: tuple[str, ...]) -> DataFrame:
@@ -50,10 +66,17 @@ def accepted_values(df: DataFrame, col: str, values: tuple[str, ...]) -> DataFra
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Non-null child keys without a parent row."""
+    """Non-null child keys without a parent row, with the number of child
+    rows carrying each (``n_records``; the check fails by their sum).
+
+    Child rows are counted per key before the anti join (combined map-side),
+    so an event-level child is reduced to its distinct keys before any
+    shuffle against the parent.
+    """
     keys = parent.select(F.col(parent_col).alias("_parent_key")).filter(F.col("_parent_key").isNotNull())
-    return (child.filter(F.col(col).isNotNull())
-            .join(keys, F.col(col) == F.col("_parent_key"), "left_anti"))
+    per_key = (child.filter(F.col(col).isNotNull()).groupBy(col)
+               .agg(F.count(F.lit(1)).alias("n_records")))
+    return per_key.join(keys, F.col(col) == F.col("_parent_key"), "left_anti")
 
 
 # --------------------------------------------------------------------------- source
@@ -84,9 +107,7 @@ def event_signature(raw: DataFrame) -> Column:
 
 def source_duplicates(raw: DataFrame) -> DataFrame:
     """Raw rows sharing the event identity (time, user, type, miles, platform)."""
-    return (raw.select(event_signature(raw).alias("event_signature"))
-            .groupBy("event_signature").agg(F.count(F.lit(1)).alias("duplicate_count"))
-            .filter(F.col("duplicate_count") > 1))
+    return repeated_values(raw, event_signature(raw), "event_signature", "duplicate_count")
 
 
 # --------------------------------------------------------------------------- marts
@@ -164,9 +185,13 @@ class Check:
     failing_rows: DataFrame
     severity: str = "error"   # or "warn"
     stage: str = "post"       # "pre" runs before the transforms
+    weighted: bool = False    # failing_rows holds per-key counts in n_records
 
     def counted(self) -> DataFrame:
-        return (self.failing_rows.agg(F.count(F.lit(1)).alias("failures"))
+        # rows pre-counted per key (relationships) carry their multiplicity
+        n = (F.coalesce(F.sum("n_records"), F.lit(0)).cast("long")
+             if self.weighted else F.count(F.lit(1)))
+        return (self.failing_rows.agg(n.alias("failures"))
                 .select(F.lit(self.name).alias("check"), F.lit(self.severity).alias("severity"),
                         F.lit(self.stage).alias("stage"), "failures"))
 
@@ -251,8 +276,8 @@ def standard_suite(raw: DataFrame, stg: DataFrame, dim: DataFrame, fct: DataFram
                Check("dim_users_unique_user_id", unique(dim, "user_id"))]
     checks += [
         Check("fct_events_unique_event_id", unique(fct, "event_id")),
-        Check("fct_events_relationship_user_sk", relationships(fct, "user_sk", dim, "user_sk")),
-        Check("fct_events_relationship_user_id", relationships(fct, "user_id", dim, "user_id")),
+        Check("fct_events_relationship_user_sk", relationships(fct, "user_sk", dim, "user_sk"), weighted=True),
+        Check("fct_events_relationship_user_id", relationships(fct, "user_id", dim, "user_id"), weighted=True),
         Check("dim_first_event", dim_first_event(dim, fct)),
         Check("growth_identity", growth_identity(growth, topline_only=True)),
         Check("growth_segmented_identity", growth_identity(growth)),
