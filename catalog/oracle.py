@@ -424,3 +424,10 @@ ORACLE_SQL.update({
 
 ORACLE_SQL["streaming_ingest"] = ORACLE_SQL["fct_events_incremental"]
 ORACLE_SQL["growth_dashboard"] = _with(chain(), GROWTH + "\n  ORDER BY period_grain, period_start")
+ORACLE_SQL["cutoff_bounded_run"] = _with(
+    chain_over(RAW_EVENTS.replace("LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey",
+                                  "LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey "
+                                  "WHERE e.ts <= TIMESTAMP '2024-01-15 12:00:00'"))[:5],
+    "SELECT * FROM fct")
+ORACLE_SQL["growth_orders_monthly"] = _with(
+    chain("orders"), _topline(GROWTH) + " AND period_grain = 'monthly'")

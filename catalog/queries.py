@@ -424,3 +424,17 @@ def growth_dashboard(spark, sf_dir):
     """The growth mart as the dashboard reads it, ordered by grain and period."""
     from tidemark.operators.reporting import mart_for_bi
     return mart_for_bi(marts(spark, sf_dir).growth_accounting)
+
+
+@query("cutoff_bounded_run")
+def cutoff_bounded_run(spark, sf_dir):
+    """Event fact of a run with an inclusive cutoff instant."""
+    from tidemark.params import RunParams
+    return marts(spark, sf_dir, params=RunParams(execution_date=CUTOFF)).fct_events
+
+
+@query("growth_orders_monthly")
+def growth_orders_monthly(spark, sf_dir):
+    """Monthly top-line growth over 80 months of orders."""
+    g = marts(spark, sf_dir, source="orders").growth_accounting
+    return _topline(g.filter(F.col("period_grain") == "monthly"))
