@@ -1,10 +1,11 @@
 """Column-level helpers: every function returns a ``pyspark.sql.Column`` built
 from built-in expressions, so it stays inside whole-stage codegen."""
+from . import sqlexpr
 from .keys import surrogate_key, event_key, ts_text
 from .text import trim_ws, clean_text
 from .periods import (GRAINS, period_start, period_start_for, prior_period_start,
                       next_period_start, period_index)
 
-__all__ = ["surrogate_key", "event_key", "ts_text", "trim_ws", "clean_text", "GRAINS",
+__all__ = ["sqlexpr", "surrogate_key", "event_key", "ts_text", "trim_ws", "clean_text", "GRAINS",
            "period_start", "period_start_for", "prior_period_start", "next_period_start",
            "period_index"]

@@ -7,9 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed canonical text formats so that every engine derives the same key.
-TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-KEY_SEPARATOR = "|"
+from .sqlexpr import KEY_SEPARATOR, TS_TEXT_FORMAT  # fixed canonical text formats
 
 
 def ts_text(c: Column) -> Column:

@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from . import sqlexpr as sx
+
 _EDGE_WS = r"^\s+|\s+$"
 
 
@@ -11,8 +13,10 @@ def trim_ws(c: Column) -> Column:
     return F.regexp_replace(c.cast("string"), _EDGE_WS, "")
 
 
-def clean_text(c: Column, case: str | None = None) -> Column:
+def clean_text(c: Column | str, case: str | None = None) -> Column:
     """trim -> blank becomes null -> optional 'lower' / 'upper'."""
+    if isinstance(c, str):
+        return F.expr(sx.clean_text(c, case))
     out = F.nullif(trim_ws(c), F.lit(""))
     if case == "lower":
         out = F.lower(out)

@@ -21,7 +21,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import GRAINS, period_start_for, prior_period_start
+from ..functions import GRAINS
+from ..functions import sqlexpr as sx
 
 SEGMENTS = ("country", "platform", "utm_source")
 ALL = "all"
@@ -29,23 +30,37 @@ ALL = "all"
 UNKNOWN_COUNTRY = "UNKNOWN"
 UNKNOWN_OTHER = "unknown"
 PERIOD_KEYS = ("period_grain", "period_start", *SEGMENTS, "user_id")
+ACTIVITY_KEYS = ("period_grain", *SEGMENTS, "user_id")
 ACTIVITY_COLUMNS = ["period_grain", "period_start", *SEGMENTS, "user_id", "first_active_period",
                     "prior_period_start", "is_new", "is_resurrected", "is_retained"]
+SEGMENT_LABELS_SQL = [f"coalesce(country, '{UNKNOWN_COUNTRY}') AS country",
+                      f"coalesce(platform, '{UNKNOWN_OTHER}') AS platform",
+                      f"coalesce(utm_source, '{UNKNOWN_OTHER}') AS utm_source"]
 
 
 def segment_labels() -> list[Column]:
-    return [F.coalesce(F.col("country"), F.lit(UNKNOWN_COUNTRY)).alias("country"),
-            F.coalesce(F.col("platform"), F.lit(UNKNOWN_OTHER)).alias("platform"),
-            F.coalesce(F.col("utm_source"), F.lit(UNKNOWN_OTHER)).alias("utm_source")]
+    return [F.expr(e) for e in SEGMENT_LABELS_SQL]
 
 
 def user_day_segments(fct: DataFrame) -> DataFrame:
     """(activity_date, user_id, segment, event_count, miles_sum) per user-day-segment."""
-    return (fct.select(F.col("event_date_utc").alias("activity_date"), "user_id",
-                       *segment_labels(), "miles_amount")
+    return (fct.selectExpr("event_date_utc AS activity_date", "user_id", *SEGMENT_LABELS_SQL, "miles_amount")
             .groupBy("activity_date", "user_id", *SEGMENTS)
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.coalesce(F.sum("miles_amount"), F.lit(0).cast("decimal(38,9)")).alias("miles_sum")))
+            .agg(F.expr("count(1) AS event_count"),
+                 F.expr("coalesce(sum(miles_amount), CAST(0 AS DECIMAL(38,9))) AS miles_sum")))
+
+
+def grain_segment_variants(grains: tuple[str, ...] = GRAINS) -> str:
+    """SQL generator: each user-day row once per grain for its own segment
+    and once for the ``all/all/all`` roll-up."""
+    structs = []
+    for g in grains:
+        p = sx.period_start_for(g, "activity_date")
+        own = ", ".join(f"'{s}', {s}" for s in SEGMENTS)
+        rolled = ", ".join(f"'{s}', '{ALL}'" for s in SEGMENTS)
+        structs.append(f"named_struct('period_grain', '{g}', 'period_start', {p}, {own})")
+        structs.append(f"named_struct('period_grain', '{g}', 'period_start', {p}, {rolled})")
+    return f"inline(array({', '.join(structs)}))"
 
 
 def user_period_segments(day_base: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
@@ -56,23 +71,17 @@ def user_period_segments(day_base: DataFrame, grains: tuple[str, ...] = GRAINS)
     periods and segments into ``all``. Only the full triple is rolled up (no
     partial ``SG/all/all`` rows).
     """
-    d = F.col("activity_date")
-    variants = []
-    for g in grains:
-        p = period_start_for(g, d)
-        variants.append(F.struct(F.lit(g).alias("period_grain"), p.alias("period_start"),
-                                 *[F.col(s).alias(s) for s in SEGMENTS]))
-        variants.append(F.struct(F.lit(g).alias("period_grain"), p.alias("period_start"),
-                                 *[F.lit(ALL).alias(s) for s in SEGMENTS]))
     rows = (day_base.repartition("user_id")
-            .select("user_id", "event_count", "miles_sum", F.inline(F.array(*variants))))
+            .selectExpr("user_id", "event_count", "miles_sum", grain_segment_variants(grains)))
     return (rows.groupBy(*PERIOD_KEYS)
-            .agg(F.sum("event_count").alias("event_count"),
-                 F.sum("miles_sum").alias("miles_sum")))
+            .agg(F.expr("sum(event_count) AS event_count"), F.expr("sum(miles_sum) AS miles_sum")))
 
 
 def activity_window() -> Window:
-    return Window.partitionBy("period_grain", *SEGMENTS, "user_id").orderBy("period_start")
+    return Window.partitionBy(*ACTIVITY_KEYS).orderBy("period_start")
+
+
+_WINDOW_SQL = f"OVER (PARTITION BY {', '.join(ACTIVITY_KEYS)} ORDER BY period_start)"
 
 
 def classify(periods: DataFrame) -> DataFrame:
@@ -83,23 +92,19 @@ def classify(periods: DataFrame) -> DataFrame:
     resurrected) and the next active period decides churn. One sort serves
     all window expressions.
     """
-    w = activity_window()
-    prev = F.lag("period_start").over(w)
-    prior = prior_period_start(F.col("period_grain"), F.col("period_start"))
-    out = periods.select(
-        *PERIOD_KEYS,
-        *[c for c in ("event_count", "miles_sum") if c in periods.columns],
-        F.min("period_start").over(w).alias("first_active_period"),
-        prior.alias("prior_period_start"),
-        prev.alias("previous_active_period"),
-        F.lead("period_start").over(w).alias("next_active_period"),
+    extra = [c for c in ("event_count", "miles_sum") if c in periods.columns]
+    out = periods.selectExpr(
+        *PERIOD_KEYS, *extra,
+        f"min(period_start) {_WINDOW_SQL} AS first_active_period",
+        f"{sx.prior_period_start('period_grain', 'period_start')} AS prior_period_start",
+        f"lag(period_start) {_WINDOW_SQL} AS previous_active_period",
+        f"lead(period_start) {_WINDOW_SQL} AS next_active_period",
     )
-    is_new = F.col("previous_active_period").isNull()
-    return out.select(
+    return out.selectExpr(
         "*",
-        is_new.alias("is_new"),
-        (~is_new & (F.col("previous_active_period") < F.col("prior_period_start"))).alias("is_resurrected"),
-        (~is_new & (F.col("previous_active_period") == F.col("prior_period_start"))).alias("is_retained"),
+        "previous_active_period IS NULL AS is_new",
+        "previous_active_period IS NOT NULL AND previous_active_period < prior_period_start AS is_resurrected",
+        "previous_active_period IS NOT NULL AND previous_active_period = prior_period_start AS is_retained",
     )
 
 

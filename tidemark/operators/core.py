@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import surrogate_key
+from ..functions import sqlexpr as sx
 from ..params import RunParams
 from .staging import time_window
 
@@ -18,7 +18,7 @@ FCT_COLUMNS = ["event_id", "user_sk", "user_id", "event_time_utc", "event_date_u
 USER_ATTRIBUTES = ("gender", "platform", "country", "utm_source")
 
 
-def _latest_non_null(attr: str) -> F.Column:
+def latest_non_null_sql(attr: str) -> str:
     """Value of ``attr`` on the latest event where it is not null.
 
     ``max_by`` over an ordering that is null whenever the attribute is null
@@ -27,27 +27,27 @@ def _latest_non_null(attr: str) -> F.Column:
     combined map-side before the shuffle (a hot user never lands whole in
     one task).
     """
-    order = F.when(F.col(attr).isNotNull(), F.struct("event_time_utc", "event_id"))
-    return F.max_by(F.col(attr), order)
+    return (f"max_by({attr}, CASE WHEN {attr} IS NOT NULL "
+            f"THEN struct(event_time_utc, event_id) END)")
 
 
 def user_profile(events: DataFrame) -> DataFrame:
     """One row per user: first / latest event time and latest attributes."""
     return events.groupBy("user_id").agg(
-        F.min("event_time_utc").alias("first_event_time_utc"),
-        F.max("event_time_utc").alias("latest_event_time_utc"),
-        *[_latest_non_null(a).alias(f"latest_{a}") for a in USER_ATTRIBUTES],
+        F.expr("min(event_time_utc) AS first_event_time_utc"),
+        F.expr("max(event_time_utc) AS latest_event_time_utc"),
+        *[F.expr(f"{latest_non_null_sql(a)} AS latest_{a}") for a in USER_ATTRIBUTES],
     )
 
 
 def _finish_dim(profile: DataFrame) -> DataFrame:
-    return profile.select(
-        surrogate_key(F.col("user_id")).alias("user_sk"),
+    return profile.selectExpr(
+        f"{sx.surrogate_key('user_id')} AS user_sk",
         "user_id",
         "first_event_time_utc",
-        F.to_date("first_event_time_utc").alias("first_event_date_utc"),
+        "to_date(first_event_time_utc) AS first_event_date_utc",
         "latest_event_time_utc",
-        F.to_date("latest_event_time_utc").alias("latest_event_date_utc"),
+        "to_date(latest_event_time_utc) AS latest_event_date_utc",
         *[f"latest_{a}" for a in USER_ATTRIBUTES],
     )
 
@@ -68,16 +68,14 @@ def dim_users(stg: DataFrame, params: RunParams = RunParams(),
                                           *USER_ATTRIBUTES))
     if existing is None:
         return _finish_dim(incoming)
-    old = existing.select(
+    old = existing.selectExpr(
+        "user_id", "first_event_time_utc AS _old_first", "latest_event_time_utc AS _old_latest",
+        *[f"latest_{a} AS _old_{a}" for a in USER_ATTRIBUTES])
+    merged = incoming.join(old, "user_id", "left").selectExpr(
         "user_id",
-        F.col("first_event_time_utc").alias("_old_first"),
-        F.col("latest_event_time_utc").alias("_old_latest"),
-        *[F.col(f"latest_{a}").alias(f"_old_{a}") for a in USER_ATTRIBUTES])
-    merged = incoming.join(old, "user_id", "left").select(
-        "user_id",
-        F.least("first_event_time_utc", "_old_first").alias("first_event_time_utc"),
-        F.greatest("latest_event_time_utc", "_old_latest").alias("latest_event_time_utc"),
-        *[F.coalesce(f"latest_{a}", f"_old_{a}").alias(f"latest_{a}") for a in USER_ATTRIBUTES],
+        "least(first_event_time_utc, _old_first) AS first_event_time_utc",
+        "greatest(latest_event_time_utc, _old_latest) AS latest_event_time_utc",
+        *[f"coalesce(latest_{a}, _old_{a}) AS latest_{a}" for a in USER_ATTRIBUTES],
     )
     return _finish_dim(merged)
 

@@ -22,21 +22,21 @@ def engagement_depth(periods: DataFrame, power_user_min_events: int = 3,
     """
     p = period_window(periods, "period_start", after, upto)
     agg = (p.groupBy("period_grain", "period_start", *SEGMENTS)
-           .agg(F.sum("event_count").cast("long").alias("total_events"),
-                F.count(F.lit(1)).alias("active_users"),
-                F.sum("miles_sum").alias("total_miles"),
-                F.count_if(F.col("event_count") >= power_user_min_events).alias("power_users")))
-    return agg.select(
+           .agg(F.expr("CAST(sum(event_count) AS BIGINT) AS total_events"),
+                F.expr("count(1) AS active_users"),
+                F.expr("sum(miles_sum) AS total_miles"),
+                F.expr(f"count_if(event_count >= {int(power_user_min_events)}) AS power_users")))
+    return agg.selectExpr(
         "period_grain", "period_start", *SEGMENTS, "total_events", "active_users",
-        F.try_divide(F.col("total_events").cast("double"), F.col("active_users")).alias("events_per_active_user"),
-        F.try_divide(F.col("total_miles").cast("double"), F.col("active_users")).alias("avg_miles_per_active_user"),
+        "try_divide(CAST(total_events AS DOUBLE), active_users) AS events_per_active_user",
+        "try_divide(CAST(total_miles AS DOUBLE), active_users) AS avg_miles_per_active_user",
         "power_users",
-        F.try_divide(F.col("power_users").cast("double"), F.col("active_users")).alias("power_user_share"),
+        "try_divide(CAST(power_users AS DOUBLE), active_users) AS power_user_share",
     )
 
 
 def power_users(periods: DataFrame, power_user_min_events: int = 3) -> DataFrame:
     """The power users themselves: user-period-segment rows at or above the threshold."""
     return (periods.filter(F.col("event_count") >= power_user_min_events)
-            .select("period_grain", "period_start", *SEGMENTS, "user_id",
-                    F.col("event_count").cast("long").alias("event_count")))
+            .selectExpr("period_grain", "period_start", *SEGMENTS, "user_id",
+                        "CAST(event_count AS BIGINT) AS event_count"))

@@ -5,13 +5,16 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import next_period_start
+from ..functions import sqlexpr as sx
 from .activity import SEGMENTS, activity_window, period_window
 
 GROWTH_KEYS = ["period_grain", "period_start", *SEGMENTS]
 GROWTH_METRICS = ["active_users", "new_users", "retained_users", "resurrected_users", "churned_users"]
 GROWTH_COLUMNS = GROWTH_KEYS + GROWTH_METRICS
 
+_NEXT = sx.next_period_start("period_grain", "period_start")
+_CHURNED = f"(next_active_period IS NULL OR next_active_period > {_NEXT})"
+
 
 def _with_next(activity: DataFrame) -> DataFrame:
     if "next_active_period" in activity.columns:
@@ -22,10 +25,8 @@ def _with_next(activity: DataFrame) -> DataFrame:
 def churn_events(activity: DataFrame) -> DataFrame:
     """(grain, churn period, segment, user) for every user active in a period
     and absent in the following one."""
-    a = _with_next(activity)
-    nxt = next_period_start(F.col("period_grain"), F.col("period_start"))
-    churned = F.col("next_active_period").isNull() | (F.col("next_active_period") > nxt)
-    return a.filter(churned).select("period_grain", nxt.alias("period_start"), *SEGMENTS, "user_id")
+    return (_with_next(activity).filter(_CHURNED)
+            .selectExpr("period_grain", f"{_NEXT} AS period_start", *SEGMENTS, "user_id"))
 
 
 def growth_accounting(activity: DataFrame, after: dt.date | None = None,
@@ -38,25 +39,17 @@ def growth_accounting(activity: DataFrame, after: dt.date | None = None,
     yields all five metrics: no distinct counts, no anti-join, no join back.
     Churn of a period without active users in that segment is not reported.
     """
-    a = _with_next(activity)
-    grain = F.col("period_grain")
-    nxt = next_period_start(grain, F.col("period_start"))
-    churned = F.col("next_active_period").isNull() | (F.col("next_active_period") > nxt)
-    as_int = lambda c: F.col(c).cast("int")
-    own = F.struct(F.col("period_start").alias("p"), F.lit(1).alias("a"), as_int("is_new").alias("n"),
-                   as_int("is_retained").alias("r"), as_int("is_resurrected").alias("s"),
-                   F.lit(0).alias("c"))
-    churn = F.struct(nxt.alias("p"), F.lit(0).alias("a"), F.lit(0).alias("n"), F.lit(0).alias("r"),
-                     F.lit(0).alias("s"), F.lit(1).alias("c"))
-    contrib = a.select("period_grain", *SEGMENTS,
-                       F.inline(F.when(churned, F.array(own, churn)).otherwise(F.array(own))))
+    own = ("named_struct('p', period_start, 'a', 1, 'n', CAST(is_new AS INT), "
+           "'r', CAST(is_retained AS INT), 's', CAST(is_resurrected AS INT), 'c', 0)")
+    churn = f"named_struct('p', {_NEXT}, 'a', 0, 'n', 0, 'r', 0, 's', 0, 'c', 1)"
+    contrib = _with_next(activity).selectExpr(
+        "period_grain", *SEGMENTS,
+        f"inline(CASE WHEN {_CHURNED} THEN array({own}, {churn}) ELSE array({own}) END)")
     if upto is not None:
         contrib = contrib.filter(F.col("p") <= F.lit(upto))
-    out = (contrib.groupBy("period_grain", F.col("p").alias("period_start"), *SEGMENTS)
-           .agg(F.sum("a").cast("long").alias("active_users"),
-                F.sum("n").cast("long").alias("new_users"),
-                F.sum("r").cast("long").alias("retained_users"),
-                F.sum("s").cast("long").alias("resurrected_users"),
-                F.sum("c").cast("long").alias("churned_users"))
-           .filter(F.col("active_users") > 0))
+    out = (contrib.groupBy("period_grain", "p", *SEGMENTS)
+           .agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {m}")
+                  for c, m in zip("anrsc", GROWTH_METRICS)])
+           .withColumnRenamed("p", "period_start")
+           .filter("active_users > 0"))
     return period_window(out, "period_start", after, upto).select(*GROWTH_COLUMNS)

@@ -3,9 +3,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions import period_index
+from ..functions import sqlexpr as sx
 from .activity import SEGMENTS, period_window
 
 COHORT_KEYS = ["cohort_grain", "cohort_start", *SEGMENTS]
@@ -24,26 +24,26 @@ def cohort_retention_triangle(activity: DataFrame, upto: dt.date | None = None)
     aggregated (small) cells instead of a second aggregate and a join.
     """
     a = period_window(activity, "period_start", None, upto)
-    cells = (a.groupBy(F.col("period_grain").alias("cohort_grain"),
-                       F.col("first_active_period").alias("cohort_start"),
-                       F.col("period_start").alias("activity_period_start"), *SEGMENTS)
-             .agg(F.count(F.lit(1)).alias("retained_users")))
-    idx = period_index(F.col("cohort_grain"), F.col("cohort_start"), F.col("activity_period_start"))
-    cohort = Window.partitionBy(*COHORT_KEYS)
-    size = F.max(F.when(F.col("activity_period_start") == F.col("cohort_start"),
-                        F.col("retained_users"))).over(cohort)
-    out = cells.select("*", idx.alias("period_index"), size.alias("cohort_users"))
-    return (out.filter(F.col("period_index") >= 0)
-            .withColumn("retention_rate", F.try_divide(F.col("retained_users"), F.col("cohort_users")))
-            .select(*TRIANGLE_COLUMNS))
+    cells = (a.selectExpr("period_grain AS cohort_grain", "first_active_period AS cohort_start",
+                          "period_start AS activity_period_start", *SEGMENTS)
+             .groupBy("cohort_grain", "cohort_start", "activity_period_start", *SEGMENTS)
+             .agg(F.expr("count(1) AS retained_users")))
+    cohort = ", ".join(COHORT_KEYS)
+    out = cells.selectExpr(
+        "*",
+        f"{sx.period_index('cohort_grain', 'cohort_start', 'activity_period_start')} AS period_index",
+        "max(CASE WHEN activity_period_start = cohort_start THEN retained_users END) "
+        f"OVER (PARTITION BY {cohort}) AS cohort_users")
+    return (out.filter("period_index >= 0")
+            .selectExpr(*[c for c in TRIANGLE_COLUMNS if c != "retention_rate"],
+                        "try_divide(retained_users, cohort_users) AS retention_rate"))
 
 
 def cohort_sizes(activity: DataFrame, upto: dt.date | None = None) -> DataFrame:
     """Users per cohort: new users of each (grain, period, segment)."""
-    a = period_window(activity, "period_start", None, upto).filter(F.col("is_new"))
-    return (a.groupBy(F.col("period_grain").alias("cohort_grain"),
-                      F.col("period_start").alias("cohort_start"), *SEGMENTS)
-            .agg(F.count(F.lit(1)).alias("cohort_users")))
+    a = period_window(activity, "period_start", None, upto).filter("is_new")
+    return (a.selectExpr("period_grain AS cohort_grain", "period_start AS cohort_start", *SEGMENTS)
+            .groupBy(*COHORT_KEYS).agg(F.expr("count(1) AS cohort_users")))
 
 
 def cohort_matrix(triangle: DataFrame, grain: str, max_index: int,

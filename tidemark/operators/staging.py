@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import clean_text, event_key
+from ..functions import sqlexpr as sx
 from ..params import RunParams
 
 STG_COLUMNS = ["event_id", "event_time_utc", "user_id", "gender", "event_type",
@@ -38,26 +38,24 @@ def stg_events(raw: DataFrame, params: RunParams = RunParams(),
     are kept.
     """
     src = time_window(raw, "event_time", after, params.cutoff_ts())
-    typed = src.select(
-        F.col("event_time").cast("timestamp_ntz").alias("event_time_utc"),
-        F.col("user_id").cast("string").alias("user_id"),
-        clean_text(F.col("gender")).alias("gender"),
-        clean_text(F.col("event_type"), "lower").alias("event_type"),
-        clean_text(F.col("transaction_category"), "lower").alias("transaction_category"),
-        F.col("miles_amount").cast("decimal(38,9)").alias("miles_amount"),
-        clean_text(F.col("platform"), "lower").alias("platform"),
-        clean_text(F.col("utm_source"), "lower").alias("utm_source"),
-        clean_text(F.col("country"), "upper").alias("country"),
-        F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
-    ).filter(F.col("user_id").isNotNull() & F.col("event_time_utc").isNotNull())
-    day = F.to_date("event_time_utc")
-    return typed.select(
-        event_key(F.col("event_time_utc"), F.col("user_id"), F.col("event_type"),
-                  F.col("miles_amount"), F.col("platform")).alias("event_id"),
+    typed = src.selectExpr(
+        "CAST(event_time AS TIMESTAMP_NTZ) AS event_time_utc",
+        "CAST(user_id AS STRING) AS user_id",
+        f"{sx.clean_text('gender')} AS gender",
+        f"{sx.clean_text('event_type', 'lower')} AS event_type",
+        f"{sx.clean_text('transaction_category', 'lower')} AS transaction_category",
+        "CAST(miles_amount AS DECIMAL(38,9)) AS miles_amount",
+        f"{sx.clean_text('platform', 'lower')} AS platform",
+        f"{sx.clean_text('utm_source', 'lower')} AS utm_source",
+        f"{sx.clean_text('country', 'upper')} AS country",
+        "CAST(loaded_at AS TIMESTAMP_NTZ) AS loaded_at",
+    ).filter("user_id IS NOT NULL AND event_time_utc IS NOT NULL")
+    return typed.selectExpr(
+        f"{sx.event_key('event_time_utc', 'user_id', 'event_type', 'miles_amount', 'platform')} AS event_id",
         "event_time_utc", "user_id", "gender", "event_type", "transaction_category",
         "miles_amount", "platform", "utm_source", "country",
-        day.alias("event_date_utc"),
-        F.trunc(day, "week").cast("timestamp_ntz").alias("event_week_utc"),
-        F.trunc(day, "month").cast("timestamp_ntz").alias("event_month_utc"),
+        "to_date(event_time_utc) AS event_date_utc",
+        "CAST(trunc(to_date(event_time_utc), 'week') AS TIMESTAMP_NTZ) AS event_week_utc",
+        "CAST(trunc(to_date(event_time_utc), 'month') AS TIMESTAMP_NTZ) AS event_month_utc",
         "loaded_at",
     )
