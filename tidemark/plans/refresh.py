@@ -19,6 +19,7 @@ history first. The full-history activity frame is materialised once per run
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -129,8 +130,14 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = RunParams()) -> dict:
-    """Period marts from the stored fact (full history)."""
+def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = RunParams(),
+                    concurrency: int = 4) -> dict:
+    """Period marts from the stored fact (full history).
+
+    The four marts read the same materialised activity and are independent,
+    so they are submitted as concurrent Spark jobs (``concurrency`` driver
+    threads) and share the cluster instead of queueing behind each other.
+    """
     ensure_utc(spark)
     windows = {}
     fct = read_table(spark, warehouse, "fct_events")
@@ -138,7 +145,7 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     activity = materialize(act.classify(periods), spark, "activity")
     upto = params.cutoff_date()
 
-    def put(name, part, build):
+    def put(name, build):
         path = table_path(warehouse, name)
         part, clus = LAYOUT[name]
         after = _period_after(spark, path, part, params)
@@ -149,12 +156,12 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         else:
             sinks.overwrite_partitions(out, path, part, cluster_by=clus)
 
-    put("user_period_activity", "period_start",
-        lambda after: act.user_period_activity(activity, after, upto))
-    put("fct_growth_accounting", "period_start",
-        lambda after: growth_accounting(activity, after, upto))
-    put("fct_engagement_depth", "period_start",
-        lambda after: engagement_depth(periods, params.power_user_min_events, after, upto))
+    builders = {
+        "user_period_activity": lambda after: act.user_period_activity(activity, after, upto),
+        "fct_growth_accounting": lambda after: growth_accounting(activity, after, upto),
+        "fct_engagement_depth": lambda after: engagement_depth(periods, params.power_user_min_events,
+                                                               after, upto),
+    }
 
     def triangle(after):
         if after is None:
@@ -165,7 +172,11 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
                    .select("first_active_period").distinct())
         subset = activity.join(touched, "first_active_period", "left_semi")
         return cohort_retention_triangle(subset, upto)
-    put("fct_cohort_retention_triangle", "cohort_start", triangle)
+    builders["fct_cohort_retention_triangle"] = triangle
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+        for f in [pool.submit(put, name, build) for name, build in builders.items()]:
+            f.result()
     return windows
 
 
