@@ -367,11 +367,10 @@ def late_events_ignored(spark, sf_dir):
     """Late events older than the lookback: present in the source, absent
     from the fact after the incremental run."""
     from tidemark.operators.staging import STG_COLUMNS
-    from tidemark.plans.refresh import read_table
+    from tidemark.plans.refresh import ignored_late_events
+    from tidemark.sources.adapters import raw_events
     wh = _two_batch_events(spark, sf_dir)
-    fct = read_table(spark, wh, "fct_events").select("event_id")
-    src = marts(spark, sf_dir).stg_events
-    return src.join(fct, "event_id", "left_anti").select(*STG_COLUMNS)
+    return ignored_late_events(spark, raw_events(spark, sf_dir), wh).select(*STG_COLUMNS)
 
 
 @query("growth_incremental")

@@ -113,8 +113,8 @@ def dedupe_incoming(incoming: DataFrame, key: str, on_duplicate: str,
     stops at the first duplicate it finds.
     """
     if on_duplicate == "fail":
-        dup = (incoming.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-               .limit(1).collect())
+        from ..operators.quality import repeated_values
+        dup = repeated_values(incoming, F.col(key), key, "n").limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"duplicate merge key {key}={dup[0][0]!r} in incoming rows")
         return incoming
