@@ -38,7 +38,9 @@ from . import sinks
 TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_growth_accounting",
           "fct_cohort_retention_triangle", "fct_engagement_depth")
 DIM_BUCKETS = 64
-# Physical layout: (partition column, cluster columns) per table.
+# Physical layout: (partition column, cluster columns) per table. User-level
+# tables are also spread by user when partitions are rewritten (SPREAD), so
+# one period's rows are written by many tasks, not one.
 LAYOUT = {
     "stg_events": ("event_date_utc", ("user_id", "event_type")),
     "dim_users": ("user_bucket", ("user_id",)),
@@ -48,6 +50,7 @@ LAYOUT = {
     "fct_cohort_retention_triangle": ("cohort_start", ("country", "platform", "utm_source", "cohort_grain")),
     "fct_engagement_depth": ("period_start", ("country", "platform", "utm_source", "period_grain")),
 }
+SPREAD = {"user_period_activity": "user_id"}
 
 
 @dataclass
@@ -163,7 +166,7 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         if after is None:
             sinks.replace(out, path, part, clus)
         else:
-            sinks.overwrite_partitions(out, path, part, cluster_by=clus)
+            sinks.overwrite_partitions(out, path, part, spread_by=SPREAD.get(name), cluster_by=clus)
 
     builders = {
         "user_period_activity": lambda after: act.user_period_activity(activity, after, upto),
