@@ -80,6 +80,25 @@ def dim_users(stg: DataFrame, params: RunParams = RunParams(),
     return _finish_dim(merged)
 
 
+def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame) -> DataFrame:
+    """Existing dimension rows (of the touched buckets) merged with incoming
+    user profiles in ONE full outer join: users only in ``existing`` keep
+    their row, users only in ``incoming`` are inserted, users in both get the
+    earliest first time, latest latest time and the incoming attribute when
+    it is non-null. The result replaces those buckets whole, so the merge
+    needs no second (anti) join against the table."""
+    old = existing.selectExpr(
+        "user_id", "first_event_time_utc AS _old_first", "latest_event_time_utc AS _old_latest",
+        *[f"latest_{a} AS _old_{a}" for a in USER_ATTRIBUTES])
+    merged = incoming_profile.join(old, "user_id", "full_outer").selectExpr(
+        "user_id",
+        "least(first_event_time_utc, _old_first) AS first_event_time_utc",
+        "greatest(latest_event_time_utc, _old_latest) AS latest_event_time_utc",
+        *[f"coalesce(latest_{a}, _old_{a}) AS latest_{a}" for a in USER_ATTRIBUTES],
+    )
+    return _finish_dim(merged)
+
+
 def fct_events(stg: DataFrame, dim: DataFrame, params: RunParams = RunParams(),
                after: dt.datetime | None = None) -> DataFrame:
     """Event fact: staging rows plus the user's surrogate key.

@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import activity as act
 from ..operators import quality as dq
-from ..operators.core import DIM_COLUMNS, dim_users, fct_events
+from ..operators.core import (DIM_COLUMNS, USER_ATTRIBUTES, dim_users, fct_events, merge_dim_rows,
+                              user_profile)
 from ..operators.engagement import engagement_depth
 from ..operators.growth import growth_accounting
 from ..operators.retention import cohort_retention_triangle
-from ..operators.staging import stg_events
+from ..operators.staging import stg_events, time_window
 from ..params import RunParams
-from ..session import ensure_utc, join_path, scratch_path
+from ..session import checkpoint_root, ensure_utc, join_path, scratch_path
 from . import sinks
 
 TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_growth_accounting",
@@ -104,13 +105,21 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
         windows["dim_users"] = None
         sinks.replace(dim_users(stg, params).select("*", bucket), p_dim, *LAYOUT["dim_users"])
     else:
-        existing = read_table(spark, warehouse, "dim_users")
+        existing = spark.read.parquet(p_dim)
         wm = existing.agg(F.max("latest_event_time_utc")).first()[0]
         d_after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
         windows["dim_users"] = d_after
-        changes = dim_users(stg, params, existing=existing, after=d_after).select("*", bucket)
-        sinks.upsert(spark, p_dim, changes, "user_id", "user_bucket", on_duplicate,
-                     LAYOUT["dim_users"][1])
+        incoming = user_profile(
+            time_window(stg, "event_time_utc", d_after, params.cutoff_ts())
+            .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", bucket)
+        touched = [r[0] for r in incoming.select("user_bucket").distinct().collect()]  # <= DIM_BUCKETS
+        if touched:
+            checkpoint_root(spark)
+            merged = merge_dim_rows(existing.filter(F.col("user_bucket").isin(touched)),
+                                    incoming.drop("user_bucket")).select("*", bucket)
+            # the rewrite replaces the buckets the merge reads: cut lineage first
+            sinks.overwrite_partitions(merged.checkpoint(eager=True), p_dim, "user_bucket",
+                                       spread_by="user_id", cluster_by=LAYOUT["dim_users"][1])
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
 
     p_fct = table_path(warehouse, "fct_events")
