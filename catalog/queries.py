@@ -285,17 +285,19 @@ def dq_engagement_bounds(spark, sf_dir):
 import datetime as _dt  # noqa: E402
 
 BATCH1_END = _dt.datetime(2024, 1, 20)
+
+from tidemark.functions import ts_ntz  # noqa: E402
 CUTOFF = "2024-01-15 12:00:00"
 
 
 def _late(raw: DataFrame):
     from tidemark.functions import clean_text
     return ((clean_text(F.col("event_type"), "lower") == "error")
-            & (F.col("event_time") < F.lit(BATCH1_END)))
+            & (F.col("event_time") < ts_ntz(BATCH1_END)))
 
 
 def _batch1(raw: DataFrame):
-    return (F.col("event_time") <= F.lit(BATCH1_END)) & ~_late(raw)
+    return (F.col("event_time") <= ts_ntz(BATCH1_END)) & ~_late(raw)
 
 
 def _batches(spark, sf_dir):

@@ -3,9 +3,17 @@ from built-in expressions, so it stays inside whole-stage codegen."""
 from . import sqlexpr
 from .keys import surrogate_key, event_key, ts_text
 from .text import trim_ws, clean_text
+
+
+def ts_ntz(ts):
+    """Column literal of a naive (UTC) datetime as TIMESTAMP_NTZ."""
+    from pyspark.sql import functions as F
+    return F.expr(sqlexpr.ntz_literal(ts))
+
+
 from .periods import (GRAINS, period_start, period_start_for, prior_period_start,
                       next_period_start, period_index)
 
-__all__ = ["sqlexpr", "surrogate_key", "event_key", "ts_text", "trim_ws", "clean_text", "GRAINS",
+__all__ = ["sqlexpr", "ts_ntz", "surrogate_key", "event_key", "ts_text", "trim_ws", "clean_text", "GRAINS",
            "period_start", "period_start_for", "prior_period_start", "next_period_start",
            "period_index"]

@@ -65,3 +65,8 @@ def period_index(grain: str, cohort: str, activity: str) -> str:
     months = (f"((year({q(activity)}) - year({q(cohort)})) * 12 "
               f"+ (month({q(activity)}) - month({q(cohort)})))")
     return f"CAST({_dispatch(grain, days, f'floor({days} / 7)', months)} AS BIGINT)"
+
+
+def ntz_literal(ts) -> str:
+    """A zone-less timestamp literal (the engine's UTC wall-clock type)."""
+    return f"TIMESTAMP_NTZ '{ts.isoformat(sep=' ')}'"

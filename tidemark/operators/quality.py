@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import clean_text, event_key, prior_period_start
+from ..functions import clean_text, event_key, prior_period_start, ts_ntz
 from .activity import ALL, SEGMENTS
 
 # Fixed accepted-value sets of the reference contract.
@@ -92,7 +92,7 @@ def source_availability(raw: DataFrame, execution_date: str | None) -> DataFrame
     day = day.date()
     t = F.col("event_time").cast("timestamp_ntz")
     start = dt.datetime.combine(day, dt.time())
-    hits = (raw.filter((t >= F.lit(start)) & (t < F.lit(start + dt.timedelta(days=1))))
+    hits = (raw.filter((t >= ts_ntz(start)) & (t < ts_ntz(start + dt.timedelta(days=1))))
             .limit(1).agg(F.count(F.lit(1))))
     probe = spark.range(1).select(F.lit(str(execution_date)).alias("execution_date"),
                                   F.lit("No source rows found for execution_date").alias("error_message"))

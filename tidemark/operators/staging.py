@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import sqlexpr as sx
+from ..functions import sqlexpr as sx, ts_ntz
 from ..params import RunParams
 
 STG_COLUMNS = ["event_id", "event_time_utc", "user_id", "gender", "event_type",
@@ -22,9 +22,9 @@ def time_window(df: DataFrame, col: str, after: dt.datetime | None,
     """
     c = F.col(col).cast("timestamp_ntz")
     if after is not None:
-        df = df.filter(c > F.lit(after).cast("timestamp_ntz"))
+        df = df.filter(c > ts_ntz(after))
     if upto is not None:
-        df = df.filter(c <= F.lit(upto).cast("timestamp_ntz"))
+        df = df.filter(c <= ts_ntz(upto))
     return df
 
 

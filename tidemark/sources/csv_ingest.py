@@ -19,6 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from ..functions import ts_ntz
 from ..session import ensure_utc
 
 # Fixed: the nine required input columns.
@@ -68,7 +69,7 @@ def read_events_csv(spark: SparkSession, path: str, loaded_at: dt.datetime,
           else F.expr("try_cast(trim(miles_amount) AS double)").alias(c) if c == "miles_amount"
           else F.col(c)
           for c in cols],
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+        ts_ntz(loaded_at).alias("loaded_at"),
     )
     return out
 

@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import ts_ntz
 from ..params import RunParams
 from ..plans import refresh
 from ..session import ensure_utc, join_path, scratch_path
@@ -46,7 +47,7 @@ def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | N
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        batch = batch.withColumn("loaded_at", F.lit(stamp).cast("timestamp_ntz"))
+        batch = batch.withColumn("loaded_at", ts_ntz(stamp))
         if batch.filter(F.col("event_time").isNull()).limit(1).count() > 0:
             raise IngestError(f"micro-batch {batch_id}: invalid event_time values; stopping")
         refresh.refresh_events(spark, batch, warehouse, params)
