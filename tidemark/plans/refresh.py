@@ -143,12 +143,12 @@ def ignored_late_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     return stg_events(raw, params).join(stored, "event_id", "left_anti")
 
 
-def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+def materialize(df: DataFrame, spark: SparkSession, name: str) -> tuple[DataFrame, str]:
     """Write to a fresh folder under the shared checkpoint dir and read back:
     cuts lineage and survives executor loss (unlike cached blocks)."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = RunParams(),
@@ -162,8 +162,9 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     ensure_utc(spark)
     windows = {}
     fct = read_table(spark, warehouse, "fct_events")
-    periods = materialize(act.user_period_segments(act.user_day_segments(fct)), spark, "user_period_segments")
-    activity = materialize(act.classify(periods), spark, "activity")
+    periods, p_periods = materialize(act.user_period_segments(act.user_day_segments(fct)), spark,
+                                     "user_period_segments")
+    activity, p_activity = materialize(act.classify(periods), spark, "activity")
     upto = params.cutoff_date()
 
     def put(name, build):
@@ -198,6 +199,8 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
         for f in [pool.submit(put, name, build) for name, build in builders.items()]:
             f.result()
+    for path in (p_activity, p_periods):   # run-scoped intermediates
+        sinks.drop_path(spark, path)
     return windows
 
 

@@ -36,6 +36,13 @@ def jvm_child(spark: SparkSession, path: str, name: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + name)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a run-scoped intermediate folder this job created."""
+    p, fs = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a top-level ``column=value`` partition directory, from the
     file-system listing only (no data is read)."""

@@ -30,7 +30,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the tidemark defaults applied."""
     b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false"))
+         .config("spark.ui.showConsoleProgress", "false")
+         # remove reliable-checkpoint files once their DataFrame is unreachable
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         b = b.master(master)
     for k, v in BASE_CONF.items():
