@@ -431,3 +431,6 @@ ORACLE_SQL["cutoff_bounded_run"] = _with(
     "SELECT * FROM fct")
 ORACLE_SQL["growth_orders_monthly"] = _with(
     chain("orders"), _topline(GROWTH) + " AND period_grain = 'monthly'")
+ORACLE_SQL["growth_trend"] = _with(
+    chain(), "SELECT period_start, " + ", ".join(_METRICS) + f" FROM ({_topline(GROWTH)}) "
+    "WHERE period_grain = 'weekly' ORDER BY period_start")

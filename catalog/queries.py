@@ -439,3 +439,10 @@ def growth_orders_monthly(spark, sf_dir):
     """Monthly top-line growth over 80 months of orders."""
     g = marts(spark, sf_dir, source="orders").growth_accounting
     return _topline(g.filter(F.col("period_grain") == "monthly"))
+
+
+@query("growth_trend")
+def growth_trend(spark, sf_dir):
+    """Weekly top-line trend chart dataset (period ascending)."""
+    from tidemark.operators.reporting import growth_trend as trend
+    return trend(marts(spark, sf_dir).growth_accounting, "weekly")
