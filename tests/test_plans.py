@@ -95,3 +95,18 @@ def test_hot_user_matches_oracle(spark, hot_dir, name):
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(rel.columns, orows)[0]
+
+
+def test_incremental_window_prunes_date_partitions(spark):
+    from tidemark.operators.core import fct_events
+    from tidemark.plans import refresh
+    from tidemark.session import scratch_path
+    import datetime as dt
+    wh = scratch_path(spark, "prune")
+    refresh.refresh_events(spark, raw_events(spark, SF), wh)
+    stg = refresh.read_table(spark, wh, "stg_events")
+    dim = refresh.read_table(spark, wh, "dim_users")
+    df = fct_events(stg, dim, RunParams(), after=dt.datetime(2024, 1, 25, 6))
+    p = plan_text(df)
+    scan = next(ln for ln in p.splitlines() if "FileScan parquet" in ln and "stg_events" in ln)
+    assert "PartitionFilters: [isnotnull(event_date_utc" in scan and "2024-01-25" in scan

@@ -63,7 +63,7 @@ def dim_users(stg: DataFrame, params: RunParams = RunParams(),
     time, incoming attribute when non-null else the existing one. The caller
     upserts them on ``user_id``.
     """
-    events = time_window(stg, "event_time_utc", after, params.cutoff_ts())
+    events = time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
     incoming = user_profile(events.select("user_id", "event_time_utc", "event_id",
                                           *USER_ATTRIBUTES))
     if existing is None:
@@ -107,6 +107,6 @@ def fct_events(stg: DataFrame, dim: DataFrame, params: RunParams = RunParams(),
     a null ``user_sk`` (the relationship check reports it). The join shuffles
     events on ``user_id``; AQE splits the partition of a hot user.
     """
-    events = time_window(stg, "event_time_utc", after, params.cutoff_ts())
+    events = time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
     users = dim.select("user_id", "user_sk")
     return events.join(users, "user_id", "left").select(*FCT_COLUMNS)

@@ -14,17 +14,23 @@ STG_COLUMNS = ["event_id", "event_time_utc", "user_id", "gender", "event_type",
 
 
 def time_window(df: DataFrame, col: str, after: dt.datetime | None,
-                upto: dt.datetime | None) -> DataFrame:
+                upto: dt.datetime | None, date_col: str | None = None) -> DataFrame:
     """Keep rows with ``after < col <= upto`` (either bound optional).
 
-    Bounds are literals, so they reach the Parquet scan as pushed filters and
-    prune date partitions.
+    Bounds are literals, so they reach the Parquet scan as pushed filters.
+    When the frame also carries the day of ``col`` (``date_col``, the
+    partition column of stored event tables) the implied day bounds are
+    added, which prunes whole date partitions before any file is opened.
     """
     c = F.col(col).cast("timestamp_ntz")
     if after is not None:
         df = df.filter(c > ts_ntz(after))
+        if date_col:
+            df = df.filter(F.col(date_col) >= F.lit(after.date()))
     if upto is not None:
         df = df.filter(c <= ts_ntz(upto))
+        if date_col:
+            df = df.filter(F.col(date_col) <= F.lit(upto.date()))
     return df
 
 

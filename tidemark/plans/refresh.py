@@ -110,7 +110,7 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
         d_after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
         windows["dim_users"] = d_after
         incoming = user_profile(
-            time_window(stg, "event_time_utc", d_after, params.cutoff_ts())
+            time_window(stg, "event_time_utc", d_after, params.cutoff_ts(), date_col="event_date_utc")
             .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", bucket)
         touched = [r[0] for r in incoming.select("user_bucket").distinct().collect()]  # <= DIM_BUCKETS
         if touched:

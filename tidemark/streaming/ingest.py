@@ -47,10 +47,15 @@ def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | N
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        batch = batch.withColumn("loaded_at", ts_ntz(stamp))
-        if batch.filter(F.col("event_time").isNull()).limit(1).count() > 0:
-            raise IngestError(f"micro-batch {batch_id}: invalid event_time values; stopping")
-        refresh.refresh_events(spark, batch, warehouse, params)
+        # the refresh runs several jobs over the batch: keep it cached for them
+        # (a lost block is simply re-read from the source files)
+        batch = batch.withColumn("loaded_at", ts_ntz(stamp)).persist()
+        try:
+            if batch.filter(F.col("event_time").isNull()).limit(1).count() > 0:
+                raise IngestError(f"micro-batch {batch_id}: invalid event_time values; stopping")
+            refresh.refresh_events(spark, batch, warehouse, params)
+        finally:
+            batch.unpersist()
     return handle
 
 
