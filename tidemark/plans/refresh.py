@@ -5,6 +5,7 @@ Layout under ``warehouse`` (Parquet):
   stg_events/                partitioned by event_date_utc   (upsert on event_id)
   dim_users/                 partitioned by user_bucket      (upsert on user_id)
   fct_events/                partitioned by event_date_utc   (upsert on event_id)
+  user_day_segments/         partitioned by activity_date    (touched days recomputed)
   user_period_activity/      partitioned by period_start     (partition overwrite)
   fct_growth_accounting/     partitioned by period_start     (partition overwrite)
   fct_cohort_retention_triangle/  partitioned by cohort_start (partition overwrite)
@@ -13,8 +14,12 @@ Layout under ``warehouse`` (Parquet):
 Event models reprocess events strictly newer than ``watermark - late
 arrival lookback``; period models rewrite periods strictly newer than
 ``max(target period) - period lookback``, with flags computed on the full
-history first. The full-history activity frame is materialised once per run
-(a written table in the shared checkpoint folder) and feeds all period marts.
+history first. Those flags need every user's history, but not every event:
+the period marts read the daily user-segment base (one row per user, day and
+segment), which an incremental run maintains by recomputing only the days its
+event window touched - the event fact is never rescanned. The full-history
+activity frame is materialised once per run (a written table in the shared
+checkpoint folder) and feeds all period marts.
 """
 from __future__ import annotations
 
@@ -38,6 +43,7 @@ from . import sinks
 
 TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_growth_accounting",
           "fct_cohort_retention_triangle", "fct_engagement_depth")
+DAY_BASE = "user_day_segments"
 DIM_BUCKETS = 64
 # Physical layout: (partition column, cluster columns) per table. User-level
 # tables are also spread by user when partitions are rewritten (SPREAD), so
@@ -46,12 +52,13 @@ LAYOUT = {
     "stg_events": ("event_date_utc", ("user_id", "event_type")),
     "dim_users": ("user_bucket", ("user_id",)),
     "fct_events": ("event_date_utc", ("user_id", "event_type")),
+    "user_day_segments": ("activity_date", ("user_id",)),
     "user_period_activity": ("period_start", ("country", "platform", "utm_source", "user_id")),
     "fct_growth_accounting": ("period_start", ("country", "platform", "utm_source", "period_grain")),
     "fct_cohort_retention_triangle": ("cohort_start", ("country", "platform", "utm_source", "cohort_grain")),
     "fct_engagement_depth": ("period_start", ("country", "platform", "utm_source", "period_grain")),
 }
-SPREAD = {"user_period_activity": "user_id"}
+SPREAD = {"user_period_activity": "user_id", "user_day_segments": "user_id"}
 
 
 @dataclass
@@ -131,9 +138,28 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
         sinks.replace(fct_new, p_fct, part, clus)
     else:
         sinks.upsert(spark, p_fct, fct_new, "event_id", part, on_duplicate, clus)
+    refresh_day_base(spark, warehouse, f_after)
     return windows
 
 
+def refresh_day_base(spark: SparkSession, warehouse: str, after: dt.datetime | None) -> None:
+    """Maintain ``user_day_segments`` from the stored fact.
+
+    A day's rows depend only on that day's events, so after an incremental
+    event run only the days on or after the window start are recomputed
+    (a partition-pruned read of the fact) and overwritten.
+    """
+    fct = read_table(spark, warehouse, "fct_events")
+    path = table_path(warehouse, DAY_BASE)
+    part, clus = LAYOUT[DAY_BASE]
+    if after is None or not sinks.exists(spark, path):
+        sinks.replace(act.user_day_segments(fct), path, part, clus)
+        return
+    recent = fct.filter(F.col("event_date_utc") >= F.lit(after.date()))
+    sinks.overwrite_partitions(act.user_day_segments(recent), path, part, spread_by=SPREAD[DAY_BASE],
+                               cluster_by=clus)
+
+
 def ignored_late_events(spark: SparkSession, raw: DataFrame, warehouse: str,
                         params: RunParams = RunParams()) -> DataFrame:
     """Source events (staged, within the cutoff) that the event fact does not
@@ -161,9 +187,10 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     """
     ensure_utc(spark)
     windows = {}
-    fct = read_table(spark, warehouse, "fct_events")
-    periods, p_periods = materialize(act.user_period_segments(act.user_day_segments(fct)), spark,
-                                     "user_period_segments")
+    if not sinks.exists(spark, table_path(warehouse, DAY_BASE)):
+        refresh_day_base(spark, warehouse, None)
+    day_base = read_table(spark, warehouse, DAY_BASE)
+    periods, p_periods = materialize(act.user_period_segments(day_base), spark, "user_period_segments")
     activity, p_activity = materialize(act.classify(periods), spark, "activity")
     upto = params.cutoff_date()
 
