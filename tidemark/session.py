@@ -62,13 +62,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is the shared (HDFS / object store) location every
-    executor can reach. Only when it is unset (local runs, tests) do we create
-    a private temporary folder and register it as the checkpoint dir.
+    executor can reach, and it must be configured: a machine-local folder
+    would not survive the loss of the node that wrote it. Only in local mode
+    (tests, a laptop) is a private temporary folder created when it is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
+                               "before running tidemark jobs on a cluster")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         log.warning("spark.checkpoint.dir unset; using local %s (local mode only)", root)
         spark.conf.set("spark.checkpoint.dir", root)
