@@ -23,3 +23,14 @@ def test_cli_all_then_backfill(spark, capsys):
     assert main(["backfill", "--warehouse", wh]) == 0
     g2 = read_table(spark, wh, "fct_growth_accounting")
     assert g2.agg({"period_start": "max"}).first()[0].isoformat() > "2024-01-10"
+
+
+def test_cli_precheck_gate_fails_without_source_rows(spark):
+    import pytest
+    from tidemark.operators.quality import DataQualityError
+    csv = scratch_path(spark, "cli-csv2")
+    wh = scratch_path(spark, "cli-wh2")
+    write_events_csv(raw_events(spark, "/root/testdata/sf0.001").drop("loaded_at"), csv)
+    assert main(["load", "--csv", csv, "--warehouse", wh]) == 0
+    with pytest.raises(DataQualityError, match="source_availability"):
+        main(["precheck", "--warehouse", wh, "--execution-date", "2025-06-01"])

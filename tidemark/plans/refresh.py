@@ -231,11 +231,13 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     return windows
 
 
-def pre_checks(raw: DataFrame, params: RunParams = RunParams()) -> list:
-    """Gate before any transform: source availability on the cutoff date and
-    duplicate event signatures."""
+def pre_checks(raw: DataFrame, params: RunParams = RunParams(),
+               duplicate_severity: str = "error") -> list:
+    """Gate before any transform: source rows on the cutoff date, and no two
+    source rows with the same event identity (either failure stops the run)."""
     return [dq.Check("source_availability", dq.source_availability(raw, params.execution_date), stage="pre"),
-            dq.Check("source_duplicates", dq.source_duplicates(raw), severity="warn", stage="pre")]
+            dq.Check("source_duplicates", dq.source_duplicates(raw), severity=duplicate_severity,
+                     stage="pre")]
 
 
 def post_checks(spark: SparkSession, raw: DataFrame, warehouse: str, params: RunParams = RunParams(),
