@@ -56,7 +56,7 @@ def main(argv=None) -> int:
         out["precheck"] = dq.run_checks(refresh.pre_checks(raw, params))
     if a.step in ("run", "all", "backfill"):
         w = refresh.refresh_events(spark, raw, a.warehouse, params)
-        w.update(refresh.refresh_periods(spark, a.warehouse, params))
+        w.update(refresh.refresh_periods(spark, a.warehouse, params, changed_since=w["fct_events"]))
         out["windows"] = {k: (str(v) if v is not None else None) for k, v in w.items()}
     if a.step in ("test", "all"):
         out["checks"] = dq.run_checks(refresh.post_checks(spark, raw, a.warehouse, params, event_types))

@@ -128,3 +128,62 @@ def user_period_activity(activity: DataFrame, after: dt.date | None = None,
     """Public P5 shape. Flags are computed on full history *before* the
     period window is applied (a window cannot push below the flags)."""
     return period_window(activity, "period_start", after, upto).select(*ACTIVITY_COLUMNS)
+
+
+# --------------------------------------------------------------------------- windowed history
+def history_state(day_base: DataFrame, boundary: dt.date, grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """Per (grain, segment incl. all, user): the first active period ever seen
+    in ``day_base`` up to shortly after ``boundary`` and the last active period
+    starting on or before ``boundary``.
+
+    One hash aggregate over user-day rows (no expansion, no sort): periods are
+    monotone in the day, so the last period starting by ``boundary`` is the
+    period of the last day whose period starts by ``boundary``.
+    """
+    horizon = boundary + dt.timedelta(days=31)   # a period starting by `boundary` ends before this
+    hist = day_base.filter(F.col("activity_date") <= F.lit(horizon))
+    last = {g: f"max(CASE WHEN {sx.period_start_for(g, 'activity_date')} <= DATE '{boundary}' "
+               f"THEN activity_date END) AS last_{g}" for g in grains}
+    aggs = [F.expr("min(activity_date) AS first_day")] + [F.expr(e) for e in last.values()]
+    per_seg = hist.groupBy("user_id", *SEGMENTS).agg(*aggs)
+    per_all = (hist.groupBy("user_id").agg(*aggs)
+               .selectExpr("*", *[f"'{ALL}' AS {s}" for s in SEGMENTS]))
+    both = per_seg.unionByName(per_all)
+    variants = ", ".join(
+        f"named_struct('period_grain', '{g}', "
+        f"'state_first', {sx.period_start_for(g, 'first_day')}, "
+        f"'state_last', {sx.period_start_for(g, f'last_{g}')})" for g in grains)
+    return both.selectExpr("user_id", *SEGMENTS, f"inline(array({variants}))")
+
+
+def classify_since(day_base: DataFrame, after: dt.date, grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """Classified activity rows for periods starting after ``after`` only,
+    equal to ``classify`` over full history restricted to those periods.
+
+    Recent periods (starting after ``after`` minus one month, so that every
+    period whose churn is reported has its prior period present) are
+    aggregated and windowed as usual; the first recent row of each
+    (grain, segment, user) takes its previous active period, and the first
+    active period, from ``history_state``. Work besides that single
+    aggregate is proportional to the window, not to the history.
+    """
+    boundary = after - dt.timedelta(days=31)
+    recent_days = day_base.filter(F.col("activity_date") > F.lit(boundary))
+    recent = (user_period_segments(recent_days, grains)
+              .filter(F.col("period_start") > F.lit(boundary)))     # drop partially covered periods
+    state = history_state(day_base, boundary, grains)
+    joined = recent.join(state, ["period_grain", *SEGMENTS, "user_id"], "left")
+    extra = [c for c in ("event_count", "miles_sum") if c in recent.columns]
+    out = joined.selectExpr(
+        *PERIOD_KEYS, *extra,
+        f"least(min(period_start) {_WINDOW_SQL}, state_first) AS first_active_period",
+        f"{sx.prior_period_start('period_grain', 'period_start')} AS prior_period_start",
+        f"coalesce(lag(period_start) {_WINDOW_SQL}, state_last) AS previous_active_period",
+        f"lead(period_start) {_WINDOW_SQL} AS next_active_period",
+    )
+    return out.selectExpr(
+        "*",
+        "previous_active_period IS NULL AS is_new",
+        "previous_active_period IS NOT NULL AND previous_active_period < prior_period_start AS is_resurrected",
+        "previous_active_period IS NOT NULL AND previous_active_period = prior_period_start AS is_retained",
+    )

@@ -35,7 +35,7 @@ from ..operators.core import (DIM_COLUMNS, USER_ATTRIBUTES, dim_users, fct_event
                               user_profile)
 from ..operators.engagement import engagement_depth
 from ..operators.growth import growth_accounting
-from ..operators.retention import cohort_retention_triangle
+from ..operators.retention import cohort_retention_triangle, cohort_retention_triangle_since
 from ..operators.staging import stg_events, time_window
 from ..params import RunParams
 from ..session import checkpoint_root, ensure_utc, join_path, scratch_path
@@ -177,58 +177,81 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> tuple[DataFram
     return spark.read.parquet(path), path
 
 
-def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = RunParams(),
-                    concurrency: int = 4) -> dict:
-    """Period marts from the stored fact (full history).
+PERIOD_MARTS = ("user_period_activity", "fct_growth_accounting", "fct_engagement_depth",
+                "fct_cohort_retention_triangle")
+
 
-    The four marts read the same materialised activity and are independent,
-    so they are submitted as concurrent Spark jobs (``concurrency`` driver
-    threads) and share the cluster instead of queueing behind each other.
+def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = RunParams(),
+                    concurrency: int = 4, changed_since: dt.datetime | None = None) -> dict:
+    """Period marts from the stored daily user-segment base.
+
+    First build, full refresh, or unknown change window: classify the whole
+    history. Incremental run (every mart exists and ``changed_since``, the
+    event window of the run, is known): classify only recent periods, with
+    each user's earlier history summarised by one aggregate
+    (``classify_since``). Growth, activity and engagement rewrite the periods
+    after their lookback window; the triangle rewrites every cell whose
+    activity period starts after both its lookback window and the start of
+    the month holding the first changed day - older cells cannot have changed,
+    so the merged cohorts equal a full rebuild. The classified activity is
+    materialised once and the four independent marts run as concurrent jobs.
     """
     ensure_utc(spark)
-    windows = {}
     if not sinks.exists(spark, table_path(warehouse, DAY_BASE)):
         refresh_day_base(spark, warehouse, None)
     day_base = read_table(spark, warehouse, DAY_BASE)
-    periods, p_periods = materialize(act.user_period_segments(day_base), spark, "user_period_segments")
-    activity, p_activity = materialize(act.classify(periods), spark, "activity")
     upto = params.cutoff_date()
+    afters = {name: _period_after(spark, table_path(warehouse, name), LAYOUT[name][0], params)
+              for name in PERIOD_MARTS}
+    windowed = changed_since is not None and all(a is not None for a in afters.values())
+    if windowed:
+        d0 = changed_since.date()
+        # earliest start of any period (day, Monday week, month) containing d0
+        first_changed_period = min(d0 - dt.timedelta(days=d0.weekday()), d0.replace(day=1))
+        tri = "fct_cohort_retention_triangle"
+        afters[tri] = min(afters[tri], first_changed_period - dt.timedelta(days=1))
+    scratch = []
+    if windowed:
+        activity, p = materialize(act.classify_since(day_base, min(afters.values())), spark, "activity")
+        scratch.append(p)
+        periods = activity            # carries event_count / miles_sum per user-period-segment
+    else:
+        periods, p = materialize(act.user_period_segments(day_base), spark, "user_period_segments")
+        scratch.append(p)
+        activity, p = materialize(act.classify(periods), spark, "activity")
+        scratch.append(p)
 
-    def put(name, build):
-        path = table_path(warehouse, name)
-        part, clus = LAYOUT[name]
-        after = _period_after(spark, path, part, params)
-        windows[name] = after
-        out = build(after)
+    def triangle(after):
         if after is None:
-            sinks.replace(out, path, part, clus)
-        else:
-            sinks.overwrite_partitions(out, path, part, spread_by=SPREAD.get(name), cluster_by=clus)
+            return cohort_retention_triangle(activity, upto)
+        existing = read_table(spark, warehouse, "fct_cohort_retention_triangle")
+        # the rewrite replaces partitions this plan reads: cut lineage first
+        checkpoint_root(spark)
+        return cohort_retention_triangle_since(activity, existing, after, upto).checkpoint(eager=True)
 
     builders = {
         "user_period_activity": lambda after: act.user_period_activity(activity, after, upto),
         "fct_growth_accounting": lambda after: growth_accounting(activity, after, upto),
         "fct_engagement_depth": lambda after: engagement_depth(periods, params.power_user_min_events,
                                                                after, upto),
+        "fct_cohort_retention_triangle": triangle,
     }
 
-    def triangle(after):
-        if after is None:
-            return cohort_retention_triangle(activity, upto)
-        # Every cohort that gains a cell in the window is rebuilt whole; a
-        # cohort_start partition holds all grains, so select by start date.
-        touched = (activity.filter(F.col("period_start") > F.lit(after))
-                   .select("first_active_period").distinct())
-        subset = activity.join(touched, "first_active_period", "left_semi")
-        return cohort_retention_triangle(subset, upto)
-    builders["fct_cohort_retention_triangle"] = triangle
+    def put(name):
+        path = table_path(warehouse, name)
+        part, clus = LAYOUT[name]
+        out = builders[name](afters[name])
+        if afters[name] is None:
+            sinks.replace(out, path, part, clus)
+        else:
+            sinks.overwrite_partitions(out, path, part, spread_by=SPREAD.get(name), cluster_by=clus)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        for f in [pool.submit(put, name, build) for name, build in builders.items()]:
+        for f in [pool.submit(put, name) for name in PERIOD_MARTS]:
             f.result()
-    for path in (p_activity, p_periods):   # run-scoped intermediates
+    for path in scratch:   # run-scoped intermediates
         sinks.drop_path(spark, path)
-    return windows
+    return dict(afters)
 
 
 def pre_checks(raw: DataFrame, params: RunParams = RunParams(),
@@ -260,7 +283,7 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
     if run_quality:
         checks_out += dq.run_checks(pre_checks(raw, params))
     windows = refresh_events(spark, raw, warehouse, params, on_duplicate)
-    windows.update(refresh_periods(spark, warehouse, params))
+    windows.update(refresh_periods(spark, warehouse, params, changed_since=windows["fct_events"]))
     if run_quality:
         checks_out += dq.run_checks(post_checks(spark, raw, warehouse, params, event_types))
     return RefreshReport(windows, checks_out)
