@@ -434,3 +434,22 @@ ORACLE_SQL["growth_orders_monthly"] = _with(
 ORACLE_SQL["growth_trend"] = _with(
     chain(), "SELECT period_start, " + ", ".join(_METRICS) + f" FROM ({_topline(GROWTH)}) "
     "WHERE period_grain = 'weekly' ORDER BY period_start")
+
+_SEEDED_CHAIN = chain() + [("growth", GROWTH), ("tri", TRIANGLE), ("eng", ENGAGEMENT)]
+ORACLE_SQL["dq_seeded_faults"] = _with(_SEEDED_CHAIN, _counts([
+    ("unique_event_id", "FROM (SELECT event_id FROM stg WHERE event_type = 'purchase' GROUP BY event_id)"),
+    ("source_duplicates", "FROM (SELECT event_time, user_id, miles_amount, platform FROM raw "
+                          "WHERE event_type = 'purchase' GROUP BY ALL)"),
+    ("relationships_user_id", "FROM fct WHERE user_id IN (SELECT user_id FROM dim WHERE latest_platform = 'ios')"),
+    ("dim_first_event", "FROM dim WHERE latest_platform = 'web'"),
+    ("growth_identity", "FROM growth WHERE period_grain = 'weekly'"),
+    ("growth_prior_identity", "FROM growth c JOIN growth p ON p.period_grain = c.period_grain "
+                              "AND p.country = c.country AND p.platform = c.platform AND p.utm_source = c.utm_source "
+                              "AND p.period_start = CAST(c.period_start - INTERVAL 1 DAY AS DATE) "
+                              "WHERE c.period_grain = 'daily'"),
+    ("growth_non_negative", "FROM growth WHERE period_grain = 'daily'"),
+    ("classification_exclusive", "FROM act WHERE is_new"),
+    ("triangle_bounds", "FROM tri WHERE retention_rate * 2 > 1"),
+    ("triangle_unique", "FROM (SELECT 1 FROM tri WHERE cohort_grain = 'monthly')"),
+    ("engagement_bounds", "FROM eng WHERE period_grain = 'weekly'"),
+]))

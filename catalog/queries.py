@@ -446,3 +446,41 @@ def growth_trend(spark, sf_dir):
     """Weekly top-line trend chart dataset (period ascending)."""
     from tidemark.operators.reporting import growth_trend as trend
     return trend(marts(spark, sf_dir).growth_accounting, "weekly")
+
+
+@query("dq_seeded_faults")
+def dq_seeded_faults(spark, sf_dir):
+    """Every singular/generic check applied to marts with faults injected
+    from real rows (duplicated purchase events, a dimension without its iOS
+    users, inflated weekly new users, ...). Each check must report exactly
+    the rows its fault touches."""
+    from tidemark.operators import quality as dq
+    from tidemark.sources.adapters import raw_events
+    m = marts(spark, sf_dir)
+    raw = raw_events(spark, sf_dir)
+    stg, dim, fct = m.stg_events, m.dim_users, m.fct_events
+    g, act, tri, eng = m.growth_accounting, m.user_period_activity, m.cohort_retention_triangle, m.engagement_depth
+    purchase = F.col("event_type") == "purchase"
+    bump = lambda df, col, cond, by: df.withColumn(col, F.when(cond, F.col(col) + by).otherwise(F.col(col)))
+    grain = lambda name: F.col("period_grain") == name
+    return _summary([
+        dq.Check("unique_event_id", dq.unique(stg.unionByName(stg.filter(purchase)), "event_id")),
+        dq.Check("source_duplicates", dq.source_duplicates(raw.unionByName(raw.filter(purchase)))),
+        dq.Check("relationships_user_id",
+                 dq.relationships(fct, "user_id", dim.filter(~F.col("latest_platform").eqNullSafe("ios")),
+                                  "user_id"), weighted=True),
+        dq.Check("dim_first_event",
+                 dq.dim_first_event(dim.withColumn("first_event_time_utc", F.when(
+                     F.col("latest_platform") == "web", F.col("first_event_time_utc") + F.expr("INTERVAL 1 SECOND"))
+                     .otherwise(F.col("first_event_time_utc"))), fct)),
+        dq.Check("growth_identity", dq.growth_identity(bump(g, "new_users", grain("weekly"), 1))),
+        dq.Check("growth_prior_identity", dq.growth_prior_identity(bump(g, "churned_users", grain("daily"), 1))),
+        dq.Check("growth_non_negative", dq.growth_non_negative(bump(g, "churned_users", grain("daily"), -1000))),
+        dq.Check("classification_exclusive",
+                 dq.classification_exclusive(act.withColumn("is_retained", F.col("is_retained") | F.col("is_new")))),
+        dq.Check("triangle_bounds", dq.triangle_bounds(tri.withColumn("retention_rate", F.col("retention_rate") * 2))),
+        dq.Check("triangle_unique", dq.triangle_unique(tri.unionByName(tri.filter(F.col("cohort_grain") == "monthly")))),
+        dq.Check("engagement_bounds",
+                 dq.engagement_bounds(eng.withColumn("power_users", F.when(
+                     grain("weekly"), F.col("active_users") + 1).otherwise(F.col("power_users"))))),
+    ])
