@@ -109,3 +109,23 @@ def test_triangle_matches_brute_force(spark, evs):
            (r.period_index, r.cohort_users, r.retained_users)
            for r in Marts(raw).cohort_retention_triangle.collect()}
     assert got == brute_force_triangle(events)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(event, min_size=1, max_size=30), st.integers(0, 75))
+def test_windowed_classification_matches_full(spark, evs, cut):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import activity as act
+    events = [(u, BASE + dt.timedelta(days=k), p) for u, k, p in evs]
+    raw = make_raw(spark, [{"event_time": f"{d.isoformat()} 10:{i % 60:02d}:00", "user_id": u, "platform": p}
+                           for i, (u, d, p) in enumerate(events)])
+    day = Marts(raw).user_day_segments
+    after = BASE + dt.timedelta(days=cut)
+    cols = ["period_grain", "period_start", "platform", "user_id", "first_active_period",
+            "previous_active_period", "next_active_period", "is_new", "is_retained", "is_resurrected"]
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    full = act.classify(act.user_period_segments(day)).filter(F.col("period_start") > F.lit(after))
+    win = act.classify_since(day, after).filter(F.col("period_start") > F.lit(after))
+    assert sorted(map(tuple, win.select(*cols).collect()), key=key) == \
+        sorted(map(tuple, full.select(*cols).collect()), key=key)
