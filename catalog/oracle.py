@@ -97,25 +97,26 @@ FCT = """
 
 # user x period x segment, with per-period event counts; 'all' re-aggregates
 # across segments for the same user.
-UPS = """
-  SELECT period_grain, period_start, country, platform, utm_source, user_id,
-         CAST(sum(n) AS BIGINT) AS event_count, sum(m) AS miles_sum
-  FROM (
-    SELECT g.period_grain,
-      CASE g.period_grain WHEN 'daily' THEN f.event_date_utc
-        WHEN 'weekly' THEN CAST(date_trunc('week', f.event_date_utc) AS DATE)
-        ELSE CAST(date_trunc('month', f.event_date_utc) AS DATE) END AS period_start,
-      x.country, x.platform, x.utm_source, f.user_id,
-      1 AS n, coalesce(f.miles_amount, CAST(0 AS DECIMAL(38,9))) AS m
-    FROM fct f
-    JOIN (VALUES ('daily'), ('weekly'), ('monthly')) g(period_grain) ON TRUE
-    JOIN (VALUES (0), (1)) r(rollup) ON TRUE
-    CROSS JOIN LATERAL (SELECT
-        CASE WHEN r.rollup = 1 THEN 'all' ELSE coalesce(f.country, 'UNKNOWN') END AS country,
-        CASE WHEN r.rollup = 1 THEN 'all' ELSE coalesce(f.platform, 'unknown') END AS platform,
-        CASE WHEN r.rollup = 1 THEN 'all' ELSE coalesce(f.utm_source, 'unknown') END AS utm_source) x
-  ) t
-  GROUP BY ALL"""
+def _ups_branch(grain: str, rollup: bool) -> str:
+    period = {"daily": "event_date_utc",
+              "weekly": "CAST(date_trunc('week', event_date_utc) AS DATE)",
+              "monthly": "CAST(date_trunc('month', event_date_utc) AS DATE)"}[grain]
+    seg = ("'all', 'all', 'all'" if rollup else
+           "coalesce(country, 'UNKNOWN'), coalesce(platform, 'unknown'), coalesce(utm_source, 'unknown')")
+    return (f"SELECT '{grain}' AS period_grain, {period} AS period_start, {seg}, user_id, "
+            f"coalesce(miles_amount, CAST(0 AS DECIMAL(38,9))) AS m FROM fct")
+
+
+# user x period x segment, with per-period event counts; 'all' re-aggregates
+# across segments for the same user.
+UPS = (
+    "\n  SELECT period_grain, period_start, country, platform, utm_source, user_id,\n"
+    "         CAST(count(*) AS BIGINT) AS event_count, sum(m) AS miles_sum\n"
+    "  FROM (\n    "
+    + "\n    UNION ALL\n    ".join(
+        _ups_branch(g, r) for g in ("daily", "weekly", "monthly") for r in (False, True))
+    + "\n  ) AS t (period_grain, period_start, country, platform, utm_source, user_id, m)\n"
+    "  GROUP BY ALL")
 
 
 def _prior(p: str) -> str:
