@@ -83,7 +83,7 @@ def hot_dir(tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", ["growth_accounting", "cohort_retention_triangle", "engagement_depth",
-                                  "dim_users"])
+                                  "dim_users", "fct_events", "dq_seeded_faults"])
 def test_hot_user_matches_oracle(spark, hot_dir, name):
     from compare import digest
     con = duckdb.connect()
