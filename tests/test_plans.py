@@ -110,3 +110,20 @@ def test_incremental_window_prunes_date_partitions(spark):
     p = plan_text(df)
     scan = next(ln for ln in p.splitlines() if "FileScan parquet" in ln and "stg_events" in ln)
     assert "PartitionFilters: [isnotnull(event_date_utc" in scan and "2024-01-25" in scan
+
+
+def test_fct_key_without_event_shuffle_matches_join(spark):
+    from tidemark.operators.core import FCT_COLUMNS, fct_events
+    m = Marts(raw_events(spark, SF))
+    dim = m.dim_users.filter("latest_platform IS NULL OR latest_platform <> 'web'")   # some users missing
+    plain = fct_events(m.stg_events, dim)
+    keyed = fct_events(m.stg_events, dim, missing_broadcast_limit=1000)
+    rows = lambda df: sorted(map(tuple, df.select(*FCT_COLUMNS).collect()), key=repr)
+    assert rows(keyed) == rows(plain)
+    assert any(r.user_sk is None for r in keyed.collect())
+    p = plan_text(keyed)
+    assert "BroadcastHashJoin" in p
+    # the only event-level exchange left is the adapter's customer lookup, none keyed on the dimension
+    assert "SortMergeJoin" not in p.split("BroadcastHashJoin")[0]
+    over = fct_events(m.stg_events, dim, missing_broadcast_limit=0)    # above the bound: plain join
+    assert rows(over) == rows(plain)

@@ -100,13 +100,35 @@ def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame) -> DataFram
 
 
 def fct_events(stg: DataFrame, dim: DataFrame, params: RunParams = RunParams(),
-               after: dt.datetime | None = None) -> DataFrame:
+               after: dt.datetime | None = None,
+               missing_broadcast_limit: int | None = None) -> DataFrame:
     """Event fact: staging rows plus the user's surrogate key.
 
-    A left join, so an event whose user is missing from the dimension keeps
-    a null ``user_sk`` (the relationship check reports it). The join shuffles
-    events on ``user_id``; AQE splits the partition of a hot user.
+    Semantics of a left join on ``user_id``: an event whose user is missing
+    from the dimension keeps a null ``user_sk`` (the relationship check
+    reports it). The plain plan shuffles the events on ``user_id`` (AQE
+    splits a hot user's partition).
+
+    With ``missing_broadcast_limit`` the event shuffle is avoided: the key is
+    a pure function of ``user_id``, so only the users *missing* from the
+    dimension matter. They are found from the distinct users of the window
+    (combined map-side) anti-joined with the dimension, written as a
+    reliable checkpoint and counted; if there are at most
+    ``missing_broadcast_limit`` of them (normally none) that small set is
+    broadcast and the key computed in place. Otherwise the plain join runs.
+    This is an action, so it is meant for refresh runs, not lazy plans.
     """
     events = time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
-    users = dim.select("user_id", "user_sk")
-    return events.join(users, "user_id", "left").select(*FCT_COLUMNS)
+    if missing_broadcast_limit is None:
+        users = dim.select("user_id", "user_sk")
+        return events.join(users, "user_id", "left").select(*FCT_COLUMNS)
+    missing = (events.select("user_id").distinct()
+               .join(dim.select("user_id"), "user_id", "left_anti")
+               .checkpoint(eager=True))
+    if missing.count() > missing_broadcast_limit:
+        return fct_events(stg, dim, params, after)
+    flagged = events.join(F.broadcast(missing.select("user_id", F.lit(True).alias("_missing"))),
+                          "user_id", "left")
+    return flagged.selectExpr(
+        f"CASE WHEN _missing THEN NULL ELSE {sx.surrogate_key('user_id')} END AS user_sk",
+        *[c for c in FCT_COLUMNS if c != "user_sk"]).select(*FCT_COLUMNS)

@@ -45,6 +45,9 @@ TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_
           "fct_cohort_retention_triangle", "fct_engagement_depth")
 DAY_BASE = "user_day_segments"
 DIM_BUCKETS = 64
+# Users of an event window absent from the dimension are broadcast (and the
+# event shuffle for the user key skipped) only up to this many rows.
+MISSING_USERS_BROADCAST_LIMIT = 500_000
 # Physical layout: (partition column, cluster columns) per table. User-level
 # tables are also spread by user when partitions are rewritten (SPREAD), so
 # one period's rows are written by many tasks, not one.
@@ -132,7 +135,8 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     p_fct = table_path(warehouse, "fct_events")
     f_after = _event_after(spark, p_fct, "event_time_utc", "event_date_utc", params)
     windows["fct_events"] = f_after
-    fct_new = fct_events(stg, dim, params, f_after)
+    checkpoint_root(spark)
+    fct_new = fct_events(stg, dim, params, f_after, missing_broadcast_limit=MISSING_USERS_BROADCAST_LIMIT)
     part, clus = LAYOUT["fct_events"]
     if f_after is None:
         sinks.replace(fct_new, p_fct, part, clus)
