@@ -91,3 +91,17 @@ def test_upsert_replaces_matched_and_inserts_new(spark):
     sinks.upsert(spark, path, inc, "id", "d")
     got = sorted((r.id, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("a", 9), ("b", 1), ("c", 1)]
+
+
+def test_precheck_scope_window_only_sees_recent_duplicates(spark):
+    from tidemark.operators.quality import DataQualityError
+    wh = scratch_path(spark, "scope")
+    old = make_raw(spark, [{"event_time": "2024-01-01 10:00:00", "user_id": "a"}] * 2)   # old duplicate
+    first = make_raw(spark, [{"event_time": "2024-01-05 10:00:00", "user_id": "b"}])
+    refresh.refresh_events(spark, first, wh)
+    both = old.unionByName(first)
+    with pytest.raises(DataQualityError):
+        refresh.refresh_all(spark, both, wh)                       # whole source: duplicate found
+    r = refresh.refresh_all(spark, both, wh, run_quality=True, precheck_scope="window",
+                            event_types=("like",))
+    assert ("source_duplicates", "error", 0) in r.checks
