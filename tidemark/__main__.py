@@ -57,7 +57,7 @@ def main(argv=None) -> int:
     if a.step in ("precheck", "all"):
         since = None
         if a.precheck_scope == "window":
-            since = refresh._event_after(spark, refresh.table_path(a.warehouse, "stg_events"),
+            since = refresh.event_lower_bound(spark, refresh.table_path(a.warehouse, "stg_events"),
                                          "event_time_utc", "event_date_utc", params)
         out["precheck"] = dq.run_checks(refresh.pre_checks(raw, params, since=since))
     if a.step in ("run", "all", "backfill"):

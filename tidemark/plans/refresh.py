@@ -79,14 +79,19 @@ def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     return df.drop("user_bucket") if name == "dim_users" else df
 
 
-def _event_after(spark, path, ts_col, part, params) -> dt.datetime | None:
+def event_lower_bound(spark, path, ts_col, part, params) -> dt.datetime | None:
+    """Exclusive lower bound on event time for an incremental run of the
+    table at ``path``: its watermark minus the late-arrival lookback (None
+    for a full refresh or a missing table)."""
     if params.full_refresh:
         return None
     wm = sinks.max_event_time(spark, path, ts_col, part)
     return None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
 
 
-def _period_after(spark, path, part, params) -> dt.date | None:
+def period_lower_bound(spark, path, part, params) -> dt.date | None:
+    """Exclusive lower bound on period start: the newest stored period minus
+    the period lookback (None for a full refresh or a missing table)."""
     if params.full_refresh or not sinks.exists(spark, path):
         return None
     newest = sinks.max_partition_date(spark, path, part)
@@ -99,7 +104,7 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     ensure_utc(spark)
     windows = {}
     p_stg = table_path(warehouse, "stg_events")
-    after = _event_after(spark, p_stg, "event_time_utc", "event_date_utc", params)
+    after = event_lower_bound(spark, p_stg, "event_time_utc", "event_date_utc", params)
     windows["stg_events"] = after
     stg_new = stg_events(raw, params, after)
     part, clus = LAYOUT["stg_events"]
@@ -133,7 +138,7 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
 
     p_fct = table_path(warehouse, "fct_events")
-    f_after = _event_after(spark, p_fct, "event_time_utc", "event_date_utc", params)
+    f_after = event_lower_bound(spark, p_fct, "event_time_utc", "event_date_utc", params)
     windows["fct_events"] = f_after
     checkpoint_root(spark)
     fct_new = fct_events(stg, dim, params, f_after, missing_broadcast_limit=MISSING_USERS_BROADCAST_LIMIT)
@@ -205,7 +210,7 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         refresh_day_base(spark, warehouse, None)
     day_base = read_table(spark, warehouse, DAY_BASE)
     upto = params.cutoff_date()
-    afters = {name: _period_after(spark, table_path(warehouse, name), LAYOUT[name][0], params)
+    afters = {name: period_lower_bound(spark, table_path(warehouse, name), LAYOUT[name][0], params)
               for name in PERIOD_MARTS}
     windowed = changed_since is not None and all(a is not None for a in afters.values())
     if windowed:
@@ -299,7 +304,7 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
     if run_quality:
         since = None
         if precheck_scope == "window":
-            since = _event_after(spark, table_path(warehouse, "stg_events"), "event_time_utc",
+            since = event_lower_bound(spark, table_path(warehouse, "stg_events"), "event_time_utc",
                                  "event_date_utc", params)
         checks_out += dq.run_checks(pre_checks(raw, params, since=since))
     windows = refresh_events(spark, raw, warehouse, params, on_duplicate)
