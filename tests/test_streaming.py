@@ -21,3 +21,20 @@ def test_stream_two_deliveries_and_late_rule(spark):
     assert sorted(r.user_id for r in fct.collect()) == ["a", "a", "b"]
     dim = {r.user_id: r.latest_platform for r in read_table(spark, wh, "dim_users").collect()}
     assert dim == {"a": "web", "b": None}
+
+
+def test_stream_with_period_marts(spark):
+    from pyspark.sql import functions as F
+    from tidemark.plans.marts import Marts
+    from tidemark.sources.adapters import raw_events
+    src, wh, ck = (scratch_path(spark, n) for n in ("p-src", "p-wh", "p-ck"))
+    raw = raw_events(spark, "/root/testdata/sf0.001")
+    cut = F.col("event_time") < F.lit(dt.datetime(2024, 1, 16))
+    for i, part in enumerate((raw.filter(cut), raw.filter(~cut))):
+        stage_files(spark, part.drop("loaded_at"), src, f"d{i}")
+        start_event_ingest(spark, src, wh, checkpoint=ck, loaded_at=dt.datetime(2024, 2, 1),
+                           with_periods=True).awaitTermination()
+    got = read_table(spark, wh, "fct_growth_accounting")
+    want = Marts(raw).growth_accounting
+    key = lambda df: sorted(map(tuple, df.select(*sorted(want.columns)).collect()), key=repr)
+    assert key(got) == key(want)

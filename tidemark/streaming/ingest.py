@@ -43,7 +43,8 @@ def event_file_stream(spark: SparkSession, source_dir: str,
     return s.select(*[typed.get(c, F.col(c)).alias(c) for c in EXPECTED_COLUMNS])
 
 
-def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | None):
+def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | None,
+                   with_periods: bool = False):
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -53,7 +54,9 @@ def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | N
         try:
             if batch.filter(F.col("event_time").isNull()).limit(1).count() > 0:
                 raise IngestError(f"micro-batch {batch_id}: invalid event_time values; stopping")
-            refresh.refresh_events(spark, batch, warehouse, params)
+            windows = refresh.refresh_events(spark, batch, warehouse, params)
+            if with_periods:
+                refresh.refresh_periods(spark, warehouse, params, changed_since=windows["fct_events"])
         finally:
             batch.unpersist()
     return handle
@@ -62,11 +65,14 @@ def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | N
 def start_event_ingest(spark: SparkSession, source_dir: str, warehouse: str,
                        params: RunParams = RunParams(), checkpoint: str | None = None,
                        available_now: bool = True, loaded_at: dt.datetime | None = None,
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest query (caller awaits / stops it)."""
+                       max_files_per_trigger: int | None = None,
+                       with_periods: bool = False) -> StreamingQuery:
+    """Start the ingest query (caller awaits / stops it). With
+    ``with_periods`` every micro-batch also refreshes the period marts
+    (windowed re-classification of the recent periods)."""
     checkpoint = checkpoint or scratch_path(spark, "event-stream-checkpoint")
     w = (event_file_stream(spark, source_dir, max_files_per_trigger).writeStream
-         .foreachBatch(_batch_handler(warehouse, params, loaded_at))
+         .foreachBatch(_batch_handler(warehouse, params, loaded_at, with_periods))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
