@@ -45,3 +45,11 @@ def test_lenient_miles_offsets_extra_columns(spark, tmp_path):
     assert rows[1].country == "NA" and rows[0].extra == "keep"
     na = read_events_csv(spark, p, dt.datetime(2024, 2, 1), pandas_na=True)
     assert sorted(r.country for r in na.collect() if r.country) == ["SG"]
+
+
+def test_fallback_time_layouts(spark, tmp_path):
+    p = write(tmp_path, "f.csv", [HEADER, "2024/01/02 03:04:05,1,F,like,,1,ios,g,SG",
+                                  "01/02/2024 03:04,2,F,like,,1,ios,g,SG", "01/02/2024,3,F,like,,1,ios,g,SG"])
+    got = {r.user_id: r.event_time for r in read_events_csv(spark, p, dt.datetime(2024, 2, 1)).collect()}
+    assert got == {"1": dt.datetime(2024, 1, 2, 3, 4, 5), "2": dt.datetime(2024, 1, 2, 3, 4),
+                   "3": dt.datetime(2024, 1, 2)}

@@ -12,3 +12,10 @@ Layers:
 """
 
 __version__ = "0.1.0"
+
+from .params import RunParams  # noqa: E402
+from .plans.marts import Marts  # noqa: E402
+from .plans.refresh import refresh_all, refresh_events, refresh_periods  # noqa: E402
+from .session import build_session  # noqa: E402
+
+__all__ = ["RunParams", "Marts", "refresh_all", "refresh_events", "refresh_periods", "build_session"]

@@ -22,7 +22,7 @@ from ..functions import ts_ntz
 from ..params import RunParams
 from ..plans import refresh
 from ..session import ensure_utc, join_path, scratch_path
-from ..sources.csv_ingest import EXPECTED_COLUMNS, IngestError
+from ..sources.csv_ingest import EXPECTED_COLUMNS, FALLBACK_TIME_FORMATS, IngestError
 
 STREAM_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EXPECTED_COLUMNS])
 
@@ -36,8 +36,11 @@ def event_file_stream(spark: SparkSession, source_dir: str,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     s = r.csv(source_dir)
+    t = F.trim("event_time")
     typed = {
-        "event_time": F.try_to_timestamp(F.trim("event_time")).cast("timestamp_ntz"),
+        "event_time": F.coalesce(F.try_to_timestamp(t),
+                                 *[F.try_to_timestamp(t, F.lit(f)) for f in FALLBACK_TIME_FORMATS]
+                                 ).cast("timestamp_ntz"),
         "miles_amount": F.expr("try_cast(trim(miles_amount) AS double)"),
     }
     return s.select(*[typed.get(c, F.col(c)).alias(c) for c in EXPECTED_COLUMNS])
