@@ -105,3 +105,13 @@ def test_precheck_scope_window_only_sees_recent_duplicates(spark):
     r = refresh.refresh_all(spark, both, wh, run_quality=True, precheck_scope="window",
                             event_types=("like",))
     assert ("source_duplicates", "error", 0) in r.checks
+
+
+def test_half_written_table_is_not_existing(spark):
+    import os
+    path = scratch_path(spark, "half")
+    os.makedirs(os.path.join(path, "_temporary", "0"))
+    assert not sinks.exists(spark, path)
+    df = spark.createDataFrame([("a", dt.date(2024, 1, 1))], "id string, d date")
+    sinks.replace(df, path, "d")
+    assert sinks.exists(spark, path)

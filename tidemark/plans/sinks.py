@@ -26,10 +26,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """A committed table: ``_SUCCESS`` present, or (when success markers are
+    disabled) data entries without a pending ``_temporary`` from a failed or
+    running write. A half-written folder is treated as absent, so the next
+    run rebuilds it instead of merging into it."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return False
-    return fs.exists(jvm_child(spark, path, "_SUCCESS")) or len(fs.listStatus(p)) > 0
+    if fs.exists(jvm_child(spark, path, "_SUCCESS")):
+        return True
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return bool(names) and "_temporary" not in names and any(not n.startswith(("_", ".")) for n in names)
 
 
 def jvm_child(spark: SparkSession, path: str, name: str):
