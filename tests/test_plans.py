@@ -127,3 +127,14 @@ def test_fct_key_without_event_shuffle_matches_join(spark):
     assert "SortMergeJoin" not in p.split("BroadcastHashJoin")[0]
     over = fct_events(m.stg_events, dim, missing_broadcast_limit=0)    # above the bound: plain join
     assert rows(over) == rows(plain)
+
+
+@pytest.mark.parametrize("attr", ["growth_accounting", "cohort_retention_triangle", "engagement_depth"])
+def test_marts_have_no_joins_beyond_the_source_lookup(spark, attr):
+    """Above the daily base the marts are aggregates and windows only: the
+    dimension join is pruned and no mart-level join remains."""
+    m = Marts(raw_events(spark, SF))
+    p = plan_text(getattr(m, attr))
+    above_base = p.split("REPARTITION_BY_COL")[0]
+    assert "Join" not in above_base
+    assert p.count("Exchange hashpartitioning") <= 5   # day base, user repartition, mart agg (+ triangle window, adapter)
