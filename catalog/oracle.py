@@ -454,3 +454,19 @@ ORACLE_SQL["dq_seeded_faults"] = _with(_SEEDED_CHAIN, _counts([
     ("triangle_unique", "FROM (SELECT 1 FROM tri WHERE cohort_grain = 'monthly')"),
     ("engagement_bounds", "FROM eng WHERE period_grain = 'weekly'"),
 ]))
+
+_STG_CHAIN = chain()[:3]
+ORACLE_SQL["upsert_merge"] = _with(_STG_CHAIN, """
+  SELECT event_id, event_time_utc, user_id, gender, event_type,
+    CASE WHEN event_type = 'purchase' THEN 'corrected' ELSE transaction_category END AS transaction_category,
+    miles_amount, platform, utm_source, country, event_date_utc, event_week_utc, event_month_utc, loaded_at
+  FROM stg""")
+
+_FIRST_HALF = RAW_EVENTS.replace("LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey",
+                                 "LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey "
+                                 "WHERE e.ts < TIMESTAMP '2024-01-15 00:00:00'")
+ORACLE_SQL["partition_overwrite"] = _with(
+    chain()[:6] + prefixed([("raw", _FIRST_HALF)] + chain()[1:6], "h_")
+    + [("eng_all", ENGAGEMENT), ("eng_first", ENGAGEMENT.replace("FROM ups", "FROM h_ups"))],
+    "SELECT * FROM eng_first WHERE period_start < DATE '2024-01-15' "
+    "UNION ALL SELECT * FROM eng_all WHERE period_start >= DATE '2024-01-15'")

@@ -484,3 +484,42 @@ def dq_seeded_faults(spark, sf_dir):
                  dq.engagement_bounds(eng.withColumn("power_users", F.when(
                      grain("weekly"), F.col("active_users") + 1).otherwise(F.col("power_users"))))),
     ])
+
+
+@query("upsert_merge")
+def upsert_merge(spark, sf_dir):
+    """Keyed merge: corrected copies of every purchase event (same event_id,
+    new category) are upserted into the staged events; matched rows are
+    replaced, nothing else changes."""
+    from tidemark.operators.staging import STG_COLUMNS
+    from tidemark.plans import sinks
+    from tidemark.session import scratch_path
+    stg = marts(spark, sf_dir).stg_events
+    path = scratch_path(spark, "upsert-merge")
+    sinks.replace(stg, path, "event_date_utc")
+    corrections = (stg.filter(F.col("event_type") == "purchase")
+                   .withColumn("transaction_category", F.lit("corrected")))
+    sinks.upsert(spark, path, corrections, "event_id", "event_date_utc")
+    return spark.read.parquet(path).select(*STG_COLUMNS)
+
+
+@query("partition_overwrite")
+def partition_overwrite(spark, sf_dir):
+    """Dynamic partition overwrite: engagement built from events before
+    2024-01-15, then the periods starting on or after that day rewritten from
+    all events; earlier partitions (including the week and month that started
+    before it) keep their first values."""
+    from tidemark.operators.engagement import ENGAGEMENT_COLUMNS
+    from tidemark.plans import sinks
+    from tidemark.session import scratch_path
+    from tidemark.sources.adapters import raw_events
+    raw = raw_events(spark, sf_dir)
+    first = Marts(raw.filter(F.col("event_time") < ts_ntz(SPLIT_DAY))).engagement_depth
+    path = scratch_path(spark, "partition-overwrite")
+    sinks.replace(first, path, "period_start")
+    later = Marts(raw).engagement_depth.filter(F.col("period_start") >= F.lit(SPLIT_DAY.date()))
+    sinks.overwrite_partitions(later, path, "period_start")
+    return spark.read.parquet(path).select(*ENGAGEMENT_COLUMNS)
+
+
+SPLIT_DAY = _dt.datetime(2024, 1, 15)
