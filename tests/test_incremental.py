@@ -115,3 +115,15 @@ def test_half_written_table_is_not_existing(spark):
     df = spark.createDataFrame([("a", dt.date(2024, 1, 1))], "id string, d date")
     sinks.replace(df, path, "d")
     assert sinks.exists(spark, path)
+
+
+def test_upsert_keep_latest_resolves_duplicates(spark):
+    path = scratch_path(spark, "keep-latest")
+    D, T = dt.date, dt.datetime
+    base = spark.createDataFrame([("a", D(2024, 1, 1), 1, T(2024, 1, 1))], "id string, d date, v int, loaded_at timestamp_ntz")
+    sinks.replace(base, path, "d")
+    inc = spark.createDataFrame([("a", D(2024, 1, 1), 2, T(2024, 1, 2)), ("a", D(2024, 1, 1), 3, T(2024, 1, 3))],
+                                "id string, d date, v int, loaded_at timestamp_ntz")
+    sinks.upsert(spark, path, inc, "id", "d", on_duplicate="keep_latest")
+    assert [(r.id, r.v) for r in spark.read.parquet(path).collect()] == [("a", 3)]
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()   # nothing left cached

@@ -27,6 +27,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import activity as act
@@ -127,14 +128,18 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
         incoming = user_profile(
             time_window(stg, "event_time_utc", d_after, params.cutoff_ts(), date_col="event_date_utc")
             .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", bucket)
-        touched = [r[0] for r in incoming.select("user_bucket").distinct().collect()]  # <= DIM_BUCKETS
-        if touched:
-            checkpoint_root(spark)
-            merged = merge_dim_rows(existing.filter(F.col("user_bucket").isin(touched)),
-                                    incoming.drop("user_bucket")).select("*", bucket)
-            # the rewrite replaces the buckets the merge reads: cut lineage first
-            sinks.overwrite_partitions(merged.checkpoint(eager=True), p_dim, "user_bucket",
-                                       spread_by="user_id", cluster_by=LAYOUT["dim_users"][1])
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)   # used for the bucket list and the merge
+        try:
+            touched = [r[0] for r in incoming.select("user_bucket").distinct().collect()]  # <= DIM_BUCKETS
+            if touched:
+                checkpoint_root(spark)
+                merged = merge_dim_rows(existing.filter(F.col("user_bucket").isin(touched)),
+                                        incoming.drop("user_bucket")).select("*", bucket)
+                # the rewrite replaces the buckets the merge reads: cut lineage first
+                sinks.overwrite_partitions(merged.checkpoint(eager=True), p_dim, "user_bucket",
+                                           spread_by="user_id", cluster_by=LAYOUT["dim_users"][1])
+        finally:
+            incoming.unpersist()
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
 
     p_fct = table_path(warehouse, "fct_events")

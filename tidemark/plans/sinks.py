@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_root
@@ -147,20 +148,27 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     which contains the event time, and for a user bucket derived from the
     user id). Only partitions that appear in ``incoming`` are read and
     rewritten; the list of touched partitions is small (dates or buckets).
+    ``incoming`` is used by several passes (duplicate check, touched list,
+    merge), so it is persisted for the duration of the merge; a lost block is
+    recomputed from its lineage.
     """
-    incoming = dedupe_incoming(incoming, key, on_duplicate)
-    if not exists(spark, path):
-        replace(incoming, path, partition_by, cluster_by)
-        return
-    touched = [r[0] for r in incoming.select(partition_by).distinct().collect()]
-    if not touched:
-        return
-    existing = spark.read.parquet(path).filter(F.col(partition_by).isin(touched))
-    kept = existing.join(incoming.select(key), key, "left_anti")
-    merged = kept.unionByName(incoming.select(*existing.columns))
-    # Reliable checkpoint (in spark.checkpoint.dir): the write below replaces
-    # the very partitions the merge reads, so a retried task must never go
-    # back to them.
-    checkpoint_root(spark)
-    overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, spread_by=key,
-                         cluster_by=cluster_by)
+    cached = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        incoming = dedupe_incoming(cached, key, on_duplicate)
+        if not exists(spark, path):
+            replace(incoming, path, partition_by, cluster_by)
+            return
+        touched = [r[0] for r in incoming.select(partition_by).distinct().collect()]
+        if not touched:
+            return
+        existing = spark.read.parquet(path).filter(F.col(partition_by).isin(touched))
+        kept = existing.join(incoming.select(key), key, "left_anti")
+        merged = kept.unionByName(incoming.select(*existing.columns))
+        # Reliable checkpoint (in spark.checkpoint.dir): the write below replaces
+        # the very partitions the merge reads, so a retried task must never go
+        # back to them.
+        checkpoint_root(spark)
+        overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, spread_by=key,
+                             cluster_by=cluster_by)
+    finally:
+        cached.unpersist()
