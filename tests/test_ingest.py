@@ -53,3 +53,17 @@ def test_fallback_time_layouts(spark, tmp_path):
     got = {r.user_id: r.event_time for r in read_events_csv(spark, p, dt.datetime(2024, 2, 1)).collect()}
     assert got == {"1": dt.datetime(2024, 1, 2, 3, 4, 5), "2": dt.datetime(2024, 1, 2, 3, 4),
                    "3": dt.datetime(2024, 1, 2)}
+
+
+def test_raw_table_is_day_partitioned_and_pruned(spark, tmp_path):
+    from tidemark.operators.staging import stg_events
+    p = write(tmp_path, "d.csv", [HEADER, "2024-01-01 10:00:00,1,F,like,,1,ios,g,SG",
+                                  "2024-01-05 10:00:00,2,F,like,,1,ios,g,SG"])
+    target = scratch_path(spark, "raw-days")
+    ingest_events_csv(spark, p, target, dt.datetime(2024, 2, 1))
+    raw = spark.read.parquet(target)
+    assert "event_date" in raw.columns
+    df = stg_events(raw, after=dt.datetime(2024, 1, 3))
+    assert [r.user_id for r in df.collect()] == ["2"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan

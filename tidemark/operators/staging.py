@@ -43,7 +43,9 @@ def stg_events(raw: DataFrame, params: RunParams = RunParams(),
     Rows without a user or a time are dropped; rows with a null event type
     are kept.
     """
-    src = time_window(raw, "event_time", after, params.cutoff_ts())
+    # a stored raw table partitioned by event day lets the bounds prune days
+    day_col = "event_date" if "event_date" in raw.columns else None
+    src = time_window(raw, "event_time", after, params.cutoff_ts(), date_col=day_col)
     typed = src.selectExpr(
         "CAST(event_time AS TIMESTAMP_NTZ) AS event_time_utc",
         "CAST(user_id AS STRING) AS user_id",
