@@ -1,5 +1,18 @@
 """Registry of named queries: each is ``(spark, sf_dir) -> DataFrame`` over
-the driver's Parquet tables, running on the whole tables."""
+the driver's Parquet tables, running on the whole tables.
+
+Groups:
+  models       stg_events, dim_users, fct_events, user_day_segments,
+               user_period_segments, user_period_activity
+  marts        growth_accounting, growth_topline, growth_orders(_monthly),
+               cohort_retention_triangle, cohort_sizes, engagement_depth,
+               churned_users, power_users, surrogate_key, growth_cutoff
+  reporting    growth_long_form, growth_scorecards, growth_trend, cohort_matrix,
+               growth_dashboard
+  quality      dq_* (one summary row per check; dq_seeded_faults injects faults)
+  storage      csv_ingest, upsert_merge, partition_overwrite, *_incremental,
+               late_events_ignored, cutoff_bounded_run, streaming_ingest
+"""
 from __future__ import annotations
 
 from collections.abc import Callable
