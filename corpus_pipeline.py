@@ -1,7 +1,77 @@
-"""Placeholder until the stages are registered."""
-STAGES = []
+"""From raw documents to token ids: five stages over the ``documents`` table.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
+as Parquet and read again as the next stage's documents; so lineage is cut
+between stages and a lost executor costs no earlier stage. All stages but the
+last return the columns of documents.
+
+1. quality  documents that importance resampling leaves out go
+2. dedup    of each group of near copies (five-word shingles, 80 of 100 in
+            common) the document with the smallest doc_id stays
+3. pii      personal data in texts is replaced by its kind, as [EMAIL]
+4. mix      documents are repeated or left out so that sources come near their
+            target weights
+5. encode   texts become byte-level BPE ids, checked by decoding them
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.llm import byte_bpe, hyperminhash, importance, mixing, pii
+from tidemark.session import join_path, scratch_path
+
+#: No stage but the mix can be expressed in SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(join_path(sf_dir, "labels.parquet"))
+    model = importance.fit(docs, labels)
+    return importance.resample(docs, model).where("kept").select(*docs.columns)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component; rows without words or doc_id all stay."""
+    path = scratch_path(spark, "near-duplicates")
+    hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT).write.parquet(path)
+    verdict = (spark.read.parquet(path).where("doc_id is not null").groupBy(F.col("doc_id").alias("verdict_id"))
+               .agg(F.max("kept").alias("verdict_kept"), F.max("n_shingles").alias("verdict_words"),
+                    F.count("*").alias("verdict_rows")))
+    joined = docs.join(verdict, F.col("doc_id") == F.col("verdict_id"), "left").where("verdict_kept is null or verdict_kept")
+    repeats = (F.col("verdict_rows") > 1) & (F.col("verdict_words") > 0)
+    if verdict.where("verdict_kept").where(repeats).limit(1).count():
+        single = joined.where(~F.coalesce(repeats, F.lit(False)))
+        return single.unionByName(joined.where(repeats).dropDuplicates(["doc_id"])).select(*docs.columns)
+    return joined.select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = pii.redact(docs)
+    return clean.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeat(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens, ids, ids_sha256 and whether decoding gives the text again."""
+    back = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "source", "text")), with_text=False)
+    return back.select("doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                       (F.col("bytes") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+
+
+STAGES = [("quality", quality), ("dedup", dedup), ("pii", personal_data), ("mix", mix), ("encode", encode)]
+
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to the whole documents table."""
+    docs = spark.read.parquet(join_path(sf_dir, "documents.parquet"))
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import join_path, scratch_path
-from . import byte_bpe, token_store
+from . import (byte_bpe, chat, hyperminhash, importance, mixing, multi_index, pii, quality_rules, suffix_dedup,
+               token_store)
 from .oracle import ORACLE_SQL  # noqa: F401
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,28 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.checksums(token_store.read(spark, path))
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's statistics, base rule and the trees' verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, trees).select(
+        "doc_id", *quality_rules.BASE, "base_failed", "kept", F.round("quality_score", 6).alias("quality_score"))
+
+
+@query
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near copies: 3-word shingles, 85 of 100 in common."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hyperminhash.near_duplicates(docs, shingle=3, percent=85)
+
+
+@query
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector among all others."""
+    return multi_index.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=10, query_every=100)
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the rank file and decoded again."""
@@ -36,3 +59,48 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = byte_bpe.decode(byte_bpe.encode(docs), with_text=False)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight, Gumbel key and whether the sample has it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = importance.fit(docs, table(spark, sf_dir, "labels"))
+    return importance.resample(docs, model).select("doc_id", "log_weight", "key", "kept")
+
+
+@query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation (and one that imitates a template) as examples in a
+    file, and what is read back from it."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    turns = turns.unionByName(spark.createDataFrame(
+        [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"))
+    path = scratch_path(spark, "chat-examples")
+    chat.expand(turns).write.option("compression", "zstd").parquet(path)
+    return chat.digests(spark.read.parquet(path))
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts, and places of all spans."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[pii.count(F.col("pii"), k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.written(pii.base_only(F.col("pii"))).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("pii")).alias("spans"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's size and the words that the mix takes from it."""
+    found = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated strings of 400 bytes."""
+    return suffix_dedup.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
