@@ -30,21 +30,27 @@ SIMILAR_PERCENT = 80
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(join_path(sf_dir, "labels.parquet"))
     model = importance.fit(docs, labels)
-    return importance.resample(docs, model).where("kept").select(*docs.columns)
+    # Scores replace columns of their name, so the documents' own get another one meanwhile.
+    aside = {c: c + "_" * max(map(len, docs.columns)) for c in docs.columns if c.lower() in importance.OUTPUTS}
+    scored = importance.resample(docs.withColumnsRenamed(aside), model)
+    return scored.where("kept").select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component; rows without words or doc_id all stay."""
     path = scratch_path(spark, "near-duplicates")
     hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT).write.parquet(path)
-    verdict = (spark.read.parquet(path).where("doc_id is not null").groupBy(F.col("doc_id").alias("verdict_id"))
-               .agg(F.max("kept").alias("verdict_kept"), F.max("n_shingles").alias("verdict_words"),
-                    F.count("*").alias("verdict_rows")))
-    joined = docs.join(verdict, F.col("doc_id") == F.col("verdict_id"), "left").where("verdict_kept is null or verdict_kept")
-    repeats = (F.col("verdict_rows") > 1) & (F.col("verdict_words") > 0)
-    if verdict.where("verdict_kept").where(repeats).limit(1).count():
+    verdict = (spark.read.parquet(path).where("doc_id is not null").groupBy("doc_id")
+               .agg(F.max("kept").alias("kept"), F.max("n_shingles").alias("words"), F.count("*").alias("rows")))
+    # One struct, under a name that no column of the documents has.
+    name = "verdict" + "_" * max(map(len, docs.columns))
+    verdict = verdict.select(F.struct(*verdict.columns).alias(name))
+    repeats = (F.col(f"{name}.rows") > 1) & (F.col(f"{name}.words") > 0)
+    joined = docs.join(verdict, F.col("doc_id") == F.col(f"{name}.doc_id"), "left")
+    joined = joined.where(F.coalesce(F.col(f"{name}.kept"), F.lit(True)))
+    if verdict.where(f"{name}.kept").where(repeats).limit(1).count():
         single = joined.where(~F.coalesce(repeats, F.lit(False)))
-        return single.unionByName(joined.where(repeats).dropDuplicates(["doc_id"])).select(*docs.columns)
+        joined = single.unionByName(joined.where(repeats).dropDuplicates(["doc_id"]))
     return joined.select(*docs.columns)
 
 

@@ -159,9 +159,10 @@ def repeat(docs: DataFrame, budget: float = BUDGET, weights: tuple[int, ...] = W
         .coalesce(1).write.parquet(goals_at)
     cuts = thresholds(staged, spark.read.parquet(goals_at))
     cuts = cuts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    cuts = cuts.select(F.struct("source", "passes", "cut", "salt").alias("mix_cut"))
+    name = "mix" + "_" * max(map(len, columns))  # no column of the documents is as long
+    cuts = cuts.select(F.struct("source", "passes", "cut", "salt").alias(name))
     h = hash60(F.col("doc_id"))
-    hit = F.col("source").eqNullSafe(F.col("mix_cut.source")) & (F.pmod(h, F.lit(SALTS)) == F.col("mix_cut.salt"))
-    copies = F.col("mix_cut.passes") + F.when(h < F.col("mix_cut.cut"), 1).otherwise(0)
-    found = docs.join(cuts, hit).withColumn("mix_cut", F.array_repeat(F.lit(0), copies.cast("int")))
-    return found.withColumn("mix_cut", F.explode("mix_cut")).select(*columns)
+    hit = F.col("source").eqNullSafe(F.col(f"{name}.source")) & (F.pmod(h, F.lit(SALTS)) == F.col(f"{name}.salt"))
+    copies = F.col(f"{name}.passes") + F.when(h < F.col(f"{name}.cut"), 1).otherwise(0)
+    found = docs.join(cuts, hit).withColumn(name, F.array_repeat(F.lit(0), copies.cast("int")))
+    return found.withColumn(name, F.explode(name)).select(*columns)
