@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as se
 import corpus_pipeline
 import llm_plain as plain
-from conftest import EXTRA, table
+from llm_fixtures import EXTRA, edge_dir, empty_dir, table  # noqa: F401
 from tidemark.llm import chat, importance, multi_index
 from tidemark.llm.components import connected_components
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 import llm_plain as plain
-from conftest import table
+from llm_fixtures import edge_dir, empty_dir, table  # noqa: F401
 from tidemark.llm import byte_bpe, hyperminhash, mixing, pii, quality_rules, suffix_dedup, token_store
 from tidemark.llm.pieces import PieceEncoder
 from tidemark.llm.textcols import flat
