@@ -67,7 +67,10 @@ def load_tokenizer(content: bytes):
 
 def _encoder(key: str, content: bytes) -> PieceEncoder:
     if key not in _READY:
-        _READY[key] = PieceEncoder(load_tokenizer(content))
+        tokenizer = load_tokenizer(content)
+        # What the encoder may rely on is asked of the tokenizer itself.
+        ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("Ab cD. E", "ab\n cd.\n\n\te ")]
+        _READY[key] = PieceEncoder(tokenizer, blank_free=ids[0] == ids[1], folds_case=ids[0] == ids[1])
     return _READY[key]
 
 
