@@ -10,7 +10,13 @@ anywhere else, in any document, is removed. Strings are judged on the input.
    before and 400 after its position. Only anchors whose 128 bytes occur twice
    in the corpus go on (a count with map-side combine), and equal segments count
    as one with a number of occurrences, so copies don't pile up anywhere.
-2. Segments of an anchor value meet in one task, many values in each. A segment
+2. What follows an anchor is sorted, dealt by ranges of the bytes themselves, and
+   so is what precedes it, read backward: the longest prefix that a string shares
+   with any other is the one it shares with a neighbour. A segment is trimmed to
+   these extents; no repeated window reaches beyond them. Segments too short for
+   a window go, and those that have become equal count as one: a passage that
+   many documents hold in different surroundings is one segment now.
+3. Segments of an anchor value meet in one task, many values in each. A segment
    is read as 42 blocks of 16 bytes; being aligned at the anchor, equal windows
    have equal blocks at equal places, 24 whole ones at least. The blocks of all
    segments form one string, with a mark of its own after each segment. Its
@@ -19,11 +25,12 @@ anywhere else, in any document, is removed. Strings are judged on the input.
    occurrences of a symbol, one step of backward extension gives ``n + 1`` where
    the symbol leads. The expansion stops at 24 blocks: what has no value by then
    shares 24 blocks or more with its neighbour.
-3. The windows around these runs, up to 15 bytes beyond a whole block, are
+4. The windows around these runs, up to 15 bytes beyond a whole block, are
    checked byte by byte by a rolling hash, so the result is exact.
-4. An anchor value with more than ``GROUP`` different segments is not gathered:
-   its windows are counted by their hash, with map-side combine, over all tasks.
-5. Found intervals go back to all places of their segments and are united for
+5. An anchor value that still has more than ``GROUP`` different segments is not
+   gathered: its windows are counted by their hash, with map-side combine, over
+   all tasks.
+6. Found intervals go back to all places of their segments and are united for
    each document.
 
 Hashes have 64 bits, and segments 128; different strings are taken for equal
@@ -41,6 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
@@ -208,8 +216,8 @@ def united(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], ends[np.r_[np.flatnonzero(new)[1:] - 1, len(ends) - 1]]
 
 
-SEGMENT = "gram long, segment long, number long, before int, after int, bytes binary"
-COVER = "gram long, segment long, first int, beyond int"
+CUT = "gram long, segment long, number long, left binary, right binary"
+COVER = "gram long, trimmed long, first int, beyond int"
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -238,50 +246,145 @@ def _anchor_table(docs: DataFrame) -> DataFrame:
 
 
 def _cut_segments(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """The bytes of one occurrence of each wanted segment (gram, segment, number, place)."""
+    """One occurrence of each wanted segment (gram, segment, number, place), as
+    the bytes from its anchor on and, backward, the bytes before it. Rows that
+    repeat a document may give a segment twice; it then has a number above one."""
     lists = wanted.groupBy("place.doc_id", "place.text_key").agg(
         F.collect_list(F.struct("place.at", "gram", "segment", "number", "before", "after")).alias("cuts"))
     lists = lists.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "cuts")
-    # Rows that repeat a document would cut the same segments again.
     joined = docs.join(lists, docs["doc_id"].eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))) \
         .select("text", "cuts")
-    names = ["gram", "segment", "number", "before", "after", "bytes"]
+    names = ["gram", "segment", "number", "left", "right"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, off = flat(part.column("text"))
                 cuts = part.column("cuts")
-                flat_cuts = cuts.flatten()
-                if not len(flat_cuts):
+                each = cuts.flatten()
+                if not len(each):
                     continue
                 of = np.repeat(np.arange(len(cuts)), np.diff(cuts.offsets.to_numpy()))
-                at = flat_cuts.field("at").to_numpy() + off[of]
-                before, after = flat_cuts.field("before").to_numpy(), flat_cuts.field("after").to_numpy()
+                at = each.field("at").to_numpy() + off[of]
+                before, after = each.field("before").to_numpy(), each.field("after").to_numpy()
                 for lo in range(0, len(at), BATCH):
                     hi = min(lo + BATCH, len(at))
-                    data = [raw[a - b:a + c].tobytes() for a, b, c in zip(at[lo:hi], before[lo:hi], after[lo:hi])]
+                    left = [raw[a - b:a][::-1].tobytes() for a, b in zip(at[lo:hi], before[lo:hi])]
+                    right = [raw[a:a + c].tobytes() for a, c in zip(at[lo:hi], after[lo:hi])]
                     yield pa.RecordBatch.from_arrays(
-                        [flat_cuts.field(n).slice(lo, hi - lo) for n in names[:-1]] + [pa.array(data, pa.binary())], names)
+                        [each.field(n).slice(lo, hi - lo) for n in names[:3]]
+                        + [pa.array(left, pa.binary()), pa.array(right, pa.binary())], names)
 
-    return joined.mapInArrow(run, SEGMENT).dropDuplicates(["gram", "segment"])
+    return joined.mapInArrow(run, CUT)
 
 
-def _matrix(before: np.ndarray, after: np.ndarray, data: list[bytes]) -> np.ndarray:
-    out = np.zeros((len(data), COLUMNS * BLOCK), np.uint8)
-    for i, (b, a, x) in enumerate(zip(before, after, data)):
-        out[i, BEFORE - b:BEFORE + a] = np.frombuffer(x, np.uint8)
-    return out
+def _table(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of ``width`` bytes for each string, zeros at its end; sizes)."""
+    raw, off = flat(column)
+    size = np.diff(off)
+    out = np.zeros((len(size), width), np.uint8)
+    out[np.repeat(np.arange(len(size)), size), np.arange(len(raw)) - np.repeat(off[:-1], size)] = raw
+    return out, size
+
+
+def _shared(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each two rows, ``most`` at most."""
+    differ = a != b
+    return np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1]), most)
+
+
+def _neighbours(cut: DataFrame, side: str) -> DataFrame:
+    """(gram, segment, side, common): the most bytes that a string shares with
+    another one of its anchor value, from a sort over all of them.
+
+    The sort is dealt by ranges of (gram, string, segment), so that no value is
+    too frequent for a task. A range's first and last string come to the driver
+    (two for each task), which compares them with those of the next range."""
+    spark = cut.sparkSession
+    order = ["gram", "string", "segment"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut.select("gram", F.col(side).alias("string"), "segment").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    names = ["gram", "segment", "common", "part", "edge", "string"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held = None  # the last row so far, and what it shares with the one before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram, segment = batch.column("gram").to_numpy(), batch.column("segment").to_numpy()
+            text, size = _table(batch.column("string"), LENGTH)
+            first = held is None
+            if held is not None:
+                gram, segment = np.r_[held[0], gram], np.r_[held[1], segment]
+                text, size = np.concatenate([held[2], text]), np.r_[held[3], size]
+            common = np.where(gram[1:] == gram[:-1], _shared(text[1:], text[:-1], np.minimum(size[1:], size[:-1])), 0)
+            up = np.r_[0 if first else held[4], common]
+            best = np.maximum(up[:-1], common)
+            held = gram[-1:], segment[-1:], text[-1:], size[-1:], int(up[-1])
+            if not len(best) and not first:
+                continue
+            edge = np.zeros(len(best), np.int32)
+            string: list = [None] * len(best)
+            if first:
+                # The range's first row is also given by itself, with its string.
+                best, edge = np.r_[up[0], best], np.r_[1, edge]
+                gram, segment = np.r_[gram[0], gram], np.r_[segment[0], segment]
+                string = [text[0, :size[0]].tobytes()] + string
+            columns = gram[:len(best)], segment[:len(best)], best, np.full(len(best), part), edge, string
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        if held is not None:
+            last = held[0], held[1], [held[4]], [part], [2], [held[2][0, :held[3][0]].tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(last, kinds)], names)
+
+    found = _stored(rows.mapInArrow(run, "gram long, segment long, common int, part int, edge int, string binary"), side)
+    edges = sorted(found.where("edge > 0").collect(), key=lambda r: (r.part, r.edge))
+    borders = []
+    for a, b in zip(edges[1::2], edges[2::2]):  # the last of a range, the first of the next
+        if a.gram == b.gram:
+            most = min(len(a.string), len(b.string))
+            n = next((i for i in range(most) if a.string[i] != b.string[i]), most)
+            borders += [(a.gram, a.segment, n), (b.gram, b.segment, n)]
+    more = spark.createDataFrame(borders, "gram long, segment long, common int")
+    return found.select("gram", "segment", "common").unionByName(more).withColumn("side", F.lit(side))
+
+
+def _trim(cut: DataFrame) -> DataFrame:
+    """(gram, segment, number, trimmed, left, right): segments that may hold a
+    repeated window, cut to what they share; ``trimmed`` names equal ones."""
+    shared = _neighbours(cut, "left").unionByName(_neighbours(cut, "right")).groupBy("gram", "segment").agg(
+        F.max(F.when(F.col("side") == "left", F.col("common"))).alias("before"),
+        F.max(F.when(F.col("side") == "right", F.col("common"))).alias("after"))
+    # A segment that occurs twice shares all of itself.
+    many = F.col("number") > 1
+    rows = cut.join(shared, ["gram", "segment"]).select(
+        "gram", "segment", "number", "left", "right",
+        F.when(many, F.octet_length("left")).otherwise(F.col("before")).alias("before"),
+        F.when(many, F.octet_length("right")).otherwise(F.col("after")).alias("after"))
+    rows = rows.where(F.col("before") + F.col("after") >= LENGTH)
+    left = F.substring("left", F.lit(1), F.col("before"))
+    right = F.substring("right", F.lit(1), F.col("after"))
+    return rows.select("gram", "segment", "number", F.xxhash64("before", left, right).alias("trimmed"),
+                       left.alias("left"), right.alias("right"))
+
+
+def _matrix(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a row of bytes for each segment with its anchor at BEFORE, bytes before, bytes after)."""
+    a, before = _table(left, BEFORE)
+    b, after = _table(right, LENGTH)
+    return np.concatenate([a[:, ::-1], b], axis=1), before, after
 
 
 def _covers(segments: DataFrame) -> DataFrame:
     """Covered intervals (relative to the anchor) of segments, by the transform."""
-    names = ["gram", "segment", "first", "beyond"]
+    names = ["gram", "trimmed", "first", "beyond"]
 
     def found(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
         rows = pa.concat_tables(held).combine_chunks()
-        gram, before, after = (rows.column(c).to_numpy() for c in ("gram", "before", "after"))
-        r, s = repeated_windows(gram, before, after, _matrix(before, after, rows.column("bytes").to_pylist()))
+        gram, trimmed, left, right = (rows.column(c).combine_chunks() for c in ("gram", "trimmed", "left", "right"))
+        data, before, after = _matrix(left, right)
+        r, s = repeated_windows(gram.to_numpy(), before, after, data)
         if not len(r):
             return
         # Rows one after the other: intervals of different rows never touch.
@@ -289,8 +392,7 @@ def _covers(segments: DataFrame) -> DataFrame:
         first, beyond = united(r * step + s, r * step + s + LENGTH)
         row = first // step
         yield pa.RecordBatch.from_arrays([
-            rows.column("gram").combine_chunks().take(pa.array(row)),
-            rows.column("segment").combine_chunks().take(pa.array(row)),
+            gram.take(pa.array(row)), trimmed.take(pa.array(row)),
             pa.array(first - row * step - BEFORE, pa.int32()), pa.array(beyond - row * step - BEFORE, pa.int32())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,16 +408,20 @@ def _covers(segments: DataFrame) -> DataFrame:
         if held:
             yield from found(held)
 
-    return segments.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, COVER)
+    return segments.select("gram", "trimmed", "left", "right").repartition("gram").sortWithinPartitions("gram") \
+        .mapInArrow(run, COVER)
 
 
 def _covers_of_large(segments: DataFrame) -> DataFrame:
     """The same for anchor values with too many segments for one task: windows
     are counted by their hash."""
+    names = ["gram", "trimmed", "first", "window"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            before, after = (batch.column(c).to_numpy() for c in ("before", "after"))
-            data = _matrix(before, after, batch.column("bytes").to_pylist())
+            if not batch.num_rows:
+                continue
+            data, before, after = _matrix(batch.column("left"), batch.column("right"))
             sums = np.zeros((len(data), COLUMNS * BLOCK + 1), U64)
             np.cumsum(_BYTE[data] * _POW[:data.shape[1]], axis=1, out=sums[:, 1:])
             start = np.arange(BEFORE + 1)
@@ -324,33 +430,43 @@ def _covers_of_large(segments: DataFrame) -> DataFrame:
                 r, s = row[lo:lo + (1 << 16)], start[lo:lo + (1 << 16)]
                 window = mix(sums[r, s + LENGTH] - sums[r, s]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("gram").take(pa.array(r)), batch.column("segment").take(pa.array(r)),
-                    pa.array(s - BEFORE, pa.int32()), pa.array(window, pa.int64())], ["gram", "segment", "first", "window"])
+                    batch.column("gram").take(pa.array(r)), batch.column("trimmed").take(pa.array(r)),
+                    pa.array(s - BEFORE, pa.int32()), pa.array(window, pa.int64())], names)
 
-    windows = segments.mapInArrow(run, "gram long, segment long, first int, window long")
+    windows = segments.select("gram", "trimmed", "left", "right") \
+        .mapInArrow(run, "gram long, trimmed long, first int, window long")
     twice = windows.groupBy("gram", "first", "window").count().where("count > 1").drop("count")
     return windows.join(twice, ["gram", "first", "window"], "left_semi") \
-        .select("gram", "segment", "first", (F.col("first") + LENGTH).alias("beyond"))
+        .select("gram", "trimmed", "first", (F.col("first") + LENGTH).alias("beyond"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, spans) of the documents that lose bytes: spans are
     (first, beyond) byte places, as found, which may overlap."""
     found = _stored(_anchor_table(docs.where(F.octet_length("text") >= LENGTH)), "anchors")
-    often = found.groupBy("gram").count().where("count > 1").select("gram")
+    # Stored, the counts are a plain side of a join, of which Spark can split a frequent value.
+    often = _stored(found.groupBy("gram").count().where("count > 1").select("gram"), "repeated-grams")
     some = _stored(found.join(often, "gram", "left_semi"), "repeated-anchors")
     distinct = _stored(some.groupBy("gram", "segment").agg(
         F.count("*").alias("number"), F.min(F.struct("doc_id", "text_key", "at")).alias("place"),
         F.min("before").alias("before"), F.min("after").alias("after")), "segments")
-    # What occurs as a whole twice is covered as a whole.
-    whole = distinct.where(f"number > 1 and before + after >= {LENGTH}") \
+    kinds = _stored(distinct.groupBy("gram").agg(F.count("*").alias("kinds")), "kinds")
+    # The only segment of its anchor value occurs twice: it is covered as a whole.
+    whole = distinct.join(kinds.where("kinds = 1"), "gram", "left_semi").where(f"before + after >= {LENGTH}") \
         .select("gram", "segment", (-F.col("before")).alias("first"), F.col("after").alias("beyond"))
-    kinds = distinct.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = distinct.join(kinds, "gram")
-    cut = _stored(_cut_segments(wanted, docs).join(kinds.select("gram", "kinds"), "gram"), "segment-bytes")
-    covers = whole.unionByName(_covers(cut.where(F.col("kinds") <= GROUP).drop("kinds"))) \
-        .unionByName(_covers_of_large(cut.where(F.col("kinds") > GROUP).drop("kinds")))
-    covers = _stored(covers, "covers")
+    cut = _stored(_cut_segments(distinct.join(kinds.where("kinds > 1"), "gram", "left_semi"), docs), "segment-bytes")
+    trimmed = _stored(_trim(cut), "trimmed-segments")
+    merged = _stored(trimmed.groupBy("gram", "trimmed").agg(
+        F.sum("number").alias("number"), F.first("left").alias("left"), F.first("right").alias("right")), "merged-segments")
+    twice = merged.where("number > 1").select("gram", "trimmed", (-F.octet_length("left")).alias("first"),
+                                              F.octet_length("right").alias("beyond"))
+    left = _stored(merged.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds-left")
+    small = merged.join(left.where(f"kinds <= {GROUP}"), "gram", "left_semi")
+    large = merged.join(left.where(f"kinds > {GROUP}"), "gram", "left_semi")
+    covers = twice.unionByName(_covers(small)).unionByName(_covers_of_large(large))
+    covers = trimmed.select("gram", "segment", "trimmed").join(covers, ["gram", "trimmed"]) \
+        .select("gram", "segment", "first", "beyond")
+    covers = _stored(whole.unionByName(covers), "covers")
     placed = some.join(covers, ["gram", "segment"]).select(
         "doc_id", "text_key", F.struct((F.col("at") + F.col("first")).alias("first"),
                                        (F.col("at") + F.col("beyond")).alias("beyond")).alias("span"))
