@@ -267,10 +267,8 @@ SCORECARDS = ("SELECT period_grain, count(*) AS periods, min(period_start) AS fi
               + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in _METRICS)
               + " FROM growth_top GROUP BY period_grain")
 
-MATRIX = ("SELECT cohort_grain, cohort_start, country, platform, utm_source, cohort_users, "
-          + ", ".join(f"max(CASE WHEN period_index = {i} THEN retention_rate END) AS p{i}" for i in range(9))
-          + " FROM tri WHERE cohort_grain = 'weekly' AND country = 'all' AND platform = 'all'"
-            " AND utm_source = 'all' GROUP BY ALL")
+MATRIX = ("SELECT cohort_grain, cohort_start, country, platform, utm_source, cohort_users, period_index, retention_rate"
+          " FROM tri WHERE cohort_grain = 'monthly' AND country = 'all' AND platform = 'all' AND utm_source = 'all'")
 
 ORACLE_SQL.update({
     "churned_users": _with(chain(), CHURNED),
@@ -279,7 +277,7 @@ ORACLE_SQL.update({
     "surrogate_key": _with(chain()[:3], SURROGATE),
     "growth_long_form": _with(chain() + [("growth_top", _topline(GROWTH))], LONG_FORM),
     "growth_scorecards": _with(chain() + [("growth_top", _topline(GROWTH))], SCORECARDS),
-    "cohort_matrix": _with(chain() + [("tri", TRIANGLE)], MATRIX),
+    "cohort_matrix": _with(chain("orders") + [("tri", TRIANGLE)], MATRIX),
 })
 
 
@@ -423,6 +421,10 @@ ORACLE_SQL.update({
         "SELECT * FROM growth"),
 })
 
+ORACLE_SQL["refresh_recovery"] = _with(
+    [("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:5],
+    "SELECT event_date_utc AS activity_date, count(*) AS events, count(DISTINCT user_id) AS users FROM fct GROUP BY ALL")
+ORACLE_SQL["full_refresh"] = ORACLE_SQL["fct_events"]
 ORACLE_SQL["streaming_ingest"] = ORACLE_SQL["fct_events_incremental"]
 ORACLE_SQL["growth_dashboard"] = _with(chain(), GROWTH + "\n  ORDER BY period_grain, period_start")
 ORACLE_SQL["cutoff_bounded_run"] = _with(

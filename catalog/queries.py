@@ -117,8 +117,8 @@ def churned_users(spark, sf_dir):
     m = marts(spark, sf_dir)
     churn = churn_events(m.activity)
     keys = ["period_grain", "period_start", *SEGMENTS]
-    periods = m.activity.select(*keys).distinct()
-    return churn.join(periods, keys, "left_semi")
+    # the growth rows are the periods that have actives: few rows, one per key
+    return churn.join(m.growth_accounting.select(*keys), keys, "left_semi")
 
 
 @query("cohort_sizes")
@@ -163,9 +163,15 @@ def growth_scorecards(spark, sf_dir):
 
 @query("cohort_matrix")
 def cohort_matrix(spark, sf_dir):
-    """Weekly top-line retention heat map, period index 0..8."""
+    """Monthly top-line retention heat map over 80 months of orders: every
+    cell of the matrix, one row each."""
     from tidemark.operators.retention import cohort_matrix as cm
-    return cm(marts(spark, sf_dir).cohort_retention_triangle, "weekly", 8)
+    raw = RAW_ADAPTERS["orders"](spark, sf_dir)
+    m = cm(Marts(raw, grains=("monthly",)).cohort_retention_triangle, "monthly")
+    cells = [c for c in m.columns if c.startswith("p") and c[1:].isdigit()]
+    rest = [c for c in m.columns if c not in cells]
+    long = m.unpivot(rest, cells, "cell", "retention_rate").filter(F.col("retention_rate").isNotNull())
+    return long.select(*rest, F.expr("CAST(substring(cell, 2) AS BIGINT)").alias("period_index"), "retention_rate")
 
 
 # ----------------------------------------------------------------- data quality
@@ -195,10 +201,10 @@ def dq_not_null(spark, sf_dir):
 def dq_unique(spark, sf_dir):
     from tidemark.operators.quality import Check, unique
     m = marts(spark, sf_dir)
-    return _summary([Check("stg_events_unique_event_id", unique(m.stg_events, "event_id")),
-                     Check("dim_users_unique_user_sk", unique(m.dim_users, "user_sk")),
+    return _summary([Check("stg_events_unique_event_id", unique(m.stg_events, "event_id", hex_key=True)),
+                     Check("dim_users_unique_user_sk", unique(m.dim_users, "user_sk", hex_key=True)),
                      Check("dim_users_unique_user_id", unique(m.dim_users, "user_id")),
-                     Check("fct_events_unique_event_id", unique(m.fct_events, "event_id"))])
+                     Check("fct_events_unique_event_id", unique(m.fct_events, "event_id", hex_key=True))])
 
 
 @query("dq_accepted_values")
@@ -404,6 +410,48 @@ def growth_incremental(spark, sf_dir):
     return read_table(spark, wh, "fct_growth_accounting").select(*GROWTH_COLUMNS)
 
 
+@query("refresh_recovery")
+def refresh_recovery(spark, sf_dir):
+    """Events per day in the daily base after a run that died once the fact
+    was committed, and the run that followed it."""
+    from tidemark.plans import refresh
+    from tidemark.session import scratch_path
+    b1, raw_all = _batches(spark, sf_dir)
+    wh = scratch_path(spark, "recovery")
+    refresh.refresh_all(spark, b1, wh, run_quality=False)
+    stop = refresh.refresh_day_base
+
+    class Lost(RuntimeError):
+        pass
+
+    def lost(*_):
+        raise Lost
+    refresh.refresh_day_base = lost
+    try:
+        refresh.refresh_all(spark, raw_all, wh, run_quality=False)
+    except Lost:
+        pass
+    finally:
+        refresh.refresh_day_base = stop
+    refresh.refresh_all(spark, raw_all, wh, run_quality=False)
+    base = refresh.read_table(spark, wh, refresh.DAY_BASE)
+    return base.groupBy("activity_date").agg(F.sum("event_count").cast("long").alias("events"),
+                                             F.countDistinct("user_id").alias("users"))
+
+
+@query("full_refresh")
+def full_refresh(spark, sf_dir):
+    """Event fact after two incremental runs and a full refresh: late events
+    that the runs left out are in, and load times are the source's."""
+    from tidemark.operators.core import FCT_COLUMNS
+    from tidemark.params import RunParams
+    from tidemark.plans.refresh import read_table, refresh_events
+    from tidemark.sources.adapters import raw_events
+    wh = _two_batch_events(spark, sf_dir)
+    refresh_events(spark, raw_events(spark, sf_dir), wh, RunParams(full_refresh=True))
+    return read_table(spark, wh, "fct_events").select(*FCT_COLUMNS)
+
+
 @query("growth_cutoff")
 def growth_cutoff(spark, sf_dir):
     """Full build with an inclusive cutoff (events <= cutoff instant,
@@ -450,8 +498,8 @@ def cutoff_bounded_run(spark, sf_dir):
 @query("growth_orders_monthly")
 def growth_orders_monthly(spark, sf_dir):
     """Monthly top-line growth over 80 months of orders."""
-    g = marts(spark, sf_dir, source="orders").growth_accounting
-    return _topline(g.filter(F.col("period_grain") == "monthly"))
+    raw = RAW_ADAPTERS["orders"](spark, sf_dir)
+    return _topline(Marts(raw, grains=("monthly",)).growth_accounting)
 
 
 @query("growth_trend")

@@ -13,6 +13,8 @@ import re
 import duckdb
 import pyarrow.parquet as pq
 import pyarrow.compute as pc
+import datetime as dt
+
 import pytest
 
 import sys
@@ -105,28 +107,54 @@ def test_incremental_window_prunes_date_partitions(spark):
     wh = scratch_path(spark, "prune")
     refresh.refresh_events(spark, raw_events(spark, SF), wh)
     stg = refresh.read_table(spark, wh, "stg_events")
-    dim = refresh.read_table(spark, wh, "dim_users")
-    df = fct_events(stg, dim, RunParams(), after=dt.datetime(2024, 1, 25, 6))
+    df = fct_events(stg, RunParams(), after=dt.datetime(2024, 1, 25, 6))
     p = plan_text(df)
     scan = next(ln for ln in p.splitlines() if "FileScan parquet" in ln and "stg_events" in ln)
     assert "PartitionFilters: [isnotnull(event_date_utc" in scan and "2024-01-25" in scan
 
 
-def test_fct_key_without_event_shuffle_matches_join(spark):
-    from tidemark.operators.core import FCT_COLUMNS, fct_events
+def test_fct_key_needs_no_event_shuffle(spark):
+    from tidemark.operators.core import FCT_COLUMNS, fct_events, missing_users
+    from tidemark.plans.refresh import materialize
     m = Marts(raw_events(spark, SF))
     dim = m.dim_users.filter("latest_platform IS NULL OR latest_platform <> 'web'")   # some users missing
-    plain = fct_events(m.stg_events, dim)
-    keyed = fct_events(m.stg_events, dim, missing_broadcast_limit=1000)
+    joined = m.stg_events.join(dim.select("user_id", "user_sk"), "user_id", "left").select(*FCT_COLUMNS)
+    missing, _ = materialize(missing_users(m.stg_events, dim), spark, "missing")
+    keyed = fct_events(m.stg_events, missing=missing)
     rows = lambda df: sorted(map(tuple, df.select(*FCT_COLUMNS).collect()), key=repr)
-    assert rows(keyed) == rows(plain)
+    assert rows(keyed) == rows(joined)
     assert any(r.user_sk is None for r in keyed.collect())
-    p = plan_text(keyed)
-    assert "BroadcastHashJoin" in p
-    # the only event-level exchange left is the adapter's customer lookup, none keyed on the dimension
-    assert "SortMergeJoin" not in p.split("BroadcastHashJoin")[0]
-    over = fct_events(m.stg_events, dim, missing_broadcast_limit=0)    # above the bound: plain join
-    assert rows(over) == rows(plain)
+    assert "BroadcastHashJoin" in plan_text(keyed)
+    # with a dimension built from the same rows there is nothing to look up
+    lazy = plan_text(fct_events(m.stg_events))
+    assert lazy.count("Join") == plan_text(m.stg_events).count("Join")
+
+
+def test_dim_users_sorts_no_events(spark):
+    """The event-level aggregate hashes; only a user's attribute combinations are sorted."""
+    p = plan_text(Marts(raw_events(spark, SF)).dim_users)
+    below = p[p.index("HashAggregate(keys=[user_id"):]
+    assert "SortAggregate" not in below
+
+
+def test_latest_attribute_ties_break_on_event_id(spark):
+    from tidemark.operators.core import user_profile
+    rows = [("u", dt.datetime(2024, 1, 1), f"{i:x}" * 32, None, f"p{i}", None, None) for i in (3, 12, 7)]
+    rows += [("u", dt.datetime(2024, 1, 2), "0" * 32, "g", None, None, None)]
+    df = spark.createDataFrame(rows, "user_id string, event_time_utc timestamp_ntz, event_id string, gender string, "
+                                     "platform string, country string, utm_source string")
+    got = user_profile(df).first()
+    assert (got.latest_platform, got.latest_gender, got.latest_country) == ("p12", "g", None)
+    assert (got.first_event_time_utc, got.latest_event_time_utc) == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+
+
+def test_repeated_values_is_one_scan_and_one_exchange(spark):
+    from tidemark.operators.quality import unique
+    stg = spark.range(1000).selectExpr("md5(CAST(id % 900 AS string)) AS event_id")
+    df = unique(stg, "event_id", hex_key=True)
+    p = plan_text(df)
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+    assert df.count() == 100 and {len(r.event_id) for r in df.collect()} == {32}
 
 
 @pytest.mark.parametrize("attr", ["growth_accounting", "cohort_retention_triangle", "engagement_depth"])

@@ -5,6 +5,9 @@ from tidemark.plans.refresh import read_table
 from tidemark.session import scratch_path
 from tidemark.streaming import stage_files, start_event_ingest
 
+import pytest
+from test_ingest import HEADER, HOSTILE, REORDERED, write
+
 from conftest import make_raw
 
 
@@ -38,3 +41,20 @@ def test_stream_with_period_marts(spark):
     want = Marts(raw).growth_accounting
     key = lambda df: sorted(map(tuple, df.select(*sorted(want.columns)).collect()), key=repr)
     assert key(got) == key(want)
+
+
+def test_stream_reads_files_like_the_batch_loader(spark, tmp_path):
+    write(tmp_path, "a.csv", HOSTILE)
+    write(tmp_path, "b.csv", REORDERED)
+    wh = scratch_path(spark, "h-wh")
+    start_event_ingest(spark, str(tmp_path), wh, checkpoint=scratch_path(spark, "h-ck"),
+                       loaded_at=dt.datetime(2024, 2, 1)).awaitTermination()
+    got = {r.user_id: (r.transaction_category, r.platform, r.utm_source) for r in read_table(spark, wh, "fct_events").collect()}
+    assert got == {"u1": ('say "hi" you, ok', "ios", "google"), "u2": ("two\nlines", "web", "bing"), "u3": (None, "android", "bing")}
+
+
+def test_stream_stops_at_a_file_without_a_column(spark, tmp_path):
+    write(tmp_path, "a.csv", [HEADER.replace("gender,", ""), "2024-01-01,1,like,,1,ios,x,SG"])
+    q = start_event_ingest(spark, str(tmp_path), scratch_path(spark, "m-wh"), checkpoint=scratch_path(spark, "m-ck"))
+    with pytest.raises(Exception, match="gender"):
+        q.awaitTermination()

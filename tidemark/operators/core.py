@@ -18,26 +18,27 @@ FCT_COLUMNS = ["event_id", "user_sk", "user_id", "event_time_utc", "event_date_u
 USER_ATTRIBUTES = ("gender", "platform", "country", "utm_source")
 
 
-def latest_non_null_sql(attr: str) -> str:
-    """Value of ``attr`` on the latest event where it is not null.
-
-    ``max_by`` over an ordering that is null whenever the attribute is null
-    ignores those rows; the ordering is (time, event_id) so ties on time are
-    broken deterministically. ``max_by`` is a declarative aggregate, so it is
-    combined map-side before the shuffle (a hot user never lands whole in
-    one task).
-    """
-    return (f"max_by({attr}, CASE WHEN {attr} IS NOT NULL "
-            f"THEN struct(event_time_utc, event_id) END)")
+# Order of a user's events as one number: microseconds since 1970, then the
+# first 15 hex digits of the event id (time ties go to the larger id).
+EVENT_RANK = ("CAST(unix_micros(CAST(event_time_utc AS timestamp)) AS decimal(38,0)) * 10000000000000000000"
+              " + CAST(conv(substring(event_id, 1, 15), 16, 10) AS decimal(20,0))")
 
 
 def user_profile(events: DataFrame) -> DataFrame:
-    """One row per user: first / latest event time and latest attributes."""
-    return events.groupBy("user_id").agg(
-        F.expr("min(event_time_utc) AS first_event_time_utc"),
-        F.expr("max(event_time_utc) AS latest_event_time_utc"),
-        *[F.expr(f"{latest_non_null_sql(a)} AS latest_{a}") for a in USER_ATTRIBUTES],
-    )
+    """One row per user: first / latest event time and latest attributes.
+
+    First one row per user and combination of attribute values, with the rank
+    of its latest event as a decimal: a buffer of numbers, so this is a hash
+    aggregate, combined map-side, and no event is sorted. The latest non-null
+    value of each attribute is then chosen among a user's few combinations.
+    """
+    combos = (events.select("user_id", "event_time_utc", *USER_ATTRIBUTES, F.expr(EVENT_RANK).cast("decimal(38,0)").alias("rank"))
+              .groupBy("user_id", *USER_ATTRIBUTES)
+              .agg(F.min("event_time_utc").alias("first"), F.max("event_time_utc").alias("latest"),
+                   F.max("rank").alias("rank")))
+    return combos.groupBy("user_id").agg(
+        F.min("first").alias("first_event_time_utc"), F.max("latest").alias("latest_event_time_utc"),
+        *[F.expr(f"max_by({a}, CASE WHEN {a} IS NOT NULL THEN rank END) AS latest_{a}") for a in USER_ATTRIBUTES])
 
 
 def _finish_dim(profile: DataFrame) -> DataFrame:
@@ -53,31 +54,12 @@ def _finish_dim(profile: DataFrame) -> DataFrame:
 
 
 def dim_users(stg: DataFrame, params: RunParams = RunParams(),
-              existing: DataFrame | None = None,
               after: dt.datetime | None = None) -> DataFrame:
     """User dimension rows for the users seen in the (windowed) staging input.
-
-    Without ``existing`` this is the full build. With ``existing`` (the
-    current dimension) the result holds the *changed* rows only - incoming
-    users merged with their existing row: earliest first time, latest latest
-    time, incoming attribute when non-null else the existing one. The caller
-    upserts them on ``user_id``.
-    """
+    A refresh merges them with the stored rows by ``merge_dim_rows``."""
     events = time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
-    incoming = user_profile(events.select("user_id", "event_time_utc", "event_id",
-                                          *USER_ATTRIBUTES))
-    if existing is None:
-        return _finish_dim(incoming)
-    old = existing.selectExpr(
-        "user_id", "first_event_time_utc AS _old_first", "latest_event_time_utc AS _old_latest",
-        *[f"latest_{a} AS _old_{a}" for a in USER_ATTRIBUTES])
-    merged = incoming.join(old, "user_id", "left").selectExpr(
-        "user_id",
-        "least(first_event_time_utc, _old_first) AS first_event_time_utc",
-        "greatest(latest_event_time_utc, _old_latest) AS latest_event_time_utc",
-        *[f"coalesce(latest_{a}, _old_{a}) AS latest_{a}" for a in USER_ATTRIBUTES],
-    )
-    return _finish_dim(merged)
+    return _finish_dim(user_profile(events.select("user_id", "event_time_utc", "event_id",
+                                                  *USER_ATTRIBUTES)))
 
 
 def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame) -> DataFrame:
@@ -99,36 +81,29 @@ def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame) -> DataFram
     return _finish_dim(merged)
 
 
-def fct_events(stg: DataFrame, dim: DataFrame, params: RunParams = RunParams(),
-               after: dt.datetime | None = None,
-               missing_broadcast_limit: int | None = None) -> DataFrame:
+def missing_users(stg: DataFrame, dim: DataFrame, params: RunParams = RunParams(),
+                  after: dt.datetime | None = None) -> DataFrame:
+    """Users with events in the window but without a dimension row, from the
+    distinct users (combined map-side), not the events."""
+    events = time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
+    return events.select("user_id").distinct().join(dim.select("user_id"), "user_id", "left_anti")
+
+
+def fct_events(stg: DataFrame, params: RunParams = RunParams(), after: dt.datetime | None = None,
+               missing: DataFrame | None = None) -> DataFrame:
     """Event fact: staging rows plus the user's surrogate key.
 
-    Semantics of a left join on ``user_id``: an event whose user is missing
-    from the dimension keeps a null ``user_sk`` (the relationship check
-    reports it). The plain plan shuffles the events on ``user_id`` (AQE
-    splits a hot user's partition).
-
-    With ``missing_broadcast_limit`` the event shuffle is avoided: the key is
-    a pure function of ``user_id``, so only the users *missing* from the
-    dimension matter. They are found from the distinct users of the window
-    (combined map-side) anti-joined with the dimension, written as a
-    reliable checkpoint and counted; if there are at most
-    ``missing_broadcast_limit`` of them (normally none) that small set is
-    broadcast and the key computed in place. Otherwise the plain join runs.
-    This is an action, so it is meant for refresh runs, not lazy plans.
+    Semantics of a left join with the dimension on ``user_id``. The key is a
+    pure function of ``user_id``, so no event is shuffled to look it up; only
+    an event whose user is ``missing`` from the dimension has a null key (the
+    relationship check reports it). Without ``missing`` the dimension is built
+    from the same rows and holds every user. A refresh writes the missing
+    users (normally none) to a table first, so that Spark knows their size
+    and its own threshold decides how to join them.
     """
     events = time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
-    if missing_broadcast_limit is None:
-        users = dim.select("user_id", "user_sk")
-        return events.join(users, "user_id", "left").select(*FCT_COLUMNS)
-    missing = (events.select("user_id").distinct()
-               .join(dim.select("user_id"), "user_id", "left_anti")
-               .checkpoint(eager=True))
-    if missing.count() > missing_broadcast_limit:
-        return fct_events(stg, dim, params, after)
-    flagged = events.join(F.broadcast(missing.select("user_id", F.lit(True).alias("_missing"))),
-                          "user_id", "left")
-    return flagged.selectExpr(
-        f"CASE WHEN _missing THEN NULL ELSE {sx.surrogate_key('user_id')} END AS user_sk",
-        *[c for c in FCT_COLUMNS if c != "user_sk"]).select(*FCT_COLUMNS)
+    key = sx.surrogate_key("user_id")
+    if missing is not None:
+        events = events.join(missing.select("user_id", F.lit(True).alias("_missing")), "user_id", "left")
+        key = f"CASE WHEN _missing THEN NULL ELSE {key} END"
+    return events.withColumn("user_sk", F.expr(key)).select(*FCT_COLUMNS)

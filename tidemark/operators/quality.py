@@ -27,10 +27,6 @@ GRAIN_VALUES = ("daily", "weekly", "monthly")
 
 
 # --------------------------------------------------------------------------- generic
-def not_null(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col).isNull())
-
-
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """All not-null checks of one table fused into a single pass:
     one row per column with its null count."""
@@ -38,26 +34,22 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return counts.unpivot([], cols, "column_name", "failures")
 
 
-def repeated_values(df: DataFrame, value: Column, name: str, count_name: str) -> DataFrame:
+def repeated_values(df: DataFrame, value: Column, name: str, count_name: str,
+                    hex_key: bool = False) -> DataFrame:
     """Values of ``value`` occurring more than once, with their counts.
 
-    Two exact phases keep the big shuffle narrow: first only a 64-bit hash of
-    each value is shuffled (8 bytes per row instead of a 32-character key),
-    which finds every candidate (duplicates plus the rare hash collisions);
-    then the exact values are grouped for the candidate rows only, selected
-    with a semi join against the (small) candidate hash set.
+    One scan and one aggregate, counted map-side before its shuffle. With
+    ``hex_key`` (md5 keys in hex) the key is shuffled as its 16 bytes.
     """
-    keyed = df.select(value.alias(name)).filter(F.col(name).isNotNull())
-    hashed = keyed.select(F.col(name), F.xxhash64(F.col(name)).alias("_h"))
-    candidates = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-                  .filter(F.col("_n") > 1).select("_h"))
-    return (hashed.join(candidates, "_h", "left_semi").groupBy(name)
-            .agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1))
+    key = F.unhex(value) if hex_key else value
+    counted = (df.select(key.alias(name)).filter(F.col(name).isNotNull())
+               .groupBy(name).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1))
+    return counted.withColumn(name, F.lower(F.hex(name))) if hex_key else counted
 
 
-def unique(df: DataFrame, col: str) -> DataFrame:
+def unique(df: DataFrame, col: str, hex_key: bool = False) -> DataFrame:
     """Key values that occur more than once (nulls ignored)."""
-    return repeated_values(df, F.col(col), col, "n_records")
+    return repeated_values(df, F.col(col), col, "n_records", hex_key)
 
 
 def accepted_values(df: DataFrame, col: str, values: tuple[str, ...]) -> DataFrame:
@@ -81,11 +73,10 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str
 
 # --------------------------------------------------------------------------- source
 def source_availability(raw: DataFrame, execution_date: str | None) -> DataFrame:
-    """One failing row when a cutoff is given and the raw source has no event
-    on its date. The scan stops at the first matching row (``limit(1)``)."""
+    """One failing row when a cutoff is given and no raw event falls on its day. The scan stops at the first matching row (``limit(1)``)."""
     spark = raw.sparkSession
     if execution_date is None or not str(execution_date).strip():
-        return spark.createDataFrame([], "execution_date string, error_message string")
+        return spark.createDataFrame([], "cutoff string, problem string")
     day = dt.datetime.fromisoformat(str(execution_date).strip())
     if day.tzinfo is not None:
         day = day.astimezone(dt.timezone.utc).replace(tzinfo=None)
@@ -94,8 +85,8 @@ def source_availability(raw: DataFrame, execution_date: str | None) -> DataFrame
     start = dt.datetime.combine(day, dt.time())
     hits = (raw.filter((t >= ts_ntz(start)) & (t < ts_ntz(start + dt.timedelta(days=1))))
             .limit(1).agg(F.count(F.lit(1))))
-    probe = spark.range(1).select(F.lit(str(execution_date)).alias("execution_date"),
-                                  F.lit("No source rows found for execution_date").alias("error_message"))
+    probe = spark.range(1).select(F.lit(str(execution_date)).alias("cutoff"),
+                                  F.lit("the raw table is empty for the cutoff's day").alias("problem"))
     return probe.filter(hits.scalar() == 0)
 
 
@@ -107,7 +98,7 @@ def event_signature(raw: DataFrame) -> Column:
 
 def source_duplicates(raw: DataFrame) -> DataFrame:
     """Raw rows sharing the event identity (time, user, type, miles, platform)."""
-    return repeated_values(raw, event_signature(raw), "event_signature", "duplicate_count")
+    return repeated_values(raw, event_signature(raw), "event_signature", "duplicate_count", hex_key=True)
 
 
 # --------------------------------------------------------------------------- marts
@@ -118,6 +109,15 @@ def dim_first_event(dim: DataFrame, fct: DataFrame) -> DataFrame:
             .filter(F.col("first_event_time_utc") != F.col("min_event_time_utc")))
 
 
+def base_matches_fact(day_base: DataFrame, fct: DataFrame) -> DataFrame:
+    """Days on which the daily user-segment base and the fact hold different
+    numbers of events (a day missing on either side counts as zero)."""
+    stored = day_base.groupBy(F.col("activity_date").alias("day")).agg(F.sum("event_count").alias("base_events"))
+    actual = fct.groupBy(F.col("event_date_utc").alias("day")).agg(F.count(F.lit(1)).alias("fact_events"))
+    return stored.join(actual, "day", "full_outer").filter(
+        F.coalesce("base_events", F.lit(0)) != F.coalesce("fact_events", F.lit(0)))
+
+
 def _topline(df: DataFrame) -> DataFrame:
     return df.filter((F.col("country") == ALL) & (F.col("platform") == ALL) & (F.col("utm_source") == ALL))
 

@@ -71,16 +71,17 @@ def cohort_sizes(activity: DataFrame, upto: dt.date | None = None) -> DataFrame:
             .groupBy(*COHORT_KEYS).agg(F.expr("count(1) AS cohort_users")))
 
 
-def cohort_matrix(triangle: DataFrame, grain: str, max_index: int,
+def cohort_matrix(triangle: DataFrame, grain: str,
                   segment: tuple[str, str, str] | None = ("all", "all", "all")) -> DataFrame:
-    """Heat-map matrix: one row per cohort, columns ``p0 .. p{max_index}``
-    holding retention rates. The pivot values are given explicitly (bounded
-    by ``max_index``), so Spark needs no extra pass to discover them."""
+    """Heat-map matrix: one row per cohort, columns ``p0 .. pN`` holding
+    retention rates, where N is the largest period index of the selection
+    (one small aggregate finds it), so no cell is left out."""
     t = triangle.filter(F.col("cohort_grain") == grain)
     if segment is not None:
         for col, val in zip(SEGMENTS, segment):
             t = t.filter(F.col(col) == val)
-    values = list(range(max_index + 1))
+    widest = t.agg(F.max("period_index")).first()[0]
+    values = list(range((widest or 0) + 1))
     m = (t.groupBy("cohort_grain", "cohort_start", *SEGMENTS, "cohort_users")
          .pivot("period_index", values).agg(F.first("retention_rate")))
     return m.select("cohort_grain", "cohort_start", *SEGMENTS, "cohort_users",

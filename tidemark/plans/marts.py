@@ -39,7 +39,7 @@ class Marts:
 
     @cached_property
     def fct_events(self) -> DataFrame:
-        return fct_events(self.stg_events, self.dim_users, self.params)
+        return fct_events(self.stg_events, self.params)
 
     @cached_property
     def user_day_segments(self) -> DataFrame:

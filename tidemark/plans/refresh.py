@@ -17,7 +17,10 @@ arrival lookback``; period models rewrite periods strictly newer than
 history first. Those flags need every user's history, but not every event:
 the period marts read the daily user-segment base (one row per user, day and
 segment), which an incremental run maintains by recomputing only the days its
-event window touched - the event fact is never rescanned. The full-history
+event window touched - the event fact is never rescanned. The base has no
+watermark of its own: a run records the days it owes the base and the period
+marts before it commits the fact, and clears the record after their commit,
+so a run that dies in between is made good by the next one. The full-history
 activity frame is materialised once per run (a written table in the shared
 checkpoint folder) and feeds all period marts.
 """
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import activity as act
 from ..operators import quality as dq
 from ..operators.core import (DIM_COLUMNS, USER_ATTRIBUTES, dim_users, fct_events, merge_dim_rows,
-                              user_profile)
+                              missing_users, user_profile)
 from ..operators.engagement import engagement_depth
 from ..operators.growth import growth_accounting
 from ..operators.retention import cohort_retention_triangle, cohort_retention_triangle_since
@@ -46,12 +49,7 @@ TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_
           "fct_cohort_retention_triangle", "fct_engagement_depth")
 DAY_BASE = "user_day_segments"
 DIM_BUCKETS = 64
-# Users of an event window absent from the dimension are broadcast (and the
-# event shuffle for the user key skipped) only up to this many rows.
-MISSING_USERS_BROADCAST_LIMIT = 500_000
-# Physical layout: (partition column, cluster columns) per table. User-level
-# tables are also spread by user when partitions are rewritten (SPREAD), so
-# one period's rows are written by many tasks, not one.
+# Physical layout: (partition column, cluster columns) per table.
 LAYOUT = {
     "stg_events": ("event_date_utc", ("user_id", "event_type")),
     "dim_users": ("user_bucket", ("user_id",)),
@@ -62,7 +60,6 @@ LAYOUT = {
     "fct_cohort_retention_triangle": ("cohort_start", ("country", "platform", "utm_source", "cohort_grain")),
     "fct_engagement_depth": ("period_start", ("country", "platform", "utm_source", "period_grain")),
 }
-SPREAD = {"user_period_activity": "user_id", "user_day_segments": "user_id"}
 
 
 @dataclass
@@ -137,7 +134,7 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
                                         incoming.drop("user_bucket")).select("*", bucket)
                 # the rewrite replaces the buckets the merge reads: cut lineage first
                 sinks.overwrite_partitions(merged.checkpoint(eager=True), p_dim, "user_bucket",
-                                           spread_by="user_id", cluster_by=LAYOUT["dim_users"][1])
+                                           cluster_by=LAYOUT["dim_users"][1])
         finally:
             incoming.unpersist()
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
@@ -145,14 +142,20 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     p_fct = table_path(warehouse, "fct_events")
     f_after = event_lower_bound(spark, p_fct, "event_time_utc", "event_date_utc", params)
     windows["fct_events"] = f_after
-    checkpoint_root(spark)
-    fct_new = fct_events(stg, dim, params, f_after, missing_broadcast_limit=MISSING_USERS_BROADCAST_LIMIT)
+    missing, scratch = materialize(missing_users(stg, dim, params, f_after), spark, "missing-users")
+    fct_new = fct_events(stg, params, f_after, missing)
     part, clus = LAYOUT["fct_events"]
+    # Once the fact is committed its watermark hides this window from a retry,
+    # so what the later stages owe is recorded before.
+    base_after = sinks.mark_pending(spark, warehouse, "base", f_after)
+    windows["changed_since"] = sinks.mark_pending(spark, warehouse, "periods", f_after)
     if f_after is None:
         sinks.replace(fct_new, p_fct, part, clus)
     else:
         sinks.upsert(spark, p_fct, fct_new, "event_id", part, on_duplicate, clus)
-    refresh_day_base(spark, warehouse, f_after)
+    sinks.drop_path(spark, scratch)
+    refresh_day_base(spark, warehouse, base_after)
+    sinks.clear_pending(spark, warehouse, "base")
     return windows
 
 
@@ -170,8 +173,7 @@ def refresh_day_base(spark: SparkSession, warehouse: str, after: dt.datetime | N
         sinks.replace(act.user_day_segments(fct), path, part, clus)
         return
     recent = fct.filter(F.col("event_date_utc") >= F.lit(after.date()))
-    sinks.overwrite_partitions(act.user_day_segments(recent), path, part, spread_by=SPREAD[DAY_BASE],
-                               cluster_by=clus)
+    sinks.overwrite_partitions(act.user_day_segments(recent), path, part, cluster_by=clus)
 
 
 def ignored_late_events(spark: SparkSession, raw: DataFrame, warehouse: str,
@@ -211,8 +213,13 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     materialised once and the four independent marts run as concurrent jobs.
     """
     ensure_utc(spark)
-    if not sinks.exists(spark, table_path(warehouse, DAY_BASE)):
-        refresh_day_base(spark, warehouse, None)
+    owed = sinks.pending(spark, warehouse, "base")
+    if owed or not sinks.exists(spark, table_path(warehouse, DAY_BASE)):
+        refresh_day_base(spark, warehouse, None if not owed or None in owed else min(owed))
+        sinks.clear_pending(spark, warehouse, "base")
+    owed = sinks.pending(spark, warehouse, "periods")
+    if changed_since is not None and owed:
+        changed_since = None if None in owed else min(owed + [changed_since])
     day_base = read_table(spark, warehouse, DAY_BASE)
     upto = params.cutoff_date()
     afters = {name: period_lower_bound(spark, table_path(warehouse, name), LAYOUT[name][0], params)
@@ -258,13 +265,16 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         if afters[name] is None:
             sinks.replace(out, path, part, clus)
         else:
-            sinks.overwrite_partitions(out, path, part, spread_by=SPREAD.get(name), cluster_by=clus)
-
-    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        for f in [pool.submit(put, name) for name in PERIOD_MARTS]:
-            f.result()
-    for path in scratch:   # run-scoped intermediates
-        sinks.drop_path(spark, path)
+            sinks.overwrite_partitions(out, path, part, cluster_by=clus)
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+            for f in [pool.submit(put, name) for name in PERIOD_MARTS]:
+                f.result()
+    finally:
+        for path in scratch:   # run-scoped intermediates
+            sinks.drop_path(spark, path)
+    sinks.clear_pending(spark, warehouse, "periods")
     return dict(afters)
 
 
@@ -291,6 +301,8 @@ def post_checks(spark: SparkSession, raw: DataFrame, warehouse: str, params: Run
                               t["user_period_activity"], t["fct_growth_accounting"],
                               t["fct_cohort_retention_triangle"], t["fct_engagement_depth"],
                               params.execution_date, event_types=event_types)
+    suite.append(dq.Check("day_base_matches_fact",
+                          dq.base_matches_fact(read_table(spark, warehouse, DAY_BASE), t["fct_events"])))
     return [c for c in suite if getattr(c, "stage", "post") == "post"]
 
 
@@ -313,7 +325,7 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
                                  "event_date_utc", params)
         checks_out += dq.run_checks(pre_checks(raw, params, since=since))
     windows = refresh_events(spark, raw, warehouse, params, on_duplicate)
-    windows.update(refresh_periods(spark, warehouse, params, changed_since=windows["fct_events"]))
+    windows.update(refresh_periods(spark, warehouse, params, changed_since=windows.pop("changed_since")))
     if run_quality:
         checks_out += dq.run_checks(post_checks(spark, raw, warehouse, params, event_types))
     return RefreshReport(windows, checks_out)

@@ -88,9 +88,15 @@ def max_event_time(spark: SparkSession, path: str, ts_col: str,
 
 def replace(df: DataFrame, path: str, partition_by: str | None = None,
             cluster_by: tuple[str, ...] = ()) -> None:
-    """Full rewrite. Rows are sorted within each task by partition then
-    cluster columns (no shuffle), so files carry tight min/max statistics on
-    the cluster columns for later predicate pushdown."""
+    """Full rewrite.
+
+    Rows are rebalanced on the partition column, so a value lands in as few
+    files as its size asks for: AQE merges small partitions and splits large
+    ones (one date may be many tasks). Within a task they are sorted by
+    partition then cluster columns, so files carry tight min/max statistics
+    on the cluster columns for later predicate pushdown."""
+    if partition_by:
+        df = df.hint("rebalance", partition_by)
     if partition_by or cluster_by:
         df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *cluster_by)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -100,16 +106,10 @@ def replace(df: DataFrame, path: str, partition_by: str | None = None,
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str,
-                         spread_by: str | None = None, cluster_by: tuple[str, ...] = ()) -> None:
-    """Dynamic partition overwrite.
-
-    Rows are hash-clustered on the partition column (plus ``spread_by`` for
-    event-level tables, so one large date is split over many tasks instead
-    of landing in one); AQE coalesces the shuffle for small outputs, which
-    keeps the file count per partition low.
-    """
-    keys = [partition_by] + ([spread_by] if spread_by else [])
-    (df.repartition(*keys).sortWithinPartitions(partition_by, *cluster_by)
+                         cluster_by: tuple[str, ...] = ()) -> None:
+    """Dynamic partition overwrite, rebalanced like ``replace``: few files for
+    each partition, and several tasks for a large one."""
+    (df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 
@@ -118,6 +118,59 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+def mark_pending(spark: SparkSession, warehouse: str, stage: str, after: dt.datetime | None) -> dt.datetime | None:
+    """Record durably that ``stage`` owes the days from ``after`` on (None:
+    all), and return what it owes together with earlier records.
+
+    A record is an empty folder whose name holds the bound, so recording is
+    one file-system call that either happened or not. Records stay until
+    ``clear_pending``: a run that dies in between leaves them to the next."""
+    owed = pending(spark, warehouse, stage) + [after]
+    p, fs = _fs(spark, f"{_pending_dir(warehouse, stage)}/after={after.isoformat().replace(':', '.') if after else 'all'}")
+    if not fs.mkdirs(p):
+        raise OSError(f"cannot record pending work at {p}")
+    return None if None in owed else min(owed)
+
+
+def _pending_dir(warehouse: str, stage: str) -> str:
+    return f"{warehouse.rstrip('/')}/_pending/{stage}"
+
+
+def pending(spark: SparkSession, warehouse: str, stage: str) -> list[dt.datetime | None]:
+    """Bounds that earlier runs recorded for ``stage`` and didn't work off."""
+    names = partition_values(spark, _pending_dir(warehouse, stage), "after")
+    return [None if n == "all" else dt.datetime.fromisoformat(n.replace(".", ":", 2)) for n in names]
+
+
+def clear_pending(spark: SparkSession, warehouse: str, stage: str) -> None:
+    drop_path(spark, _pending_dir(warehouse, stage))
+
+
+def swap_in(spark: SparkSession, loaded: str, path: str) -> None:
+    """Put the complete folder ``loaded`` in the place of ``path``.
+
+    The old table is renamed aside first and only deleted once the new one is
+    in place; if that fails it is renamed back."""
+    src, fs = _fs(spark, loaded)
+    dst, _ = _fs(spark, path)
+    aside, _ = _fs(spark, f"{path.rstrip('/')}.replaced-{loaded.rsplit('-', 1)[-1]}")
+    if not fs.exists(src):
+        raise OSError(f"nothing to move from {loaded}")
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, aside):
+        raise OSError(f"cannot move {path} aside")
+    moved = False
+    try:
+        moved = fs.rename(src, dst)
+    finally:
+        if had and not moved and not fs.rename(aside, dst):
+            raise OSError(f"cannot move {loaded} to {path}; the previous table is at {aside}")
+    if not moved:
+        raise OSError(f"cannot move {loaded} to {path}; the previous table is unchanged")
+    if had:
+        fs.delete(aside, True)
+
+
 def dedupe_incoming(incoming: DataFrame, key: str, on_duplicate: str,
                     order_col: str = "loaded_at") -> DataFrame:
     """Resolve duplicate keys in a merge source.
@@ -168,7 +221,6 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
         # the very partitions the merge reads, so a retried task must never go
         # back to them.
         checkpoint_root(spark)
-        overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, spread_by=key,
-                             cluster_by=cluster_by)
+        overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, cluster_by=cluster_by)
     finally:
         cached.unpersist()

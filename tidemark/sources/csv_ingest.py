@@ -1,25 +1,30 @@
-"""Validated ingest of an event CSV into the raw Parquet table.
-
-* header CSV read with an explicit all-string schema (no inference pass);
-* the nine required columns must be present (extra columns pass through);
-* ``event_time`` must parse for every row (ISO text; offsets are converted
-  to UTC, naive values are taken as UTC) - one bad or missing value aborts
-  the load and leaves the previous table untouched;
-* ``miles_amount`` is parsed leniently (non-numeric -> null);
+"""Validated ingest of event CSV files into the raw Parquet table.
+
+* RFC 4180 quoting: quoted commas, doubled quotes and newlines are text. (A
+  file with quoted newlines can't be split, so one file is one task.)
+* columns are taken by name: files are grouped by their header, so files of
+  one folder may order their columns differently or have extra ones; every
+  file must have the nine required columns;
+* a row with too few or too many fields aborts the load, as does an
+  ``event_time`` that is missing or does not parse (ISO text; offsets are
+  converted to UTC, naive values are taken as UTC); the previous table stays;
+* ``miles_amount`` is parsed leniently (not a number -> null);
 * one ``loaded_at`` value per load, passed in by the caller.
 
-The bad-row count is collected with ``observe()`` during the single write
-pass; the new table is written next to the target and only swapped in when
-the count is zero.
+Bad rows are counted with ``observe()`` during the single write pass; the new
+table is written next to the target and only swapped in when there are none.
+The stream (``tidemark.streaming``) reads its files through the same functions.
 """
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions import ts_ntz
+from ..plans import sinks
 from ..session import ensure_utc
 
 # Fixed: the nine required input columns.
@@ -43,45 +48,105 @@ class IngestError(ValueError):
     pass
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line (reads one line)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+# Holds the text of a row that does not fit its header; not a column of the result.
+CORRUPT = "_row_as_read"
 
 
-def validate_columns(columns: list[str]) -> None:
-    missing = sorted(set(EXPECTED_COLUMNS) - set(columns))
-    if missing:
-        raise IngestError(f"Missing required columns in input CSV: {missing}")
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files at a file, folder or glob path, in order."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.globStatus(p) or []:
+        inner = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        found += [i.getPath() for i in inner if i.isFile()]
+    return sorted(str(f.toString()) for f in found if not f.getName().startswith(("_", ".")))
+
+
+def csv_header(spark: SparkSession, file: str) -> list[str]:
+    """Column names of one file (Spark reads its first line)."""
+    return (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
+            .csv(file).columns)
+
+
+def check_header(file: str, columns: list[str]) -> None:
+    """Every required column, each name once."""
+    lacking = [c for c in EXPECTED_COLUMNS if c not in columns]
+    if lacking:
+        raise IngestError(f"{file}: the header lacks {', '.join(lacking)}")
+
+
+def headers_of(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. Headers are read by 16 threads; each is one line."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        columns = list(pool.map(lambda f: tuple(csv_header(spark, f)), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f, cols in zip(files, columns):
+        check_header(f, list(cols))
+        groups.setdefault(cols, []).append(f)
+    return groups
+
+
+def _read_group(spark: SparkSession, columns: tuple[str, ...], files: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
+            .option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT)
+            .schema(schema).csv(files))
+
+
+def typed_events(text: DataFrame, loaded_at: dt.datetime, pandas_na: bool = False) -> DataFrame:
+    """All-string rows -> typed raw events; ``event_time`` is null where it did not parse."""
+    cols = text.columns
+    if pandas_na:
+        text = text.select(*[c if c == CORRUPT else F.when(F.col(c).isin(PANDAS_NA_TOKENS), None).otherwise(F.col(c)).alias(c)
+                             for c in cols])
+    t = F.trim(F.col("event_time"))
+    parsed = F.coalesce(F.try_to_timestamp(t),
+                        *[F.try_to_timestamp(t, F.lit(fmt)) for fmt in FALLBACK_TIME_FORMATS]
+                        ).cast("timestamp_ntz")
+    miles = F.expr("try_cast(trim(miles_amount) AS double)")
+    typed = {"event_time": parsed, "miles_amount": F.when(~F.isnan(miles), miles)}
+    return text.select(*[typed.get(c, F.col(c)).alias(c) for c in cols], ts_ntz(loaded_at).alias("loaded_at"))
+
+
+def read_event_files(spark: SparkSession, files: list[str], loaded_at: dt.datetime,
+                     pandas_na: bool = False) -> DataFrame:
+    """Typed raw events of CSV files (lazy), with ``CORRUPT``: the text of rows
+    that do not fit their header. Columns that only some files have are null
+    in the others."""
+    ensure_utc(spark)
+    if not files:
+        raise IngestError("no input files")
+    out = None
+    for columns, group in headers_of(spark, files).items():
+        part = _read_group(spark, columns, group)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    rest = [c for c in out.columns if c != CORRUPT]
+    return typed_events(out.select(*rest, CORRUPT), loaded_at, pandas_na)
 
 
 def read_events_csv(spark: SparkSession, path: str, loaded_at: dt.datetime,
                     pandas_na: bool = False) -> DataFrame:
-    """Typed raw events (lazy). ``event_time`` is null where it did not parse.
+    """Typed raw events at a path (lazy).
 
     ``pandas_na`` turns pandas' default NA tokens (``NA``, ``null``, ``NaN``
     ...) into nulls, as a pandas-based loader would; off by default so that
     a literal ``NA`` (a country code) survives.
     """
-    ensure_utc(spark)
-    cols = csv_header(spark, path)
-    validate_columns(cols)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
-    if pandas_na:
-        df = df.select(*[F.when(F.col(c).isin(PANDAS_NA_TOKENS), None).otherwise(F.col(c)).alias(c)
-                         for c in cols])
-    t = F.trim(F.col("event_time"))
-    parsed = F.coalesce(F.try_to_timestamp(t),
-                        *[F.try_to_timestamp(t, F.lit(fmt)) for fmt in FALLBACK_TIME_FORMATS]
-                        ).cast("timestamp_ntz")
-    out = df.select(
-        *[parsed.alias(c) if c == "event_time"
-          else F.expr("try_cast(trim(miles_amount) AS double)").alias(c) if c == "miles_amount"
-          else F.col(c)
-          for c in cols],
-        ts_ntz(loaded_at).alias("loaded_at"),
-    )
-    return out
+    return read_event_files(spark, list_files(spark, path), loaded_at, pandas_na).drop(CORRUPT)
+
+
+def bad_rows() -> list:
+    """Aggregates that count what makes a load fail."""
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("misfits"),
+            F.count_if(F.col("event_time").isNull()).alias("untimed")]
+
+
+def check_counts(counts: dict) -> None:
+    if counts["misfits"] or counts["untimed"]:
+        raise IngestError(f"load stopped: {counts['misfits']} rows don't fit their header, "
+                          f"{counts['untimed']} have no readable event_time")
 
 
 def ingest_events_csv(spark: SparkSession, csv_path: str, raw_path: str,
@@ -93,28 +158,21 @@ def ingest_events_csv(spark: SparkSession, csv_path: str, raw_path: str,
     previous table) if any ``event_time`` is missing or unparseable.
     """
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    df = read_events_csv(spark, csv_path, loaded_at, pandas_na)
+    df = read_event_files(spark, list_files(spark, csv_path), loaded_at, pandas_na)
     obs = Observation("ingest")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.count_if(F.col("event_time").isNull()).alias("bad_event_time"))
+    observed = df.observe(obs, *bad_rows()).drop(CORRUPT)
     staging = f"{raw_path.rstrip('/')}.loading-{uuid.uuid4().hex[:12]}"
-    # Partitioned by event day so incremental staging reads prune whole days
-    # (the writer sorts each task's rows by day locally; no shuffle).
-    (observed.withColumn(RAW_DAY_COLUMN, F.to_date("event_time"))
-     .write.mode("overwrite").partitionBy(RAW_DAY_COLUMN).parquet(staging))
-    metrics = obs.get
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = src.getFileSystem(conf)
-    if metrics["bad_event_time"] > 0:
-        fs.delete(src, True)
-        raise IngestError("Invalid event_time values found; aborting load.")
-    dst = jvm.org.apache.hadoop.fs.Path(raw_path)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.rename(src, dst)
-    return int(metrics["rows"])
+    # Partitioned by event day so incremental staging reads prune whole days;
+    # rebalanced on it, so a day is few files.
+    try:
+        (observed.withColumn(RAW_DAY_COLUMN, F.to_date("event_time")).hint("rebalance", RAW_DAY_COLUMN)
+         .write.mode("overwrite").partitionBy(RAW_DAY_COLUMN).parquet(staging))
+        counts = obs.get
+        check_counts(counts)
+        sinks.swap_in(spark, staging, raw_path)
+    finally:
+        sinks.drop_path(spark, staging)
+    return int(counts["rows"])
 
 
 def write_events_csv(df: DataFrame, path: str) -> None:
@@ -124,4 +182,4 @@ def write_events_csv(df: DataFrame, path: str) -> None:
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+     .option("quote", '"').option("escape", '"').csv(path))

@@ -1,8 +1,7 @@
 """Parquet table access with explicit column lists (pruned at the scan).
 
-Source tables are immutable inputs, so the resolved DataFrame of each path is
-kept per session: repeated queries skip the file listing and footer read
-(the plan is re-used; data is still read by each query).
+Every call lists the files anew: a frame that outlives an append would go on
+reading the files it first saw.
 """
 from __future__ import annotations
 
@@ -10,30 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import join_path
 
-_SOURCES: dict[str, tuple[SparkSession, DataFrame]] = {}
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return join_path(sf_dir, f"{name}.parquet")
 
 
-def _alive(spark: SparkSession) -> bool:
-    try:
-        return not spark.sparkContext._jsc.sc().isStopped()
-    except Exception:  # noqa: BLE001 - a dead gateway means not alive
-        return False
-
-
-def source_frame(spark: SparkSession, path: str) -> DataFrame:
-    hit = _SOURCES.get(path)
-    if hit is not None and hit[0] is spark and _alive(spark):
-        return hit[1]
-    df = spark.read.parquet(path)
-    _SOURCES[path] = (spark, df)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
-    df = source_frame(spark, table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df

@@ -1,12 +1,15 @@
 """Event-file stream -> incremental refresh per micro-batch.
 
-``readStream`` watches a directory of header CSV files (declared all-string
-schema, no inference). Each micro-batch is parsed like the batch loader and
-handed to ``plans.refresh.refresh_events``: the same late-arrival lookback,
-cutoff and keyed upserts as a scheduled batch run. Because every write is an
-upsert on a deterministic key, replaying a micro-batch after a failure
-(at-least-once delivery into ``foreachBatch``) yields the same tables, and
-the stream checkpoint lives in the shared ``spark.checkpoint.dir``.
+``readStream`` watches a directory and delivers the names of new files (their
+content is not read by the stream). Each micro-batch reads its files with the
+batch loader's functions - quoting, columns by name for each file's header,
+required columns, bad rows fatal - and hands the events to
+``plans.refresh.refresh_events``: the same late-arrival lookback, cutoff and
+keyed upserts as a scheduled batch run. Every write is an upsert on a
+deterministic key, and days that a dead run left unfinished are recorded in
+the warehouse, so replaying a micro-batch (at-least-once delivery into
+``foreachBatch``) yields the same tables. The stream checkpoint lives in the
+shared ``spark.checkpoint.dir``.
 
 ``trigger(availableNow=True)`` processes what has arrived and stops, which
 is how a scheduler runs it; drop it for a continuously running query.
@@ -15,35 +18,26 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import ts_ntz
 from ..params import RunParams
 from ..plans import refresh
 from ..session import ensure_utc, join_path, scratch_path
-from ..sources.csv_ingest import EXPECTED_COLUMNS, FALLBACK_TIME_FORMATS, IngestError
+from ..sources.csv_ingest import CORRUPT, bad_rows, check_counts, read_event_files
 
-STREAM_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EXPECTED_COLUMNS])
+# Fixed: the columns of Spark's binaryFile source; only the path is read.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def event_file_stream(spark: SparkSession, source_dir: str,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Typed streaming DataFrame over ``source_dir``; ``loaded_at`` is the
-    micro-batch processing time."""
+    """Streaming DataFrame of the paths of files that arrive in ``source_dir``."""
     ensure_utc(spark)
-    r = spark.readStream.schema(STREAM_SCHEMA).option("header", True)
+    r = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    s = r.csv(source_dir)
-    t = F.trim("event_time")
-    typed = {
-        "event_time": F.coalesce(F.try_to_timestamp(t),
-                                 *[F.try_to_timestamp(t, F.lit(f)) for f in FALLBACK_TIME_FORMATS]
-                                 ).cast("timestamp_ntz"),
-        "miles_amount": F.expr("try_cast(trim(miles_amount) AS double)"),
-    }
-    return s.select(*[typed.get(c, F.col(c)).alias(c) for c in EXPECTED_COLUMNS])
+    return r.load(source_dir).select("path")
 
 
 def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | None,
@@ -51,17 +45,19 @@ def _batch_handler(warehouse: str, params: RunParams, loaded_at: dt.datetime | N
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        files = sorted(r.path for r in batch.collect())   # names of one micro-batch, as Spark's driver lists them
+        if not files:
+            return
         # the refresh runs several jobs over the batch: keep it cached for them
         # (a lost block is simply re-read from the source files)
-        batch = batch.withColumn("loaded_at", ts_ntz(stamp)).persist()
+        events = read_event_files(spark, files, stamp).persist()
         try:
-            if batch.filter(F.col("event_time").isNull()).limit(1).count() > 0:
-                raise IngestError(f"micro-batch {batch_id}: invalid event_time values; stopping")
-            windows = refresh.refresh_events(spark, batch, warehouse, params)
+            check_counts(events.agg(*bad_rows()).first().asDict())
+            windows = refresh.refresh_events(spark, events.drop(CORRUPT), warehouse, params)
             if with_periods:
-                refresh.refresh_periods(spark, warehouse, params, changed_since=windows["fct_events"])
+                refresh.refresh_periods(spark, warehouse, params, changed_since=windows["changed_since"])
         finally:
-            batch.unpersist()
+            events.unpersist()
     return handle
 
 
@@ -90,7 +86,7 @@ def stage_files(spark: SparkSession, df: DataFrame, source_dir: str, name: str)
     (df.write.mode("overwrite").option("header", True)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(tmp))
+     .option("quote", '"').option("escape", '"').csv(tmp))
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src = jvm.org.apache.hadoop.fs.Path(tmp)
