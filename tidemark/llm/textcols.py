@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
+from .shipping import ship_package
+
 SLICE_BYTES = 2 << 20
 #: Rows in one Arrow batch between the JVM and a Python worker.
 BATCH_ROWS = 512
@@ -33,7 +35,9 @@ _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
 
 def limit_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Rows of one Arrow batch for the operator that is about to run: a batch
-    of long rows then stays within a few MB on either side."""
+    of long rows then stays within a few MB on either side. Also sees to it
+    that Python workers find the package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
