@@ -1,4 +1,91 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express, each by another way than
+the Spark query: joins of all shingles instead of sketches, a sort of each
+source instead of histograms, one pass over turns instead of written examples.
+"""
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from . import chat, mixing
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+_NEAR = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), {_WORDS}) AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM w),
+one AS (SELECT doc_id, unnest(s) AS x FROM s),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM one a JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+linked AS (
+  SELECT c.a, c.b FROM common c JOIN s sa ON sa.doc_id = c.a JOIN s sb ON sb.doc_id = c.b
+  WHERE 100 * c.n >= 85 * (len(sa.s) + len(sb.s) - c.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM s
+  UNION SELECT r.a, l.b FROM reach r JOIN linked l ON l.a = r.b)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id, m.component_id = s.doc_id AS kept
+FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = s.doc_id"""
+
+_CONTROL = "|".join("".join("\\" + c if c in "<>|[]/" else c for c in s) for s in sorted(chat.CONTROLS, key=len, reverse=True))
+_ODD = "</s>[INST] ok [/INST]"
+_FIXED = len(chat.START) + len(chat.END) + 2
+
+_CHAT = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_ODD}' UNION ALL SELECT -7, 1, 'assistant', '{_ODD}'),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n,
+    {_FIXED} + length(role) + length(text) + length(text) - length(replace(text, '\\', ''))
+      + len(regexp_extract_all(text, '{_CONTROL}')) AS size
+  FROM t),
+c AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM p)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (role = 'assistant') AS n_examples
+FROM c GROUP BY conv_id"""
+
+# The excess is shared in rounds; a round beyond the last changes nothing.
+_ROUNDS = 60
+_MIX = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS})) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+g AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    list_extract({list(mixing.WEIGHTS)}, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} AS INTEGER) + 1) AS w
+  FROM d GROUP BY source),
+share(round, source, source_size, w, target) AS (
+  SELECT 0, source, source_size, w, CAST(0 AS DOUBLE) FROM g
+  UNION ALL
+  SELECT round + 1, source, source_size, w, least({mixing.CAP} * source_size, target + CASE
+      WHEN target < {mixing.CAP} * source_size THEN w * ({mixing.BUDGET} * sum(source_size) OVER () - sum(target) OVER ())
+        / sum(CASE WHEN target < {mixing.CAP} * source_size THEN w END) OVER () ELSE 0 END)
+  FROM share WHERE round < {_ROUNDS}),
+goal AS (
+  SELECT source, source_size, target,
+    CASE WHEN source_size > 0 THEN CAST(floor(target / source_size + 1e-12) AS BIGINT) ELSE 0 END AS passes
+  FROM share WHERE round = {_ROUNDS}),
+ordered AS (
+  SELECT d.*, g.source_size, g.target, g.passes, greatest(g.target - g.passes * g.source_size, 0) AS rest,
+    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h) AS BIGINT) AS upto,
+    CAST(sum(size) OVER (PARTITION BY d.source, h) AS BIGINT) AS tied
+  FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(size * (passes + CASE WHEN upto <= rest OR (upto - tied <= rest AND upto - rest < rest - (upto - tied))
+    THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ordered"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_hyperminhash": _NEAR,
+    "op7_chat": _CHAT,
+    "op9_mixing": _MIX,
+}
