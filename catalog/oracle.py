@@ -398,13 +398,15 @@ _KEPT = f"SELECT * FROM raw_all WHERE NOT ({_LATE} AND event_time <= {_WM} - INT
 _IGNORED = f"SELECT * FROM raw_all WHERE {_LATE} AND event_time <= {_WM} - INTERVAL 1 DAY"
 _AFTER3 = f"(CAST({_WM} AS DATE) - INTERVAL 3 DAY)"
 
+_LOADED = "TIMESTAMP '2024-06-01 00:00:00'"   # the load time that both ingest queries pass in
+
 ORACLE_SQL.update({
     "user_day_segments": _with(chain()[:5], """
       SELECT event_date_utc AS activity_date, user_id, coalesce(country, 'UNKNOWN') AS country,
         coalesce(platform, 'unknown') AS platform, coalesce(utm_source, 'unknown') AS utm_source,
         count(*) AS event_count, coalesce(sum(miles_amount), CAST(0 AS DECIMAL(38,9))) AS miles_sum
       FROM fct GROUP BY ALL"""),
-    "csv_ingest": _with(chain()[:3], "SELECT * FROM stg"),
+    "csv_ingest": _with(chain()[:3], f"SELECT * REPLACE ({_LOADED} AS loaded_at) FROM stg"),
     "stg_events_incremental": _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:3], "SELECT * FROM stg"),
     "fct_events_incremental": _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:5], "SELECT * FROM fct"),
     "dim_users_incremental": _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:4], "SELECT * FROM dim"),
@@ -425,7 +427,8 @@ ORACLE_SQL["refresh_recovery"] = _with(
     [("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:5],
     "SELECT event_date_utc AS activity_date, count(*) AS events, count(DISTINCT user_id) AS users FROM fct GROUP BY ALL")
 ORACLE_SQL["full_refresh"] = ORACLE_SQL["fct_events"]
-ORACLE_SQL["streaming_ingest"] = ORACLE_SQL["fct_events_incremental"]
+ORACLE_SQL["streaming_ingest"] = _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT)[:5],
+                                       f"SELECT * REPLACE ({_LOADED} AS loaded_at) FROM fct")
 ORACLE_SQL["growth_dashboard"] = _with(chain(), GROWTH + "\n  ORDER BY period_grain, period_start")
 ORACLE_SQL["cutoff_bounded_run"] = _with(
     chain_over(RAW_EVENTS.replace("LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey",

@@ -344,20 +344,31 @@ def user_day_segments(spark, sf_dir):
         "miles_sum")
 
 
+LOADED_AT = _dt.datetime(2024, 6, 1)
+
+
+def _file_layouts(raw: DataFrame) -> list[DataFrame]:
+    """The rows in files of two layouts: as they are, and with the columns in
+    another order and an extra one full of quotes, commas and newlines."""
+    odd = F.pmod(F.xxhash64("user_id"), F.lit(2)) == 1
+    note = F.concat(F.lit('say "'), F.col("event_type"), F.lit('", ok\nor, "not'))
+    return [raw.filter(~odd | odd.isNull()), raw.filter(odd).select(note.alias("note"), *reversed(raw.columns))]
+
+
 @query("csv_ingest")
 def csv_ingest(spark, sf_dir):
-    """Round trip: events -> CSV -> validated ingest -> raw Parquet -> staging."""
+    """Round trip: events -> CSV files of two layouts -> validated ingest ->
+    raw Parquet -> staging, with the load's time."""
     from tidemark.operators.staging import stg_events as stg
     from tidemark.session import scratch_path
     from tidemark.sources.adapters import raw_events
     from tidemark.sources.csv_ingest import ingest_events_csv, write_events_csv
     csv_dir, raw_dir = scratch_path(spark, "events-csv"), scratch_path(spark, "raw-events")
     raw = raw_events(spark, sf_dir)
-    write_events_csv(raw.drop("loaded_at"), csv_dir)
-    ingest_events_csv(spark, csv_dir, raw_dir, loaded_at=_dt.datetime(2024, 6, 1))
-    loaded = spark.read.parquet(raw_dir)
-    # the adapter stamps loaded_at = event time; restore it for comparison
-    return stg(loaded.withColumn("loaded_at", F.col("event_time")))
+    for i, part in enumerate(_file_layouts(raw.drop("loaded_at"))):
+        write_events_csv(part, f"{csv_dir}/{i}")
+    ingest_events_csv(spark, f"{csv_dir}/*", raw_dir, loaded_at=LOADED_AT)
+    return stg(spark.read.parquet(raw_dir))
 
 
 @query("stg_events_incremental")
@@ -473,12 +484,11 @@ def streaming_ingest(spark, sf_dir):
     src, wh = scratch_path(spark, "event-stream-src"), scratch_path(spark, "event-stream-wh")
     ckpt = scratch_path(spark, "event-stream-ckpt")
     for i, part in enumerate((b1, rest)):
-        stage_files(spark, part.drop("loaded_at"), src, f"batch{i}")
-        q = start_event_ingest(spark, src, wh, checkpoint=ckpt, loaded_at=_dt.datetime(2024, 6, 1))
+        for j, files in enumerate(_file_layouts(part.drop("loaded_at"))):
+            stage_files(spark, files, src, f"batch{i}-{j}")
+        q = start_event_ingest(spark, src, wh, checkpoint=ckpt, loaded_at=LOADED_AT)
         q.awaitTermination()
-    fct = read_table(spark, wh, "fct_events").select(*FCT_COLUMNS)
-    # the stream stamps its own load time; compare with the source's
-    return fct.withColumn("loaded_at", F.col("event_time_utc"))
+    return read_table(spark, wh, "fct_events").select(*FCT_COLUMNS)
 
 
 @query("growth_dashboard")
