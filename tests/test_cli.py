@@ -34,3 +34,13 @@ def test_cli_precheck_gate_fails_without_source_rows(spark):
     assert main(["load", "--csv", csv, "--warehouse", wh]) == 0
     with pytest.raises(DataQualityError, match="source_availability"):
         main(["precheck", "--warehouse", wh, "--execution-date", "2025-06-01"])
+
+
+def test_cutoff_now_is_the_moment_of_the_call():
+    import datetime as dt
+
+    from tidemark.__main__ import cutoff
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    got = dt.datetime.fromisoformat(cutoff("now"))
+    assert before <= got <= dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert cutoff("") is None and cutoff("2024-01-02") == "2024-01-02"

@@ -12,6 +12,7 @@ Every step stops with a non-zero exit status at the first failure.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -27,7 +28,7 @@ def _args(argv):
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--csv")
     ap.add_argument("--master")
-    ap.add_argument("--execution-date", default="")
+    ap.add_argument("--execution-date", default="", help="inclusive cutoff (UTC); 'now' for the moment of the call")
     ap.add_argument("--late-arrival-lookback-days", type=int, default=1)
     ap.add_argument("--period-lookback-days", type=int, default=62)
     ap.add_argument("--full-refresh", action="store_true")
@@ -38,10 +39,17 @@ def _args(argv):
     return ap.parse_args(argv)
 
 
+def cutoff(text: str) -> str | None:
+    """The cutoff argument; ``now`` is resolved once, for all steps of a run."""
+    if text.strip().lower() == "now":
+        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+    return text or None
+
+
 def main(argv=None) -> int:
     a = _args(argv if argv is not None else sys.argv[1:])
     spark = build_session(a.master)
-    params = RunParams(execution_date=a.execution_date or None,
+    params = RunParams(execution_date=cutoff(a.execution_date),
                        late_arrival_lookback_days=a.late_arrival_lookback_days,
                        period_lookback_days=a.period_lookback_days,
                        full_refresh=a.full_refresh or a.step == "backfill")
