@@ -204,12 +204,18 @@ def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int
         .write.parquet(path)
     stored = spark.read.parquet(path)
     bands = stored.select("rep", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top")
+    # Stored, the aggregates are plain sides of a join, of which Spark can split a frequent key.
+    path = scratch_path(spark, "shared-bands")
+    bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top") \
+        .select("key", "hub").write.parquet(path)
+    shared = spark.read.parquet(path)
     path = scratch_path(spark, "members")
-    bands.join(shared.select("key", "hub"), "key").select("hub", "rep").distinct().write.parquet(path)
+    bands.join(shared, "key").select("hub", "rep").distinct().write.parquet(path)
     members = spark.read.parquet(path)
     # A group of n documents is ceil(n / BLOCK) blocks; each pair of blocks is compared in one place.
-    blocks = members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    path = scratch_path(spark, "blocks")
+    members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")).write.parquet(path)
+    blocks = spark.read.parquet(path)
     dealt = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("rep", "hub"), F.col("blocks")).cast("int"))
     dealt = dealt.select("hub", "rep", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("hub", "rep", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
