@@ -4,10 +4,10 @@ Burrows-Wheeler transform.
 Every byte that lies in a string of ``LENGTH`` (400) bytes that also starts
 anywhere else, in any document, is removed. Strings are judged on the input.
 
-1. Anchors. In each window of 400 bytes the positions whose 128 bytes have the
-   smallest hash are anchors; equal windows have anchors at equal places. An
-   anchor's segment is all that a window around it can hold: up to 272 bytes
-   before and 400 after its position. Only anchors whose 128 bytes occur twice
+1. Anchors. In each window of 400 bytes the first position whose 128 bytes have
+   the smallest hash is its anchor; equal windows have it at the same place. An
+   anchor's segment is all that the windows hold whose anchor it is: up to 272
+   bytes before and 400 after its position. Only anchors whose 128 bytes occur twice
    in the corpus go on (a count with map-side combine), and equal segments count
    as one with a number of occurrences, so copies don't pile up anywhere.
 2. What follows an anchor is sorted, dealt by ranges of the bytes themselves, and
@@ -67,6 +67,9 @@ CHUNK = 1 << 20
 #: Segments in one transform.
 BATCH = 4096
 
+#: Low bits of a hash that give way to its place in a chunk.
+_PLACE = U64((1 << 21) - 1)
+
 _POW = powers(CHUNK + 4 * LENGTH)
 _INV = powers(CHUNK + 4 * LENGTH, pow(_BASE, -1, 2**64))
 
@@ -90,33 +93,31 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(position, hash of its 128 bytes, hash of its segment, bytes before and
-    after the position in the segment) of all anchors of one text."""
-    found: dict[str, list] = {k: [] for k in ("at", "gram", "segment")}
-    n, last = len(raw), len(raw) - LENGTH
+    after the position in the segment) of all anchors of one text.
+
+    Windows that begin one after the other mostly share their anchor; those
+    that do are one row. (A long text is hashed in chunks, whose border may cut
+    such a row in two.)"""
+    found: list[tuple] = []
+    last = len(raw) - LENGTH
     for begin in range(0, max(last + 1, 0), CHUNK):
         windows = min(CHUNK, last + 1 - begin)
-        low = max(begin - BEFORE, 0)
-        part = raw[low:min(begin + windows + 2 * LENGTH, n)]
-        sums = _sums(part)
-        shift = begin - low
+        sums = _sums(raw[begin:begin + windows + LENGTH - 1])
         grams = windows + WINDOWS - 1
-        g = mix((sums[shift + GRAM:shift + GRAM + grams] - sums[shift:shift + grams]) * _INV[shift:shift + grams])
-        least = _sliding(g, WINDOWS, np.minimum)
-        edge = np.zeros(WINDOWS - 1, U64)
-        at = np.flatnonzero(_sliding(np.r_[edge, least, edge], WINDOWS, np.maximum) == g)
-        start = np.maximum(at + begin - BEFORE, 0) - low
-        end = np.minimum(at + begin + LENGTH, n) - low
-        whole = (sums[end] - sums[start]) * _INV[start]
-        left = (at + begin) - (start + low)
-        found["at"].append(at + begin)
-        found["gram"].append(g[at])
-        found["segment"].append(mix(mix(whole + U64(7)) + left.astype(U64) * U64(1024) + (end + low - at - begin).astype(U64)))
-    if not found["at"]:
+        g = mix((sums[GRAM:GRAM + grams] - sums[:grams]) * _INV[:grams])
+        # The place in the low bits: the smallest number has the leftmost place of the smallest hash.
+        owner = (_sliding((g & ~_PLACE) | np.arange(grams, dtype=U64), WINDOWS, np.minimum) & _PLACE).astype(np.int64)
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        beyond = np.r_[first[1:], windows] - 1 + LENGTH
+        at = owner[first]
+        whole = mix((sums[beyond] - sums[first]) * _INV[first] + U64(7))
+        before, after = at - first, beyond - at
+        segment = mix(whole + before.astype(U64) * U64(1024) + after.astype(U64))
+        found.append((at + begin, g[at].astype(np.int64), segment.astype(np.int64), before, after))
+    if not found:
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
-    at, first = np.unique(np.concatenate(found["at"]), return_index=True)
-    gram, segment = (np.concatenate(found[k])[first].astype(np.int64) for k in ("gram", "segment"))
-    return at, gram, segment, np.minimum(at, BEFORE), np.minimum(n - at, LENGTH)
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
