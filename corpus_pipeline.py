@@ -46,7 +46,8 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     name = "verdict" + "_" * max(map(len, docs.columns))
     verdict = verdict.select(F.struct(*verdict.columns).alias(name))
     repeats = (F.col(f"{name}.rows") > 1) & (F.col(f"{name}.words") > 0)
-    joined = docs.join(verdict, F.col("doc_id") == F.col(f"{name}.doc_id"), "left")
+    # A verdict for each document is never small: sorted on both sides, whatever the size.
+    joined = docs.join(verdict.hint("merge"), F.col("doc_id") == F.col(f"{name}.doc_id"), "left")
     joined = joined.where(F.coalesce(F.col(f"{name}.kept"), F.lit(True)))
     if verdict.where(f"{name}.kept").where(repeats).limit(1).count():
         single = joined.where(~F.coalesce(repeats, F.lit(False)))
