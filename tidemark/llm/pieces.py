@@ -20,8 +20,8 @@ import pyarrow as pa
 
 from .textcols import gather, lower_ascii
 
-CACHE_PIECES = 400_000
-CACHE_IDS = 6_400_000
+CACHE_PIECES = 150_000
+CACHE_IDS = 2_400_000
 _AT_ONCE = 4096
 
 _LETTER = np.zeros(256, bool)

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from .shipping import ship_package
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Rows in one Arrow batch between the JVM and a Python worker.
 BATCH_ROWS = 512
 #: Words longer than this are hashed one by one instead of by the power table.
