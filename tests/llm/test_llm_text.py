@@ -190,6 +190,17 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert got == plain.components({i: plain.shingles(t, 3) for i, t in rows}, 85)
 
 
+def test_near_duplicates_of_repeated_rows(spark):
+    """One row some thousand times is one document of its block; texts that share a doc_id aren't linked by it."""
+    rng = random.Random(12)
+    a, b, c = ([f"w{rng.randint(0, 10**6)}" for _ in range(60)] for _ in range(3))
+    near = lambda x: " ".join(x[:-1] + ["end"])
+    rows = [(1, " ".join(a))] * 2000 + [(2, near(a)), (5, near(b)), (5, " ".join(c)), (3, " ".join(b)), (7, near(c))]
+    got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85).collect()
+    assert collections.Counter((r.doc_id, r.component_id, r.kept) for r in got) == {
+        (1, 1, True): 2000, (2, 1, False): 1, (5, 3, False): 1, (3, 3, True): 1, (5, 5, True): 1, (7, 5, False): 1}
+
+
 def test_bands_miss_rarely():
     for t in (0.8, 0.85, 0.9):
         bands, rows = hyperminhash.bands_for(t)

@@ -7,8 +7,8 @@ after them (10). Two documents have equal registers in a bucket about as often
 as their sets overlap. Empty buckets, of short documents, copy a bucket that
 both of two similar documents choose alike.
 
-1. Equal sets are one class, represented by the smallest doc_id: copies are
-   never compared, however many there are.
+1. Equal sets are one class, represented by one row with the smallest doc_id:
+   copies are never compared, however many there are.
 2. Registers are cut into bands; documents that share a band are candidates. The
    bands are chosen so that a pair at the threshold is missed with a probability
    of at most ``MISS``.
@@ -25,7 +25,7 @@ the same hash with a probability of about n**2 / 2**65.
 
 Defined results: a text without words, or null, has the empty set and is linked
 with nothing; a text with fewer words than a shingle is one shingle. Rows that
-share a doc_id may be linked through it. A row without doc_id is linked with
+share a doc_id are linked by their own texts only. A row without doc_id is linked with
 nothing, has no component and is kept. Repeated rows have equal results (so
 ``kept`` holds for each copy of the row with the smallest doc_id). Extra columns
 are ignored; an empty table has no result.
@@ -136,8 +136,12 @@ def set_hash(distinct: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key"))
+
+
 def sketch(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2: hash of the set, registers: binary)."""
+    """(doc_id, text_key: hash of the text, n_shingles, h1, h2: hash of the set, registers: binary)."""
     limit_batches(docs.sparkSession)
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
@@ -147,11 +151,10 @@ def sketch(docs: DataFrame, shingle: int) -> DataFrame:
                 rows = [(len(s), *set_hash(s), dense(*registers(s)).astype("<u2").tobytes() if len(s) else None)
                         for s in shingle_hashes(*flat(part.column("text")), shingle)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
-                    ["doc_id", "n_shingles", "h1", "h2", "registers"])
+                    [part.column("doc_id"), part.column("text_key"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
+                    ["doc_id", "text_key", "n_shingles", "h1", "h2", "registers"])
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, registers binary")
+    return _keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, h1 long, h2 long, registers binary")
 
 
 def _links_of(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -193,56 +196,63 @@ def _links_of(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tup
 
 
 def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b): confirmed links between representatives of classes, enough to
-    connect all that are connected."""
+    """(a, b): confirmed links between nodes of classes, enough to connect all
+    that are connected."""
     spark = docs.sparkSession
     count, rows = bands_for(percent / 100)
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 1 + 2 * rows * i, 2 * rows)) for i in range(count)])
-    own = ((F.col("doc_id") == F.col("rep")) & (sketches["h1"] == classes["h1"]) & (sketches["h2"] == classes["h2"]))
     path = scratch_path(spark, "bands")
-    sketches.join(classes, own, "left_semi").select(F.col("doc_id").alias("rep"), "h1", "h2", keys.alias("keys")) \
+    sketches.join(classes, F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), keys.alias("keys")) \
         .write.parquet(path)
     stored = spark.read.parquet(path)
-    bands = stored.select("rep", F.explode("keys").alias("key"))
+    bands = stored.select("node", F.explode("keys").alias("key"))
     # Stored, the aggregates are plain sides of a join, of which Spark can split a frequent key.
     path = scratch_path(spark, "shared-bands")
-    bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top") \
+    bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top") \
         .select("key", "hub").write.parquet(path)
     shared = spark.read.parquet(path)
     path = scratch_path(spark, "members")
-    bands.join(shared, "key").select("hub", "rep").distinct().write.parquet(path)
+    bands.join(shared, "key").select("hub", "node").distinct().write.parquet(path)
     members = spark.read.parquet(path)
     # A group of n documents is ceil(n / BLOCK) blocks; each pair of blocks is compared in one place.
     path = scratch_path(spark, "blocks")
     members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")).write.parquet(path)
     blocks = spark.read.parquet(path)
-    dealt = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("rep", "hub"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("hub", "rep", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("hub", "rep", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-    wanted = stored.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "h1", "h2")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("rep")) \
-        .select("rep", "h1", "h2", "text")
+    dealt = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("node", "hub"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("hub", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("hub", "node", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    path = scratch_path(spark, "wanted")
+    classes.join(members.select("node").distinct(), "node", "left_semi").write.parquet(path)
+    wanted = spark.read.parquet(path)
+    read = _keyed(docs)
+    if wanted.where("rows > 1").limit(1).count():
+        # Each task drops its own repeats first, so that a frequent row is one row of a class.
+        read = read.dropDuplicates(["doc_id", "text_key"])
+    # Sorted on both sides at every size, so that the disk it takes grows in proportion.
+    wanted = wanted.withColumnRenamed("text_key", "k").hint("merge")
+    texts = read.join(wanted, (F.col("doc_id") == F.col("rep")) & (F.col("text_key") == F.col("k"))) \
+        .select("node", "h1", "h2", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 found = list(shingle_hashes(*flat(part.column("text")), shingle))
-                # Another row of this doc_id may have another text.
+                # Another text of this doc_id may have the same key.
                 right = [i for i, (s, a, b) in enumerate(zip(found, part.column("h1").to_pylist(), part.column("h2").to_pylist()))
                          if set_hash(s) == (a, b)]
                 if right:
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("rep").take(pa.array(right)),
-                         pa.array([found[i].astype("<u8").tobytes() for i in right], pa.binary())], ["rep", "shingles"])
+                        [part.column("node").take(pa.array(right)),
+                         pa.array([found[i].astype("<u8").tobytes() for i in right], pa.binary())], ["node", "shingles"])
 
-    full = texts.mapInArrow(sets, "rep long, shingles binary")
-    work = dealt.join(full, "rep").select("hub", "p", "q", "rep", "shingles")
+    full = texts.mapInArrow(sets, "node long, shingles binary")
+    work = dealt.join(full, "node").select("hub", "p", "q", "node", "shingles")
     work = work.repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for group in groups(batches, ["hub", "p", "q"]):
-            ids = group.column("rep").to_numpy()
+            ids = group.column("node").to_numpy()
             sets_ = [np.frombuffer(b, "<u8") for b in group.column("shingles").to_pylist()]
             if len(ids) > 1:
                 out += _links_of(ids, sets_, percent)
@@ -262,15 +272,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     is the smallest doc_id that links reach."""
     spark = docs.sparkSession
     path = scratch_path(spark, "sketches")
-    sketch(docs, shingle).write.parquet(path)
+    sketch(docs, shingle).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     sketches = spark.read.parquet(path)
     some = sketches.where("doc_id is not null and n_shingles > 0")
+    # A class is named by the row that represents it, of which there may be repeats.
     path = scratch_path(spark, "classes")
-    some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")).write.parquet(path)
+    some.groupBy("h1", "h2", "doc_id", "text_key").agg(F.min("row").alias("node"), F.count("*").alias("rows")) \
+        .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key", "node", "rows")).alias("c")) \
+        .select("h1", "h2", F.col("c.doc_id").alias("rep"), "c.text_key", "c.node", "c.rows").write.parquet(path)
     classes = spark.read.parquet(path)
     found = connected_components(links(docs, classes, some, shingle, percent))
-    named = classes.join(found, F.col("rep") == F.col("node"), "left") \
-        .select("h1", "h2", F.coalesce("component", "rep").alias("component_id"))
+    path = scratch_path(spark, "components")
+    classes.join(found, "node").groupBy("component").agg(F.min("rep").alias("component_id")).write.parquet(path)
+    found = found.join(spark.read.parquet(path), "component").select("node", "component_id")
+    named = classes.join(found, "node", "left").select("h1", "h2", F.coalesce("component_id", "rep").alias("component_id"))
     rows = sketches.select("doc_id", "n_shingles", F.when(F.expr("doc_id is not null and n_shingles > 0"), F.col("h1"))
                            .alias("s1"), "h2")
     joined = rows.join(named, (F.col("s1") == named["h1"]) & (rows["h2"] == named["h2"]), "left")
