@@ -7,7 +7,7 @@ last return the columns of documents.
 
 1. quality  documents that importance resampling leaves out go
 2. dedup    of each group of near copies (five-word shingles, 80 of 100 in
-            common) the document with the smallest doc_id stays
+            common) one document with the smallest doc_id stays
 3. pii      personal data in texts is replaced by its kind, as [EMAIL]
 4. mix      documents are repeated or left out so that sources come near their
             target weights
@@ -39,19 +39,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component; rows without words or doc_id all stay."""
     path = scratch_path(spark, "near-duplicates")
-    hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT).write.parquet(path)
-    verdict = (spark.read.parquet(path).where("doc_id is not null").groupBy("doc_id")
-               .agg(F.max("kept").alias("kept"), F.max("n_shingles").alias("words"), F.count("*").alias("rows")))
+    hyperminhash.judge(docs, SHINGLE_WORDS, SIMILAR_PERCENT).where("doc_id is not null").groupBy("doc_id", "text_key") \
+        .agg(F.max("first").alias("kept"), F.max("n_shingles").alias("words"), F.count("*").alias("rows")).write.parquet(path)
+    verdict = spark.read.parquet(path)
     # One struct, under a name that no column of the documents has.
     name = "verdict" + "_" * max(map(len, docs.columns))
     verdict = verdict.select(F.struct(*verdict.columns).alias(name))
     repeats = (F.col(f"{name}.rows") > 1) & (F.col(f"{name}.words") > 0)
-    # A verdict for each document is never small: sorted on both sides, whatever the size.
-    joined = docs.join(verdict.hint("merge"), F.col("doc_id") == F.col(f"{name}.doc_id"), "left")
+    # A verdict for each text of a doc_id is never small: sorted on both sides, whatever the size.
+    joined = docs.join(verdict.hint("merge"), (F.col("doc_id") == F.col(f"{name}.doc_id"))
+                       & (F.xxhash64("text") == F.col(f"{name}.text_key")), "left")
     joined = joined.where(F.coalesce(F.col(f"{name}.kept"), F.lit(True)))
     if verdict.where(f"{name}.kept").where(repeats).limit(1).count():
         single = joined.where(~F.coalesce(repeats, F.lit(False)))
-        joined = single.unionByName(joined.where(repeats).dropDuplicates(["doc_id"]))
+        joined = single.unionByName(joined.where(repeats).dropDuplicates([name]))
     return joined.select(*docs.columns)
 
 

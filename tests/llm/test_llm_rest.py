@@ -178,6 +178,29 @@ def test_pipeline_stages(spark, edge_dir, tmp_path):
         before = after
 
 
+def test_pipeline_dedup_judges_each_text(spark, edge_dir):
+    """All rows against plain Python, those that share a doc_id too: of a component one row of the smallest doc_id stays."""
+    docs = [(r["doc_id"], r["text"]) for r in table(spark, edge_dir, "documents")]
+    words = [[f"{c}{i}" for i in range(60)] for c in "abcdef"]
+    text = [" ".join(w) for w in words]
+    near = [" ".join(w[:-1] + ["end"]) for w in words]
+    docs += [(50, ""), (50, text[0]), (50, None), (50, " "), (51, text[1]), (52, near[1]), (52, text[2]), (53, near[2]),
+             (54, text[3]), (54, near[3]), (55, text[4]), (55, text[4]), (55, text[4].upper()), (55, text[5]), (56, near[5])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.dedup(spark, df, edge_dir).collect())
+    keys = [(i, t) for i, t in dict.fromkeys(docs) if i is not None]
+    sets = {(i, t): s for i, t in keys if (s := plain.shingles(t, 5))}
+    groups = collections.defaultdict(list)
+    for k, c in plain.components(sets, 80).items():
+        groups[c].append(k)
+    for group in groups.values():
+        assert sum(got[k] for k in group) == 1
+        assert sum(got[k] for k in group if k[0] == min(group)[0]) == 1
+    rest = collections.Counter(d for d in docs if d not in sets)
+    assert {k: n for k, n in got.items() if k not in sets} == rest
+    assert sum(n for (i, _), n in got.items() if i == 21) == 2
+
+
 def test_pipeline_run(spark):
     got = Q["pipeline"](spark, "/root/testdata/sf0.001").collect()
     assert got and all(r.round_trip for r in got)

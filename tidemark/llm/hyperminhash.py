@@ -270,6 +270,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     Documents with 100 * intersection >= percent * union are linked; component_id
     is the smallest doc_id that links reach."""
+    return judge(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judge(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """near_duplicates with text_key, xxhash64 of the text, and first: whether the row
+    has the one doc_id and text that represent its component, or is in none."""
     spark = docs.sparkSession
     path = scratch_path(spark, "sketches")
     sketch(docs, shingle).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
@@ -283,12 +289,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = spark.read.parquet(path)
     found = connected_components(links(docs, classes, some, shingle, percent))
     path = scratch_path(spark, "components")
-    classes.join(found, "node").groupBy("component").agg(F.min("rep").alias("component_id")).write.parquet(path)
-    found = found.join(spark.read.parquet(path), "component").select("node", "component_id")
-    named = classes.join(found, "node", "left").select("h1", "h2", F.coalesce("component_id", "rep").alias("component_id"))
-    rows = sketches.select("doc_id", "n_shingles", F.when(F.expr("doc_id is not null and n_shingles > 0"), F.col("h1"))
-                           .alias("s1"), "h2")
+    classes.join(found, "node").groupBy("component").agg(F.min(F.struct("rep", "text_key")).alias("c")) \
+        .select("component", F.col("c.rep").alias("component_id"), F.col("c.text_key").alias("first_key")).write.parquet(path)
+    found = found.join(spark.read.parquet(path), "component").select("node", "component_id", "first_key")
+    named = classes.join(found, "node", "left").select("h1", "h2", F.coalesce("component_id", "rep").alias("component_id"),
+                                                       F.coalesce("first_key", "text_key").alias("first_key"))
+    rows = sketches.select("doc_id", "text_key", "n_shingles",
+                           F.when(F.expr("doc_id is not null and n_shingles > 0"), F.col("h1")).alias("s1"), "h2")
     joined = rows.join(named, (F.col("s1") == named["h1"]) & (rows["h2"] == named["h2"]), "left")
     component = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    return joined.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), kept.alias("kept"),
+                         (kept & F.coalesce(F.col("text_key") == F.col("first_key"), F.lit(True))).alias("first"))
