@@ -84,8 +84,90 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
     THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM ordered"""
 
+
+_PARTS, _ENTRIES = 16, 64
+
+
+def _assigned(books: str) -> str:
+    """Each part's nearest entry: distance and index as one number, so that the
+    smallest has the lower index of equal distances."""
+    return f"""
+  SELECT p.r, p.j, any_value(p.x) AS x, min(list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))
+    * {_ENTRIES} + c.k) AS best
+  FROM p JOIN {books} c ON c.j = p.j GROUP BY p.r, p.j"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    """Floors of means; the modulus of a negative sum is negative."""
+    return f"""
+  SELECT c.j, c.k, coalesce(m.x, c.x) AS x FROM {books} c LEFT JOIN (
+    SELECT j, k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+      SELECT j, best % {_ENTRIES} AS k, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT j, best, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM {assigned}) GROUP BY ALL)
+    GROUP BY j, k) m ON m.j = c.j AND m.k = c.k"""
+
+
+_CODES = f"""
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT r, j, list_slice(e, j * len(e) // {_PARTS} + 1, (j + 1) * len(e) // {_PARTS}) AS x
+  FROM v, range({_PARTS}) AS t(j)),
+c0 AS MATERIALIZED (SELECT j, r - 1 AS k, x FROM p WHERE r <= {_ENTRIES}),
+a0 AS MATERIALIZED ({_assigned('c0')}),
+c1 AS MATERIALIZED ({_moved('c0', 'a0')}),
+a1 AS MATERIALIZED ({_assigned('c1')}),
+c2 AS MATERIALIZED ({_moved('c1', 'a1')}),
+a2 AS ({_assigned('c2')}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', best % {_ENTRIES}), '' ORDER BY j) AS code, CAST(sum(best // {_ENTRIES}) AS BIGINT) AS error
+  FROM a2 GROUP BY r)
+SELECT v.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY j, k)) FROM c2) AS codebooks_sha256
+FROM v JOIN coded c USING (r)"""
+
+# The query's rules, stated again.
+_URLS = f"""
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+cut AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS name FROM rest),
+u AS (
+  SELECT row_number() OVER () AS r, page_id, translate(name, '{_UPPER}', '{_UPPER.lower()}') AS host,
+    regexp_extract(substr(rest, length(name) + 1), '^[^?#]*') AS path
+  FROM cut),
+fit AS (
+  SELECT u.r, rules.host || rules.path AS rule, rules.verdict
+  FROM u JOIN rules ON (u.host = rules.host OR ends_with(u.host, '.' || rules.host)) AND starts_with(u.path, rules.path)
+  QUALIFY row_number() OVER (PARTITION BY u.r ORDER BY length(rule) DESC) = 1)
+SELECT u.page_id, u.host, u.path, fit.rule, coalesce(fit.verdict, 'allow') AS verdict
+FROM u LEFT JOIN fit USING (r)"""
+
+_FIM = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS x FROM documents),
+h AS (
+  SELECT *, length(t) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM o"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_hyperminhash": _NEAR,
     "op7_chat": _CHAT,
     "op9_mixing": _MIX,
+    "op11_vector_codes": _CODES,
+    "op12_url_rules": _URLS,
+    "op13_fill_middle": _FIM,
 }

@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import join_path, scratch_path
-from . import (byte_bpe, chat, hyperminhash, importance, mixing, multi_index, pii, quality_rules, suffix_dedup,
-               token_store)
+from . import (byte_bpe, chat, fill_middle, hyperminhash, importance, mixing, multi_index, pii, quality_rules,
+               suffix_dedup, token_store, url_rules, vector_codes)
 from .oracle import ORACLE_SQL  # noqa: F401
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,37 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated strings of 400 bytes."""
     return suffix_dedup.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code, its error and its label's, by 16 codebooks of 64 entries."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return vector_codes.with_label_errors(coded).select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+#: The allow and block rules of the url query.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+@query
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host and path, the rule that decides and the verdict."""
+    rules = [url_rules.parse_rule(*r) for r in URL_RULES]
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form, and its text rebuilt from output and form."""
+    formed = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fill_middle.restore(formed, with_text=False).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
