@@ -59,13 +59,19 @@ def edge_dir(spark, tmp_path_factory):
     said += [(6, i, "assistant" if i % 2 else "user", f"turn {i} " * 20) for i in range(120)]
     spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(3) \
         .write.parquet(f"{root}/conversations.parquet")
+    urls = [None, "", "no scheme", "http://", "://", "http://com/", "http://a.com", "https://A.B.Com/x?y#z", "http://example.com/en/1", "http://example.com/en",
+            "http://www.example.com/en/x/", "https://m.www.EXAMPLE.com/en/?q", "http://wwwexample.com/en/", "x://es.net/es/", "x://net/fr/a", "x://é.net/fr/ü",
+            "x://net/fr?/", "http://a.net/es#/es/", "http://u@example.com:80/en/", "http://a..com/", "http://com./", "a://b://c/d", "http://h.com/" + "p/" * 4000]
+    pages = [(i, u, "html", "r", "v", 1) for i, u in enumerate(urls)] + [(None, "http://x.com/", None, None, None, None), (3, "http://y.net/es/", "", "", "", 2), (3, "http://y.net/es/", "", "", "", 2)]
+    spark.createDataFrame(pages, "page_id long, url string, html string, rule string, verdict string, rank int").repartition(3) \
+        .write.parquet(f"{root}/pages.parquet")
     return root
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, edge_dir, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "labels", "embeddings", "conversations"):
+    for t in ("documents", "labels", "embeddings", "conversations", "pages"):
         spark.read.parquet(f"{edge_dir}/{t}.parquet").limit(0).write.parquet(f"{root}/{t}.parquet")
     return root
 

@@ -241,7 +241,7 @@ def test_personal_data_further_kinds_and_redaction(spark):
     assert [s[0] for s in got[0]] == ["iban"] and got[1] == []
     assert [s[0] for s in got[2]] == ["national_id"] and got[3] == []
     assert [s[0] for s in got[4]] == ["short_card"] and got[5] == []
-    assert got[10] == [("email", 13, 19)]
+    assert got[10] == [("email", 15, 21)]
     red = {r.id: r.text for r in pii.redact(df).collect()}
     assert red[2] == "my ssn is [NATIONAL_ID]" and red[7] is None and red[8] == "" and red[9] == "none"
     assert red[6] == "[EMAIL], [EMAIL]; [EMAIL] [IP]"
