@@ -39,6 +39,12 @@ def growth_accounting(activity: DataFrame, after: dt.date | None = None,
     yields all five metrics: no distinct counts, no anti-join, no join back.
     Churn of a period without active users in that segment is not reported.
     """
+    out = _contributions(activity, upto).filter("active_users > 0")
+    return period_window(out, "period_start", after, upto).select(*GROWTH_COLUMNS)
+
+
+def _contributions(activity: DataFrame, upto: dt.date | None) -> DataFrame:
+    """All five metrics by (grain, period, segment), also of periods that only churn lands in."""
     own = ("named_struct('p', period_start, 'a', 1, 'n', CAST(is_new AS INT), "
            "'r', CAST(is_retained AS INT), 's', CAST(is_resurrected AS INT), 'c', 0)")
     churn = f"named_struct('p', {_NEXT}, 'a', 0, 'n', 0, 'r', 0, 's', 0, 'c', 1)"
@@ -47,9 +53,35 @@ def growth_accounting(activity: DataFrame, after: dt.date | None = None,
         f"inline(CASE WHEN {_CHURNED} THEN array({own}, {churn}) ELSE array({own}) END)")
     if upto is not None:
         contrib = contrib.filter(F.col("p") <= F.lit(upto))
-    out = (contrib.groupBy("period_grain", "p", *SEGMENTS)
-           .agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {m}")
-                  for c, m in zip("anrsc", GROWTH_METRICS)])
-           .withColumnRenamed("p", "period_start")
-           .filter("active_users > 0"))
-    return period_window(out, "period_start", after, upto).select(*GROWTH_COLUMNS)
+    return (contrib.groupBy("period_grain", "p", *SEGMENTS)
+            .agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {m}")
+                   for c, m in zip("anrsc", GROWTH_METRICS)])
+            .withColumnRenamed("p", "period_start"))
+
+
+def growth_dense(activity: DataFrame, after: dt.date | None = None, upto: dt.date | None = None) -> DataFrame:
+    """Growth accounting without gaps: every segment has a row for each period
+    from its first active one to its last, and one more where its last users
+    churn, if that period isn't after the newest of the grain.
+
+    Periods without any user have zeros, except for the churn that lands there;
+    so in every row but a segment's first the users of the period before are
+    those retained and those churned. There are at most as many rows as segments
+    times periods between the first and the newest. Gaps are filled from one row
+    to the next by a window over a segment's own (few) rows; no join.
+    """
+    newest = activity.agg(F.max("period_start")).scalar()
+    if upto is not None:
+        newest = F.least(newest, F.lit(upto))
+    rows = _contributions(activity, upto)
+    # One column for the date that bounds each grain's newest period.
+    rows = rows.withColumn("newest", newest).filter(f"period_start <= {sx.period_start('period_grain', 'newest')}")
+    segment = f"OVER (PARTITION BY period_grain, {', '.join(SEGMENTS)} ORDER BY period_start)"
+    last = sx.prior_period_start("period_grain", "following")
+    days = ", ".join(f"WHEN '{g}' THEN sequence(period_start, coalesce({last}, period_start), INTERVAL {step})"
+                     for g, step in (("daily", "1 DAY"), ("weekly", "7 DAY"), ("monthly", "1 MONTH"))).replace(", WHEN", " WHEN")
+    filled = (rows.selectExpr(*GROWTH_COLUMNS, f"lead(period_start) {segment} AS following")
+              .selectExpr(*GROWTH_COLUMNS, f"explode(CASE period_grain {days} END) AS day"))
+    zero = [f"CASE WHEN day = period_start THEN {m} ELSE 0L END AS {m}" for m in GROWTH_METRICS]
+    out = filled.selectExpr("period_grain", "day AS period_start", *SEGMENTS, *zero)
+    return period_window(out, "period_start", after, upto)

@@ -17,7 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import clean_text, event_key, prior_period_start, ts_ntz
+from ..functions import clean_text, event_key, next_period_start, prior_period_start, ts_ntz
+from ..functions import sqlexpr as sx
 from .activity import ALL, SEGMENTS
 
 # Fixed accepted-value sets of the reference contract.
@@ -178,6 +179,51 @@ def engagement_bounds(eng: DataFrame) -> DataFrame:
                       | (c("power_user_share") > 1))
 
 
+# --------------------------------------------------------------------------- across grains
+def cross_grain_users(growth: DataFrame, distinct: DataFrame, tolerance: float = 0.0,
+                      settled_by: dt.date | None = None) -> DataFrame:
+    """Periods of any grain whose active users differ from the union of their
+    days' users by more than ``tolerance`` of it; a period that only one side has
+    counts as zero users on the other. ``distinct`` comes from mergeable day
+    state, not from user rows. With ``settled_by`` only periods that had ended by
+    that date are compared."""
+    keys = ["period_grain", "period_start", *SEGMENTS]
+    rows = (growth.select(*keys, "active_users").join(distinct.select(*keys, "distinct_users"), keys, "full_outer")
+            .select(*keys, F.coalesce("active_users", F.lit(0)).alias("active_users"),
+                    F.coalesce("distinct_users", F.lit(0)).alias("distinct_users")))
+    return _settled(rows, settled_by).filter(F.abs(F.col("active_users") - F.col("distinct_users")) > tolerance * F.col("distinct_users"))
+
+
+def cross_grain_totals(engagement: DataFrame, tolerance: float = 0.0, settled_by: dt.date | None = None) -> DataFrame:
+    """Weeks and months whose total events differ from the sum over their daily
+    rows by more than ``tolerance`` of it (a missing side counts as zero)."""
+    keys = ["period_grain", "period_start", *SEGMENTS]
+    coarse = ", ".join(f"named_struct('period_grain', '{g}', 'period_start', {sx.period_start_for(g, 'day')})" for g in ("weekly", "monthly"))
+    daily = (engagement.filter("period_grain = 'daily'").selectExpr(*SEGMENTS, "total_events", "period_start AS day")
+             .selectExpr(*SEGMENTS, "total_events", f"inline(array({coarse}))")
+             .groupBy(*keys).agg(F.sum("total_events").alias("daily_events")))
+    rows = (engagement.filter("period_grain <> 'daily'").select(*keys, "total_events").join(daily, keys, "full_outer")
+            .select(*keys, F.coalesce("total_events", F.lit(0)).alias("total_events"),
+                    F.coalesce("daily_events", F.lit(0)).alias("daily_events")))
+    return _settled(rows, settled_by).filter(F.abs(F.col("total_events") - F.col("daily_events")) > tolerance * F.col("daily_events"))
+
+
+def _settled(rows: DataFrame, by: dt.date | None) -> DataFrame:
+    return rows if by is None else rows.filter(F.expr(sx.next_period_start("period_grain", "period_start")) <= F.lit(by))
+
+
+def rate_bounds(growth: DataFrame) -> DataFrame:
+    """Rows whose retention or churn rate (of the prior period's active users,
+    where there are any) is outside [0, 1]."""
+    keys = ["period_grain", *SEGMENTS]
+    prior = growth.filter("active_users > 0").select(
+        *keys, F.col("active_users").alias("prior_active_users"), next_period_start(F.col("period_grain"), F.col("period_start")).alias("period_start"))
+    rates = growth.join(prior, [*keys, "period_start"]).select(
+        *keys, "period_start", *[(F.col(f"{m}_users") / F.col("prior_active_users")).alias(f"{n}_rate")
+                                 for m, n in (("retained", "retention"), ("churned", "churn"))])
+    return rates.filter(~F.col("retention_rate").between(0, 1) | ~F.col("churn_rate").between(0, 1))
+
+
 # --------------------------------------------------------------------------- runner
 @dataclass(frozen=True)
 class Check:

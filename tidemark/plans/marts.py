@@ -17,7 +17,7 @@ from ..functions import GRAINS
 from ..operators import activity as act
 from ..operators.core import dim_users, fct_events
 from ..operators.engagement import engagement_depth
-from ..operators.growth import growth_accounting
+from ..operators.growth import growth_accounting, growth_dense
 from ..operators.retention import cohort_retention_triangle
 from ..operators.staging import stg_events
 from ..params import RunParams
@@ -62,6 +62,11 @@ class Marts:
     def growth_accounting(self) -> DataFrame:
         return growth_accounting(self.activity, upto=self.params.cutoff_date())
 
+    @cached_property
+    def growth_dense(self) -> DataFrame:
+        """Growth accounting with a row for every period of a segment."""
+        return growth_dense(self.activity, upto=self.params.cutoff_date())
+
     @cached_property
     def cohort_retention_triangle(self) -> DataFrame:
         return cohort_retention_triangle(self.activity, upto=self.params.cutoff_date())
