@@ -20,8 +20,9 @@ import pyarrow as pa
 
 from .textcols import gather, lower_ascii
 
+#: Pieces that an encoder holds unless told otherwise (about 220 bytes each), and ids for each.
 CACHE_PIECES = 150_000
-CACHE_IDS = 2_400_000
+IDS_A_PIECE = 16
 _AT_ONCE = 4096
 
 _LETTER = np.zeros(256, bool)
@@ -56,9 +57,12 @@ class PieceEncoder:
     as the lines of one text, which takes the library half the time.
     ``folds_case``: it composes characters and then lowers their case, so A-Z may
     be lowered first, unless a combining mark (U+0300-U+036F) may follow them.
+    ``cache_pieces``: bound of the cache; a larger one encodes rare pieces less often.
     """
 
-    def __init__(self, tokenizer, offsets: bool = False, blank_free: bool = False, folds_case: bool = False):
+    def __init__(self, tokenizer, offsets: bool = False, blank_free: bool = False, folds_case: bool = False,
+                 cache_pieces: int = CACHE_PIECES):
+        self.cache_pieces, self.cache_ids = cache_pieces, cache_pieces * IDS_A_PIECE
         self.tokenizer = tokenizer
         self.with_offsets = offsets
         self.blank_free = blank_free
@@ -80,7 +84,7 @@ class PieceEncoder:
         rows = np.array([i for _, i in kept], np.int64)
         size, start, ids, spans = self.size, self.start, self.ids, self.spans
         self._clear()
-        if not len(rows) or len(rows) > CACHE_PIECES // 2 or size[rows].sum() > CACHE_IDS // 2:
+        if not len(rows) or len(rows) > self.cache_pieces // 2 or size[rows].sum() > self.cache_ids // 2:
             return
         places = gather(np.arange(len(ids)), start[rows], size[rows])
         self._room(len(rows), len(places))
@@ -146,7 +150,7 @@ class PieceEncoder:
             pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]
         ).dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > CACHE_PIECES or self.used > CACHE_IDS:
+        if len(self.index) + len(distinct) > self.cache_pieces or self.used > self.cache_ids:
             self._shrink()
         index = self.index
         self._add([p for p in distinct if p not in index])

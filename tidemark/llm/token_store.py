@@ -48,6 +48,9 @@ SAMPLE_DOCS = 1000
 SAMPLE_PIECE = 8 << 10
 SAMPLE_BYTES = 4 << 20
 DICTIONARY_BYTES = 64 << 10
+#: Pieces that a worker's encoder holds (some 180 MB) and bytes of text in one step.
+CACHE_PIECES = 800_000
+STEP_BYTES = 2 << 20
 
 SHARDS = ("part int, seq int, first_doc long, last_doc long, n_docs long, n_tokens long, before long, id_bytes int, "
           "dictionary string, frames binary, doc_ids array<long>, frame_ends array<long>, token_counts array<long>")
@@ -65,12 +68,13 @@ def load_tokenizer(content: bytes):
     return tokenizer
 
 
-def _encoder(key: str, content: bytes) -> PieceEncoder:
+def _encoder(key: str, content: bytes, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
     if key not in _READY:
         tokenizer = load_tokenizer(content)
         # What the encoder may rely on is asked of the tokenizer itself.
         ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("Ab cD. E", "ab\n cd.\n\n\te ")]
-        _READY[key] = PieceEncoder(tokenizer, blank_free=ids[0] == ids[1], folds_case=ids[0] == ids[1])
+        _READY[key] = PieceEncoder(tokenizer, blank_free=ids[0] == ids[1], folds_case=ids[0] == ids[1],
+                                   cache_pieces=cache_pieces)
     return _READY[key]
 
 
@@ -117,8 +121,10 @@ def _sample(docs: DataFrame, key: str, vocabulary, dtype: str) -> list[bytes]:
     return sorted(p for r in rows for i in range(0, len(r.ids), SAMPLE_PIECE) if (p := bytes(r.ids[i:i + SAMPLE_PIECE])))
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID) -> None:
-    """Encode every text of ``docs`` (doc_id, text) and write the store at ``path``.
+def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID,
+          cache_pieces: int = CACHE_PIECES) -> None:
+    """Encode every text of ``docs`` (doc_id, text) and write the store at ``path``;
+    each worker holds at most about ``cache_pieces`` encoded pieces.
 
     Texts are dealt by ranges of doc_id before they are encoded (so encoding
     runs once, in the order of the files); shards, not documents, are rows.
@@ -143,7 +149,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
-        encoder = _encoder(key, vocabulary.value)
+        encoder = _encoder(key, vocabulary.value, cache_pieces)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value), write_content_size=True)
         part = TaskContext.get().partitionId()
         held: list[tuple] = []
@@ -160,7 +166,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], schema.names)
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", STEP_BYTES):
                 ids, counts = encoder.encode(*flat(piece.column("text")))
                 ends = np.cumsum(counts)
                 narrow = ids.astype(dtype)
