@@ -475,3 +475,18 @@ ORACLE_SQL["partition_overwrite"] = _with(
     + [("eng_all", ENGAGEMENT), ("eng_first", ENGAGEMENT.replace("FROM ups", "FROM h_ups"))],
     "SELECT * FROM eng_first WHERE period_start < DATE '2024-01-15' "
     "UNION ALL SELECT * FROM eng_all WHERE period_start >= DATE '2024-01-15'")
+
+# Two batches, marts with a 3-day period lookback. The triangle's cells are
+# rewritten from the earlier of that and the start of the first changed period.
+_K_AND_B = [("raw_all", RAW_EVENTS)] + chain_over(_KEPT, "k_") + chain_over(_B1, "b_")
+
+
+def _recent_else_first(sql: str, column: str = "period_start", after: str = _AFTER3) -> str:
+    kept, first = (prefixed([("growth", sql)], p)[0][1] for p in ("k_", "b_"))
+    return f"SELECT * FROM ({kept}) WHERE {column} > {after} UNION ALL SELECT * FROM ({first}) WHERE {column} <= {after}"
+
+
+ORACLE_SQL["engagement_incremental"] = _with(_K_AND_B, _recent_else_first(ENGAGEMENT))
+ORACLE_SQL["activity_incremental"] = _with(_K_AND_B, _recent_else_first("SELECT * FROM act"))
+ORACLE_SQL["triangle_incremental"] = _with([("raw_all", RAW_EVENTS)] + chain_over(_KEPT), TRIANGLE)
+ORACLE_SQL["growth_orders_since"] = _with(chain("orders"), f"SELECT * FROM ({GROWTH}) WHERE period_start > DATE '1998-03-01'")

@@ -410,15 +410,65 @@ def growth_incremental(spark, sf_dir):
     """Growth mart after two runs with a 3-day period lookback: recent
     partitions rewritten from full history, older ones kept."""
     from tidemark.operators.growth import GROWTH_COLUMNS
-    from tidemark.params import RunParams
-    from tidemark.plans.refresh import read_table, refresh_all
+    from tidemark.plans.refresh import read_table
+    return read_table(spark, _two_batch_marts(spark, sf_dir, "two-batch-growth"), "fct_growth_accounting").select(*GROWTH_COLUMNS)
+
+
+def _two_batch_marts(spark, sf_dir, name: str, deliveries=None) -> str:
+    """Warehouse after the two batches, with a 3-day period lookback."""
+    from tidemark.plans.refresh import refresh_all
     from tidemark.session import scratch_path
-    b1, raw_all = _batches(spark, sf_dir)
-    wh = scratch_path(spark, "two-batch-growth")
-    p = RunParams(period_lookback_days=3)
-    refresh_all(spark, b1, wh, p, run_quality=False)
-    refresh_all(spark, raw_all, wh, p, run_quality=False)
-    return read_table(spark, wh, "fct_growth_accounting").select(*GROWTH_COLUMNS)
+    wh = scratch_path(spark, name)
+    for raw in deliveries or _batches(spark, sf_dir):
+        refresh_all(spark, raw, wh, RunParams(period_lookback_days=3), run_quality=False)
+    return wh
+
+
+@query("engagement_incremental")
+def engagement_incremental(spark, sf_dir):
+    """Engagement mart after the two runs: recent partitions from the days since
+    the stored user state, older ones kept."""
+    from tidemark.operators.engagement import ENGAGEMENT_COLUMNS
+    from tidemark.plans.refresh import read_table
+    return read_table(spark, _two_batch_marts(spark, sf_dir, "two-batch-engagement"), "fct_engagement_depth").select(*ENGAGEMENT_COLUMNS)
+
+
+@query("activity_incremental")
+def activity_incremental(spark, sf_dir):
+    """User-period activity after the two runs: the flags of recent periods come
+    from the stored user state and the days since."""
+    from tidemark.operators.activity import ACTIVITY_COLUMNS
+    from tidemark.plans.refresh import read_table
+    return read_table(spark, _two_batch_marts(spark, sf_dir, "two-batch-activity"), "user_period_activity").select(*ACTIVITY_COLUMNS)
+
+
+@query("triangle_incremental")
+def triangle_incremental(spark, sf_dir):
+    """Retention triangle after the two runs: cells of recent activity periods
+    are rewritten, the others of their cohorts kept."""
+    from tidemark.operators.retention import TRIANGLE_COLUMNS
+    from tidemark.plans.refresh import read_table
+    return read_table(spark, _two_batch_marts(spark, sf_dir, "two-batch-triangle"), "fct_cohort_retention_triangle").select(*TRIANGLE_COLUMNS)
+
+
+ORDER_STATES = (_dt.date(1995, 6, 1), _dt.date(1996, 7, 1), _dt.date(1998, 1, 15))
+ORDER_AFTER = _dt.date(1998, 3, 1)
+
+
+@query("growth_orders_since")
+def growth_orders_since(spark, sf_dir):
+    """Growth after a day in the last of 80 months of orders, from the days since
+    a stored user state that was advanced twice."""
+    from tidemark.operators import activity as act
+    from tidemark.operators.growth import growth_accounting as growth
+    from tidemark.plans.refresh import materialize
+    base = marts(spark, sf_dir, source="orders").user_day_segments
+    state, as_of = None, None
+    for day in ORDER_STATES:
+        new = act.user_state(base, day) if state is None else act.advance_user_state(state, base, as_of, day)
+        state, _ = materialize(new, spark, "user-state")
+        as_of = day
+    return growth(act.classify_since(base, ORDER_AFTER, state=state, as_of=as_of), after=ORDER_AFTER)
 
 
 @query("refresh_recovery")
@@ -430,20 +480,17 @@ def refresh_recovery(spark, sf_dir):
     b1, raw_all = _batches(spark, sf_dir)
     wh = scratch_path(spark, "recovery")
     refresh.refresh_all(spark, b1, wh, run_quality=False)
-    stop = refresh.refresh_day_base
 
     class Lost(RuntimeError):
         pass
 
-    def lost(*_):
-        raise Lost
-    refresh.refresh_day_base = lost
+    def lost(name, when):
+        if (name, when) == ("fct_events", "after"):
+            raise Lost
     try:
-        refresh.refresh_all(spark, raw_all, wh, run_quality=False)
+        refresh.refresh_all(spark, raw_all, wh, run_quality=False, on_step=lost)
     except Lost:
         pass
-    finally:
-        refresh.refresh_day_base = stop
     refresh.refresh_all(spark, raw_all, wh, run_quality=False)
     base = refresh.read_table(spark, wh, refresh.DAY_BASE)
     return base.groupBy("activity_date").agg(F.sum("event_count").cast("long").alias("events"),

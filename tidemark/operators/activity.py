@@ -92,10 +92,13 @@ def classify(periods: DataFrame) -> DataFrame:
     resurrected) and the next active period decides churn. One sort serves
     all window expressions.
     """
+    return _classified(periods, f"min(period_start) {_WINDOW_SQL} AS first_active_period")
+
+
+def _classified(periods: DataFrame, first_active_period: str) -> DataFrame:
     extra = [c for c in ("event_count", "miles_sum") if c in periods.columns]
     out = periods.selectExpr(
-        *PERIOD_KEYS, *extra,
-        f"min(period_start) {_WINDOW_SQL} AS first_active_period",
+        *PERIOD_KEYS, *extra, first_active_period,
         f"{sx.prior_period_start('period_grain', 'period_start')} AS prior_period_start",
         f"lag(period_start) {_WINDOW_SQL} AS previous_active_period",
         f"lead(period_start) {_WINDOW_SQL} AS next_active_period",
@@ -118,11 +121,6 @@ def period_window(df: DataFrame, col: str, after: dt.date | None,
     return df
 
 
-def activity_from_fct(fct: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    """fct_events -> classified activity frame (internal columns included)."""
-    return classify(user_period_segments(user_day_segments(fct), grains))
-
-
 def user_period_activity(activity: DataFrame, after: dt.date | None = None,
                          upto: dt.date | None = None) -> DataFrame:
     """Public P5 shape. Flags are computed on full history *before* the
@@ -131,59 +129,54 @@ def user_period_activity(activity: DataFrame, after: dt.date | None = None,
 
 
 # --------------------------------------------------------------------------- windowed history
-def history_state(day_base: DataFrame, boundary: dt.date, grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    """Per (grain, segment incl. all, user): the first active period ever seen
-    in ``day_base`` up to shortly after ``boundary`` and the last active period
-    starting on or before ``boundary``.
-
-    One hash aggregate over user-day rows (no expansion, no sort): periods are
-    monotone in the day, so the last period starting by ``boundary`` is the
-    period of the last day whose period starts by ``boundary``.
+STATE_KEYS = ("user_id", *SEGMENTS)
+#: The longest period: every period that starts more than this before a day has ended by it.
+LONGEST_PERIOD = dt.timedelta(days=31)
+
+
+def user_state(day_base: DataFrame, upto: dt.date, since: dt.date | None = None) -> DataFrame:
+    """(user_id, segment, first_day, last_day) of the days up to ``upto`` (after
+    ``since``): all that later periods need to know of a user's past, one row for
+    each user and segment however long the past is."""
+    days = day_base.filter(F.col("activity_date") <= F.lit(upto))
+    if since is not None:
+        days = days.filter(F.col("activity_date") > F.lit(since))
+    return days.groupBy(*STATE_KEYS).agg(F.min("activity_date").alias("first_day"), F.max("activity_date").alias("last_day"))
+
+
+def advance_user_state(state: DataFrame, day_base: DataFrame, since: dt.date, upto: dt.date) -> DataFrame:
+    """``state`` as of ``since`` brought to ``upto``, from the days in between only."""
+    return (state.select(*STATE_KEYS, "first_day", "last_day").unionByName(user_state(day_base, upto, since))
+            .groupBy(*STATE_KEYS).agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")))
+
+
+def classify_since(day_base: DataFrame, after: dt.date, grains: tuple[str, ...] = GRAINS,
+                   state: DataFrame | None = None, as_of: dt.date | None = None) -> DataFrame:
+    """Classified activity rows for periods starting after ``after`` and some
+    before, equal to ``classify`` over full history restricted to those periods.
+
+    ``state`` is the stored user state as of ``as_of``, at least a month before
+    ``after`` (so that every period whose churn is reported has its prior period
+    present); only later days of the base are read. Without it the state is
+    computed from the base. A user's past enters as one row in the last period
+    that the state knows, carrying the first day; so it takes the ordinary way
+    through the period aggregate and the window, with one exchange by user for
+    state and days together and no join.
     """
-    horizon = boundary + dt.timedelta(days=31)   # a period starting by `boundary` ends before this
-    hist = day_base.filter(F.col("activity_date") <= F.lit(horizon))
-    last = {g: f"max(CASE WHEN {sx.period_start_for(g, 'activity_date')} <= DATE '{boundary}' "
-               f"THEN activity_date END) AS last_{g}" for g in grains}
-    aggs = [F.expr("min(activity_date) AS first_day")] + [F.expr(e) for e in last.values()]
-    per_seg = hist.groupBy("user_id", *SEGMENTS).agg(*aggs)
-    per_all = (hist.groupBy("user_id").agg(*aggs)
-               .selectExpr("*", *[f"'{ALL}' AS {s}" for s in SEGMENTS]))
-    both = per_seg.unionByName(per_all)
-    variants = ", ".join(
-        f"named_struct('period_grain', '{g}', "
-        f"'state_first', {sx.period_start_for(g, 'first_day')}, "
-        f"'state_last', {sx.period_start_for(g, f'last_{g}')})" for g in grains)
-    return both.selectExpr("user_id", *SEGMENTS, f"inline(array({variants}))")
-
-
-def classify_since(day_base: DataFrame, after: dt.date, grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    """Classified activity rows for periods starting after ``after`` only,
-    equal to ``classify`` over full history restricted to those periods.
-
-    Recent periods (starting after ``after`` minus one month, so that every
-    period whose churn is reported has its prior period present) are
-    aggregated and windowed as usual; the first recent row of each
-    (grain, segment, user) takes its previous active period, and the first
-    active period, from ``history_state``. Work besides that single
-    aggregate is proportional to the window, not to the history.
-    """
-    boundary = after - dt.timedelta(days=31)
-    recent_days = day_base.filter(F.col("activity_date") > F.lit(boundary))
-    recent = (user_period_segments(recent_days, grains)
-              .filter(F.col("period_start") > F.lit(boundary)))     # drop partially covered periods
-    state = history_state(day_base, boundary, grains)
-    joined = recent.join(state, ["period_grain", *SEGMENTS, "user_id"], "left")
-    extra = [c for c in ("event_count", "miles_sum") if c in recent.columns]
-    out = joined.selectExpr(
-        *PERIOD_KEYS, *extra,
-        f"least(min(period_start) {_WINDOW_SQL}, state_first) AS first_active_period",
-        f"{sx.prior_period_start('period_grain', 'period_start')} AS prior_period_start",
-        f"coalesce(lag(period_start) {_WINDOW_SQL}, state_last) AS previous_active_period",
-        f"lead(period_start) {_WINDOW_SQL} AS next_active_period",
-    )
-    return out.selectExpr(
-        "*",
-        "previous_active_period IS NULL AS is_new",
-        "previous_active_period IS NOT NULL AND previous_active_period < prior_period_start AS is_resurrected",
-        "previous_active_period IS NOT NULL AND previous_active_period = prior_period_start AS is_retained",
-    )
+    boundary = after - LONGEST_PERIOD if as_of is None else as_of
+    if boundary > after - LONGEST_PERIOD:
+        raise ValueError(f"a state as of {boundary} is too recent for periods after {after}")
+    if state is None:
+        state = user_state(day_base, boundary)
+    variants = grain_segment_variants(grains)
+    recent = (day_base.filter(F.col("activity_date") > F.lit(boundary))
+              .selectExpr(*STATE_KEYS, "activity_date", "event_count", "miles_sum", "CAST(NULL AS DATE) AS first_day"))
+    past = state.selectExpr(*STATE_KEYS, "last_day AS activity_date", "CAST(NULL AS BIGINT) AS event_count",
+                            "CAST(NULL AS DECIMAL(38,9)) AS miles_sum", "first_day")
+    rows = (recent.unionByName(past).repartition("user_id")
+            .selectExpr("user_id", "event_count", "miles_sum", "first_day", variants))
+    periods = rows.groupBy(*PERIOD_KEYS).agg(F.expr("sum(event_count) AS event_count"), F.expr("sum(miles_sum) AS miles_sum"),
+                                             F.expr("min(first_day) AS first_day"))
+    first = f"min(least(period_start, {sx.period_start('period_grain', 'first_day')})) {_WINDOW_SQL} AS first_active_period"
+    # Periods that began by the boundary are there for the window only: their rows are not complete.
+    return _classified(periods, first).filter(F.col("period_start") > F.lit(boundary))

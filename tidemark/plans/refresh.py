@@ -6,6 +6,7 @@ Layout under ``warehouse`` (Parquet):
   dim_users/                 partitioned by user_bucket      (upsert on user_id)
   fct_events/                partitioned by event_date_utc   (upsert on event_id)
   user_day_segments/         partitioned by activity_date    (touched days recomputed)
+  user_state/as_of=<day>/    one row per user and segment     (advanced, see below)
   user_period_activity/      partitioned by period_start     (partition overwrite)
   fct_growth_accounting/     partitioned by period_start     (partition overwrite)
   fct_cohort_retention_triangle/  partitioned by cohort_start (partition overwrite)
@@ -20,13 +21,24 @@ segment), which an incremental run maintains by recomputing only the days its
 event window touched - the event fact is never rescanned. The base has no
 watermark of its own: a run records the days it owes the base and the period
 marts before it commits the fact, and clears the record after their commit,
-so a run that dies in between is made good by the next one. The full-history
-activity frame is materialised once per run (a written table in the shared
-checkpoint folder) and feeds all period marts.
+so a run that dies in between is made good by the next one.
+
+Of the past an incremental run needs each user's first and last day per segment
+only. These are stored as of a day that lies before every period the run may
+rewrite, so it reads the days since then and the state, not the history. The
+state is advanced, from the days in between, once it lags ``STATE_STRIDE`` behind;
+a version is a folder of its own that counts once it is complete, and versions
+as of a day on or after a changed one are dropped. The classified activity is
+materialised once per run (a written table in the shared checkpoint folder) and
+feeds all period marts.
+
+``on_step(name, when)`` is called before and after each table's commit; what it
+raises stops the run there.
 """
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -48,6 +60,9 @@ from . import sinks
 TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_growth_accounting",
           "fct_cohort_retention_triangle", "fct_engagement_depth")
 DAY_BASE = "user_day_segments"
+USER_STATE = "user_state"
+#: How far the stored user state may lag before it is advanced.
+STATE_STRIDE = dt.timedelta(days=31)
 DIM_BUCKETS = 64
 # Physical layout: (partition column, cluster columns) per table.
 LAYOUT = {
@@ -96,8 +111,13 @@ def period_lower_bound(spark, path, part, params) -> dt.date | None:
     return None if newest is None else newest - dt.timedelta(days=params.period_lookback_days)
 
 
+def no_step(name: str, when: str) -> None:
+    """The default for ``on_step``."""
+
+
 def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
-                   params: RunParams = RunParams(), on_duplicate: str = "fail") -> dict:
+                   params: RunParams = RunParams(), on_duplicate: str = "fail",
+                   on_step: Callable[[str, str], None] = no_step) -> dict:
     """stg_events -> dim_users -> fct_events. Returns the windows used."""
     ensure_utc(spark)
     windows = {}
@@ -106,14 +126,17 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     windows["stg_events"] = after
     stg_new = stg_events(raw, params, after)
     part, clus = LAYOUT["stg_events"]
+    on_step("stg_events", "before")
     if after is None:
         sinks.replace(stg_new, p_stg, part, clus)
     else:
         sinks.upsert(spark, p_stg, stg_new, "event_id", part, on_duplicate, clus)
+    on_step("stg_events", "after")
     stg = read_table(spark, warehouse, "stg_events")
 
     p_dim = table_path(warehouse, "dim_users")
     bucket = F.pmod(F.xxhash64("user_id"), F.lit(DIM_BUCKETS)).cast("int").alias("user_bucket")
+    on_step("dim_users", "before")
     if params.full_refresh or not sinks.exists(spark, p_dim):
         windows["dim_users"] = None
         sinks.replace(dim_users(stg, params).select("*", bucket), p_dim, *LAYOUT["dim_users"])
@@ -137,6 +160,7 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
                                            cluster_by=LAYOUT["dim_users"][1])
         finally:
             incoming.unpersist()
+    on_step("dim_users", "after")
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
 
     p_fct = table_path(warehouse, "fct_events")
@@ -149,12 +173,16 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     # so what the later stages owe is recorded before.
     base_after = sinks.mark_pending(spark, warehouse, "base", f_after)
     windows["changed_since"] = sinks.mark_pending(spark, warehouse, "periods", f_after)
+    on_step("fct_events", "before")
     if f_after is None:
         sinks.replace(fct_new, p_fct, part, clus)
     else:
         sinks.upsert(spark, p_fct, fct_new, "event_id", part, on_duplicate, clus)
+    on_step("fct_events", "after")
     sinks.drop_path(spark, scratch)
+    on_step(DAY_BASE, "before")
     refresh_day_base(spark, warehouse, base_after)
+    on_step(DAY_BASE, "after")
     sinks.clear_pending(spark, warehouse, "base")
     return windows
 
@@ -193,19 +221,67 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> tuple[DataFram
     return spark.read.parquet(path), path
 
 
+def state_path(warehouse: str, as_of: dt.date) -> str:
+    return join_path(table_path(warehouse, USER_STATE), f"as_of={as_of.isoformat()}")
+
+
+def state_versions(spark: SparkSession, warehouse: str) -> list[dt.date]:
+    """The days of which there is a complete state, in order."""
+    days = [dt.date.fromisoformat(v) for v in sinks.partition_values(spark, table_path(warehouse, USER_STATE), "as_of")]
+    return sorted(d for d in days if sinks.exists(spark, state_path(warehouse, d)))
+
+
+def drop_states(spark: SparkSession, warehouse: str, days: list[dt.date]) -> None:
+    for d in days:
+        sinks.drop_path(spark, state_path(warehouse, d))
+
+
+def stored_state(spark: SparkSession, warehouse: str, day_base: DataFrame, boundary: dt.date,
+                 changed: dt.date) -> tuple[DataFrame, dt.date]:
+    """The user state as of a day up to ``boundary``, and that day.
+
+    Days from ``changed`` on may differ from what an older version saw, so
+    versions that reach them are dropped. The newest usable version is taken as
+    it is while it lags by at most ``STATE_STRIDE``; otherwise it is advanced from
+    the days in between (from all days if there is none), and the version before
+    it is kept for late changes."""
+    versions = state_versions(spark, warehouse)
+    drop_states(spark, warehouse, [d for d in versions if d >= changed])
+    versions = [d for d in versions if d < changed]
+    usable = [d for d in versions if d <= boundary]
+    as_of = usable[-1] if usable else None
+    if as_of is None or boundary - as_of > STATE_STRIDE:
+        new = (act.user_state(day_base, boundary) if as_of is None else
+               act.advance_user_state(spark.read.parquet(state_path(warehouse, as_of)), day_base, as_of, boundary))
+        new.write.mode("overwrite").parquet(state_path(warehouse, boundary))
+        drop_states(spark, warehouse, usable[:-1])
+        as_of = boundary
+    return spark.read.parquet(state_path(warehouse, as_of)), as_of
+
+
+def rebuild_state(spark: SparkSession, warehouse: str, day_base: DataFrame, params: RunParams) -> None:
+    """After a full build: one state, old enough for the runs to come."""
+    newest = sinks.max_partition_date(spark, table_path(warehouse, DAY_BASE), LAYOUT[DAY_BASE][0])
+    drop_states(spark, warehouse, state_versions(spark, warehouse))
+    if newest is not None:
+        lag = dt.timedelta(days=max(params.period_lookback_days, 31) + params.late_arrival_lookback_days)
+        boundary = newest - lag - 2 * act.LONGEST_PERIOD
+        act.user_state(day_base, boundary).write.mode("overwrite").parquet(state_path(warehouse, boundary))
+
+
 PERIOD_MARTS = ("user_period_activity", "fct_growth_accounting", "fct_engagement_depth",
                 "fct_cohort_retention_triangle")
 
 
 def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = RunParams(),
-                    concurrency: int = 4, changed_since: dt.datetime | None = None) -> dict:
+                    concurrency: int = 4, changed_since: dt.datetime | None = None,
+                    on_step: Callable[[str, str], None] = no_step) -> dict:
     """Period marts from the stored daily user-segment base.
 
     First build, full refresh, or unknown change window: classify the whole
     history. Incremental run (every mart exists and ``changed_since``, the
-    event window of the run, is known): classify only recent periods, with
-    each user's earlier history summarised by one aggregate
-    (``classify_since``). Growth, activity and engagement rewrite the periods
+    event window of the run, is known): classify only recent periods, from the
+    days since the stored user state and that state (``classify_since``). Growth, activity and engagement rewrite the periods
     after their lookback window; the triangle rewrites every cell whose
     activity period starts after both its lookback window and the start of
     the month holding the first changed day - older cells cannot have changed,
@@ -233,7 +309,9 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         afters[tri] = min(afters[tri], first_changed_period - dt.timedelta(days=1))
     scratch = []
     if windowed:
-        activity, p = materialize(act.classify_since(day_base, min(afters.values())), spark, "activity")
+        after = min(afters.values())
+        state, as_of = stored_state(spark, warehouse, day_base, after - act.LONGEST_PERIOD, changed_since.date())
+        activity, p = materialize(act.classify_since(day_base, after, state=state, as_of=as_of), spark, "activity")
         scratch.append(p)
         periods = activity            # carries event_count / miles_sum per user-period-segment
     else:
@@ -261,11 +339,13 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     def put(name):
         path = table_path(warehouse, name)
         part, clus = LAYOUT[name]
+        on_step(name, "before")
         out = builders[name](afters[name])
         if afters[name] is None:
             sinks.replace(out, path, part, clus)
         else:
             sinks.overwrite_partitions(out, path, part, cluster_by=clus)
+        on_step(name, "after")
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
@@ -274,6 +354,8 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
     finally:
         for path in scratch:   # run-scoped intermediates
             sinks.drop_path(spark, path)
+    if not windowed:
+        rebuild_state(spark, warehouse, day_base, params)
     sinks.clear_pending(spark, warehouse, "periods")
     return dict(afters)
 
@@ -310,7 +392,7 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
                 params: RunParams = RunParams(), run_quality: bool = True,
                 on_duplicate: str = "fail",
                 event_types: tuple[str, ...] = dq.REFERENCE_EVENT_TYPES,
-                precheck_scope: str = "all") -> RefreshReport:
+                precheck_scope: str = "all", on_step: Callable[[str, str], None] = no_step) -> RefreshReport:
     """Pre-checks -> event models -> period marts -> post-checks.
 
     ``precheck_scope="window"`` checks source duplicates only among the rows
@@ -324,8 +406,8 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
             since = event_lower_bound(spark, table_path(warehouse, "stg_events"), "event_time_utc",
                                  "event_date_utc", params)
         checks_out += dq.run_checks(pre_checks(raw, params, since=since))
-    windows = refresh_events(spark, raw, warehouse, params, on_duplicate)
-    windows.update(refresh_periods(spark, warehouse, params, changed_since=windows.pop("changed_since")))
+    windows = refresh_events(spark, raw, warehouse, params, on_duplicate, on_step)
+    windows.update(refresh_periods(spark, warehouse, params, changed_since=windows.pop("changed_since"), on_step=on_step))
     if run_quality:
         checks_out += dq.run_checks(post_checks(spark, raw, warehouse, params, event_types))
     return RefreshReport(windows, checks_out)

@@ -9,7 +9,8 @@
   ``event_time`` that is missing or does not parse (ISO text; offsets are
   converted to UTC, naive values are taken as UTC); the previous table stays;
 * ``miles_amount`` is parsed leniently (not a number -> null);
-* one ``loaded_at`` value per load, passed in by the caller.
+* one ``loaded_at`` value per load, passed in by the caller;
+* each row carries the path of the file it came from (``source_file``).
 
 Bad rows are counted with ``observe()`` during the single write pass; the new
 table is written next to the target and only swapped in when there are none.
@@ -17,6 +18,7 @@ The stream (``tidemark.streaming``) reads its files through the same functions.
 """
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -50,6 +52,8 @@ class IngestError(ValueError):
 
 # Holds the text of a row that does not fit its header; not a column of the result.
 CORRUPT = "_row_as_read"
+# Added to the raw columns: the path of the file that a row came from.
+SOURCE_FILE = "source_file"
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
@@ -65,9 +69,17 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def csv_header(spark: SparkSession, file: str) -> list[str]:
-    """Column names of one file (Spark reads its first line)."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
-            .csv(file).columns)
+    """Column names of one file: its first line, read through the file system
+    without a Spark job and without the rest of the file. (A header is one line;
+    a quoted newline in a column name isn't supported.)"""
+    jvm = spark.sparkContext._jvm
+    p, fs = sinks._fs(spark, file)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"), 8192)
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return next(csv.reader([line.removeprefix("\ufeff")])) if line else []
 
 
 def check_header(file: str, columns: list[str]) -> None:
@@ -78,8 +90,9 @@ def check_header(file: str, columns: list[str]) -> None:
 
 
 def headers_of(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. Headers are read by 16 threads; each is one line."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
+    """Files by header. A header costs one short read, made by 32 threads; no
+    Spark job runs for it."""
+    with ThreadPoolExecutor(max_workers=32) as pool:
         columns = list(pool.map(lambda f: tuple(csv_header(spark, f)), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for f, cols in zip(files, columns):
@@ -92,7 +105,8 @@ def _read_group(spark: SparkSession, columns: tuple[str, ...], files: list[str])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
     return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
             .option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT)
-            .schema(schema).csv(files))
+            .schema(schema).csv(files).select(*[F.col(f"`{c}`") for c in schema.names if c != SOURCE_FILE],
+                                              F.col("_metadata.file_path").alias(SOURCE_FILE)))
 
 
 def typed_events(text: DataFrame, loaded_at: dt.datetime, pandas_na: bool = False) -> DataFrame:
