@@ -255,6 +255,33 @@ def test_personal_data_many_spans(spark):
     assert [(s.kind, s.start, s.end) for s in row.pii if s.kind in pii.BASE] == plain.base_spans(text)
 
 
+def test_personal_data_in_a_list_of_addresses(spark):
+    """20,000 addresses (and as many numbers) in one text, in seconds; overlapping spans and texts of several blocks redacted."""
+    import time
+    lines = [f"é{i} 😀 u{i}@h{i}.org, +1 (202) 555-{i:05d}" for i in range(20_000)]
+    text = "\n".join(lines)
+    df = spark.createDataFrame([(text,), ("a@b.co",), (None,)], "text string")
+    started = time.time()
+    rows = {r.text: r.pii for r in pii.find(df).collect()}
+    took = time.time() - started
+    assert [(s.kind, s.start, s.end) for s in rows[text] if s.kind in pii.BASE] == plain.base_spans(text)
+    assert took < 90, took
+    red = [r.text for r in pii.redact(df).collect()]
+    assert red == ["\n".join(f"é{i} 😀 [EMAIL], [PHONE]" for i in range(20_000)), "[EMAIL]", None]
+
+
+def test_what_stands_before_each(spark):
+    rng = random.Random(2)
+    rows = [[rng.randint(0, 9) for _ in range(n)] for n in (0, 1, 255, 256, 257, 1000)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, a array<int>")
+    df = df.select("i", "a", pii.chunked(F.col("a")).alias("c"))
+    got = df.select("i", pii.running(F.col("c"), lambda s, x: s + x).alias("s"), pii.running(F.col("c"), lambda m, x: F.greatest(m, x)).alias("m"))
+    for r in got.collect():
+        a = rows[r.i]
+        assert (r.s or []) == [sum(a[:k]) for k in range(len(a))]
+        assert (r.m or []) == [max(a[:k], default=0) for k in range(len(a))]
+
+
 def test_mixing(spark, root):
     got = result(spark, "op9_mixing", root)
     docs = table(spark, root, "documents")

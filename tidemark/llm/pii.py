@@ -12,7 +12,9 @@ a short card number (13 to 15 digits passing Luhn) need a context word.
 
 Positions are code points, ends exclusive. They follow from lengths: the text
 split at the matches gives what lies between them, so the start of a match is
-the sum of all that stands before it. Each pattern is anchored so that a long
+the sum of all that stands before it, added up in runs; texts with matches are
+also cut into blocks, so that the words near a match are found without walking
+there from the start. Time grows with the text and its matches. Each pattern is anchored so that a long
 run of its characters is tried once, not once for each character, and repeats
 possessively, so the engine neither backtracks nor recurses over long matches;
 the leftmost matches are the same as those of the plain pattern.
@@ -32,6 +34,7 @@ BEFORE, AFTER = 48, 24
 RAISE, LOWER = 0.3, 0.2
 LOWERING = r"\b(example|sample|version|invoice|order|isbn|issn|beispiel|ejemplo|exemple)\b"
 _CHUNK = 256
+_BLOCK = 512
 
 BASE = ("email", "ip", "card", "phone")
 
@@ -100,17 +103,42 @@ def valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _sum(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0), lambda s, x: s + x)
+def chunked(a: Column) -> Column:
+    """The array cut into runs of _CHUNK entries. (Refers to ``a`` twice, so the
+    optimizer keeps a column that it names and doesn't compute it for each run.)"""
+    return F.when(F.size(a) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / F.lit(_CHUNK)).cast("int")),
+                                             lambda k: F.slice(a, k * _CHUNK + 1, F.lit(_CHUNK))))
 
 
-def running_sums(a: Column) -> Column:
-    """Sum of all entries before each one, in chunks: near linear for long arrays."""
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / F.lit(_CHUNK)).cast("int")),
-                         lambda k: F.slice(a, k * _CHUNK + 1, F.lit(_CHUNK)))
-    totals = F.transform(chunks, _sum)
-    return F.flatten(F.transform(chunks, lambda c, k: F.transform(
-        c, lambda _, i: _sum(F.slice(totals, F.lit(1), k)) + _sum(F.slice(c, F.lit(1), i)))))
+def _before_each(a: Column, start: Column, combine) -> Column:
+    """For each entry, all entries before it combined, from ``start`` on."""
+    first = F.struct(start.alias("s"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(a, first, lambda acc, x: F.struct(
+        combine(acc["s"], x).alias("s"), F.concat(acc["out"], F.array(acc["s"])).alias("out")), lambda acc: acc["out"])
+
+
+def running(chunks: Column, combine) -> Column:
+    """For each entry of a chunked array of numbers, all entries before it combined
+    (0 before the first). ``chunks`` must be a column of an earlier projection.
+    Each run is walked once, and so are the runs' totals: an entry costs the
+    length of a run at most, not that of the array."""
+    zero = F.lit(0)
+    totals = F.transform(chunks, lambda c: F.aggregate(c, zero, combine))
+    return F.flatten(F.zip_with(chunks, _before_each(totals, zero, combine), lambda c, o: _before_each(c, o, combine)))
+
+
+def blocks(t: Column) -> Column:
+    """The text in blocks of _BLOCK code points."""
+    return F.regexp_extract_all(t, F.lit("(?s).{1,%d}" % _BLOCK), F.lit(0))
+
+
+def cut_out(parts: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` of a text in blocks; the cost is
+    theirs and a block's, not that of the text before them."""
+    first = F.floor(start / F.lit(_BLOCK)).cast("int")
+    last = F.floor(end / F.lit(_BLOCK)).cast("int")
+    near = F.array_join(F.slice(parts, first + 1, last - first + 1), "")
+    return F.substring(near, start - first * _BLOCK + 1, end - start)
 
 
 SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
@@ -141,23 +169,29 @@ def find(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
 
     df = df.select("*", *[lengths(k).alias(f"{h}_l_{k.name}") for k in searched])
 
+    # Each step is a projection of its own, which the next one refers to more than once.
+    df = df.select("*", *[F.transform(F.col(f"{h}_l_{k.name}"), lambda x: x["gap"] + x["len"]).alias(f"{h}_a_{k.name}") for k in searched])
+    df = df.select("*", *[chunked(F.col(f"{h}_a_{k.name}")).alias(f"{h}_c_{k.name}") for k in searched])
+
     def starts(k: Kind) -> Column:
-        l = F.col(f"{h}_l_{k.name}")
-        steps = F.transform(l, lambda x: x["gap"] + x["len"])
-        return F.when(l.isNotNull(), F.transform(running_sums(steps), lambda s, i: s + F.get(l, i)["gap"]))
+        l, before = F.col(f"{h}_l_{k.name}"), running(F.col(f"{h}_c_{k.name}"), lambda s, x: s + x)
+        return F.when(l.isNotNull(), F.zip_with(before, l, lambda s, x: s + x["gap"]))
 
-    df = df.select("*", *[starts(k).alias(f"{h}_s_{k.name}") for k in searched])
+    some = F.lit(False)
+    for k in searched:
+        some = some | F.col(f"{h}_l_{k.name}").isNotNull()
+    df = df.select("*", *[starts(k).alias(f"{h}_s_{k.name}") for k in searched],
+                   F.when(some, blocks(F.col(f"{h}_t"))).alias(f"{h}_b"))
 
     def spans(k: Kind) -> Column:
         via = "card" if k.name == "short_card" else k.name
-        found, at, t = F.col(f"{h}_m_{via}"), F.col(f"{h}_s_{via}"), F.col(f"{h}_t")
+        found, at, parts = F.col(f"{h}_m_{via}"), F.col(f"{h}_s_{via}"), F.col(f"{h}_b")
 
         def span(m: Column, i: Column) -> Column:
             start = F.get(at, i).cast("int")
             end = (start + F.length(m)).cast("int")
             first = F.greatest(start - BEFORE, F.lit(0))
-            near = F.lower(F.concat(F.substring(t, first + 1, start - first), F.lit(" "),
-                                    F.substring(t, end + 1, F.lit(AFTER))))
+            near = F.lower(F.concat(cut_out(parts, first, start), F.lit(" "), cut_out(parts, end, end + AFTER)))
             score = F.lit(k.prior) + F.when(near.rlike(k.context), F.lit(RAISE)).otherwise(F.lit(0.0))
             if not k.base:
                 score = score - F.when(near.rlike(LOWERING), F.lit(LOWER)).otherwise(F.lit(0.0))
@@ -189,22 +223,24 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with each span in ``text`` replaced by its kind, as ``[EMAIL]``.
 
     Spans that touch or overlap (a number inside an address) become one, named
-    after the first of them. Texts without spans, null ones too, stay as they are.
+    after the first of them, of equal starts the longest. Texts without spans, null ones too, stay as they are.
     """
     keep = df.columns
     names = {c.lower() for c in keep}
     s = next(n for i in range(len(names) + 1) if (n := f"pii_spans_{i}") not in names)
     found = find(df, text, s)
-    ordered = F.array_sort(F.transform(F.col(s), lambda x: F.struct(x["start"], x["end"], x["kind"])))
+    ordered = F.array_sort(F.transform(F.col(s), lambda x: F.struct(x["start"], (-x["end"]).alias("minus_end"), x["kind"])))
+    free = iter(n for i in range(len(names) + 9) if (n := f"pii_step_{i}") not in names)
+    e, c, r, b = (next(free) for _ in range(4))
     found = found.select(*keep, ordered.alias(s))
     spans, t = F.col(s), F.col(text)
-    # The furthest end of all spans before this one: what lies below it is gone.
-    reached = F.transform(spans, lambda x, i: F.coalesce(
-        F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda y: y["end"])), F.lit(0)))
-    parts = F.transform(F.arrays_zip(spans.alias("x"), reached.alias("r")), lambda z, i: F.when(
+    found = found.select("*", F.transform(spans, lambda x: -x["minus_end"]).alias(e), F.when(F.size(spans) > 0, blocks(t)).alias(b))
+    found = found.select("*", chunked(F.col(e)).alias(c))
+    # The furthest end of all spans before each one: what lies below it is gone.
+    found = found.select("*", running(F.col(c), lambda m, x: F.greatest(m, x)).alias(r))
+    parts = F.transform(F.arrays_zip(spans.alias("x"), F.col(r).alias("r")), lambda z, i: F.when(
         (i > 0) & (z["x"]["start"] <= z["r"]), F.lit("")).otherwise(F.concat(
-            F.substring(t, z["r"] + 1, z["x"]["start"] - z["r"]), F.lit("["), F.upper(z["x"]["kind"]), F.lit("]"))))
-    end = F.array_max(F.transform(spans, lambda x: x["end"]))
-    rest = F.substring(t, end + 1, F.length(t))
+            cut_out(F.col(b), z["r"], z["x"]["start"]), F.lit("["), F.upper(z["x"]["kind"]), F.lit("]"))))
+    rest = F.substring(t, F.array_max(F.col(e)) + 1, F.length(t))
     new = F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(t)
-    return found.select(*[new.alias(c) if c == text else F.col(c) for c in keep])
+    return found.select(*[new.alias(c_) if c_ == text else F.col(c_) for c_ in keep])
