@@ -39,7 +39,9 @@ def rebuilt(spark, deliveries):
 
 
 @pytest.mark.parametrize("table, when", [
-    ("stg_events", "after"), ("fct_events", "after"), ("user_day_segments", "after"), ("fct_cohort_retention_triangle", "before")])
+    ("stg_events", "after"), ("dim_users", "after"), ("fct_events", "before"), ("fct_events", "after"), ("user_day_segments", "after"),
+    ("fct_growth_accounting", "after"), ("fct_cohort_retention_triangle", "before"), ("user_period_activity", "after"),
+    ("fct_engagement_depth", "before")])
 def test_refresh_recovers(spark, deliveries, rebuilt, monkeypatch, table, when):
     wh = scratch_path(spark, f"recovery-{table}-{when}")
     refresh.refresh_all(spark, deliveries[0], wh, P, run_quality=False)

@@ -305,8 +305,10 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         d0 = changed_since.date()
         # earliest start of any period (day, Monday week, month) containing d0
         first_changed_period = min(d0 - dt.timedelta(days=d0.weekday()), d0.replace(day=1))
+        # The triangle's partitions are cohorts, so its lookback counts from the newest activity period
+        # (without new users the newest cohort stays behind, and the window would only grow).
         tri = "fct_cohort_retention_triangle"
-        afters[tri] = min(afters[tri], first_changed_period - dt.timedelta(days=1))
+        afters[tri] = min(afters["user_period_activity"], first_changed_period - dt.timedelta(days=1))
     scratch = []
     if windowed:
         after = min(afters.values())
