@@ -22,6 +22,8 @@ from .queries import _summary, marts, query
 SILENT_DAY = dt.date(2024, 1, 20)
 BUSY_DAY = dt.date(2024, 1, 25)
 BUSY_FACTOR = 4
+SEEDED_DAY = dt.date(2024, 1, 8)
+SEEDED_TYPES = ("click", "error", "purchase", "signup")
 
 
 @query("growth_dense")

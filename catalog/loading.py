@@ -76,3 +76,47 @@ def file_loads(spark, sf_dir):
         load_files(spark, join_path(source, "*"), table, LOADED_AT)
     loaded = read_loaded(spark, table)
     return _labelled(loaded, "delivery", [(f"d{i}", F.col("source_file").contains(f"/d{i}/")) for i in range(1, 4)])
+
+
+@query("dq_freshness")
+def dq_freshness(spark, sf_dir):
+    """Staleness of events loaded in two intervals, at two moments, and what the
+    stored fact of a cutoff-bounded run holds beyond that cutoff and an earlier one."""
+    from tidemark.operators import quality as dq
+    from tidemark.params import RunParams
+    from tidemark.plans import freshness, sinks
+    from tidemark.plans.marts import Marts
+    from .queries import CUTOFF, _summary
+    table, fct, raw = scratch_path(spark, "fresh-loads"), scratch_path(spark, "fresh-fct"), raw_events(spark, sf_dir)
+    for end in INTERVAL_ENDS[1:3]:
+        load_interval(spark, raw, table, end)
+    cutoff, day = dt.datetime.fromisoformat(CUTOFF), dt.timedelta(days=1)
+    sinks.replace(Marts(raw, RunParams(execution_date=CUTOFF)).fct_events, fct, "event_date_utc")
+    end = INTERVAL_ENDS[2]
+    checks = [dq.Check(f"stale_{name}", freshness.stale_source(spark, table, at, day, 2 * day))
+              for name, at in (("at_once", end), ("later", end + 1.5 * day), ("much_later", end + 9 * day))]
+    checks += [dq.Check(f"beyond_{name}", freshness.beyond_cutoff(spark, fct, "event_date_utc", at, "event_time_utc")
+                        .selectExpr("coalesce(rows, 1) AS n_records"), weighted=True)
+               for name, at in (("cutoff", cutoff), ("earlier", cutoff - dt.timedelta(days=3, hours=2)))]
+    return _summary(checks)
+
+
+@query("dq_changed_partitions")
+def dq_changed_partitions(spark, sf_dir):
+    """Post-check totals after two runs and a fault seeded in an old partition:
+    only what the second run and the fault rewrote is checked the second time."""
+    from tidemark.plans import check_ledger, refresh, sinks
+    from tidemark.session import checkpoint_root
+    from .checks import SEEDED_DAY, SEEDED_TYPES
+    from .queries import _batches
+    wh = scratch_path(spark, "checked")
+    b1, raw_all = _batches(spark, sf_dir)
+    refresh.refresh_all(spark, b1, wh, run_quality=False)
+    check_ledger.check_changed(spark, wh, SEEDED_TYPES)
+    refresh.refresh_all(spark, raw_all, wh, run_quality=False)
+    path = refresh.table_path(wh, "fct_growth_accounting")
+    checkpoint_root(spark)
+    day = spark.read.parquet(path).filter(F.col("period_start") == F.lit(SEEDED_DAY))
+    sinks.overwrite_partitions(day.withColumn("new_users", F.col("new_users") + 1).checkpoint(), path, "period_start")
+    report = check_ledger.check_changed(spark, wh, SEEDED_TYPES)
+    return spark.createDataFrame([(name, n) for name, _, n in report.totals], "check string, failures long")

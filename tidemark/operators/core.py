@@ -41,7 +41,7 @@ def user_profile(events: DataFrame) -> DataFrame:
         *[F.expr(f"max_by({a}, CASE WHEN {a} IS NOT NULL THEN rank END) AS latest_{a}") for a in USER_ATTRIBUTES])
 
 
-def _finish_dim(profile: DataFrame) -> DataFrame:
+def _finish_dim(profile: DataFrame, *also: str) -> DataFrame:
     return profile.selectExpr(
         f"{sx.surrogate_key('user_id')} AS user_sk",
         "user_id",
@@ -50,6 +50,7 @@ def _finish_dim(profile: DataFrame) -> DataFrame:
         "latest_event_time_utc",
         "to_date(latest_event_time_utc) AS latest_event_date_utc",
         *[f"latest_{a}" for a in USER_ATTRIBUTES],
+        *also,
     )
 
 
@@ -62,13 +63,14 @@ def dim_users(stg: DataFrame, params: RunParams = RunParams(),
                                                   *USER_ATTRIBUTES)))
 
 
-def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame) -> DataFrame:
+def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame, flag: str | None = None) -> DataFrame:
     """Existing dimension rows (of the touched buckets) merged with incoming
     user profiles in ONE full outer join: users only in ``existing`` keep
     their row, users only in ``incoming`` are inserted, users in both get the
     earliest first time, latest latest time and the incoming attribute when
     it is non-null. The result replaces those buckets whole, so the merge
-    needs no second (anti) join against the table."""
+    needs no second (anti) join against the table. ``flag`` names a column that
+    says whether a row is new or differs from the stored one."""
     old = existing.selectExpr(
         "user_id", "first_event_time_utc AS _old_first", "latest_event_time_utc AS _old_latest",
         *[f"latest_{a} AS _old_{a}" for a in USER_ATTRIBUTES])
@@ -77,8 +79,12 @@ def merge_dim_rows(existing: DataFrame, incoming_profile: DataFrame) -> DataFram
         "least(first_event_time_utc, _old_first) AS first_event_time_utc",
         "greatest(latest_event_time_utc, _old_latest) AS latest_event_time_utc",
         *[f"coalesce(latest_{a}, _old_{a}) AS latest_{a}" for a in USER_ATTRIBUTES],
+        # what the old row lacks or has otherwise
+        "_old_first IS NULL OR first_event_time_utc < _old_first OR latest_event_time_utc > _old_latest OR "
+        + " OR ".join(f"(latest_{a} IS NOT NULL AND NOT latest_{a} <=> _old_{a})" for a in USER_ATTRIBUTES) + " AS _differs",
     )
-    return _finish_dim(merged)
+    done = _finish_dim(merged, "_differs")
+    return done.drop("_differs") if flag is None else done.selectExpr(*DIM_COLUMNS, f"coalesce(_differs, false) AS {flag}")
 
 
 def missing_users(stg: DataFrame, dim: DataFrame, params: RunParams = RunParams(),

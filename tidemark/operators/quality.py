@@ -314,14 +314,14 @@ def standard_suite(raw: DataFrame, stg: DataFrame, dim: DataFrame, fct: DataFram
         NotNullGroup("engagement_depth", eng, tuple(eng.columns)),
     ]
     checks += [
-        Check("stg_events_unique_event_id", unique(stg, "event_id")),
+        Check("stg_events_unique_event_id", unique(stg, "event_id", hex_key=True)),
         Check("stg_events_accepted_event_type", accepted_values(stg, "event_type", event_types)),
         Check("stg_events_accepted_platform", accepted_values(stg, "platform", PLATFORMS)),
     ]
-    checks += [Check("dim_users_unique_user_sk", unique(dim, "user_sk")),
+    checks += [Check("dim_users_unique_user_sk", unique(dim, "user_sk", hex_key=True)),
                Check("dim_users_unique_user_id", unique(dim, "user_id"))]
     checks += [
-        Check("fct_events_unique_event_id", unique(fct, "event_id")),
+        Check("fct_events_unique_event_id", unique(fct, "event_id", hex_key=True)),
         Check("fct_events_relationship_user_sk", relationships(fct, "user_sk", dim, "user_sk"), weighted=True),
         Check("fct_events_relationship_user_id", relationships(fct, "user_id", dim, "user_id"), weighted=True),
         Check("dim_first_event", dim_first_event(dim, fct)),

@@ -20,6 +20,8 @@ class RunParams:
     full_refresh: ignore existing targets and rebuild from the source.
     power_user_min_events: events in one period/segment that make a user a
         "power user".
+    dim_buckets: buckets of the stored user dimension, taken at a full build
+        (about one for each 100 MB of its rows).
     """
 
     execution_date: str | None = None
@@ -27,6 +29,7 @@ class RunParams:
     period_lookback_days: int = 62
     full_refresh: bool = False
     power_user_min_events: int = 3
+    dim_buckets: int = 64
 
     def cutoff_ts(self) -> dt.datetime | None:
         """Cutoff as a naive UTC datetime (offsets are converted to UTC)."""

@@ -109,6 +109,19 @@ class RunLedger:
             stream.close()
         return run
 
+    def note(self, run: Run, facts: dict) -> None:
+        """Keep what the run found out (anything JSON can hold) beside its claim."""
+        p, fs = sinks._fs(self.spark, self._file(run, "facts"))
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(json.dumps(facts).encode()))
+        finally:
+            stream.close()
+
+    def facts(self, run: Run) -> dict:
+        p, fs = sinks._fs(self.spark, self._file(run, "facts"))
+        return self._read(fs, p) if fs.exists(p) else {}
+
     def commit(self, run: Run) -> None:
         self._end(run, COMMITTED)
 

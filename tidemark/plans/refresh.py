@@ -49,13 +49,14 @@ from ..operators import activity as act
 from ..operators import quality as dq
 from ..operators.core import (DIM_COLUMNS, USER_ATTRIBUTES, dim_users, fct_events, merge_dim_rows,
                               missing_users, user_profile)
+from ..operators.distinct_state import distinct_users
 from ..operators.engagement import engagement_depth
 from ..operators.growth import growth_accounting
 from ..operators.retention import cohort_retention_triangle, cohort_retention_triangle_since
 from ..operators.staging import stg_events, time_window
 from ..params import RunParams
 from ..session import checkpoint_root, ensure_utc, join_path, scratch_path
-from . import sinks
+from . import distinct, sinks
 
 TABLES = ("stg_events", "dim_users", "fct_events", "user_period_activity", "fct_growth_accounting",
           "fct_cohort_retention_triangle", "fct_engagement_depth")
@@ -63,6 +64,7 @@ DAY_BASE = "user_day_segments"
 USER_STATE = "user_state"
 #: How far the stored user state may lag before it is advanced.
 STATE_STRIDE = dt.timedelta(days=31)
+#: Buckets of a dimension that was stored before their number was (see ``dim_buckets``).
 DIM_BUCKETS = 64
 # Physical layout: (partition column, cluster columns) per table.
 LAYOUT = {
@@ -130,36 +132,12 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     if after is None:
         sinks.replace(stg_new, p_stg, part, clus)
     else:
-        sinks.upsert(spark, p_stg, stg_new, "event_id", part, on_duplicate, clus)
+        sinks.upsert(spark, p_stg, stg_new, "event_id", part, on_duplicate, clus, hex_key=True)
     on_step("stg_events", "after")
     stg = read_table(spark, warehouse, "stg_events")
 
-    p_dim = table_path(warehouse, "dim_users")
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(DIM_BUCKETS)).cast("int").alias("user_bucket")
     on_step("dim_users", "before")
-    if params.full_refresh or not sinks.exists(spark, p_dim):
-        windows["dim_users"] = None
-        sinks.replace(dim_users(stg, params).select("*", bucket), p_dim, *LAYOUT["dim_users"])
-    else:
-        existing = spark.read.parquet(p_dim)
-        wm = existing.agg(F.max("latest_event_time_utc")).first()[0]
-        d_after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
-        windows["dim_users"] = d_after
-        incoming = user_profile(
-            time_window(stg, "event_time_utc", d_after, params.cutoff_ts(), date_col="event_date_utc")
-            .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", bucket)
-        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)   # used for the bucket list and the merge
-        try:
-            touched = [r[0] for r in incoming.select("user_bucket").distinct().collect()]  # <= DIM_BUCKETS
-            if touched:
-                checkpoint_root(spark)
-                merged = merge_dim_rows(existing.filter(F.col("user_bucket").isin(touched)),
-                                        incoming.drop("user_bucket")).select("*", bucket)
-                # the rewrite replaces the buckets the merge reads: cut lineage first
-                sinks.overwrite_partitions(merged.checkpoint(eager=True), p_dim, "user_bucket",
-                                           cluster_by=LAYOUT["dim_users"][1])
-        finally:
-            incoming.unpersist()
+    windows["dim_users"] = refresh_dim(spark, stg, warehouse, params)
     on_step("dim_users", "after")
     dim = read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS)
 
@@ -173,11 +151,13 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     # so what the later stages owe is recorded before.
     base_after = sinks.mark_pending(spark, warehouse, "base", f_after)
     windows["changed_since"] = sinks.mark_pending(spark, warehouse, "periods", f_after)
+    if sinks.exists(spark, table_path(warehouse, distinct.DAY_DISTINCT)):
+        sinks.mark_pending(spark, warehouse, "distinct", f_after)
     on_step("fct_events", "before")
     if f_after is None:
         sinks.replace(fct_new, p_fct, part, clus)
     else:
-        sinks.upsert(spark, p_fct, fct_new, "event_id", part, on_duplicate, clus)
+        sinks.upsert(spark, p_fct, fct_new, "event_id", part, on_duplicate, clus, hex_key=True)
     on_step("fct_events", "after")
     sinks.drop_path(spark, scratch)
     on_step(DAY_BASE, "before")
@@ -187,6 +167,51 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     return windows
 
 
+def dim_buckets(spark: SparkSession, warehouse: str) -> int:
+    """The number of buckets the stored dimension was built with."""
+    found = sinks.partition_values(spark, table_path(warehouse, "dim_users"), ".buckets")
+    return int(found[0]) if found else DIM_BUCKETS
+
+
+def refresh_dim(spark: SparkSession, stg: DataFrame, warehouse: str, params: RunParams) -> dt.datetime | None:
+    """Build or maintain the user dimension; returns the lower bound of the
+    events that were read.
+
+    A full build stores ``params.dim_buckets`` buckets by the hash of the user
+    (the number is kept with the table). A merge reads the buckets of the users
+    it has events of, and rewrites those of them in which a row really changed:
+    users whose events were only delivered again cost no write."""
+    path, (part, clus) = table_path(warehouse, "dim_users"), LAYOUT["dim_users"]
+
+    def bucket(n: int):
+        return F.pmod(F.xxhash64("user_id"), F.lit(n)).cast("int").alias(part)
+    if params.full_refresh or not sinks.exists(spark, path):
+        sinks.replace(dim_users(stg, params).select("*", bucket(params.dim_buckets)), path, part, clus)
+        sinks.make_folder(spark, join_path(path, f".buckets={params.dim_buckets}"))
+        return None
+    n = dim_buckets(spark, warehouse)
+    existing = spark.read.parquet(path)
+    wm = existing.agg(F.max("latest_event_time_utc")).first()[0]
+    after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
+    incoming = user_profile(
+        time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
+        .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", bucket(n))
+    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)   # used for the bucket list and the merge
+    try:
+        touched = [r[0] for r in incoming.select(part).distinct().collect()]  # <= n
+        if touched:
+            checkpoint_root(spark)
+            # the rewrite replaces the buckets the merge reads: cut lineage first
+            merged = merge_dim_rows(existing.filter(F.col(part).isin(touched)), incoming.drop(part), flag="row_changed") \
+                .select("*", bucket(n)).checkpoint(eager=True)
+            changed = [r[0] for r in merged.filter("row_changed").select(part).distinct().collect()]
+            if changed:
+                sinks.overwrite_partitions(merged.filter(F.col(part).isin(changed)).drop("row_changed"), path, part, cluster_by=clus)
+    finally:
+        incoming.unpersist()
+    return after
+
+
 def refresh_day_base(spark: SparkSession, warehouse: str, after: dt.datetime | None) -> None:
     """Maintain ``user_day_segments`` from the stored fact.
 
@@ -394,12 +419,17 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
                 params: RunParams = RunParams(), run_quality: bool = True,
                 on_duplicate: str = "fail",
                 event_types: tuple[str, ...] = dq.REFERENCE_EVENT_TYPES,
-                precheck_scope: str = "all", on_step: Callable[[str, str], None] = no_step) -> RefreshReport:
+                precheck_scope: str = "all", on_step: Callable[[str, str], None] = no_step,
+                check_scope: str = "changed", reconcile: bool = False) -> RefreshReport:
     """Pre-checks -> event models -> period marts -> post-checks.
 
     ``precheck_scope="window"`` checks source duplicates only among the rows
     this run reads (after the staging watermark minus the lookback) instead
-    of the whole source.
+    of the whole source. ``check_scope="changed"`` checks the partitions that
+    were rewritten since they were last checked and adds the stored results of
+    the others (``plans.check_ledger``); ``"all"`` runs the whole suite over
+    everything. ``reconcile`` also keeps the distinct-user state and compares
+    all grains with it (warnings).
     """
     checks_out = []
     if run_quality:
@@ -410,6 +440,26 @@ def refresh_all(spark: SparkSession, raw: DataFrame, warehouse: str,
         checks_out += dq.run_checks(pre_checks(raw, params, since=since))
     windows = refresh_events(spark, raw, warehouse, params, on_duplicate, on_step)
     windows.update(refresh_periods(spark, warehouse, params, changed_since=windows.pop("changed_since"), on_step=on_step))
-    if run_quality:
+    if run_quality and check_scope == "changed":
+        from .check_ledger import check_changed, require
+        checks_out += require(check_changed(spark, warehouse, event_types))
+    elif run_quality:
         checks_out += dq.run_checks(post_checks(spark, raw, warehouse, params, event_types))
+    if reconcile:
+        checks_out += dq.run_checks(cross_grain_checks(spark, warehouse))
     return RefreshReport(windows, checks_out)
+
+
+def cross_grain_checks(spark: SparkSession, warehouse: str, tolerance: float = 0.0) -> list:
+    """Bring the stored distinct-user state up to date and compare every grain
+    with it, and weekly and monthly totals with their days."""
+    day_base = read_table(spark, warehouse, DAY_BASE)
+    owed = sinks.pending(spark, warehouse, "distinct")
+    known = sinks.exists(spark, table_path(warehouse, distinct.DAY_DISTINCT))
+    if owed or not known:
+        distinct.refresh_distinct(spark, warehouse, day_base, None if not known or None in owed else min(owed))
+        sinks.clear_pending(spark, warehouse, "distinct")
+    growth, eng = read_table(spark, warehouse, "fct_growth_accounting"), read_table(spark, warehouse, "fct_engagement_depth")
+    users = distinct_users(distinct.stored_distinct(spark, warehouse))
+    return [dq.Check("cross_grain_users", dq.cross_grain_users(growth, users, tolerance), severity="warn"),
+            dq.Check("cross_grain_totals", dq.cross_grain_totals(eng, tolerance), severity="warn")]

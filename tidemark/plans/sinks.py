@@ -51,6 +51,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    if not fs.mkdirs(p):
+        raise OSError(f"cannot make {path}")
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a top-level ``column=value`` partition directory, from the
     file-system listing only (no data is read)."""
@@ -126,9 +132,7 @@ def mark_pending(spark: SparkSession, warehouse: str, stage: str, after: dt.date
     one file-system call that either happened or not. Records stay until
     ``clear_pending``: a run that dies in between leaves them to the next."""
     owed = pending(spark, warehouse, stage) + [after]
-    p, fs = _fs(spark, f"{_pending_dir(warehouse, stage)}/after={after.isoformat().replace(':', '.') if after else 'all'}")
-    if not fs.mkdirs(p):
-        raise OSError(f"cannot record pending work at {p}")
+    make_folder(spark, f"{_pending_dir(warehouse, stage)}/after={after.isoformat().replace(':', '.') if after else 'all'}")
     return None if None in owed else min(owed)
 
 
@@ -146,11 +150,25 @@ def clear_pending(spark: SparkSession, warehouse: str, stage: str) -> None:
     drop_path(spark, _pending_dir(warehouse, stage))
 
 
+def heal_swap(spark: SparkSession, path: str) -> None:
+    """Put back a table that a killed swap left aside, or, if its successor did
+    move in, remove it."""
+    dst, fs = _fs(spark, path)
+    asides = fs.globStatus(_fs(spark, f"{path.rstrip('/')}.replaced-*")[0])
+    for st in sorted(asides or [], key=lambda s: -s.getModificationTime()):
+        if fs.exists(dst):
+            fs.delete(st.getPath(), True)
+        elif not fs.rename(st.getPath(), dst):
+            raise OSError(f"cannot put {st.getPath()} back to {path}")
+
+
 def swap_in(spark: SparkSession, loaded: str, path: str) -> None:
     """Put the complete folder ``loaded`` in the place of ``path``.
 
     The old table is renamed aside first and only deleted once the new one is
-    in place; if that fails it is renamed back."""
+    in place; if that fails it is renamed back. What a process left that was
+    killed in between is made good first (``heal_swap``)."""
+    heal_swap(spark, path)
     src, fs = _fs(spark, loaded)
     dst, _ = _fs(spark, path)
     aside, _ = _fs(spark, f"{path.rstrip('/')}.replaced-{loaded.rsplit('-', 1)[-1]}")
@@ -172,7 +190,7 @@ def swap_in(spark: SparkSession, loaded: str, path: str) -> None:
 
 
 def dedupe_incoming(incoming: DataFrame, key: str, on_duplicate: str,
-                    order_col: str = "loaded_at") -> DataFrame:
+                    order_col: str = "loaded_at", hex_key: bool = False) -> DataFrame:
     """Resolve duplicate keys in a merge source.
 
     ``fail``: raise if any key occurs twice (a merge with ambiguous source
@@ -182,7 +200,7 @@ def dedupe_incoming(incoming: DataFrame, key: str, on_duplicate: str,
     """
     if on_duplicate == "fail":
         from ..operators.quality import repeated_values
-        dup = repeated_values(incoming, F.col(key), key, "n").limit(1).collect()
+        dup = repeated_values(incoming, F.col(key), key, "n", hex_key).limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"duplicate merge key {key}={dup[0][0]!r} in incoming rows")
         return incoming
@@ -194,7 +212,8 @@ def dedupe_incoming(incoming: DataFrame, key: str, on_duplicate: str,
 
 
 def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
-           partition_by: str, on_duplicate: str = "fail", cluster_by: tuple[str, ...] = ()) -> None:
+           partition_by: str, on_duplicate: str = "fail", cluster_by: tuple[str, ...] = (),
+           hex_key: bool = False) -> None:
     """MERGE ``incoming`` into the Parquet table at ``path`` on ``key``.
 
     The key must never move between partitions (true for the event key,
@@ -203,11 +222,12 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     rewritten; the list of touched partitions is small (dates or buckets).
     ``incoming`` is used by several passes (duplicate check, touched list,
     merge), so it is persisted for the duration of the merge; a lost block is
-    recomputed from its lineage.
+    recomputed from its lineage. With ``hex_key`` (md5 keys in hex) keys are
+    counted and joined by their 16 bytes.
     """
     cached = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        incoming = dedupe_incoming(cached, key, on_duplicate)
+        incoming = dedupe_incoming(cached, key, on_duplicate, hex_key=hex_key)
         if not exists(spark, path):
             replace(incoming, path, partition_by, cluster_by)
             return
@@ -215,7 +235,11 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
         if not touched:
             return
         existing = spark.read.parquet(path).filter(F.col(partition_by).isin(touched))
-        kept = existing.join(incoming.select(key), key, "left_anti")
+        if hex_key:
+            keys = incoming.select(F.unhex(key).alias("key_bytes"))
+            kept = existing.join(keys, F.unhex(existing[key]) == keys["key_bytes"], "left_anti")
+        else:
+            kept = existing.join(incoming.select(key), key, "left_anti")
         merged = kept.unionByName(incoming.select(*existing.columns))
         # Reliable checkpoint (in spark.checkpoint.dir): the write below replaces
         # the very partitions the merge reads, so a retried task must never go

@@ -176,6 +176,7 @@ def ingest_events_csv(spark: SparkSession, csv_path: str, raw_path: str,
     obs = Observation("ingest")
     observed = df.observe(obs, *bad_rows()).drop(CORRUPT)
     staging = f"{raw_path.rstrip('/')}.loading-{uuid.uuid4().hex[:12]}"
+    sinks.heal_swap(spark, raw_path)
     # Partitioned by event day so incremental staging reads prune whole days;
     # rebalanced on it, so a day is few files.
     try:

@@ -59,9 +59,18 @@ def _no_step(step: str) -> None:
     pass
 
 
-def _write(rows: DataFrame, table: str, run: Run) -> None:
-    (rows.withColumn(RAW_DAY_COLUMN, F.to_date("event_time")).hint("rebalance", RAW_DAY_COLUMN)
+def _write(rows: DataFrame, table: str, run: Run, ledger: RunLedger, also: tuple = ()) -> dict:
+    """Write the run's rows, and note their number and bounds, which are observed
+    on the way. Returns all that was observed."""
+    obs = Observation("load")
+    bounds = [F.max(c).alias(f"max_{c}") for c in ("event_time", "loaded_at")] + [F.min("event_time").alias("min_event_time")]
+    (rows.observe(obs, F.count(F.lit(1)).alias("rows"), *bounds, *also).drop(CORRUPT)
+     .withColumn(RAW_DAY_COLUMN, F.to_date("event_time")).hint("rebalance", RAW_DAY_COLUMN)
      .write.partitionBy(RAW_DAY_COLUMN).parquet(run_folder(table, run)))
+    found = obs.get
+    ledger.note(run, {"rows": found["rows"]} | {k: None if found[k] is None else found[k].isoformat()
+                                                for k in ("min_event_time", "max_event_time", "max_loaded_at")})
+    return found
 
 
 def load_interval(spark: SparkSession, source: DataFrame, table: str, upto: dt.datetime, time_col: str = "event_time",
@@ -76,13 +85,24 @@ def load_interval(spark: SparkSession, source: DataFrame, table: str, upto: dt.d
         give_up(spark, table, ledger, dead)
     interval = ledger.claim_interval(upto, after)
     on_step("claim")
-    _write(time_window(source, time_col, interval.after, upto), table, interval.run)
+    _write(time_window(source, time_col, interval.after, upto), table, interval.run, ledger)
     on_step("write")
     ledger.commit(interval.run)
     on_step("commit")
     return interval
 
 
+def load_bounds(spark: SparkSession, table: str) -> dict:
+    """rows, min_event_time, max_event_time and max_loaded_at of everything loaded,
+    from what the runs noted: no file of the table is opened."""
+    ledger = RunLedger(spark, ledger_path(table))
+    facts = [ledger.facts(r) for r in ledger.committed()]
+    times = {k: [dt.datetime.fromisoformat(f[k]) for f in facts if f.get(k)] for k in ("min_event_time", "max_event_time", "max_loaded_at")}
+    return {"rows": sum(f.get("rows", 0) for f in facts),
+            "min_event_time": min(times["min_event_time"], default=None)} | {
+        k: max(times[k], default=None) for k in ("max_event_time", "max_loaded_at")}
+
+
 class RepeatedFile(IngestError):
     pass
 
@@ -141,10 +161,8 @@ def load_files(spark: SparkSession, csv_path: str, table: str, loaded_at: dt.dat
     run = ledger.claim({"files": files})
     on_step("claim")
     try:
-        obs = Observation("load")
         rows = read_event_files(spark, [f["path"] for f in files], stamp, pandas_na)
-        _write(rows.observe(obs, *bad_rows()).drop(CORRUPT), table, run)
-        check_counts(obs.get)
+        check_counts(_write(rows, table, run, ledger, tuple(bad_rows()[1:])))
     except Exception:
         give_up(spark, table, ledger, run)
         raise
