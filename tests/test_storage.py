@@ -29,7 +29,7 @@ def test_only_buckets_with_changed_users_are_rewritten(spark):
     refresh.refresh_events(spark, make_raw(spark, rows), wh, p)
     dim = os.path.join(wh, "dim_users")
     before = files_of(dim)
-    assert refresh.dim_buckets(spark, wh) == 8 and len({f.split("/")[0] for f in before}) == 8
+    assert sinks.stored_buckets(spark, dim) == 8 and len({f.split("/")[0] for f in before}) == 8
     # the same events once more, and one user with a new one; the parameter of a later run doesn't matter
     more = rows + [{"event_time": "2024-01-10 12:00:00", "user_id": "u7", "platform": "web"}]
     refresh.refresh_events(spark, make_raw(spark, more), wh, RunParams(dim_buckets=99, late_arrival_lookback_days=3))
@@ -42,6 +42,46 @@ def test_only_buckets_with_changed_users_are_rewritten(spark):
     assert files_of(dim) == after       # nothing changed, nothing written
 
 
+def test_the_stored_side_of_the_merge_is_not_exchanged(spark):
+    """Joining bucketed rows with new profiles shuffles the profiles alone."""
+    from tidemark.operators.core import DIM_COLUMNS, user_profile
+    wh = scratch_path(spark, "bucket-plan")
+    raw = make_raw(spark, [{"event_time": "2024-01-10 10:00:00", "user_id": f"u{i}", "platform": "ios"} for i in range(50)])
+    refresh.refresh_events(spark, raw, wh, RunParams(dim_buckets=6))
+    path = refresh.table_path(wh, "dim_users")
+    schema = spark.read.parquet(path).select(*DIM_COLUMNS, "user_bucket").schema
+    profiles = user_profile(Marts(raw).stg_events).select("*", sinks.bucket_of("user_id", 6).alias("user_bucket"))
+    with sinks.bucketed_table(spark, path, schema, "user_bucket", "user_id", 6) as name:
+        plan = refresh.merge_dim(spark.table(name), profiles, [1, 4], 6)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+        indent = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+        scan, branch, depth = lines[at], [], indent(lines[at])
+        for x in reversed(lines[:at]):           # the operators above the scan, up to the join
+            if indent(x) < depth:
+                depth = indent(x)
+                if "Join" in x:
+                    break
+                branch.append(x)
+        assert "Join" in x and not any("Exchange" in y for y in branch), plan
+        assert "user_bucket" in scan and "IN (1,4)" in scan and "SelectedBucketsCount: 6 out of 6" in scan
+    assert not spark.catalog.tableExists(name) and spark.read.parquet(path).count() == 50
+
+
+def test_an_older_layout_is_brought_into_buckets(spark):
+    wh = scratch_path(spark, "old-layout")
+    rows = [{"event_time": "2024-01-10 10:00:00", "user_id": f"u{i}", "platform": "ios"} for i in range(9)]
+    refresh.refresh_events(spark, make_raw(spark, rows), wh)
+    path = refresh.table_path(wh, "dim_users")
+    old = refresh.read_table(spark, wh, "dim_users").withColumn("user_bucket", F.lit(3)).checkpoint()
+    sinks.drop_path(spark, path)
+    sinks.replace(old, path, "user_bucket")
+    refresh.refresh_events(spark, make_raw(spark, rows + [{"event_time": "2024-01-11", "user_id": "new"}]), wh, RunParams(dim_buckets=5))
+    assert sinks.stored_buckets(spark, path) == 5
+    got = spark.read.parquet(path)
+    assert got.count() == 10 and got.filter(F.col("user_bucket") != sinks.bucket_of("user_id", 5)).count() == 0
+
+
 def test_a_killed_swap_is_made_good(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(f"{path}.replaced-abc")              # killed between the renames

@@ -64,8 +64,6 @@ DAY_BASE = "user_day_segments"
 USER_STATE = "user_state"
 #: How far the stored user state may lag before it is advanced.
 STATE_STRIDE = dt.timedelta(days=31)
-#: Buckets of a dimension that was stored before their number was (see ``dim_buckets``).
-DIM_BUCKETS = 64
 # Physical layout: (partition column, cluster columns) per table.
 LAYOUT = {
     "stg_events": ("event_date_utc", ("user_id", "event_type")),
@@ -167,51 +165,53 @@ def refresh_events(spark: SparkSession, raw: DataFrame, warehouse: str,
     return windows
 
 
-def dim_buckets(spark: SparkSession, warehouse: str) -> int:
-    """The number of buckets the stored dimension was built with."""
-    found = sinks.partition_values(spark, table_path(warehouse, "dim_users"), ".buckets")
-    return int(found[0]) if found else DIM_BUCKETS
-
-
 def refresh_dim(spark: SparkSession, stg: DataFrame, warehouse: str, params: RunParams) -> dt.datetime | None:
     """Build or maintain the user dimension; returns the lower bound of the
     events that were read.
 
     A full build stores ``params.dim_buckets`` buckets by the hash of the user
-    (the number is kept with the table). A merge reads the buckets of the users
-    it has events of, and rewrites those of them in which a row really changed:
-    users whose events were only delivered again cost no write."""
-    path, (part, clus) = table_path(warehouse, "dim_users"), LAYOUT["dim_users"]
-
-    def bucket(n: int):
-        return F.pmod(F.xxhash64("user_id"), F.lit(n)).cast("int").alias(part)
+    (their number is kept with the table). A merge reads the buckets of the users
+    it has events of, without an exchange of the stored rows, and rewrites those
+    buckets in which a row really changed: users whose events were only
+    delivered again cost no write."""
+    path, (part, _) = table_path(warehouse, "dim_users"), LAYOUT["dim_users"]
     if params.full_refresh or not sinks.exists(spark, path):
-        sinks.replace(dim_users(stg, params).select("*", bucket(params.dim_buckets)), path, part, clus)
-        sinks.make_folder(spark, join_path(path, f".buckets={params.dim_buckets}"))
+        sinks.replace_bucketed(dim_users(stg, params), path, part, "user_id", params.dim_buckets)
         return None
-    n = dim_buckets(spark, warehouse)
-    existing = spark.read.parquet(path)
-    wm = existing.agg(F.max("latest_event_time_utc")).first()[0]
-    after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
-    incoming = user_profile(
-        time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
-        .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", bucket(n))
-    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)   # used for the bucket list and the merge
-    try:
-        touched = [r[0] for r in incoming.select(part).distinct().collect()]  # <= n
-        if touched:
-            checkpoint_root(spark)
-            # the rewrite replaces the buckets the merge reads: cut lineage first
-            merged = merge_dim_rows(existing.filter(F.col(part).isin(touched)), incoming.drop(part), flag="row_changed") \
-                .select("*", bucket(n)).checkpoint(eager=True)
-            changed = [r[0] for r in merged.filter("row_changed").select(part).distinct().collect()]
-            if changed:
-                sinks.overwrite_partitions(merged.filter(F.col(part).isin(changed)).drop("row_changed"), path, part, cluster_by=clus)
-    finally:
-        incoming.unpersist()
+    n = sinks.stored_buckets(spark, path)
+    if n is None:   # an older layout: bring the stored rows into this one
+        n = params.dim_buckets
+        sinks.replace_bucketed(read_table(spark, warehouse, "dim_users").select(*DIM_COLUMNS), path, part, "user_id", n)
+    schema = spark.read.parquet(path).select(*DIM_COLUMNS, part).schema
+    with sinks.bucketed_table(spark, path, schema, part, "user_id", n) as name:
+        existing = spark.table(name)
+        wm = existing.agg(F.max("latest_event_time_utc")).first()[0]
+        after = None if wm is None else wm - dt.timedelta(days=params.late_arrival_lookback_days)
+        incoming = user_profile(
+            time_window(stg, "event_time_utc", after, params.cutoff_ts(), date_col="event_date_utc")
+            .select("user_id", "event_time_utc", "event_id", *USER_ATTRIBUTES)).select("*", sinks.bucket_of("user_id", n).alias(part))
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)   # used for the bucket list and the merge
+        try:
+            touched = [r[0] for r in incoming.select(part).distinct().collect()]  # <= n
+            if touched:
+                checkpoint_root(spark)
+                # the rewrite replaces the buckets the merge reads: cut lineage first
+                merged = merge_dim(existing, incoming, touched, n).checkpoint(eager=True)
+                changed = [r[0] for r in merged.filter("row_changed").select(part).distinct().collect()]
+                if changed:
+                    sinks.overwrite_buckets(merged.filter(F.col(part).isin(changed)).select(*DIM_COLUMNS, part), name)
+        finally:
+            incoming.unpersist()
     return after
 
 
+def merge_dim(existing: DataFrame, incoming: DataFrame, touched: list[int], buckets: int) -> DataFrame:
+    """The touched buckets of the stored dimension merged with incoming profiles, and whether each row changed."""
+    part = LAYOUT["dim_users"][0]
+    merged = merge_dim_rows(existing.filter(F.col(part).isin(touched)), incoming.drop(part), flag="row_changed")
+    return merged.select("*", sinks.bucket_of("user_id", buckets).alias(part))
+
+
 def refresh_day_base(spark: SparkSession, warehouse: str, after: dt.datetime | None) -> None:
     """Maintain ``user_day_segments`` from the stored fact.
 

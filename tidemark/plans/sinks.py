@@ -13,9 +13,11 @@ Watermarks are read from the partition listing first, so finding
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import checkpoint_root
 
@@ -120,6 +122,64 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: str,
      .partitionBy(partition_by).parquet(path))
 
 
+def bucket_of(key: str, buckets: int):
+    """The number of the bucket that Spark's bucketed tables put a key in."""
+    return F.pmod(F.hash(key), F.lit(buckets)).cast("int")
+
+
+@contextmanager
+def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: str, key: str, buckets: int):
+    """The name under which the folder at ``path`` is a bucketed table for now.
+
+    The folder has one partition for each bucket (``partition_by`` must be
+    ``bucket_of(key, buckets)``), written through such a table, so file names
+    carry the bucket. Spark then knows how the stored rows are distributed: a
+    join on the key needs no exchange on their side, and a dynamic overwrite
+    replaces single buckets. Only the catalog entry is temporary."""
+    name = f"bucketed_{uuid.uuid4().hex[:16]}"
+    make_folder(spark, path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{location}') "
+              f"PARTITIONED BY (`{partition_by}`) CLUSTERED BY (`{key}`) INTO {int(buckets)} BUCKETS")
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def replace_bucketed(df: DataFrame, path: str, partition_by: str, key: str, buckets: int) -> None:
+    """Full rewrite of a bucketed folder: written beside it and swapped in."""
+    spark = df.sparkSession
+    rows = df.select(*[c for c in df.columns if c != partition_by], bucket_of(key, buckets).alias(partition_by))
+    staging = f"{path.rstrip('/')}.loading-{uuid.uuid4().hex[:12]}"
+    try:
+        with bucketed_table(spark, staging, rows.schema, partition_by, key, buckets) as name:
+            rows.repartition(int(buckets), key).write.insertInto(name)
+        make_folder(spark, f"{staging}/.buckets={int(buckets)}")
+        swap_in(spark, staging, path)
+    finally:
+        drop_path(spark, staging)
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets of a folder that ``replace_bucketed`` wrote."""
+    found = partition_values(spark, path, ".buckets")
+    return int(found[0]) if found else None
+
+
+def overwrite_buckets(df: DataFrame, name: str) -> None:
+    """Replace the buckets present in ``df`` (columns in the table's order)."""
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")   # insertInto takes it from the session only
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
+
+
 class DuplicateKeyError(ValueError):
     pass
 
