@@ -14,8 +14,6 @@ from tidemark.operators.activity import ALL
 from tidemark.operators.distinct_state import day_sketches, distinct_users, sketch_error, with_all_segments
 from tidemark.operators.growth import GROWTH_COLUMNS
 from tidemark.plans.distinct import distinct_days
-from tidemark.plans.marts import Marts
-from tidemark.sources.adapters import RAW_ADAPTERS
 
 from .queries import _summary, marts, query
 
@@ -146,3 +144,10 @@ def dq_metric_anomalies(spark, sf_dir):
         checks += [dq.Check(f"{name}_{metric}_{kind}", found.filter((F.col("metric") == metric) & (F.col("kind") == kind)), severity="warn")
                    for metric, kind in (("active_users", "dip"), ("active_users", "spike"), ("retained_users", "spike"))]
     return _summary(checks)
+
+
+@query("event_mix")
+def event_mix(spark, sf_dir):
+    """Share of each event type in the events of every day, week and month."""
+    from tidemark.operators.engagement import event_mix as mix
+    return mix(marts(spark, sf_dir).fct_events)

@@ -179,3 +179,9 @@ ORACLE_SQL["dq_metric_anomalies"] = _with(
         (f"{name}_{m}_{k}", f"FROM {p}scores WHERE metric = '{m}' AND kind = '{k}'")
         for name, p in (("anomalies", "n_"), ("anomalies_seeded", "s_"))
         for m, k in (("active_users", "dip"), ("active_users", "spike"), ("retained_users", "spike"))]))
+
+ORACLE_SQL["event_mix"] = _with(chain()[:5], " UNION ALL ".join(
+    f"""
+  SELECT '{g}' AS period_grain, period_start, event_type, events, events / sum(events) OVER (PARTITION BY period_start) AS share
+  FROM (SELECT CAST(date_trunc('{unit}', event_time_utc) AS DATE) AS period_start, event_type, count(*) AS events FROM fct GROUP BY ALL)"""
+    for g, unit in (("daily", "day"), ("weekly", "week"), ("monthly", "month"))))

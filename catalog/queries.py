@@ -11,7 +11,9 @@ Groups:
                growth_dashboard
   quality      dq_* (one summary row per check; dq_seeded_faults injects faults)
   storage      csv_ingest, upsert_merge, partition_overwrite, *_incremental,
-               late_events_ignored, cutoff_bounded_run, streaming_ingest
+               growth_orders_since, late_events_ignored, cutoff_bounded_run, streaming_ingest
+Further ones are in ``checks`` (cross-grain, volume, anomalies, densified growth)
+and ``loading`` (exactly-once loads, freshness, checks of changed partitions).
 """
 from __future__ import annotations
 

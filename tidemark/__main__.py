@@ -35,6 +35,7 @@ def _args(argv):
     ap.add_argument("--pandas-na", action="store_true")
     ap.add_argument("--precheck-scope", choices=["all", "window"], default="all",
                     help="duplicate gate over the whole source or only the rows this run reads")
+    ap.add_argument("--reconcile", action="store_true", help="compare all grains with stored distinct-user bitmaps (step test)")
     ap.add_argument("--event-types", default=",".join(dq.REFERENCE_EVENT_TYPES))
     return ap.parse_args(argv)
 
@@ -73,7 +74,10 @@ def main(argv=None) -> int:
         w.update(refresh.refresh_periods(spark, a.warehouse, params, changed_since=w["fct_events"]))
         out["windows"] = {k: (str(v) if v is not None else None) for k, v in w.items()}
     if a.step in ("test", "all"):
-        out["checks"] = dq.run_checks(refresh.post_checks(spark, raw, a.warehouse, params, event_types))
+        checks = refresh.post_checks(spark, raw, a.warehouse, params, event_types)
+        if a.reconcile:
+            checks += refresh.cross_grain_checks(spark, a.warehouse)
+        out["checks"] = dq.run_checks(checks)
     print(json.dumps(out, default=str))
     return 0
 

@@ -5,6 +5,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import GRAINS
+from ..functions import sqlexpr as sx
 from .activity import SEGMENTS, period_window
 
 ENGAGEMENT_COLUMNS = ["period_grain", "period_start", *SEGMENTS, "total_events", "active_users",
@@ -40,3 +42,14 @@ def power_users(periods: DataFrame, power_user_min_events: int = 3) -> DataFrame
     return (periods.filter(F.col("event_count") >= power_user_min_events)
             .selectExpr("period_grain", "period_start", *SEGMENTS, "user_id",
                         "CAST(event_count AS BIGINT) AS event_count"))
+
+
+def event_mix(fct: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """(period_grain, period_start, event_type, events, share): how a period's
+    events divide into types (a missing type is one of its own). Events are
+    counted by day and type once; periods and shares are made from these counts."""
+    daily = fct.groupBy("event_date_utc", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    periods = ", ".join(f"named_struct('period_grain', '{g}', 'period_start', {sx.period_start_for(g, 'event_date_utc')})" for g in grains)
+    counts = (daily.selectExpr("event_type", "n", f"inline(array({periods}))")
+              .groupBy("period_grain", "period_start", "event_type").agg(F.sum("n").cast("long").alias("events")))
+    return counts.selectExpr("*", "events / CAST(sum(events) OVER (PARTITION BY period_grain, period_start) AS DOUBLE) AS share")
