@@ -255,6 +255,38 @@ def test_personal_data_many_spans(spark):
     assert [(s.kind, s.start, s.end) for s in row.pii if s.kind in pii.BASE] == plain.base_spans(text)
 
 
+def test_token_store_of_another_vocabulary(spark, edge_dir, tmp_path):
+    """A file that keeps case, or splits otherwise, isn't read piece by piece; its ids are the library's too."""
+    import json
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
+        known = f.read()
+    assert token_store.reads_words(known)
+    other = json.loads(known)
+    other["normalizer"] = {"type": "NFC"}
+    other["pre_tokenizer"]["pretokenizers"][0]["behavior"] = "Isolated"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(other))
+    assert not token_store.reads_words(path.read_bytes())
+    tokenizer = token_store.load_tokenizer(path.read_bytes())
+    docs = [d for d in table(spark, edge_dir, "documents") if len(d["text"] or "") < 10_000]
+    store = str(tmp_path / "store")
+    token_store.write(spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id long, text string"), store, str(path))
+    got = [(r.doc_id, bytes(r.ids)) for r in token_store.read(spark, store).collect()]
+    expected = [(d["doc_id"], np.array(tokenizer.encode(d["text"] or "", add_special_tokens=False).ids + [2], "<u4").tobytes()) for d in docs]
+    same_rows(got, expected)
+
+
+def test_two_stores_of_one_table_share_their_dictionary(spark, tmp_path):
+    """Rows in another order and a doc_id with many texts: the sample is the same, and reaches into long documents."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.selectExpr("CAST(7 AS BIGINT) AS doc_id", "text"))
+    hashes = set()
+    for i, df in enumerate((docs, docs.orderBy(F.desc("text")).repartition(7))):
+        token_store.write(df, str(tmp_path / str(i)))
+        hashes |= {r.hash for r in spark.read.parquet(str(tmp_path / str(i) / "dictionary")).collect()}
+    assert len(hashes) == 1
+
+
 def test_personal_data_in_a_list_of_addresses(spark):
     """20,000 addresses (and as many numbers) in one text, in seconds; overlapping spans and texts of several blocks redacted."""
     import time

@@ -15,8 +15,9 @@ can write holds it and a lost executor costs no more than its tasks:
 
 A document is read by its shard's index: one frame is decompressed, not the
 shard. The dictionary is trained on the serialized id arrays of a bounded
-sample (``SAMPLE_DOCS`` documents by smallest hash, cut into pieces of
-``SAMPLE_PIECE`` bytes, ``SAMPLE_BYTES`` at most); it only affects size.
+sample (``SAMPLE_DOCS`` texts by smallest hash, their whole arrays cut into pieces of
+``SAMPLE_PIECE`` bytes, of these the ``SAMPLE_PIECES`` with the smallest hashes,
+``SAMPLE_BYTES`` at most), so two runs train the same one; it only affects size.
 
 Defined results: a null text is empty and has the end id only; a null doc_id
 comes first; rows with equal doc_id stand side by side in an order that depends
@@ -26,6 +27,7 @@ gives an empty store. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -46,6 +48,7 @@ SHARD_BYTES = 1 << 20
 SHARD_DOCS = 4096
 SAMPLE_DOCS = 1000
 SAMPLE_PIECE = 8 << 10
+SAMPLE_PIECES = 2048
 SAMPLE_BYTES = 4 << 20
 DICTIONARY_BYTES = 64 << 10
 #: Pieces that a worker's encoder holds (some 180 MB) and bytes of text in one step.
@@ -68,13 +71,41 @@ def load_tokenizer(content: bytes):
     return tokenizer
 
 
-def _encoder(key: str, content: bytes, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
+#: How a vocabulary of lower-cased words reads text. Runs of white
+#: space part words and have no ids, so text may be encoded piece by piece.
+WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+class TextEncoder:
+    """ids of whole texts, for vocabularies that read text in any other way."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data = raw.tobytes()
+        found = [self.tokenizer.encode(data[a:b].decode("utf-8", "replace"), add_special_tokens=False).ids
+                 for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+        counts = np.array([len(f) for f in found], np.int64)
+        return (np.concatenate([np.asarray(f, np.int32) for f in found]) if len(found) else np.zeros(0, np.int32)), counts
+
+
+def reads_words(content: bytes) -> bool:
+    """Whether a tokenizer file reads text as the pieces need it, by its own settings."""
+    settings = json.loads(content)
+    return (settings.get("normalizer"), settings.get("pre_tokenizer")) == (WORD_NORMALIZER, WORD_PRE_TOKENIZER)
+
+
+def _encoder(key: str, content: bytes, cache_pieces: int = CACHE_PIECES) -> PieceEncoder | TextEncoder:
     if key not in _READY:
         tokenizer = load_tokenizer(content)
-        # What the encoder may rely on is asked of the tokenizer itself.
-        ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("Ab cD. E", "ab\n cd.\n\n\te ")]
-        _READY[key] = PieceEncoder(tokenizer, blank_free=ids[0] == ids[1], folds_case=ids[0] == ids[1],
-                                   cache_pieces=cache_pieces)
+        _READY[key] = (PieceEncoder(tokenizer, blank_free=True, folds_case=True, cache_pieces=cache_pieces)
+                       if reads_words(content) else TextEncoder(tokenizer))
     return _READY[key]
 
 
@@ -101,11 +132,12 @@ def _hash(content: bytes) -> str:
 
 
 def _sample(docs: DataFrame, key: str, vocabulary, dtype: str) -> list[bytes]:
-    """Serialized ids of the sample, from the driver's view: at most
-    SAMPLE_BYTES, in SAMPLE_PIECE pieces."""
-    chosen = (docs.select("doc_id").where("doc_id is not null").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
-    texts = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("text").limit(SAMPLE_DOCS)
+    """Serialized ids of the sample: whole id arrays cut into pieces, of which those
+    with the smallest hashes come to the driver, SAMPLE_BYTES at most."""
+    keys = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_key"))
+    chosen = keys.distinct().orderBy(F.xxhash64("doc_id", "text_key"), "doc_id", "text_key").limit(SAMPLE_DOCS)
+    texts = (docs.withColumn("text_key", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "text_key"])
+             .dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, vocabulary.value)
@@ -113,12 +145,23 @@ def _sample(docs: DataFrame, key: str, vocabulary, dtype: str) -> list[bytes]:
             for part in slices(batch, "text"):
                 ids, counts = encoder.encode(*flat(part.column("text")))
                 ends = np.cumsum(counts)
-                found = [ids[e - c:e].astype(dtype).tobytes()[:SAMPLE_BYTES // SAMPLE_DOCS]
-                         for c, e in zip(counts, ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["ids"])
-
-    rows = texts.mapInArrow(run, "ids binary").collect()
-    return sorted(p for r in rows for i in range(0, len(r.ids), SAMPLE_PIECE) if (p := bytes(r.ids[i:i + SAMPLE_PIECE])))
+                rows = []
+                for doc, text, n, end in zip(part.column("doc_id").to_pylist(), part.column("text_key").to_pylist(), counts, ends):
+                    data = ids[end - n:end].astype(dtype).tobytes()
+                    rows += [(doc, text, i, data[i:i + SAMPLE_PIECE]) for i in range(0, len(data), SAMPLE_PIECE)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                        pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "text_key", "place", "ids"])
+
+    pieces = texts.mapInArrow(run, "doc_id long, text_key long, place long, ids binary")
+    order = [F.xxhash64("doc_id", "text_key", "place"), "doc_id", "text_key", "place"]
+    found, size = [], 0
+    for r in pieces.orderBy(*order).limit(SAMPLE_PIECES).collect():
+        size += len(r.ids)
+        if size > SAMPLE_BYTES:
+            break
+        found.append(bytes(r.ids))
+    return found
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID,
