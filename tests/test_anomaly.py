@@ -123,6 +123,9 @@ def test_empty_periods_get_rows_and_their_churn(spark, raw):
     assert ("monthly", "2024-02-01", "SG") not in got
     assert dq.growth_prior_identity(m.growth_dense).count() == 0
     assert dq.rate_bounds(m.growth_dense).count() == 0
+    from tidemark.operators.growth import growth_dense
+    known = growth_dense(m.activity, newest=D(2024, 1, 8))
+    assert known.exceptAll(m.growth_dense).count() == m.growth_dense.exceptAll(known).count() == 0
     # where the sparse mart has a row, both agree
     sparse = m.growth_accounting
     assert sparse.select(*GROWTH_COLUMNS).exceptAll(m.growth_dense.select(*GROWTH_COLUMNS)).count() == 0

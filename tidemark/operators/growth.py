@@ -59,7 +59,8 @@ def _contributions(activity: DataFrame, upto: dt.date | None) -> DataFrame:
             .withColumnRenamed("p", "period_start"))
 
 
-def growth_dense(activity: DataFrame, after: dt.date | None = None, upto: dt.date | None = None) -> DataFrame:
+def growth_dense(activity: DataFrame, after: dt.date | None = None, upto: dt.date | None = None,
+                 newest: dt.date | None = None) -> DataFrame:
     """Growth accounting without gaps: every segment has a row for each period
     from its first active one to its last, and one more where its last users
     churn, if that period isn't after the newest of the grain.
@@ -68,9 +69,11 @@ def growth_dense(activity: DataFrame, after: dt.date | None = None, upto: dt.dat
     so in every row but a segment's first the users of the period before are
     those retained and those churned. There are at most as many rows as segments
     times periods between the first and the newest. Gaps are filled from one row
-    to the next by a window over a segment's own (few) rows; no join.
+    to the next by a window over a segment's own (few) rows; no join. ``newest``
+    is the newest day of the activity; a caller that knows it (from a partition
+    listing) saves the pass that finds it.
     """
-    newest = activity.agg(F.max("period_start")).scalar()
+    newest = activity.agg(F.max("period_start")).scalar() if newest is None else F.lit(newest)
     if upto is not None:
         newest = F.least(newest, F.lit(upto))
     rows = _contributions(activity, upto)

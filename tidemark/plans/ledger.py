@@ -21,8 +21,8 @@ import datetime as dt
 import json
 from dataclasses import dataclass, field
 
-from pyspark.errors.exceptions.base import PySparkException
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from ..session import join_path
