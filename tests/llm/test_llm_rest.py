@@ -128,6 +128,7 @@ def test_gumbel_top_k(spark, edge_dir):
     docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
     model = importance.fit(docs, spark.read.parquet(f"{edge_dir}/labels.parquet"))
     keys = sorted((r.key for r in importance.score(docs, model).collect()), reverse=True)
+    assert importance.resample(docs, model, 0).where("kept").count() == 0
     for k in (1, 3, 10, len(keys)):
         kept = [r.key for r in importance.resample(docs, model, k).where("kept").collect()]
         assert sorted(kept, reverse=True) == [x for x in keys if x >= keys[k - 1]]
@@ -136,6 +137,69 @@ def test_gumbel_top_k(spark, edge_dir):
     assert abs(noise.mean() - 0.5772) < 0.02 and abs(noise.var() - np.pi**2 / 6) < 0.03
 
 
+def plain_importance(rows, labels):
+    """(log weights, k) by counting: n-grams of each text, both models, their log ratio."""
+    import pyarrow as pa
+    from tidemark.llm.textcols import flat
+    quality, toxic = {}, collections.Counter()
+    for r in labels:
+        if r["doc_id"] is not None and r["quality"] is not None:
+            quality[r["doc_id"]] = min(quality.get(r["doc_id"], 9), r["quality"])
+            toxic[r["doc_id"]] = max(toxic[r["doc_id"]], r["toxic"] or 0)
+    assert len(quality) <= importance.FIT_ROWS
+    grams = [importance.buckets(*flat(pa.array([r["text"]], pa.string())))[0].tolist() for r in rows]
+    raw, target = collections.Counter(), collections.Counter()
+    for r, g in zip(rows, grams):
+        raw.update(g)
+        if quality.get(r["doc_id"], 0) > 0 and not toxic[r["doc_id"]]:
+            target.update(g)
+    n = importance.BUCKETS
+    a, b = sum(target.values()) + n, sum(raw.values()) + n
+    weight = [sum(np.log((target[x] + 1) / a) - np.log((raw[x] + 1) / b) for x in g) for g in grams]
+    p = sum(q <= 0 for q in quality.values()) / len(quality)
+    share = 1 - max(0, p - 2 * (p * (1 - p) / len(quality)) ** 0.5)
+    return weight, int(np.ceil(share * len(rows)))
+
+
+@pytest.mark.parametrize("root", ["edge", "/root/testdata/sf0.01"])
+def test_importance_equals_plain_python(spark, edge_dir, root):
+    """Weights, keys, k and who is kept, all computed again."""
+    root = edge_dir if root == "edge" else root
+    rows = table(spark, root, "documents")
+    weight, k = plain_importance(rows, table(spark, root, "labels"))
+    got = sorted(Q["op6_importance"](spark, root).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.log_weight))
+    order = sorted(range(len(rows)), key=lambda i: (rows[i]["doc_id"] is None, rows[i]["doc_id"] or 0, weight[i]))
+    assert [r.doc_id for r in got] == [rows[i]["doc_id"] for i in order]
+    assert np.allclose([r.log_weight for r in got], [weight[i] for i in order], atol=1e-6)
+    for r in got:
+        if r.doc_id is not None:
+            noise = importance.gumbel(np.array([r.doc_id], np.int64).astype(np.uint64))[0]
+            assert abs(r.key - (r.log_weight + noise)) <= 2 * importance.KEY_STEP
+    cut = sorted((r.key for r in got), reverse=True)[k - 1]
+    assert [r.kept for r in got] == [r.key >= cut for r in got]
+    assert k == len(rows) if root == edge_dir else k < len(rows)
+
+
+def test_pipeline_quality_keeps_what_the_operator_keeps(spark):
+    root = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    stayed = sorted(r.doc_id for r in corpus_pipeline.quality(spark, docs, root).select("doc_id").collect())
+    kept = sorted(r.doc_id for r in Q["op6_importance"](spark, root).where("kept").select("doc_id").collect())
+    assert stayed == kept and len(kept) < docs.count()
+    labels = table(spark, root, "labels")
+    bad = {r["doc_id"] for r in labels if r["quality"] == 0}
+    good = {r["doc_id"] for r in labels if r["quality"] == 1 and not r["toxic"]}
+    assert len(bad & set(kept)) <= 0.15 * len(bad) and len(good & set(kept)) >= 0.998 * len(good)
+    print("kept", {(q, t): (len(ids & set(kept)), len(ids)) for q in (0, 1) for t in (0, 1)
+                   if (ids := {r["doc_id"] for r in labels if (r["quality"], int(bool(r["toxic"]))) == (q, t)})})
+
+
+def test_share_kept():
+    assert importance.share_kept(0, 0) == 1 and importance.share_kept(100, 0) == 1
+    assert importance.share_kept(10, 2) == 1  # too few labels to leave anything out
+    assert abs(importance.share_kept(10_000, 1_000) - (0.9 + 2 * 0.003)) < 1e-9
+
+
 def test_importance_without_labels(spark, edge_dir, empty_dir):
     docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
     model = importance.fit(docs, spark.read.parquet(f"{empty_dir}/labels.parquet"))

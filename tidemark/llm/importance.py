@@ -9,34 +9,38 @@ documents without replacement in proportion to their weights.
 
 The raw model counts every document in one pass; each task sends one partial
 table, so what moves is bounded by tasks times buckets. The target model counts
-the labelled good documents (quality 1, not toxic) of a bounded sample of
-``FIT_ROWS`` labels; one in ``HELD_OUT`` of them is left out, and the smallest key
-that keeps ``KEEP_TARGET`` of those left out fixes k: the sample is all documents
-with at least that key. A given k is found exactly from histograms of the keys,
-level by level, without sorting documents.
+the documents labelled good (quality 1, not toxic) of a bounded sample of
+``FIT_ROWS`` labels by smallest hash.
+
+How many documents stay follows from the labels: the share of labels of quality 0,
+less ``MARGIN`` standard errors of that share, is what the sample may leave out; k
+is the rest of the corpus, rounded up. Another k can be given. The k-th largest key
+is found exactly from histograms of the stored keys, level by level, without
+sorting documents.
 
 Defined results: a null or empty text has log weight 0 and only its noise; a
 null doc_id takes its noise from the text's hash; rows with equal doc_id and text
-share their key, and all documents with the k-th key are taken. Without target
-documents every weight is 0 and every document stays. Input columns named like
+share their key, and all documents with the k-th key are taken; a k of 0 takes
+none. Without target documents every weight is 0 and every document stays. Input columns named like
 an output are replaced.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ..session import scratch_path
 from .textcols import U64, flat, limit_batches, lower_ascii, mix, slices, span_hashes, words
 
 BUCKETS = 1 << 14
 FIT_ROWS = 20_000
-HELD_OUT = 4
-EVIDENCE = 256
-KEEP_TARGET = 0.998
+#: Standard errors of the share of bad labels that k leaves on the safe side.
+MARGIN = 2.0
 #: Keys are compared as whole multiples of this.
 KEY_STEP = 2.0**-20
 _KEY_BITS = 48
@@ -47,8 +51,8 @@ OUTPUTS = ("log_weight", "key", "kept")
 class Model:
     #: log p_target - log p_raw of each bucket
     ratio: np.ndarray
-    #: Smallest key that stays.
-    cut: float = -np.inf
+    #: Share of the documents that the sample takes.
+    share: float = 1.0
 
 
 def buckets(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,34 +91,40 @@ def _partial_counts(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "bucket long, raw long, target long")
 
 
-def good_labels(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """(doc_id, held) of the good documents among at most ``rows`` labels by
-    smallest hash; one bad or toxic label of a document outweighs good ones."""
-    chosen = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
+def sampled_labels(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """(target_id, good, bad) of at most ``rows`` labelled documents by smallest
+    hash; one bad or toxic label of a document outweighs good ones."""
+    chosen = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("target_id"))
               .agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0
-    return chosen.where("quality > 0 and toxic <= 0").select(F.col("doc_id").alias("target_id"), held.alias("held"))
+              .orderBy(F.xxhash64("target_id"), "target_id").limit(rows))
+    return chosen.select("target_id", F.expr("quality > 0 and toxic <= 0").alias("good"), F.expr("quality <= 0").alias("bad"))
+
+
+def share_kept(labelled: int, bad: int) -> float:
+    """The share of all documents that stays, by the labels."""
+    if not labelled:
+        return 1.0
+    p = bad / labelled
+    return 1 - max(0.0, p - MARGIN * math.sqrt(p * (1 - p) / labelled))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """Both models, and the cut that keeps the held-out target documents."""
+    """Both models, and the share of documents that stays."""
     limit_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    good = F.broadcast(good_labels(labels, rows))
-    flagged = docs.join(good, F.col("doc_id") == F.col("target_id"), "left")
-    counted = _partial_counts(flagged.select("text", (F.col("target_id").isNotNull() & ~F.col("held")).alias("is_target")))
+    path = scratch_path(docs.sparkSession, "label-sample")
+    sampled_labels(labels, rows).write.parquet(path)
+    chosen = docs.sparkSession.read.parquet(path)
+    good = F.broadcast(chosen.where("good").select("target_id"))  # ``rows`` ids at most
+    flagged = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("target_id"), "left")
+    counted = _partial_counts(flagged.select("text", F.col("target_id").isNotNull().alias("is_target")))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
         raw[r.bucket], target[r.bucket] = r.raw, r.target
     if not target.sum():
         return Model(np.zeros(BUCKETS))
-    model = Model(np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS)))
-    held = docs.join(good, F.col("doc_id") == F.col("target_id")).where("held").limit(2 * rows)
-    keys = [r.key for r in score(held.select("doc_id", "text"), model).select("key").collect()]
-    if keys:
-        model.cut = float(np.floor(np.quantile(keys, 1 - KEEP_TARGET) / KEY_STEP) * KEY_STEP)
-    return model
+    n = chosen.agg(F.count("*").alias("all"), F.count_if("bad").alias("bad")).first()
+    ratio = np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    return Model(ratio, share_kept(n["all"], n.bad))
 
 
 def score(df: DataFrame, model: Model) -> DataFrame:
@@ -131,7 +141,6 @@ def score(df: DataFrame, model: Model) -> DataFrame:
                 raw, off = flat(part.column("text"))
                 found, doc = buckets(raw, off)
                 weight = np.bincount(doc, weights=ratio[found], minlength=part.num_rows)
-                weight /= np.maximum(np.bincount(doc, minlength=part.num_rows) / EVIDENCE, 1)
                 ids = part.column("doc_id")
                 noise = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).astype(U64)
                 if ids.null_count:
@@ -150,7 +159,8 @@ def kth_largest(keys: DataFrame, k: int, column: str = "key") -> float:
     top = (1 << (_KEY_BITS - 1)) - 1
     steps = F.greatest(F.least(F.col(column) / F.lit(KEY_STEP), F.lit(float(top))), F.lit(float(-top)))
     fixed = keys.where(F.col(column).isNotNull()).select((steps.cast("long") + F.lit(top + 1)).alias("v"))
-    from pyspark.sql import Window
+    if k < 1:
+        return np.inf
     prefix, rest, left = 0, k, _KEY_BITS
     for _ in range(_KEY_BITS // 12):
         above, left = left, left - 12
@@ -164,9 +174,23 @@ def kth_largest(keys: DataFrame, k: int, column: str = "key") -> float:
     return (prefix - top - 1) * KEY_STEP
 
 
-def resample(docs: DataFrame, model: Model, k: int | None = None) -> DataFrame:
-    """``docs`` scored, with kept: the Gumbel top-k, for a given k or by the model's cut."""
-    scored = score(docs, model)
-    cut = model.cut if k is None else kth_largest(scored.select("key"), k)
+def top_k(scored: DataFrame, model: Model, k: int | None = None) -> DataFrame:
+    """``scored`` rows (a stored table with key) with kept: whether the key is one
+    of the k largest, by default the model's share of all rows."""
+    keys = scored.select("key")
+    cut = kth_largest(keys, math.ceil(model.share * keys.count()) if k is None else k)
     scored = scored.select(*[c for c in scored.columns if c.lower() != "kept"])
     return scored.withColumn("kept", F.col("key") >= F.lit(float(cut)))
+
+
+def resample(docs: DataFrame, model: Model, k: int | None = None) -> DataFrame:
+    """``docs`` scored, with kept: the Gumbel top-k. Scores are written once, so
+    that the cut and the result read the same keys."""
+    path = scratch_path(docs.sparkSession, "importance")
+    score(docs, model).write.parquet(path)
+    return top_k(docs.sparkSession.read.parquet(path), model, k)
+
+
+def weigh(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, log_weight, key) of each row of ``docs``, without the texts."""
+    return score(docs.select("doc_id", "text"), model).select("doc_id", "log_weight", "key")

@@ -66,7 +66,9 @@ def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's importance weight, Gumbel key and whether the sample has it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = importance.fit(docs, table(spark, sf_dir, "labels"))
-    return importance.resample(docs, model).select("doc_id", "log_weight", "key", "kept")
+    path = scratch_path(spark, "importance")
+    importance.weigh(docs, model).write.parquet(path)
+    return importance.top_k(spark.read.parquet(path), model).select("doc_id", "log_weight", "key", "kept")
 
 
 @query
