@@ -190,6 +190,46 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert got == plain.components({i: plain.shingles(t, 3) for i, t in rows}, 85)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_apart_from_the_largest_part(spark, monkeypatch, seed):
+    """Groups whose documents are linked only through others, in other blocks: no connection is lost."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", 4)
+    monkeypatch.setattr(hyperminhash, "PIVOTS", 1)
+    rng = random.Random(seed)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+    rows, words = [], list(base)
+    for i in range(80):  # each a step from an earlier one, so that similarities straddle the threshold
+        if i % 10 == 0:
+            words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(150)] = f"v{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    expected = plain.components({i: plain.shingles(t, 3) for i, t in rows}, 85)
+    across = []
+    inner = hyperminhash._across_blocks
+    monkeypatch.setattr(hyperminhash, "_across_blocks", lambda *a: across.append(1) or inner(*a))
+    got = {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == expected and across and len(set(expected.values())) > 1
+
+
+def test_near_duplicates_of_a_template(spark, monkeypatch):
+    """20,000 near copies are one group of many blocks, whose rows grow with the group; none is left apart."""
+    n = 20_000
+    rng = random.Random(6)
+    base = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(80))
+    counted = []
+    within, apart = hyperminhash._within_blocks, hyperminhash._apart
+    monkeypatch.setattr(hyperminhash, "_within_blocks", lambda *a: counted.append(within(*a)) or counted[-1])
+    monkeypatch.setattr(hyperminhash, "_apart", lambda *a: counted.append(apart(*a)) or counted[-1])
+    df = spark.range(n, numPartitions=4).selectExpr("id as doc_id", f"concat('{base} v', id) as text")
+    got = hyperminhash.near_duplicates(df, 3, 85)
+    assert [tuple(r) for r in got.groupBy("component_id").count().collect()] == [(0, n)]
+    # Bands may gather a document around several hubs; all pairs of 79 blocks would be 79 rows for each.
+    assert n <= counted[0].count() <= 2 * n
+    assert counted[1].count() == 0
+
+
 def test_near_duplicates_of_repeated_rows(spark):
     """One row some thousand times is one document of its block; texts that share a doc_id aren't linked by it."""
     rng = random.Random(12)
@@ -386,6 +426,16 @@ def test_suffix_dedup_groups_too_large_for_a_task(spark, monkeypatch):
     same_rows([tuple(r) for r in got], [(i, *x) for (i, _), x in zip(rows, plain.without_repeats([t for _, t in rows]))])
 
 
+def test_suffix_dedup_of_a_row_repeated_many_times(spark):
+    """A row 3,000 times, of which others hold parts: each repeat loses all, and no join meets repeats with repeats."""
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    rows = [(1, text)] * 3000 + [(2, "x" * 50 + text[100:700] + "y" * 50), (3, text[600:1100] + "z" * 10), (4, text[:399])]
+    got = suffix_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), with_text=False).collect()
+    found = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in got)
+    assert found == {(1, 1500, 1500, 1): 3000, (2, 700, 600, 1): 1, (3, 510, 500, 1): 1, (4, 399, 0, 0): 1}
+
+
 def test_common_prefixes_equal_direct_ones():
     rng = np.random.default_rng(8)
     for alphabet in (2, 3, 30):

@@ -16,8 +16,12 @@ both of two similar documents choose alike.
    documents are compared in blocks: first by the Jaccard index estimated from
    the registers, corrected for registers that collide by chance, then, if the
    estimate is not clearly below the threshold, on the full sets. A block
-   returns links that connect its documents, not all pairs; a large group is
-   many blocks, in as many tasks.
+   returns links that connect its documents, not all pairs. A large group is
+   many blocks, in as many tasks, and each block also holds the same ``PIVOTS``
+   documents of the group: near copies of one template are connected through
+   these. Only documents that are then still apart from the group's largest part
+   meet the other blocks, so the work grows with the group, not with its square,
+   unless a group's documents share a band without being near copies.
 4. Connected components of the links; one document of each stays.
 
 Shingles are compared by their 64-bit hashes; two different ones among n have
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import scratch_path
 from .components import connected_components
@@ -50,6 +54,8 @@ MISS = 1e-7
 MARGIN = 0.2
 #: Documents in one block of a group.
 BLOCK = 256
+#: Documents of a large group that each of its blocks holds.
+PIVOTS = 16
 #: Expected share of registers that collide by chance is this times 2**-MANTISSA
 #: times 4 s / (1 + s)**2 for sets whose sizes have the ratio s (Yu and Weber, HyperMinHash).
 COLLISION = 0.169919487159739
@@ -195,9 +201,8 @@ def _links_of(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tup
     return [(int(ids[some[i]]), int(ids[some[label[i]]])) for i in range(len(some)) if label[i] != i]
 
 
-def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b): confirmed links between nodes of classes, enough to connect all
-    that are connected."""
+def linked(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, component) of the nodes of classes that confirmed links connect."""
     spark = docs.sparkSession
     count, rows = bands_for(percent / 100)
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 1 + 2 * rows * i, 2 * rows)) for i in range(count)])
@@ -214,13 +219,9 @@ def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int
     path = scratch_path(spark, "members")
     bands.join(shared, "key").select("hub", "node").distinct().write.parquet(path)
     members = spark.read.parquet(path)
-    # A group of n documents is ceil(n / BLOCK) blocks; each pair of blocks is compared in one place.
     path = scratch_path(spark, "blocks")
     members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")).write.parquet(path)
     blocks = spark.read.parquet(path)
-    dealt = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("node", "hub"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("hub", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("hub", "node", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
     path = scratch_path(spark, "wanted")
     classes.join(members.select("node").distinct(), "node", "left_semi").write.parquet(path)
     wanted = spark.read.parquet(path)
@@ -246,9 +247,63 @@ def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int
                          pa.array([found[i].astype("<u8").tobytes() for i in right], pa.binary())], ["node", "shingles"])
 
     full = texts.mapInArrow(sets, "node long, shingles binary")
-    work = dealt.join(full, "node").select("hub", "p", "q", "node", "shingles")
-    work = work.repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
 
+    def compared(dealt: DataFrame, name: str) -> DataFrame:
+        work = dealt.join(full, "node").select("hub", "p", "q", "node", "shingles")
+        work = work.repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q", "node")
+        path = scratch_path(spark, name)
+        work.mapInArrow(_compare(percent), "a long, b long").write.parquet(path)
+        return spark.read.parquet(path)
+
+    placed = members.join(blocks, "hub").withColumn("p", F.pmod(F.xxhash64("node", "hub"), F.col("blocks")).cast("int"))
+    first = _within_blocks(placed)
+    found = connected_components(compared(first, "links-in-blocks"))
+    if not blocks.where("blocks > 1").limit(1).count():
+        return found
+    path = scratch_path(spark, "apart")
+    _apart(placed, found).write.parquet(path)
+    apart = spark.read.parquet(path)
+    if not apart.limit(1).count():
+        return found
+    more = compared(_across_blocks(placed, apart), "links-across-blocks")
+    return connected_components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
+
+
+def _within_blocks(placed: DataFrame) -> DataFrame:
+    """(hub, node, p, q) of each block of a group, with the group's pivots in every block;
+    ``placed`` has hub, node, p (the node's block) and blocks (of its group)."""
+    large = placed.where("blocks > 1")
+    order = Window.partitionBy("hub").orderBy(F.xxhash64("node"), "node")
+    pivots = large.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PIVOTS)
+    pivots = pivots.select("hub", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"), F.col("p").alias("own")) \
+        .where("q <> own").select("hub", "node", F.col("q").alias("p"), "q")
+    return placed.select("hub", "node", "p", F.col("p").alias("q")).unionByName(pivots)
+
+
+def _apart(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """(hub, node, p, blocks) of large groups' nodes outside the largest part of their group."""
+    part = F.coalesce("component", F.col("placed.node"))
+    named = placed.where("blocks > 1").alias("placed").join(found.alias("found"), F.col("placed.node") == F.col("found.node"), "left") \
+        .select("hub", "placed.node", "p", "blocks", part.alias("part"))
+    largest = named.groupBy("hub", "part").agg(F.count("*").alias("n")) \
+        .groupBy("hub").agg(F.max(F.struct("n", "part")).alias("most")).select("hub", F.col("most.part").alias("main"))
+    return named.join(largest, "hub").where("part <> main").select("hub", "node", "p", "blocks")
+
+
+def _across_blocks(placed: DataFrame, apart: DataFrame) -> DataFrame:
+    """(hub, node, p, q): blocks p of the nodes that are apart, each with every
+    block q of all the group's nodes."""
+    count = apart.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("apart_blocks"))
+    left = apart.join(count, "hub").select(
+        "hub", "node", F.pmod(F.xxhash64("hub", "node"), F.col("apart_blocks")).cast("int").alias("p"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"))
+    right = placed.join(count, "hub").select(
+        "hub", "node", F.explode(F.sequence(F.lit(0), F.col("apart_blocks") - 1)).alias("p"), F.col("p").alias("q"))
+    return left.unionByName(right).distinct()
+
+
+def _compare(percent: int):
+    """The work of a task: links of each block (hub, p, q) of a sorted partition."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for group in groups(batches, ["hub", "p", "q"]):
@@ -262,7 +317,7 @@ def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: int
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
-    return work.mapInArrow(compare, "a long, b long")
+    return compare
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -287,7 +342,7 @@ def judge(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key", "node", "rows")).alias("c")) \
         .select("h1", "h2", F.col("c.doc_id").alias("rep"), "c.text_key", "c.node", "c.rows").write.parquet(path)
     classes = spark.read.parquet(path)
-    found = connected_components(links(docs, classes, some, shingle, percent))
+    found = linked(docs, classes, some, shingle, percent)
     path = scratch_path(spark, "components")
     classes.join(found, "node").groupBy("component").agg(F.min(F.struct("rep", "text_key")).alias("c")) \
         .select("component", F.col("c.rep").alias("component_id"), F.col("c.text_key").alias("first_key")).write.parquet(path)

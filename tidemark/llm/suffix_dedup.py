@@ -465,8 +465,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     small = merged.join(left.where(f"kinds <= {GROUP}"), "gram", "left_semi")
     large = merged.join(left.where(f"kinds > {GROUP}"), "gram", "left_semi")
     covers = twice.unionByName(_covers(small)).unionByName(_covers_of_large(large))
-    covers = trimmed.select("gram", "segment", "trimmed").join(covers, ["gram", "trimmed"]) \
-        .select("gram", "segment", "first", "beyond")
+    # A row that repeats m times gives each of its segments m times: once is enough here.
+    covers = trimmed.select("gram", "segment", "trimmed").distinct().join(covers, ["gram", "trimmed"]) \
+        .select("gram", "segment", "first", "beyond").distinct()
     covers = _stored(whole.unionByName(covers), "covers")
     placed = some.join(covers, ["gram", "segment"]).select(
         "doc_id", "text_key", F.struct((F.col("at") + F.col("first")).alias("first"),
