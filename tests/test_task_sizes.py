@@ -43,3 +43,11 @@ def test_period_tasks_follow_the_input(spark, day_base, monkeypatch):
     assert tasks_of(act.user_period_segments(day_base)) >= 40
     assert rows_of(act.user_period_segments(day_base)) == want
 
+
+def test_windowed_period_tasks_follow_the_input(spark, day_base, monkeypatch):
+    after, as_of = DAYS[-10], DAYS[5]
+    state = act.user_state(day_base, as_of)
+    want = rows_of(act.classify_since(day_base, after, state=state, as_of=as_of))
+    monkeypatch.setattr(act, "INPUT_PER_TASK", input_bytes(day_base) // 40, raising=False)
+    assert tasks_of(act.classify_since(day_base, after, state=state, as_of=as_of)) >= 40
+    assert rows_of(act.classify_since(day_base, after, state=state, as_of=as_of)) == want

@@ -195,7 +195,7 @@ def classify_since(day_base: DataFrame, after: dt.date, grains: tuple[str, ...]
               .selectExpr(*STATE_KEYS, "activity_date", "event_count", "miles_sum", "CAST(NULL AS DATE) AS first_day"))
     past = state.selectExpr(*STATE_KEYS, "last_day AS activity_date", "CAST(NULL AS BIGINT) AS event_count",
                             "CAST(NULL AS DECIMAL(38,9)) AS miles_sum", "first_day")
-    rows = (recent.unionByName(past).repartition("user_id")
+    rows = (by_user(recent.unionByName(past))
             .selectExpr("user_id", "event_count", "miles_sum", "first_day", variants))
     periods = rows.groupBy(*PERIOD_KEYS).agg(F.expr("sum(event_count) AS event_count"), F.expr("sum(miles_sum) AS miles_sum"),
                                              F.expr("min(first_day) AS first_day"))
