@@ -64,8 +64,9 @@ def _write(rows: DataFrame, table: str, run: Run, ledger: RunLedger, also: tuple
     on the way. Returns all that was observed."""
     obs = Observation("load")
     bounds = [F.max(c).alias(f"max_{c}") for c in ("event_time", "loaded_at")] + [F.min("event_time").alias("min_event_time")]
-    (rows.observe(obs, F.count(F.lit(1)).alias("rows"), *bounds, *also).drop(CORRUPT)
-     .withColumn(RAW_DAY_COLUMN, F.to_date("event_time")).hint("rebalance", RAW_DAY_COLUMN)
+    # Observed after the exchange: without rows Spark leaves out what lies before it.
+    (rows.withColumn(RAW_DAY_COLUMN, F.to_date("event_time")).hint("rebalance", RAW_DAY_COLUMN)
+     .observe(obs, F.count(F.lit(1)).alias("rows"), *bounds, *also).drop(CORRUPT)
      .write.partitionBy(RAW_DAY_COLUMN).parquet(run_folder(table, run)))
     found = obs.get
     ledger.note(run, {"rows": found["rows"]} | {k: None if found[k] is None else found[k].isoformat()
