@@ -199,7 +199,7 @@ def refresh_dim(spark: SparkSession, stg: DataFrame, warehouse: str, params: Run
                 merged = merge_dim(existing, incoming, touched, n).checkpoint(eager=True)
                 changed = [r[0] for r in merged.filter("row_changed").select(part).distinct().collect()]
                 if changed:
-                    sinks.overwrite_buckets(merged.filter(F.col(part).isin(changed)).select(*DIM_COLUMNS, part), name)
+                    sinks.overwrite_buckets(merged.filter(F.col(part).isin(changed)).select(*DIM_COLUMNS, part), name, "user_id", n)
         finally:
             incoming.unpersist()
     return after

@@ -19,8 +19,6 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..session import checkpoint_root
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -116,7 +114,11 @@ def replace(df: DataFrame, path: str, partition_by: str | None = None,
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str,
                          cluster_by: tuple[str, ...] = ()) -> None:
     """Dynamic partition overwrite, rebalanced like ``replace``: few files for
-    each partition, and several tasks for a large one."""
+    each partition, and several tasks for a large one.
+
+    ``df`` may read the partitions it replaces: files are written to a staging
+    folder and move in when all tasks are done, so a task that is retried still
+    finds the old ones."""
     (df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
@@ -169,13 +171,14 @@ def stored_buckets(spark: SparkSession, path: str) -> int | None:
     return int(found[0]) if found else None
 
 
-def overwrite_buckets(df: DataFrame, name: str) -> None:
-    """Replace the buckets present in ``df`` (columns in the table's order)."""
+def overwrite_buckets(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """Replace the buckets present in ``df`` (columns in the table's order), one
+    file for each: dealt otherwise, every task would write a file to every bucket."""
     spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")   # insertInto takes it from the session only
     try:
-        df.write.mode("overwrite").insertInto(name)
+        df.repartition(int(buckets), key).write.mode("overwrite").insertInto(name)
     finally:
         spark.conf.set(setting, before)
 
@@ -301,10 +304,6 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str,
         else:
             kept = existing.join(incoming.select(key), key, "left_anti")
         merged = kept.unionByName(incoming.select(*existing.columns))
-        # Reliable checkpoint (in spark.checkpoint.dir): the write below replaces
-        # the very partitions the merge reads, so a retried task must never go
-        # back to them.
-        checkpoint_root(spark)
-        overwrite_partitions(merged.checkpoint(eager=True), path, partition_by, cluster_by=cluster_by)
+        overwrite_partitions(merged, path, partition_by, cluster_by=cluster_by)
     finally:
         cached.unpersist()
