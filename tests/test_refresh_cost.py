@@ -63,3 +63,11 @@ def test_trimming_is_the_regular_expression(spark):
         was = f"{case}({was})" if case else was
         assert df.filter(f"NOT ({sx.clean_text('t', case)} <=> {was})").count() == 0
     assert "trim(BOTH" in sx.clean_text("t")
+
+
+def test_periods_are_stored_once(spark, tmp_path, monkeypatch):
+    stored = []
+    keep = refresh.materialize
+    monkeypatch.setattr(refresh, "materialize", lambda df, s, name: stored.append(name) or keep(df, s, name))
+    refresh.refresh_all(spark, make_raw(spark, [{"event_time": "2024-01-01", "user_id": "a"}]), str(tmp_path / "wh"), run_quality=False)
+    assert stored == ["missing-users", "activity"]

@@ -35,7 +35,8 @@ ALL = "all"
 UNKNOWN_COUNTRY = "UNKNOWN"
 UNKNOWN_OTHER = "unknown"
 PERIOD_KEYS = ("period_grain", "period_start", *SEGMENTS, "user_id")
-ACTIVITY_KEYS = ("period_grain", *SEGMENTS, "user_id")
+# The user first: sorts compare the first key by a prefix, and most rows differ there.
+ACTIVITY_KEYS = ("user_id", "period_grain", *SEGMENTS)
 ACTIVITY_COLUMNS = ["period_grain", "period_start", *SEGMENTS, "user_id", "first_active_period",
                     "prior_period_start", "is_new", "is_resurrected", "is_retained"]
 SEGMENT_LABELS_SQL = [f"coalesce(country, '{UNKNOWN_COUNTRY}') AS country",

@@ -334,31 +334,25 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
         # (without new users the newest cohort stays behind, and the window would only grow).
         tri = "fct_cohort_retention_triangle"
         afters[tri] = min(afters["user_period_activity"], first_changed_period - dt.timedelta(days=1))
-    scratch = []
     if windowed:
         after = min(afters.values())
         state, as_of = stored_state(spark, warehouse, day_base, after - act.LONGEST_PERIOD, changed_since.date())
-        activity, p = materialize(act.classify_since(day_base, after, state=state, as_of=as_of), spark, "activity")
-        scratch.append(p)
-        periods = activity            # carries event_count / miles_sum per user-period-segment
+        classified = act.classify_since(day_base, after, state=state, as_of=as_of)
     else:
-        periods, p = materialize(act.user_period_segments(day_base), spark, "user_period_segments")
-        scratch.append(p)
-        activity, p = materialize(act.classify(periods), spark, "activity")
-        scratch.append(p)
+        classified = act.classify(act.user_period_segments(day_base))
+    # carries event_count / miles_sum per user-period-segment, so the engagement mart reads it too
+    activity, scratch = materialize(classified, spark, "activity")
 
     def triangle(after):
         if after is None:
             return cohort_retention_triangle(activity, upto)
         existing = read_table(spark, warehouse, "fct_cohort_retention_triangle")
-        # the rewrite replaces partitions this plan reads: cut lineage first
-        checkpoint_root(spark)
-        return cohort_retention_triangle_since(activity, existing, after, upto).checkpoint(eager=True)
+        return cohort_retention_triangle_since(activity, existing, after, upto)
 
     builders = {
         "user_period_activity": lambda after: act.user_period_activity(activity, after, upto),
         "fct_growth_accounting": lambda after: growth_accounting(activity, after, upto),
-        "fct_engagement_depth": lambda after: engagement_depth(periods, params.power_user_min_events,
+        "fct_engagement_depth": lambda after: engagement_depth(activity, params.power_user_min_events,
                                                                after, upto),
         "fct_cohort_retention_triangle": triangle,
     }
@@ -379,8 +373,7 @@ def refresh_periods(spark: SparkSession, warehouse: str, params: RunParams = Run
             for f in [pool.submit(put, name) for name in PERIOD_MARTS]:
                 f.result()
     finally:
-        for path in scratch:   # run-scoped intermediates
-            sinks.drop_path(spark, path)
+        sinks.drop_path(spark, scratch)   # run-scoped intermediate
     if not windowed:
         rebuild_state(spark, warehouse, day_base, params)
     sinks.clear_pending(spark, warehouse, "periods")
