@@ -246,7 +246,10 @@ def linked(docs: DataFrame, classes: DataFrame, sketches: DataFrame, shingle: in
                         [part.column("node").take(pa.array(right)),
                          pa.array([found[i].astype("<u8").tobytes() for i in right], pa.binary())], ["node", "shingles"])
 
-    full = texts.mapInArrow(sets, "node long, shingles binary")
+    # Stored, as both comparisons need them: reading them anew deals out all texts again.
+    path = scratch_path(spark, "sets")
+    texts.mapInArrow(sets, "node long, shingles binary").write.parquet(path)
+    full = spark.read.parquet(path)
 
     def compared(dealt: DataFrame, name: str) -> DataFrame:
         work = dealt.join(full, "node").select("hub", "p", "q", "node", "shingles")
